@@ -33,5 +33,14 @@ def temperature_ratios() -> dict[str, Column]:
     }
 
 
-def round_to(c, digits: int = 3) -> Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, digits)
+def round_to(c, digits: int = 3, half_even: bool = False) -> Column:
+    """Round to ``digits`` decimals, deterministically across engines.
+
+    A first rounding to 9 decimals removes last-bit noise from summation order;
+    the second is ``round(x * 10^d) / 10^d`` on the binary value (half away from
+    zero, or half to even like NumPy / pandas ``round`` when ``half_even``)."""
+    c = F.col(c) if isinstance(c, str) else c
+    m = float(10 ** digits)
+    r9 = F.round(c, 9)
+    r = F.bround(r9 * F.lit(m), 0) if half_even else F.round(r9 * F.lit(m), 0)
+    return r / F.lit(m)

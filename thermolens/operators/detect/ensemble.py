@@ -15,7 +15,7 @@ from ...schema import DEFAULT_SERIES, Series, flag
 from ..clean import normal_only
 from ..joins import attach_params
 from ..scaling import minmax_fit, quantile
-from ..windows import DEFAULT_LAYOUT, POS, SK, Layout, with_position
+from ..windows import DEFAULT_LAYOUT, Layout, pos_col, sk_col, with_position
 from .baseline import baseline_fit, baseline_predict
 
 
@@ -122,11 +122,14 @@ def chronological_split(df: DataFrame, train_fraction: float = 0.8, per_series:
     the whole table or per series.  Exact; never a random split."""
     if not per_series:
         s = Series(key=(), ts=s.ts, tiebreak=tuple(s.tiebreak) or tuple(c for c in s.key if c in df.columns))
-    d = with_position(df, s.present(df), layout)
+    s = s.present(df)
+    SK, POS = sk_col(s), pos_col(s)
+    d = with_position(df, s, layout)
     n = d.groupBy(SK).agg(F.count(F.lit(1)).alias("_n"))
+    # global split: the count is a one-row aggregate (proven size) -> broadcast
     d = d.join(n, SK) if per_series else d.crossJoin(F.broadcast(n.drop(SK)))
     cut = F.floor(F.col("_n") * F.lit(train_fraction))
-    return d.withColumn(out, F.col(POS) < cut).drop("_n", SK, POS)
+    return d.withColumn(out, F.col(POS) < cut).drop("_n")
 
 
 def quantile_threshold_fit(df: DataFrame, score: str, p: float = 0.95, label: str | None = None,

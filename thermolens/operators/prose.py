@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..schema import DEFAULT_SERIES, Series, flag
 from .timeseries import gap_mode, time_diff_min
-from .windows import DEFAULT_LAYOUT, SK, Layout, series_key
+from .windows import DEFAULT_LAYOUT, Layout, series_key, sk_col
 
 
 def gap_warning(df: DataFrame, s: Series = DEFAULT_SERIES, layout: Layout = DEFAULT_LAYOUT,
@@ -16,8 +16,8 @@ def gap_warning(df: DataFrame, s: Series = DEFAULT_SERIES, layout: Layout = DEFA
     (most frequent) gap -- a hint of defective hardware or software."""
     s = s.present(df)
     d = time_diff_min(df, s, layout, out="_gap", fill_mode=False)
-    d = series_key(d, s) if SK not in d.columns else d
-    d = d.join(gap_mode(d, "_gap", [SK]), SK, "left")
+    d = series_key(d, s)
+    d = d.join(gap_mode(d, "_gap", [sk_col(s)]), sk_col(s), "left")
     return d.withColumn(out, flag(F.col("_gap") > F.col("_mode"))).drop("_gap", "_mode")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import day_name, hour
+from ..functions.numeric import round_to
 from .scaling import quantile
 
 
@@ -59,7 +60,7 @@ def anomaly_summary(df: DataFrame, label: str = "is_anomaly") -> DataFrame:
 def anomaly_by_group(df: DataFrame, by: str = "type", label: str = "is_anomaly", digits: int = 3) -> DataFrame:
     """Sum, count, mean (rounded) per group."""
     return df.groupBy(by).agg(F.sum(_i(label)).cast("long").alias("n_anomalies"), F.count(F.lit(1)).alias("n_rows"),
-                              F.round(F.avg(_i(label)), digits).alias("anomaly_rate"))
+                              round_to(F.avg(_i(label)), digits, half_even=True).alias("anomaly_rate"))
 
 
 def detector_rates(df: DataFrame, flags: Sequence[str]) -> DataFrame:
@@ -75,13 +76,13 @@ def detector_rates(df: DataFrame, flags: Sequence[str]) -> DataFrame:
 def hourly_profile(df: DataFrame, label: str = "is_anomaly", ts: str = "timestamp", digits: int = 3) -> DataFrame:
     """Anomalies and rate per hour of day (rate rounded)."""
     return df.groupBy(hour(ts).alias("hour")).agg(F.sum(_i(label)).cast("long").alias("n_anomalies"),
-                                                 F.round(F.avg(_i(label)), digits).alias("anomaly_rate"))
+                                                 round_to(F.avg(_i(label)), digits, half_even=True).alias("anomaly_rate"))
 
 
 def weekday_profile(df: DataFrame, label: str = "is_anomaly", ts: str = "timestamp", digits: int = 3) -> DataFrame:
     """Same by weekday name."""
     return df.groupBy(day_name(ts).alias("day_of_week")).agg(
-        F.sum(_i(label)).cast("long").alias("n_anomalies"), F.round(F.avg(_i(label)), digits).alias("anomaly_rate"))
+        F.sum(_i(label)).cast("long").alias("n_anomalies"), round_to(F.avg(_i(label)), digits, half_even=True).alias("anomaly_rate"))
 
 
 def profile_argmax(profile: DataFrame, key: str) -> DataFrame:

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import DEFAULT_SERIES, Series, has
-from .windows import (DEFAULT_LAYOUT, POS, SK, Layout, epoch_micros, parse_span, range_over,
-                      rows_over, running, series_key, with_position)
+from .windows import (DEFAULT_LAYOUT, Layout, epoch_micros, parse_span, pos_col, range_over, rows_over,
+                      running, series_key, sk_col, with_position)
 
 MINUTE_US = 60_000_000
 
@@ -50,9 +50,9 @@ def time_diff_min(df: DataFrame, s: Series = DEFAULT_SERIES, layout: Layout = DE
     d = d.drop("_us", "_prev_us")
     if not fill_mode:
         return d
-    d = series_key(d, s) if SK not in d.columns else d
-    mode = gap_mode(d, out, [SK])
-    d = d.join(mode, SK, "left")
+    d = series_key(d, s)
+    mode = gap_mode(d, out, [sk_col(s)])
+    d = d.join(mode, sk_col(s), "left")
     return d.withColumn(out, F.coalesce(F.col(out), F.col("_mode"))).drop("_mode")
 
 
@@ -86,7 +86,7 @@ def rolling_time_exprs(cols: Sequence[str], hours: Sequence[int]) -> dict:
             us = h * 3_600_000_000
             exprs[f"{c}_rolling_mean_{h}h"] = lambda w, c=c, us=us: F.avg(c).over(w.rangeBetween(-us, 0))
             exprs[f"{c}_rolling_std_{h}h"] = lambda w, c=c, us=us: F.when(
-                F.count(c).over(w.rangeBetween(-us, 0)) > 1,
+                F.count(F.lit(1)).over(w.rangeBetween(-us, 0)) > 1,
                 F.stddev_samp(c).over(w.rangeBetween(-us, 0))).otherwise(F.lit(0.0))
     return exprs
 
@@ -216,6 +216,7 @@ def align_sequence_scores(df: DataFrame, score: str, length: int = 24, s: Series
     s = s.present(df)
     out = out or score
     d = with_position(df, s, layout)
+    SK, POS = sk_col(s), pos_col(s)
     last = d.groupBy(SK).agg(F.max_by(score, F.when(F.col(score).isNotNull(), F.col(POS))).alias("_last"))
     d = d.join(last, SK, "left")
     filled = F.when(F.col(POS) >= length - 1, F.col(score)).otherwise(F.col("_last"))

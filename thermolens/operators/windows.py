@@ -45,6 +45,16 @@ SK = "_sk"
 POS = "_pos"
 
 
+def sk_col(s: Series) -> str:
+    """Hidden series-key column of a Series (named after its key)."""
+    return "_sk_" + ("_".join(s.key) if s.key else "all")
+
+
+def pos_col(s: Series) -> str:
+    """Hidden position column of a Series (named after key and order)."""
+    return "_pos_" + ("_".join(s.key) if s.key else "all") + "__" + "_".join(s.order)
+
+
 def parse_span(span: str | int) -> int:
     """'24 hours' / '1 day' / micro-seconds -> micro-seconds."""
     if isinstance(span, int):
@@ -81,10 +91,12 @@ def epoch_micros(df: DataFrame, ts: str) -> Column:
 
 
 def series_key(df: DataFrame, s: Series) -> DataFrame:
-    """Add the null-safe single-column series key ``_sk``."""
+    """Add the null-safe single-column series key (``sk_col(s)``)."""
     s = s.present(df)
+    if sk_col(s) in df.columns:
+        return df
     sk = F.struct(*[F.col(c) for c in s.key]) if s.key else F.struct(F.lit(0).alias("all"))
-    return df.withColumn(SK, sk)
+    return df.withColumn(sk_col(s), sk)
 
 
 def plain_window(s: Series) -> WindowSpec:
@@ -93,12 +105,14 @@ def plain_window(s: Series) -> WindowSpec:
 
 def with_position(df: DataFrame, s: Series = DEFAULT_SERIES,
                   layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
-    """Add ``_pos``: exact 0-based position of the row in its series' time order
-    (plus ``_sk``).  Idempotent."""
+    """Add ``pos_col(s)``: exact 0-based position of the row in its series' time
+    order (plus the series key column).  Idempotent for the same Series, so a
+    chain of operators computes positions once."""
     s = s.present(df)
-    if POS in df.columns:
-        return df if SK in df.columns else series_key(df, s)
-    d = series_key(df, s) if SK not in df.columns else df
+    SK, POS = sk_col(s), pos_col(s)
+    d = series_key(df, s)
+    if POS in d.columns:
+        return d
     if layout.strategy == "series":
         w = Window.partitionBy(SK).orderBy(*s.order)
         return d.withColumn(POS, F.row_number().over(w) - 1)
@@ -127,6 +141,7 @@ def rows_over(df: DataFrame, exprs: WindowExprs, preceding: int,
     if preceding >= b:
         raise ValueError(f"frame of {preceding} rows needs block_rows > {preceding}")
     d = with_position(df, s, layout)
+    SK, POS = sk_col(s), pos_col(s)
     own = F.floor(F.col(POS) / b)
     halo = (F.col(POS) % b) >= (b - preceding) if preceding > 0 else F.lit(False)
     d = d.withColumn("_blk", F.explode(F.when(halo, F.array(own, own + 1)).otherwise(F.array(own))))
@@ -148,7 +163,8 @@ def range_over(df: DataFrame, exprs: WindowExprs, span: str | int,
         w = Window.partitionBy(*s.key).orderBy(order_col)
         return d.withColumns({k: f(w) for k, f in exprs.items()}).drop(order_col)
     cu = layout.chunk_us
-    d = series_key(d, s) if SK not in d.columns else d
+    d = series_key(d, s)
+    SK = sk_col(s)
     own = F.floor(F.col(order_col) / cu)
     reach = F.floor((F.col(order_col) + span_us) / cu)
     d = d.withColumn("_rc", F.explode(F.sequence(own, reach)))
@@ -169,6 +185,7 @@ def running(df: DataFrame, outputs: Mapping[str, tuple[str, Column]],
         w = plain_window(s).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({k: _running_expr(op, v, w) for k, (op, v) in outputs.items()})
     b = layout.block_rows
+    SK, POS = sk_col(s), pos_col(s)
     d = with_position(df, s, layout).withColumn("_blk", F.floor(F.col(POS) / b))
     for k, (_, v) in outputs.items():
         d = d.withColumn(f"_v_{k}", v)
@@ -176,7 +193,7 @@ def running(df: DataFrame, outputs: Mapping[str, tuple[str, Column]],
     w = Window.partitionBy(SK, "_blk").orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumns({f"_in_{k}": _running_expr(op, F.col(f"_v_{k}"), w) for k, (op, _) in outputs.items()})
     # per-block totals -> carry from all earlier blocks (small table: one row per block)
-    tot = d.groupBy(SK, "_blk").agg(*[_block_total(op, k) for k, (op, _) in outputs.items()])
+    tot = d.groupBy(SK, "_blk").agg(*[_block_total(op, k, POS) for k, (op, _) in outputs.items()])
     before = Window.partitionBy(SK).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     carry = tot.select(SK, "_blk", *[
         _running_expr(op, F.col(f"_t_{k}"), before).alias(f"_c_{k}") for k, (op, _) in outputs.items()])
@@ -205,7 +222,7 @@ def _running_expr(op: str, v: Column | str, w: WindowSpec) -> Column:
     raise ValueError(op)
 
 
-def _block_total(op: str, k: str) -> Column:
+def _block_total(op: str, k: str, POS: str) -> Column:
     v = F.col(f"_v_{k}")
     if op == "sum":
         return F.sum(v).alias(f"_t_{k}")
@@ -216,4 +233,5 @@ def _block_total(op: str, k: str) -> Column:
 
 
 def drop_internal(df: DataFrame) -> DataFrame:
-    return df.drop(SK, POS)
+    """Drop every hidden series-key / position column."""
+    return df.drop(*[c for c in df.columns if c.startswith(("_sk_", "_pos_"))])

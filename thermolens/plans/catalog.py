@@ -1,27 +1,454 @@
-"""Registered queries: one per operator family of the inventory, each reading the
-driver tables through the canonical readings tables."""
+"""Registered queries: one per operator family of the inventory.  Each reads the
+driver tables (``events``) through the canonical readings tables, so its work
+grows with the data; each has an independently written DuckDB oracle in
+``sql.py`` unless the operator is not expressible in SQL."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.detect.rolling import find_anomaly_domestic
-from ..sources.fixtures import readings_hourly
+from ..functions import calendar as cal
+from ..functions.numeric import round_to
+from ..operators import joins, prose, scaling, stats, timeseries as ts, validate
+from ..operators.clean import combine, except_rows, filter_type, intersect_rows, prepare_readings
+from ..operators.detect.baseline import baseline_fit, baseline_predict
+from ..operators.detect.ensemble import (chronological_split, ensemble_predict, quantile_threshold,
+                                         quantile_threshold_fit)
+from ..operators.detect.rolling import find_anomaly_domestic, rolling_sigma
+from ..operators.detect.rules import domain_rules
+from ..operators.detect.zscore import zscore_any
+from ..operators.faults import inject_faults, rate_within_tolerance
+from ..operators.features import exog_features, feature_matrix
+from ..schema import Series
+from ..sources.fixtures import readings_hourly, readings_per_event
+from ..sources.readers import slice_rows
 from . import sql
 
 Query = Callable[[SparkSession, str], DataFrame]
+KEY = ["type", "ID", "timestamp"]
+VALS = ["avg", "min_v", "max_v", "T_diff"]
 
 
-def d2_domestic_periods(spark: SparkSession, sf: str) -> DataFrame:
+def rnd(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
+    """Round result columns the same way the oracle does (see ``round_to``)."""
+    return df.withColumns({c: round_to(c, digits) for c in cols})
+
+
+# ---------------------------------------------------------------- canonical tables
+def readings(spark, sf) -> DataFrame:
+    """X1 over the hourly rollup."""
+    return prepare_readings(readings_hourly(spark, sf))
+
+
+def faulted(spark, sf) -> DataFrame:
+    """5 % of rows perturbed, seed 42."""
+    return inject_faults(readings(spark, sf), 0.05, 42)
+
+
+def scored(spark, sf) -> DataFrame:
+    """E3 flow: statistical baseline (z 2.5) fitted on normal rows + rolling-sigma
+    ratio, equal weights, threshold 0.5."""
+    f = faulted(spark, sf)
+    params = baseline_fit(f, "avg", label="is_anomaly", z_threshold=2.5, iqr_multiplier=1.5)
+    d = baseline_predict(f, params, "avg", out="statistical", score_out="statistical_score")
+    d = rolling_sigma(d, "avg", 24, 2.0, "anomaly")
+    return ensemble_predict(d, {"statistical_score": 1.0, "anomaly_ratio": 1.0}, 0.5)
+
+
+def labeled(spark, sf) -> DataFrame:
+    """Readings with the D1, D3, D4, D7 flags and their union."""
+    r = readings(spark, sf)
+    d = rolling_sigma(r, "avg", 24, 2.0, "rolling_anomaly").drop("rolling_anomaly_ratio")
+    d = zscore_any(d, VALS, 3.0)
+    d = domain_rules(d)
+    d = baseline_predict(d, baseline_fit(r, "avg"), "avg", out="_b").withColumn("baseline_anomaly", F.col("_b") == 1).drop("_b")
+    return d.withColumn("is_anomaly", F.col("rolling_anomaly") | F.col("statistical_anomaly")
+                        | F.col("domain_anomaly") | F.col("baseline_anomaly"))
+
+
+# ---------------------------------------------------------------- queries
+def d2_domestic_periods(spark, sf):
     return find_anomaly_domestic(readings_hourly(spark, sf))
 
 
-QUERIES: dict[str, Query] = {
-    "d2_domestic_periods": d2_domestic_periods,
-}
+def d2_periods_per_event(spark, sf):
+    """D2 on the per-event table: 1 reading per event, one series per user."""
+    return find_anomaly_domestic(readings_per_event(spark, sf))
+
+
+def s7_rollup_hourly(spark, sf):
+    return readings_hourly(spark, sf)
+
+
+def x1_prepare_readings(spark, sf):
+    return readings(spark, sf)
+
+
+def w3_interval_histogram(spark, sf):
+    return ts.interval_histogram(readings_hourly(spark, sf))
+
+
+def d1_rolling_sigma(spark, sf):
+    d = rolling_sigma(readings(spark, sf), keep_stats=True)
+    return rnd(d.select(*KEY, "avg", "avg_rolling_mean", "avg_rolling_std", "anomaly"),
+               ["avg_rolling_mean", "avg_rolling_std"])
+
+
+def w6w7_rolling_time(spark, sf):
+    d = ts.rolling_time(readings(spark, sf), ["avg", "T_diff"], (1, 6, 24))
+    cols = [f"{c}_rolling_{s}_{h}h" for c in ("avg", "T_diff") for h in (1, 6, 24) for s in ("mean", "std")]
+    return rnd(d.select(*KEY, *cols), cols)
+
+
+def w8w9_rates(spark, sf):
+    d = ts.rate_per_min(ts.weighted_change(readings(spark, sf)))
+    cols = [f"{c}_{n}" for c in VALS for n in ("weighted_change", "rate_per_min")]
+    return rnd(d.select(*KEY, *cols), cols)
+
+
+def x3_exog_features(spark, sf):
+    d = exog_features(readings(spark, sf))
+    return rnd(d, ["hour_sin", "hour_cos", "temp_lag_24h", "temp_ma_24h"])
+
+
+def w13_deviation_from_mean(spark, sf):
+    r = readings(spark, sf)
+    d = ts.deviation_from_mean(filter_type(r, "domestic"), "avg", reference=r)
+    return rnd(d.select(*KEY, "avg", "avg_deviation"), ["avg_deviation"])
+
+
+def w14_sequences(spark, sf):
+    return ts.sequences(readings(spark, sf), "avg", 24).select(*KEY, "sequence")
+
+
+def w16_missing_slots(spark, sf):
+    return ts.missing_slots(readings(spark, sf), "1 hour").select(*KEY)
+
+
+def f_calendar(spark, sf):
+    r = readings(spark, sf)
+    return rnd(r.select(*KEY, cal.hour().alias("hour"), cal.month().alias("month"),
+                        cal.day_of_week().alias("day_of_week"), cal.is_weekend().alias("is_weekend"),
+                        cal.day_name().alias("day_name"), cal.date_of().alias("date"), cal.hhmm().alias("hhmm"),
+                        cal.hour_sin().alias("hour_sin"), cal.hour_cos().alias("hour_cos"),
+                        cal.is_peak().alias("is_peak"), cal.nighttime(preset="eda").alias("night_eda"),
+                        cal.nighttime(preset="generator").alias("night_generator")), ["hour_sin", "hour_cos"])
+
+
+def f8_one_hot(spark, sf):
+    return cal.one_hot(readings(spark, sf), "type", ["domestic", "forward"]).select(
+        *KEY, "type_domestic", "type_forward", "type_nan")
+
+
+def f9_ratios(spark, sf):
+    from ..functions.numeric import temperature_ratios
+    d = readings(spark, sf).withColumns(temperature_ratios())
+    cols = list(temperature_ratios())
+    return rnd(d.select(*KEY, *cols), cols)
+
+
+def f10_gap_features(spark, sf):
+    d = scaling.time_gap_features(readings(spark, sf))
+    cols = ["time_diff_normalized", "time_diff_deviation", "time_diff_z_score"]
+    return rnd(d.select(*KEY, "time_diff_min", *cols), cols)
+
+
+def f12_zscores(spark, sf):
+    d = scaling.zscores(readings(spark, sf), VALS)
+    cols = [f"{c}_z" for c in VALS]
+    return rnd(d.select(*KEY, *cols), cols)
+
+
+def f13_standardize(spark, sf):
+    d = scaling.standardize(readings(spark, sf), ["avg", "T_diff"])
+    return rnd(d.select(*KEY, "avg", "T_diff"), ["avg", "T_diff"])
+
+
+def f14_minmax(spark, sf):
+    d = scaling.minmax_normalize(readings(spark, sf), ["avg"])
+    return rnd(d.select(*KEY, "avg_norm"), ["avg_norm"])
+
+
+def x2_feature_matrix(spark, sf):
+    d = feature_matrix(filter_type(readings(spark, sf), "domestic"), type_categories=("domestic",))
+    dbl = [c for c, t in d.dtypes if t == "double"]
+    return rnd(d, dbl)
+
+
+def a1_describe(spark, sf):
+    d = stats.describe(readings(spark, sf), VALS)
+    return rnd(d, ["mean", "std", "q25", "q50", "q75"])
+
+
+def a1_describe_day_night(spark, sf):
+    d = stats.describe(readings(spark, sf), VALS, by=["nighttime"])
+    return rnd(d, ["mean", "std", "q25", "q50", "q75"])
+
+
+def a2_distinct_types(spark, sf):
+    return stats.distinct_values(readings_hourly(spark, sf), "type")
+
+
+def a3_overview(spark, sf):
+    return stats.table_overview(readings(spark, sf))
+
+
+def a4_value_counts(spark, sf):
+    return stats.value_counts(readings(spark, sf), "type")
+
+
+def d3_zscore_any(spark, sf):
+    d = zscore_any(filter_type(readings(spark, sf), "domestic"), VALS, 3.0, keep_z=True)
+    cols = [f"{c}_z" for c in VALS]
+    return rnd(d.select(*KEY, *cols, "statistical_anomaly"), cols)
+
+
+def d4_domain_rules(spark, sf):
+    return domain_rules(readings(spark, sf), keep_rules=True).select(
+        *KEY, "rule_avg_range", "rule_min_gt_max", "rule_spread_range", "domain_anomaly")
+
+
+def d5_baseline_fit(spark, sf):
+    p = baseline_fit(readings(spark, sf), "avg", by=["type", "ID"])
+    return rnd(p, ["mean", "std", "q1", "q3", "iqr"])
+
+
+def r1_inject_faults(spark, sf):
+    return rnd(faulted(spark, sf), ["avg", "min_v", "max_v", "T_diff"])
+
+
+def d12_ensemble(spark, sf):
+    d = scored(spark, sf).select(*KEY, "is_anomaly", "anomaly_type", "statistical", "statistical_score",
+                                 "anomaly", "anomaly_ratio", "ensemble_score", "ensemble")
+    return rnd(d, ["statistical_score", "anomaly_ratio", "ensemble_score"])
+
+
+def v9_validation_report(spark, sf):
+    d = validate.validation_report(scored(spark, sf))
+    return rnd(d, ["precision", "recall", "f1_score", "accuracy"])
+
+
+def v3_prf_by_detector(spark, sf):
+    d = validate.prf_by_detector(scored(spark, sf), ["statistical", "anomaly", "ensemble"])
+    return rnd(d, ["precision", "recall", "f1_score", "accuracy"])
+
+
+def v2_prf_statistical(spark, sf):
+    return rnd(validate.prf(scored(spark, sf), "is_anomaly", "statistical"),
+               ["precision", "recall", "f1_score", "accuracy"])
+
+
+def v5_detection_rate_by_type(spark, sf):
+    return rnd(validate.detection_rate_by_type(scored(spark, sf)), ["detection_rate"])
+
+
+def v6_missed_types(spark, sf):
+    return validate.missed_types(scored(spark, sf))
+
+
+def v7_detection_status(spark, sf):
+    d = validate.outcome_rows(scored(spark, sf)).withColumn("status", validate.detection_status())
+    return rnd(d.select(*KEY, "avg", "status", "outcome"), ["avg"])
+
+
+def v8_recall_gate(spark, sf):
+    return rnd(validate.recall_gate(scored(spark, sf), 0.7, 500), ["precision", "recall", "f1_score", "accuracy"])
+
+
+def d14_chronological_split(spark, sf):
+    r = readings(spark, sf)
+    d = chronological_split(r, 0.8, per_series=False)
+    d = chronological_split(d, 0.8, per_series=True, out="is_train_series")
+    return d.select(*KEY, "is_train", "is_train_series")
+
+
+def d15_quantile_threshold(spark, sf):
+    s = scored(spark, sf)
+    p = quantile_threshold_fit(s, "statistical_score", 0.95, label="is_anomaly")
+    d = quantile_threshold(s, "statistical_score", p)
+    return rnd(d.select(*KEY, "statistical_score", "statistical_score_flag"), ["statistical_score"])
+
+
+def a17_rate_within_tolerance(spark, sf):
+    return rnd(rate_within_tolerance(faulted(spark, sf), 0.05, 0.02), ["anomaly_rate"])
+
+
+def j2_compare_profiles(spark, sf):
+    d = joins.compare_profiles(readings(spark, sf), faulted(spark, sf))
+    return rnd(d, ["real_mean", "synthetic_mean", "difference"])
+
+
+def j3_join_labels(spark, sf):
+    pred = scored(spark, sf).select(*KEY, "ensemble")
+    truth = faulted(spark, sf).select(*KEY, "is_anomaly", "anomaly_type")
+    return joins.join_labels(pred, truth)
+
+
+def d10_union_flags(spark, sf):
+    return labeled(spark, sf).select(*KEY, "rolling_anomaly", "statistical_anomaly", "domain_anomaly",
+                                     "baseline_anomaly", "is_anomaly")
+
+
+def a5_anomaly_summary(spark, sf):
+    return rnd(stats.anomaly_summary(labeled(spark, sf)), ["anomaly_rate"])
+
+
+def a6_anomaly_by_type(spark, sf):
+    return stats.anomaly_by_group(labeled(spark, sf), "type")
+
+
+FLAGS = ["rolling_anomaly", "statistical_anomaly", "domain_anomaly", "baseline_anomaly"]
+
+
+def a7_detector_rates(spark, sf):
+    return rnd(stats.detector_rates(labeled(spark, sf), FLAGS), ["rate"])
+
+
+def a8_hourly_profile(spark, sf):
+    return stats.hourly_profile(labeled(spark, sf))
+
+
+def a8_hourly_argmax(spark, sf):
+    return stats.profile_argmax(stats.hourly_profile(labeled(spark, sf)), "hour")
+
+
+def a9_weekday_profile(spark, sf):
+    return stats.weekday_profile(labeled(spark, sf))
+
+
+def a10_daily_rate(spark, sf):
+    return rnd(stats.daily_rate(labeled(spark, sf)), ["anomaly_rate"])
+
+
+def a11_temperature_by_label(spark, sf):
+    return rnd(stats.temperature_by_label(labeled(spark, sf)), ["mean_temp"])
+
+
+def a12_night_day_rates(spark, sf):
+    return rnd(stats.night_day_rates(labeled(spark, sf)), ["anomaly_rate"])
+
+
+def a13_overlap_counts(spark, sf):
+    return stats.overlap_counts(labeled(spark, sf), FLAGS[:3])
+
+
+def a14_exclusive_overlap(spark, sf):
+    return stats.exclusive_overlap(labeled(spark, sf), FLAGS[:3])
+
+
+def a15_histogram(spark, sf):
+    d = stats.histogram(labeled(spark, sf), "avg", 50, by=["is_anomaly"], density=True, common_range=True)
+    return rnd(rnd(d, ["bin_start", "bin_end"]), ["density"], 9)
+
+
+def a16_hourly_mean_profile(spark, sf):
+    return rnd(stats.hourly_mean_profile(readings(spark, sf)), ["mean"])
+
+
+def w12_periods_domain_forward(spark, sf):
+    d = filter_type(labeled(spark, sf), "forward")
+    return ts.anomaly_periods(d, "domain_anomaly").select(
+        "type", "ID", "period_no", "start_ts", "end_ts", "n_rows", "start_weekday", "start_time", "end_weekday", "end_time")
+
+
+def u1_combine(spark, sf):
+    h = readings_hourly(spark, sf)
+    return combine([prepare_readings(filter_type(h, t)) for t in ("domestic", "forward")])
+
+
+def u2_intersect_except(spark, sf):
+    lab = labeled(spark, sf)
+    st, dom = lab.where("statistical_anomaly"), lab.where("domain_anomaly")
+    both = intersect_rows(st, dom).select(*KEY, F.lit("statistical_and_domain").alias("row_set"))
+    only = except_rows(st, dom).select(*KEY, F.lit("statistical_not_domain").alias("row_set"))
+    return both.unionByName(only)
+
+
+def n1_gap_warning(spark, sf):
+    return prose.gap_warning(readings(spark, sf)).select(*KEY, "gap_warning")
+
+
+def n2_sensor_fault(spark, sf):
+    return prose.sensor_fault(readings(spark, sf)).select(*KEY, "sensor_fault")
+
+
+def n3_interval_swing(spark, sf):
+    return prose.interval_swing(readings(spark, sf)).select(*KEY, "interval_swing")
+
+
+def n4_cross_circuit(spark, sf):
+    r = readings(spark, sf)
+    d = prose.cross_circuit_check(r.where(F.col("ID") == "click"), r.where(F.col("ID") == "view"), 10.0)
+    return rnd(d, ["a_mean", "b_mean"])
+
 
 ORACLE: dict[str, str] = {
     "d2_domestic_periods": sql.D2,
+    "s7_rollup_hourly": sql.S7,
+    "x1_prepare_readings": sql.X1,
+    "w3_interval_histogram": sql.W3,
+    "d1_rolling_sigma": sql.D1,
+    "w6w7_rolling_time": sql.W6W7,
+    "w8w9_rates": sql.W8W9,
+    "x3_exog_features": sql.X3,
+    "w13_deviation_from_mean": sql.W13,
+    "w14_sequences": sql.W14,
+    "w16_missing_slots": sql.W16,
+    "f_calendar": sql.FCAL,
+    "f8_one_hot": sql.F8,
+    "f9_ratios": sql.F9,
+    "f10_gap_features": sql.F10,
+    "f12_zscores": sql.F12,
+    "f13_standardize": sql.F13,
+    "f14_minmax": sql.F14,
+    "x2_feature_matrix": sql.X2,
+    "a1_describe": sql.A1,
+    "a1_describe_day_night": sql.A1_NIGHT,
+    "a2_distinct_types": sql.A2,
+    "a3_overview": sql.A3,
+    "a4_value_counts": sql.A4,
+    "d3_zscore_any": sql.D3,
+    "d4_domain_rules": sql.D4,
+    "d5_baseline_fit": sql.D5,
+    "r1_inject_faults": sql.R1,
+    "d12_ensemble": sql.D12,
+    "v9_validation_report": sql.V9,
+    "v3_prf_by_detector": sql.V3,
+    "v2_prf_statistical": sql.V2,
+    "v5_detection_rate_by_type": sql.V5,
+    "v6_missed_types": sql.V6,
+    "v7_detection_status": sql.V7,
+    "v8_recall_gate": sql.V8,
+    "d14_chronological_split": sql.D14,
+    "d15_quantile_threshold": sql.D15,
+    "a17_rate_within_tolerance": sql.A17,
+    "j2_compare_profiles": sql.J2,
+    "j3_join_labels": sql.J3,
+    "d10_union_flags": sql.D10,
+    "a5_anomaly_summary": sql.A5,
+    "a6_anomaly_by_type": sql.A6,
+    "a7_detector_rates": sql.A7,
+    "a8_hourly_profile": sql.A8,
+    "a8_hourly_argmax": sql.A8_ARGMAX,
+    "a9_weekday_profile": sql.A9,
+    "a10_daily_rate": sql.A10,
+    "a11_temperature_by_label": sql.A11,
+    "a12_night_day_rates": sql.A12,
+    "a13_overlap_counts": sql.A13,
+    "a14_exclusive_overlap": sql.A14,
+    "a15_histogram": sql.A15,
+    "a16_hourly_mean_profile": sql.A16,
+    "w12_periods_domain_forward": sql.W12,
+    "u1_combine": sql.U1,
+    "u2_intersect_except": sql.U2,
+    "n1_gap_warning": sql.N1,
+    "n2_sensor_fault": sql.N2,
+    "n3_interval_swing": sql.N3,
+    "n4_cross_circuit": sql.N4,
 }
+
+
+QUERIES: dict[str, Query] = {name: globals()[name] for name in [*ORACLE, "d2_periods_per_event"]}

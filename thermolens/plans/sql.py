@@ -37,6 +37,33 @@ readings AS (
 )"""
 
 
+def _rewrite_round(sql: str) -> str:
+    """round(x, d) -> round(round(x, 9), d): both engines then agree on ties."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k, comma = 1, j + 6, None
+        while depth:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                comma = k
+            k += 1
+        arg, digits = sql[j + 6:comma], sql[comma + 1:k - 1].strip()
+        out.append(sql[i:j] + f"round(round({_rewrite_round(arg)}, 9), {digits})")
+        i = k
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"
 
@@ -65,3 +92,440 @@ SELECT *, strftime(start_ts, '%A') AS start_weekday, strftime(start_ts, '%H:%M')
        strftime(end_ts, '%A') AS end_weekday, strftime(end_ts, '%H:%M') AS end_time
 FROM runs
 """
+
+
+def q(body: str, *ctes: str) -> str:
+    return with_(*ctes) + body
+
+
+# ---------------------------------------------------------------- X1, S7, W3
+S7 = q('SELECT * FROM hourly', HOURLY)
+X1 = q('SELECT * FROM readings', READINGS)
+W3 = q('''
+SELECT "type", "ID", gap_seconds, count(*) AS n FROM (
+  SELECT "type", "ID", date_diff('microsecond', lag("timestamp") OVER (PARTITION BY "type", "ID" ORDER BY "timestamp"), "timestamp") / 1e6 AS gap_seconds
+  FROM hourly) WHERE gap_seconds IS NOT NULL GROUP BY ALL''', HOURLY)
+
+# ---------------------------------------------------------------- D1 / W4 / W5
+D1 = q('''
+SELECT "type", "ID", "timestamp", "avg",
+  round(avg("avg") OVER w, 6) AS avg_rolling_mean, round(stddev_samp("avg") OVER w, 6) AS avg_rolling_std,
+  coalesce(abs("avg" - avg("avg") OVER w) > 2 * stddev_samp("avg") OVER w, false) AS anomaly
+FROM readings
+WINDOW w AS (PARTITION BY "type", "ID" ORDER BY "timestamp" ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)''', READINGS)
+
+
+def _rolling_time_cols(cols, hours):
+    out = []
+    for c in cols:
+        for h in hours:
+            w = f'(PARTITION BY "type", "ID" ORDER BY "timestamp" RANGE BETWEEN INTERVAL {h} HOUR PRECEDING AND CURRENT ROW)'
+            out.append(f'avg("{c}") OVER {w} AS {c}_rolling_mean_{h}h')
+            out.append(f'CASE WHEN count(*) OVER {w} > 1 THEN stddev_samp("{c}") OVER {w} ELSE 0.0 END AS {c}_rolling_std_{h}h')
+    return out
+
+
+W6W7 = q('SELECT "type", "ID", "timestamp", ' + ", ".join(
+    f"round({e.split(' AS ')[0]}, 6) AS {e.split(' AS ')[1]}" for e in _rolling_time_cols(["avg", "T_diff"], [1, 6, 24]))
+    + ' FROM readings', READINGS)
+
+
+def _rate(c, name):
+    prev = f'lag("{c}") OVER (PARTITION BY "type", "ID" ORDER BY "timestamp")'
+    first = 'row_number() OVER (PARTITION BY "type", "ID" ORDER BY "timestamp") = 1'
+    return (f'CASE WHEN {first} THEN 0.0 WHEN time_diff_min > 0 THEN ("{c}" - {prev}) / time_diff_min ELSE 0.0 END AS {c}_{name}')
+
+
+VALS = ["avg", "min_v", "max_v", "T_diff"]
+W8W9 = q('SELECT "type", "ID", "timestamp", ' + ", ".join(
+    f"round({_rate(c, n).rsplit(' AS ', 1)[0]}, 6) AS {c}_{n}" for c in VALS for n in ("weighted_change", "rate_per_min"))
+    + ' FROM readings', READINGS)
+
+X3 = q('''
+SELECT "type", "ID", "timestamp",
+  round(sin(2 * pi() * hour("timestamp") / 24), 6) AS hour_sin,
+  round(cos(2 * pi() * hour("timestamp") / 24), 6) AS hour_cos,
+  CAST(isodow("timestamp") >= 6 AS BIGINT) AS is_weekend,
+  CAST(nighttime AS BIGINT) AS is_night,
+  CAST((hour("timestamp") BETWEEN 7 AND 9) OR (hour("timestamp") BETWEEN 19 AND 21) AS BIGINT) AS is_peak,
+  round(coalesce(last_value(lag24 IGNORE NULLS) OVER (PARTITION BY "type", "ID" ORDER BY "timestamp" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0), 6) AS temp_lag_24h,
+  round(ma24, 6) AS temp_ma_24h
+FROM (SELECT *, lag("avg", 24) OVER w AS lag24, avg("avg") OVER (w ROWS BETWEEN 23 PRECEDING AND CURRENT ROW) AS ma24
+      FROM readings WINDOW w AS (PARTITION BY "type", "ID" ORDER BY "timestamp"))''', READINGS)
+
+W13 = q('''
+SELECT "type", "ID", "timestamp", "avg", round("avg" - (SELECT avg("avg") FROM readings), 6) AS avg_deviation
+FROM readings WHERE "type" = 'domestic' ''', READINGS)
+
+W14 = q('''
+SELECT "type", "ID", "timestamp", seq AS "sequence" FROM (
+  SELECT *, list("avg") OVER w AS seq, count(*) OVER w AS n FROM readings
+  WINDOW w AS (PARTITION BY "type", "ID" ORDER BY "timestamp" ROWS BETWEEN 23 PRECEDING AND CURRENT ROW))
+WHERE n = 24''', READINGS)
+
+W16 = q('''
+SELECT g."type", g."ID", g."timestamp" FROM (
+  SELECT "type", "ID", unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS "timestamp"
+  FROM (SELECT "type", "ID", min("timestamp") AS lo, max("timestamp") AS hi FROM readings GROUP BY ALL)) g
+ANTI JOIN readings r ON g."type" = r."type" AND g."ID" = r."ID" AND g."timestamp" = r."timestamp"''', READINGS)
+
+FCAL = q('''
+SELECT "type", "ID", "timestamp",
+  CAST(hour("timestamp") AS BIGINT) AS hour, CAST(month("timestamp") AS BIGINT) AS month,
+  CAST(isodow("timestamp") - 1 AS BIGINT) AS day_of_week, isodow("timestamp") >= 6 AS is_weekend,
+  strftime("timestamp", '%A') AS day_name, CAST("timestamp" AS DATE) AS date, strftime("timestamp", '%H:%M') AS hhmm,
+  round(sin(2 * pi() * hour("timestamp") / 24), 6) AS hour_sin, round(cos(2 * pi() * hour("timestamp") / 24), 6) AS hour_cos,
+  CAST((hour("timestamp") BETWEEN 7 AND 9) OR (hour("timestamp") BETWEEN 19 AND 21) AS BIGINT) AS is_peak,
+  (hour("timestamp") * 60 + minute("timestamp") >= 1320 OR hour("timestamp") * 60 + minute("timestamp") < 240) AS night_eda,
+  (hour("timestamp") * 60 + minute("timestamp") >= 1380 OR hour("timestamp") * 60 + minute("timestamp") < 360) AS night_generator
+FROM readings''', READINGS)
+
+F8 = q('''
+SELECT "type", "ID", "timestamp", coalesce("type" = 'domestic', false) AS type_domestic,
+  coalesce("type" = 'forward', false) AS type_forward, "type" IS NULL AS type_nan FROM readings''', READINGS)
+
+
+def _div(a, b):
+    return f"({a}) / nullif({b}, 0)"
+
+
+F9 = q('SELECT "type", "ID", "timestamp", ' + ", ".join([
+    f'round({_div(chr(34) + "avg" + chr(34), "max_v + 1e-8")}, 6) AS avg_to_max_ratio',
+    f'round({_div(chr(34) + "avg" + chr(34), "min_v + 1e-8")}, 6) AS avg_to_min_ratio',
+    f'round({_div(chr(34) + "T_diff" + chr(34), chr(34) + "avg" + chr(34) + " + 1e-8")}, 6) AS range_to_avg_ratio',
+    f'round({_div(chr(34) + "T_diff" + chr(34), "max_v + 1e-8")}, 6) AS temp_range_normalized',
+    f'round({_div("1.0", chr(34) + "T_diff" + chr(34) + " + 1e-8")}, 6) AS temp_stability']) + ' FROM readings', READINGS)
+
+F10 = q('''
+SELECT "type", "ID", "timestamp", time_diff_min,
+  round(time_diff_min / nullif(p.med, 0), 6) AS time_diff_normalized,
+  round(abs(time_diff_min - p.med), 6) AS time_diff_deviation,
+  round(abs((time_diff_min - p.mean) / (p.sd + 1e-8)), 6) AS time_diff_z_score
+FROM readings, (SELECT quantile_cont(time_diff_min, 0.5) AS med, avg(time_diff_min) AS mean, stddev_samp(time_diff_min) AS sd FROM readings) p''', READINGS)
+
+F12 = q('SELECT "type", "ID", "timestamp", ' + ", ".join(
+    f'round(abs((coalesce("{c}", m.med_{c}) - s.mean_{c}) / nullif(s.sd_{c}, 0)), 6) AS {c}_z' for c in VALS) + '''
+FROM readings, m, s''', READINGS,
+    "m AS (SELECT " + ", ".join(f'quantile_cont("{c}", 0.5) AS med_{c}' for c in VALS) + " FROM readings)",
+    "s AS (SELECT " + ", ".join(f'avg(coalesce("{c}", m.med_{c})) AS mean_{c}, stddev_pop(coalesce("{c}", m.med_{c})) AS sd_{c}'
+                                for c in VALS) + " FROM readings, m)")
+
+F13 = q('''
+SELECT "type", "ID", "timestamp",
+  round(("avg" - p.ma) / CASE WHEN coalesce(p.sa, 0) = 0 THEN 1.0 ELSE p.sa END, 6) AS "avg",
+  round(("T_diff" - p.mt) / CASE WHEN coalesce(p.st, 0) = 0 THEN 1.0 ELSE p.st END, 6) AS "T_diff"
+FROM readings, (SELECT avg("avg") AS ma, stddev_pop("avg") AS sa, avg("T_diff") AS mt, stddev_pop("T_diff") AS st FROM readings) p''', READINGS)
+
+F14 = q('''
+SELECT "type", "ID", "timestamp",
+  round(CASE WHEN p.hi = p.lo THEN 0.0 ELSE ("avg" - p.lo) / (p.hi - p.lo) END, 6) AS avg_norm
+FROM readings, (SELECT min("avg") AS lo, max("avg") AS hi FROM readings) p''', READINGS)
+
+# ---------------------------------------------------------------- X2 (domestic rows)
+
+
+def _x2_sql():
+    hours = [1, 6, 24]
+    inner = ['"timestamp"', '"type"', '"ID"', '"avg"', 'min_v', 'max_v', 'nighttime', 'time_diff_min', '"T_diff"',
+             'CAST(hour("timestamp") AS BIGINT) AS hour', 'CAST(isodow("timestamp") - 1 AS BIGINT) AS day_of_week',
+             'CAST(month("timestamp") AS BIGINT) AS month', 'isodow("timestamp") >= 6 AS is_weekend',
+             "coalesce(\"type\" = 'domestic', false) AS type_domestic", '"type" IS NULL AS type_nan']
+    cols = ["avg", "min_v", "max_v", "nighttime", "time_diff_min", "T_diff", "hour", "day_of_week", "month",
+            "is_weekend", "type_domestic", "type_nan"]
+    roll = _rolling_time_cols(VALS, hours)
+    inner += roll
+    for c in VALS:
+        for h in hours:
+            cols += [f"{c}_rolling_mean_{h}h", f"{c}_rolling_std_{h}h"]
+        inner.append(_rate(c, "weighted_change"))
+        cols.append(f"{c}_weighted_change")
+    inner += ['time_diff_min / nullif(g.med, 0) AS time_diff_normalized', 'abs(time_diff_min - g.med) AS time_diff_deviation',
+              'abs((time_diff_min - g.mean) / (g.sd + 1e-8)) AS time_diff_z_score']
+    cols += ["time_diff_normalized", "time_diff_deviation", "time_diff_z_score"]
+    for c in VALS:
+        inner.append(_rate(c, "rate_per_min"))
+        cols.append(f"{c}_rate_per_min")
+    inner += [f'{_div(chr(34) + "avg" + chr(34), "max_v + 1e-8")} AS avg_to_max_ratio',
+              f'{_div(chr(34) + "avg" + chr(34), "min_v + 1e-8")} AS avg_to_min_ratio',
+              f'{_div(chr(34) + "T_diff" + chr(34), chr(34) + "avg" + chr(34) + " + 1e-8")} AS range_to_avg_ratio',
+              f'{_div(chr(34) + "T_diff" + chr(34), "max_v + 1e-8")} AS temp_range_normalized',
+              f'{_div("1.0", chr(34) + "T_diff" + chr(34) + " + 1e-8")} AS temp_stability']
+    cols += ["avg_to_max_ratio", "avg_to_min_ratio", "range_to_avg_ratio", "temp_range_normalized", "temp_stability"]
+    w = 'OVER (PARTITION BY "type", "ID" ORDER BY "timestamp" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)'
+    outer = []
+    for c in cols:
+        if c in ("is_weekend", "type_domestic", "type_nan", "nighttime"):
+            outer.append(f'coalesce(last_value({c} IGNORE NULLS) {w}, false) AS {c}')
+        elif c in ("hour", "day_of_week", "month", "time_diff_min"):
+            outer.append(f'coalesce(last_value({c} IGNORE NULLS) {w}, 0) AS {c}')
+        else:
+            outer.append(f'round(coalesce(last_value("{c}" IGNORE NULLS) {w}, 0), 6) AS "{c}"')
+    body = ('SELECT "timestamp", "type", "ID", ' + ", ".join(outer) + " FROM (SELECT " + ", ".join(inner)
+            + " FROM dom, (SELECT quantile_cont(time_diff_min, 0.5) AS med, avg(time_diff_min) AS mean, "
+              "stddev_samp(time_diff_min) AS sd FROM dom) g)")
+    return q(body, READINGS, "dom AS (SELECT * FROM readings WHERE \"type\" = 'domestic')")
+
+
+X2 = _x2_sql()
+
+# ---------------------------------------------------------------- A1-A4
+
+
+def _describe(by):
+    sel = []
+    for c in VALS:
+        g = (", ".join(f'"{b}"' for b in by) + ", ") if by else ""
+        sel.append(f'''SELECT {g}'{c}' AS "column", count("{c}") AS "count", avg("{c}") AS mean, stddev_samp("{c}") AS std,
+          CAST(min("{c}") AS DOUBLE) AS "min", quantile_cont("{c}", 0.25) AS q25, quantile_cont("{c}", 0.5) AS q50,
+          quantile_cont("{c}", 0.75) AS q75, CAST(max("{c}") AS DOUBLE) AS "max" FROM readings {"GROUP BY ALL" if by else ""}''')
+    body = " UNION ALL ".join(sel)
+    cols = ", ".join(f'"{b}"' for b in by) + (", " if by else "")
+    return q(f'''SELECT {cols}"column", "count", round(mean, 6) AS mean, round(std, 6) AS std, "min",
+      round(q25, 6) AS q25, round(q50, 6) AS q50, round(q75, 6) AS q75, "max" FROM ({body})''', READINGS)
+
+
+A1 = _describe([])
+A1_NIGHT = _describe(["nighttime"])
+A2 = q('SELECT DISTINCT "type" FROM hourly', HOURLY)
+A3 = q('SELECT count(*) AS n_rows, min("timestamp") AS first_ts, max("timestamp") AS last_ts, CAST(9 AS BIGINT) AS n_columns FROM readings', READINGS)
+A4 = q('SELECT "type", count(*) AS n FROM readings GROUP BY ALL', READINGS)
+
+# ---------------------------------------------------------------- D3, D4, D5
+D3 = q('SELECT "type", "ID", "timestamp", ' + ", ".join(
+    f'round(abs((coalesce("{c}", m.med_{c}) - s.mean_{c}) / nullif(s.sd_{c}, 0)), 6) AS {c}_z' for c in VALS)
+    + ', ' + " OR ".join(f'coalesce(abs((coalesce("{c}", m.med_{c}) - s.mean_{c}) / nullif(s.sd_{c}, 0)) > 3, false)' for c in VALS)
+    + ' AS statistical_anomaly FROM dom, m, s', READINGS,
+    "dom AS (SELECT * FROM readings WHERE \"type\" = 'domestic')",
+    "m AS (SELECT " + ", ".join(f'quantile_cont("{c}", 0.5) AS med_{c}' for c in VALS) + " FROM dom)",
+    "s AS (SELECT " + ", ".join(f'avg(coalesce("{c}", m.med_{c})) AS mean_{c}, stddev_pop(coalesce("{c}", m.med_{c})) AS sd_{c}'
+                                for c in VALS) + " FROM dom, m)")
+
+D4_FLAGS = '''coalesce(("avg" < -10) OR ("avg" > 100), false) AS rule_avg_range,
+  coalesce(min_v > max_v, false) AS rule_min_gt_max,
+  coalesce(("T_diff" < 0) OR ("T_diff" > 50), false) AS rule_spread_range'''
+D4 = q(f'''SELECT "type", "ID", "timestamp", *, rule_avg_range OR rule_min_gt_max OR rule_spread_range AS domain_anomaly
+FROM (SELECT "type", "ID", "timestamp", {D4_FLAGS} FROM readings)''', READINGS).replace(
+    'SELECT "type", "ID", "timestamp", *,', 'SELECT *,')
+
+D5 = q('''
+SELECT "type", "ID", round(avg("avg"), 6) AS mean, round(stddev_pop("avg"), 6) AS std,
+  round(quantile_cont("avg", 0.25), 6) AS q1, round(quantile_cont("avg", 0.75), 6) AS q3,
+  round(quantile_cont("avg", 0.75) - quantile_cont("avg", 0.25), 6) AS iqr, CAST(3.0 AS DOUBLE) AS z_threshold, CAST(1.5 AS DOUBLE) AS iqr_multiplier
+FROM readings GROUP BY ALL''', READINGS)
+
+# ---------------------------------------------------------------- R1 fault injection
+
+
+def _u(salt):
+    return (f"(('0x' || substr(md5(concat_ws(':', '42', k, CAST(us AS VARCHAR), '{salt}')), 1, 8))::BIGINT / 4294967296.0)")
+
+
+FAULTED = READINGS + f""",
+fk AS (SELECT *, "type" || '|' || "ID" AS k, epoch_us("timestamp") AS us FROM readings),
+fh AS (SELECT *, {_u('pick')} AS h, floor({_u('kind')} * 3) AS kind, {_u('size')} AS u3, {_u('min')} AS u4, {_u('max')} AS u5 FROM fk),
+fr AS (SELECT *, row_number() OVER (ORDER BY h, k, us) - 1 < floor(count(*) OVER () * 0.05) AS is_anomaly FROM fh),
+fa AS (SELECT *, CASE WHEN kind = 0 THEN "avg" + 15.0 + u3 * 10.0 WHEN kind = 1 THEN "avg" - (10.0 + u3 * 10.0)
+                      ELSE "avg" * (0.5 + u3 * 1.0) END AS new_avg FROM fr),
+faulted AS (
+  SELECT "timestamp",
+    CASE WHEN is_anomaly THEN new_avg ELSE "avg" END AS "avg",
+    CASE WHEN is_anomaly THEN new_avg - (3.0 + u4 * 5.0) ELSE min_v END AS min_v,
+    CASE WHEN is_anomaly THEN new_avg + (3.0 + u5 * 7.0) ELSE max_v END AS max_v,
+    nighttime, time_diff_min,
+    CASE WHEN is_anomaly THEN (new_avg + (3.0 + u5 * 7.0)) - (new_avg - (3.0 + u4 * 5.0)) ELSE "T_diff" END AS "T_diff",
+    "type", "ID", is_anomaly,
+    CASE WHEN NOT is_anomaly THEN 'normal' WHEN kind = 0 THEN 'overheat' WHEN kind = 1 THEN 'underheat' ELSE 'sensor_error' END AS anomaly_type
+  FROM fa
+)"""
+
+R1 = with_(FAULTED) + '''SELECT "timestamp", round("avg", 6) AS "avg", round(min_v, 6) AS min_v, round(max_v, 6) AS max_v,
+  nighttime, time_diff_min, round("T_diff", 6) AS "T_diff", "type", "ID", is_anomaly, anomaly_type FROM faulted'''
+
+# ---------------------------------------------------------------- D6/D7 + D1 ratio + D12 ensemble on faulted
+SCORED = FAULTED + """,
+bp AS (SELECT avg("avg") AS mean, stddev_pop("avg") AS std, quantile_cont("avg", 0.25) AS q1, quantile_cont("avg", 0.75) AS q3
+       FROM faulted WHERE NOT is_anomaly),
+s1 AS (
+  SELECT f.*,
+    abs(("avg" - bp.mean) / nullif(bp.std, 0)) AS z,
+    coalesce(("avg" < bp.q1 - 1.5 * (bp.q3 - bp.q1)) OR ("avg" > bp.q3 + 1.5 * (bp.q3 - bp.q1)), false) AS iqr_out,
+    abs("avg" - avg("avg") OVER w) AS dev, stddev_samp("avg") OVER w AS rsd
+  FROM faulted f, bp
+  WINDOW w AS (PARTITION BY "type", "ID" ORDER BY "timestamp" ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)
+),
+s2 AS (
+  SELECT *, CAST(coalesce(z > 2.5, false) OR iqr_out AS INTEGER) AS statistical,
+    z / 2.5 + CAST(iqr_out AS DOUBLE) AS statistical_score,
+    coalesce(dev > 2 * rsd, false) AS anomaly, dev / nullif(rsd, 0) AS anomaly_ratio
+  FROM s1
+),
+mm AS (SELECT min(statistical_score) AS lo1, max(statistical_score) AS hi1, min(anomaly_ratio) AS lo2, max(anomaly_ratio) AS hi2 FROM s2),
+scored AS (
+  SELECT s2.*, 0.0 + 0.5 * coalesce(CASE WHEN hi1 = lo1 THEN 0.0 ELSE (statistical_score - lo1) / (hi1 - lo1) END, 0.0)
+               + 0.5 * coalesce(CASE WHEN hi2 = lo2 THEN 0.0 ELSE (anomaly_ratio - lo2) / (hi2 - lo2) END, 0.0) AS ensemble_score
+  FROM s2, mm
+),
+pred AS (SELECT *, CAST(ensemble_score > 0.5 AS INTEGER) AS ensemble FROM scored)"""
+
+D12 = with_(SCORED) + '''SELECT "type", "ID", "timestamp", is_anomaly, anomaly_type, statistical, round(statistical_score, 6) AS statistical_score,
+  anomaly, round(anomaly_ratio, 6) AS anomaly_ratio, round(ensemble_score, 6) AS ensemble_score, ensemble FROM pred'''
+
+_CONF = '''count_if(is_anomaly AND ensemble = 1) AS true_positives, count_if(NOT is_anomaly AND ensemble = 1) AS false_positives,
+  count_if(is_anomaly AND ensemble = 0) AS false_negatives, count_if(NOT is_anomaly AND ensemble = 0) AS true_negatives'''
+
+
+def _metrics(tp="true_positives", fp="false_positives", fn="false_negatives", tn="true_negatives"):
+    return f'''round(coalesce({tp}::DOUBLE / nullif({tp} + {fp}, 0), 0.0), 6) AS precision,
+  round(coalesce({tp}::DOUBLE / nullif({tp} + {fn}, 0), 0.0), 6) AS recall,
+  round(coalesce(2.0 * {tp} / nullif(2 * {tp} + {fp} + {fn}, 0), 0.0), 6) AS f1_score,
+  round(coalesce(({tp} + {tn})::DOUBLE / nullif({tp} + {tn} + {fp} + {fn}, 0), 0.0), 6) AS accuracy'''
+
+
+V9 = with_(SCORED) + f'''SELECT *, {_metrics()}, true_positives AS correct_detections, false_negatives AS missed_anomalies,
+  false_positives AS false_alarms,
+  coalesce(true_positives::DOUBLE / nullif(true_positives + false_negatives, 0), 0.0) >= 0.7 AS validation_passed
+FROM (SELECT count(*) AS batch_size, {_CONF}, count_if(is_anomaly) AS injected_anomalies,
+  count_if(ensemble = 1) AS detected_anomalies FROM pred)'''
+
+V3 = with_(SCORED) + f'''SELECT detector, true_positives, false_positives, false_negatives, true_negatives, detected,
+  {_metrics()}, true_positives AS correct FROM (
+  SELECT detector, count_if(is_anomaly AND p) AS true_positives, count_if(NOT is_anomaly AND p) AS false_positives,
+    count_if(is_anomaly AND NOT p) AS false_negatives, count_if(NOT is_anomaly AND NOT p) AS true_negatives, count_if(p) AS detected
+  FROM (SELECT is_anomaly, 'statistical' AS detector, statistical = 1 AS p FROM pred
+        UNION ALL SELECT is_anomaly, 'anomaly', anomaly FROM pred
+        UNION ALL SELECT is_anomaly, 'ensemble', ensemble = 1 FROM pred) GROUP BY ALL)'''
+
+V5 = with_(SCORED) + '''SELECT anomaly_type, count(*) AS total, count_if(ensemble = 1) AS detected,
+  round(count_if(ensemble = 1)::DOUBLE / count(*), 6) AS detection_rate FROM pred WHERE is_anomaly GROUP BY ALL'''
+V6 = with_(SCORED) + 'SELECT anomaly_type, count(*) AS n FROM pred WHERE is_anomaly AND ensemble = 0 GROUP BY ALL'
+V7 = with_(SCORED) + '''SELECT "type", "ID", "timestamp", round("avg", 6) AS "avg",
+  CAST(CASE WHEN is_anomaly AND ensemble = 1 THEN 3 WHEN is_anomaly THEN 1 WHEN ensemble = 1 THEN 4 ELSE 0 END AS INTEGER) AS status,
+  CASE WHEN is_anomaly AND ensemble = 1 THEN 'correct' WHEN is_anomaly THEN 'missed' WHEN ensemble = 1 THEN 'false_alarm' ELSE 'normal' END AS outcome
+FROM pred'''
+V8 = with_(SCORED) + f'''SELECT *, {_metrics()}, CAST(0.7 AS DOUBLE) AS recall_threshold,
+  coalesce(true_positives::DOUBLE / nullif(true_positives + false_negatives, 0), 0.0) >= 0.7 AS validation_passed
+FROM (SELECT {_CONF} FROM (SELECT * FROM pred ORDER BY "timestamp", "type", "ID" LIMIT 500))'''
+V2 = with_(SCORED) + f'''SELECT *, {_metrics()} FROM (SELECT {_CONF.replace('ensemble = ', 'statistical = ')} FROM pred)'''
+
+D14 = q('''SELECT "type", "ID", "timestamp",
+  row_number() OVER (ORDER BY "timestamp", "type", "ID") - 1 < floor(count(*) OVER () * 0.8) AS is_train,
+  row_number() OVER (PARTITION BY "type", "ID" ORDER BY "timestamp") - 1 < floor(count(*) OVER (PARTITION BY "type", "ID") * 0.8) AS is_train_series
+FROM readings''', READINGS)
+
+D15 = with_(SCORED) + '''SELECT "type", "ID", "timestamp", round(statistical_score, 6) AS statistical_score,
+  coalesce(statistical_score > (SELECT quantile_cont(statistical_score, 0.95) FROM pred WHERE NOT is_anomaly), false) AS statistical_score_flag
+FROM pred'''
+
+A17 = with_(FAULTED) + '''SELECT round(avg(CAST(is_anomaly AS DOUBLE)), 6) AS anomaly_rate, CAST(0.05 AS DOUBLE) AS target_rate,
+  abs(avg(CAST(is_anomaly AS DOUBLE)) - 0.05) <= 0.02 AS within_tolerance FROM faulted'''
+
+J2 = with_(FAULTED) + '''SELECT coalesce(a.hour, b.hour) AS hour, round(a.real_mean, 6) AS real_mean, round(b.synthetic_mean, 6) AS synthetic_mean,
+  round(b.synthetic_mean - a.real_mean, 6) AS difference
+FROM (SELECT CAST(hour("timestamp") AS BIGINT) AS hour, avg("avg") AS real_mean FROM readings GROUP BY ALL) a
+FULL OUTER JOIN (SELECT CAST(hour("timestamp") AS BIGINT) AS hour, avg("avg") AS synthetic_mean FROM faulted GROUP BY ALL) b
+ON a.hour = b.hour'''
+
+J3 = with_(SCORED) + '''SELECT p."type", p."ID", p."timestamp", p.ensemble, f.is_anomaly, f.anomaly_type
+FROM (SELECT "type", "ID", "timestamp", ensemble FROM pred) p
+JOIN (SELECT "type", "ID", "timestamp", is_anomaly, anomaly_type FROM faulted) f
+ON p."type" = f."type" AND p."ID" = f."ID" AND p."timestamp" = f."timestamp"'''
+
+# ---------------------------------------------------------------- labeled flags (D1, D3, D4, D7) and A5-A16
+LABELED = READINGS + """,
+m AS (SELECT """ + ", ".join(f'quantile_cont("{c}", 0.5) AS med_{c}' for c in VALS) + """ FROM readings),
+s AS (SELECT """ + ", ".join(f'avg(coalesce("{c}", m.med_{c})) AS mean_{c}, stddev_pop(coalesce("{c}", m.med_{c})) AS sd_{c}'
+                             for c in VALS) + """ FROM readings, m),
+bp AS (SELECT avg("avg") AS mean, stddev_pop("avg") AS std, quantile_cont("avg", 0.25) AS q1, quantile_cont("avg", 0.75) AS q3 FROM readings),
+lf AS (
+  SELECT r.*,
+    coalesce(abs("avg" - avg("avg") OVER w) > 2 * stddev_samp("avg") OVER w, false) AS rolling_anomaly,
+    """ + " OR ".join(f'coalesce(abs((coalesce("{c}", m.med_{c}) - s.mean_{c}) / nullif(s.sd_{c}, 0)) > 3, false)' for c in VALS) + """ AS statistical_anomaly,
+    coalesce(("avg" < -10) OR ("avg" > 100), false) OR coalesce(min_v > max_v, false) OR coalesce(("T_diff" < 0) OR ("T_diff" > 50), false) AS domain_anomaly,
+    coalesce(abs(("avg" - bp.mean) / nullif(bp.std, 0)) > 3, false)
+      OR coalesce(("avg" < bp.q1 - 1.5 * (bp.q3 - bp.q1)) OR ("avg" > bp.q3 + 1.5 * (bp.q3 - bp.q1)), false) AS baseline_anomaly
+  FROM readings r, m, s, bp
+  WINDOW w AS (PARTITION BY "type", "ID" ORDER BY "timestamp" ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)
+),
+labeled AS (SELECT *, rolling_anomaly OR statistical_anomaly OR domain_anomaly OR baseline_anomaly AS is_anomaly FROM lf)"""
+
+D10 = with_(LABELED) + 'SELECT "type", "ID", "timestamp", rolling_anomaly, statistical_anomaly, domain_anomaly, baseline_anomaly, is_anomaly FROM labeled'
+A5 = with_(LABELED) + '''SELECT count(*) AS n_rows, CAST(sum(CAST(is_anomaly AS INTEGER)) AS BIGINT) AS n_anomalies,
+  round(avg(CAST(is_anomaly AS INTEGER)), 6) AS anomaly_rate, count(*) - CAST(sum(CAST(is_anomaly AS INTEGER)) AS BIGINT) AS n_normal FROM labeled'''
+A6 = with_(LABELED) + '''SELECT "type", CAST(sum(CAST(is_anomaly AS INTEGER)) AS BIGINT) AS n_anomalies, count(*) AS n_rows,
+  round_even(round(avg(CAST(is_anomaly AS INTEGER)), 9), 3) AS anomaly_rate FROM labeled GROUP BY ALL'''
+A7 = with_(LABELED) + " UNION ALL ".join(
+    f'''SELECT '{f}' AS detector, CAST(sum(CAST({f} AS INTEGER)) AS BIGINT) AS n_flagged, round(avg(CAST({f} AS INTEGER)), 6) AS rate,
+  '{f.replace("_", " ").title()}' AS label FROM labeled''' for f in ("rolling_anomaly", "statistical_anomaly", "domain_anomaly", "baseline_anomaly"))
+A8 = with_(LABELED) + '''SELECT CAST(hour("timestamp") AS BIGINT) AS hour, CAST(sum(CAST(is_anomaly AS INTEGER)) AS BIGINT) AS n_anomalies,
+  round_even(round(avg(CAST(is_anomaly AS INTEGER)), 9), 3) AS anomaly_rate FROM labeled GROUP BY ALL'''
+A8_ARGMAX = with_(LABELED) + ''', hp AS (SELECT CAST(hour("timestamp") AS BIGINT) AS hour, CAST(sum(CAST(is_anomaly AS INTEGER)) AS BIGINT) AS n_anomalies,
+  round_even(round(avg(CAST(is_anomaly AS INTEGER)), 9), 3) AS anomaly_rate FROM labeled GROUP BY ALL)
+SELECT (SELECT hour FROM hp ORDER BY n_anomalies DESC, hour LIMIT 1) AS hour_most, (SELECT max(n_anomalies) FROM hp) AS most_anomalies,
+  (SELECT hour FROM hp ORDER BY anomaly_rate DESC, hour LIMIT 1) AS hour_highest_rate, (SELECT max(anomaly_rate) FROM hp) AS highest_rate'''
+A9 = with_(LABELED) + '''SELECT strftime("timestamp", '%A') AS day_of_week, CAST(sum(CAST(is_anomaly AS INTEGER)) AS BIGINT) AS n_anomalies,
+  round_even(round(avg(CAST(is_anomaly AS INTEGER)), 9), 3) AS anomaly_rate FROM labeled GROUP BY ALL'''
+A10 = with_(LABELED) + '''SELECT CAST("timestamp" AS DATE) AS date, round(avg(CAST(is_anomaly AS INTEGER)), 6) AS anomaly_rate FROM labeled GROUP BY ALL'''
+A11 = with_(LABELED) + '''SELECT is_anomaly, round(avg("avg"), 6) AS mean_temp, min("avg") AS min_temp, max("avg") AS max_temp, count(*) AS n_rows
+FROM labeled GROUP BY ALL'''
+A12 = with_(LABELED) + '''SELECT nighttime, CAST(sum(CAST(is_anomaly AS INTEGER)) AS BIGINT) AS n_anomalies, round(avg(CAST(is_anomaly AS INTEGER)), 6) AS anomaly_rate
+FROM labeled GROUP BY ALL'''
+_NF = 'CAST(rolling_anomaly AS INTEGER) + CAST(statistical_anomaly AS INTEGER) + CAST(domain_anomaly AS INTEGER)'
+A13 = with_(LABELED) + f'SELECT count_if({_NF} > 1) AS multiple_detectors, count_if({_NF} = 1) AS single_detector FROM labeled'
+
+
+def _a14():
+    names = ["rolling", "statistical", "domain"]
+    flags = ["rolling_anomaly", "statistical_anomaly", "domain_anomaly"]
+    parts = []
+    for mask in range(1, 8):
+        on = [bool(mask >> (2 - i) & 1) for i in range(3)]
+        label = " + ".join(n for n, o in zip(names, on) if o) if sum(on) < 3 else "all three"
+        if sum(on) == 1:
+            label = f"only {label}"
+        cond = " AND ".join(f if o else f"NOT {f}" for f, o in zip(flags, on))
+        parts.append(f"SELECT '{label}' AS combination, count_if({cond}) AS n FROM labeled")
+    return with_(LABELED) + " UNION ALL ".join(parts)
+
+
+A14 = _a14()
+A15 = with_(LABELED) + ''', rg AS (SELECT min("avg") AS lo, max("avg") AS hi FROM labeled),
+hb AS (SELECT is_anomaly, CAST(CASE WHEN (hi - lo) / 50 = 0 THEN 0 ELSE least(floor(("avg" - lo) / ((hi - lo) / 50)), 49) END AS BIGINT) AS bin, lo, hi
+       FROM labeled, rg WHERE "avg" IS NOT NULL)
+SELECT is_anomaly, bin, count(*) AS n, round(lo + bin * ((hi - lo) / 50), 6) AS bin_start, round(lo + (bin + 1) * ((hi - lo) / 50), 6) AS bin_end,
+  round(count(*) / (any_value(tot) * ((hi - lo) / 50)), 9) AS density
+FROM hb JOIN (SELECT is_anomaly, count(*) AS tot FROM labeled WHERE "avg" IS NOT NULL GROUP BY ALL) t USING (is_anomaly)
+GROUP BY is_anomaly, bin, lo, hi'''
+A16 = q('SELECT CAST(hour("timestamp") AS BIGINT) AS hour, round(avg("avg"), 6) AS mean FROM readings GROUP BY ALL', READINGS)
+
+W12 = with_(LABELED) + ''', st AS (
+  SELECT *, CASE WHEN domain_anomaly AND NOT coalesce(lag(domain_anomaly) OVER (PARTITION BY "type", "ID" ORDER BY "timestamp"), false) THEN 1 ELSE 0 END AS s
+  FROM labeled WHERE "type" = 'forward'),
+nb AS (SELECT *, sum(s) OVER (PARTITION BY "type", "ID" ORDER BY "timestamp" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS period_no FROM st),
+runs AS (SELECT "type", "ID", CAST(period_no AS BIGINT) AS period_no, min("timestamp") AS start_ts, max("timestamp") AS end_ts, count(*) AS n_rows
+         FROM nb WHERE domain_anomaly GROUP BY ALL)
+SELECT *, strftime(start_ts, '%A') AS start_weekday, strftime(start_ts, '%H:%M') AS start_time,
+  strftime(end_ts, '%A') AS end_weekday, strftime(end_ts, '%H:%M') AS end_time FROM runs'''
+
+U1 = X1
+U2 = with_(LABELED) + '''SELECT "type", "ID", "timestamp", 'statistical_and_domain' AS row_set FROM labeled WHERE statistical_anomaly AND domain_anomaly
+UNION ALL SELECT "type", "ID", "timestamp", 'statistical_not_domain' FROM labeled WHERE statistical_anomaly AND NOT domain_anomaly'''
+
+# ---------------------------------------------------------------- N1-N4
+N1 = q('''SELECT "type", "ID", "timestamp", coalesce(g.gap > m.mode_gap, false) AS gap_warning
+FROM gaps g LEFT JOIN gap_mode m USING ("type", "ID")''', READINGS)
+N2 = q('SELECT "type", "ID", "timestamp", "avg" IS NULL OR coalesce("avg" <= 0, false) AS sensor_fault FROM readings', READINGS)
+N3 = q('SELECT "type", "ID", "timestamp", coalesce("T_diff" > 10 AND time_diff_min > 15, false) AS interval_swing FROM readings', READINGS)
+N4 = q('''
+SELECT a.bucket, round(a.a_mean, 6) AS a_mean, a.a_drop, round(b.b_mean, 6) AS b_mean, b.b_drop,
+  CASE WHEN a.a_drop AND b.b_drop THEN 'both' WHEN a.a_drop THEN 'only_a' WHEN b.b_drop THEN 'only_b' ELSE 'none' END AS diagnosis
+FROM (SELECT date_trunc('hour', "timestamp") AS bucket, avg("avg") AS a_mean,
+        coalesce((SELECT avg("avg") FROM readings WHERE "ID" = 'click') - avg("avg") > 10, false) AS a_drop
+      FROM readings WHERE "ID" = 'click' GROUP BY ALL) a
+JOIN (SELECT date_trunc('hour', "timestamp") AS bucket, avg("avg") AS b_mean,
+        coalesce((SELECT avg("avg") FROM readings WHERE "ID" = 'view') - avg("avg") > 10, false) AS b_drop
+      FROM readings WHERE "ID" = 'view' GROUP BY ALL) b ON a.bucket = b.bucket''', READINGS)
+
+
+for _name, _val in list(globals().items()):
+    if _name.isupper() and isinstance(_val, str) and _name not in ("HOURLY", "READINGS", "FAULTED", "SCORED", "LABELED", "VALS"):
+        globals()[_name] = _rewrite_round(_val)

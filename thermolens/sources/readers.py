@@ -72,11 +72,14 @@ def slice_rows(df: DataFrame, start: int, end: int | None = None, per_series: bo
     s = series or DEFAULT_SERIES
     if not per_series:
         s = Series(key=(), ts=s.ts, tiebreak=tuple(s.tiebreak) or tuple(c for c in s.key if c in df.columns))
+    from ..operators.windows import pos_col, sk_col
+    s = s.present(df)
     d = with_position(df, s, layout)
-    cond = F.col("_pos") >= start
+    p = F.col(pos_col(s))
+    cond = p >= start
     if end is not None:
-        cond = cond & (F.col("_pos") < end)
-    return d.where(cond).drop("_sk", "_pos")
+        cond = cond & (p < end)
+    return d.where(cond).drop(sk_col(s), pos_col(s))
 
 
 def rollup_readings(events: DataFrame, width: str = "1 hour", key: Sequence[str] = ("event_type",),
@@ -89,7 +92,8 @@ def rollup_readings(events: DataFrame, width: str = "1 hour", key: Sequence[str]
         F.avg(v).alias("avg"), F.min(v).alias("min_v"), F.max(v).alias("max_v"),
         F.stddev_samp(v).alias("stddev_v"))
     if digits is not None:
-        g = g.withColumns({c: F.round(c, digits) for c in ("avg", "stddev_v")})
+        from ..functions.numeric import round_to
+        g = g.withColumns({c: round_to(c, digits) for c in ("avg", "stddev_v")})
     return g
 
 
