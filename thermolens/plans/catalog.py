@@ -451,4 +451,46 @@ ORACLE: dict[str, str] = {
 }
 
 
-QUERIES: dict[str, Query] = {name: globals()[name] for name in [*ORACLE, "d2_periods_per_event"]}
+
+# ---------------------------------------------------------------- forest-based (no SQL oracle: rows check + unit tests)
+def d8_isolation_forest(spark, sf):
+    """1-D forest on the hourly mean, 100 trees, contamination 0.1."""
+    from ..operators.detect.iforest import isolation_forest_fit, isolation_forest_predict
+    r = readings(spark, sf)
+    model = isolation_forest_fit(r, "avg", 100, 256, 0.1, 42)
+    d = isolation_forest_predict(r, model)
+    return rnd(d.select(*KEY, "avg", "if_score", "Isolation_Forest", "Isolation_Forest_score"),
+               ["if_score", "Isolation_Forest_score"])
+
+
+def d11_label_readings(spark, sf):
+    """D9 + D11: labeler on the domestic series (n-D forest, contamination 0.05)."""
+    from ..operators.detect.iforest_nd import label_readings
+    d = label_readings(readings(spark, sf), "domestic", 0.05)
+    return rnd(d.select(*KEY, "avg", "is_anomaly", "anomaly_score", "isolation_forest_anomaly",
+                        "statistical_anomaly", "domain_anomaly"), ["anomaly_score"])
+
+
+def d13_ensemble_forest(spark, sf):
+    """Ensemble of the 1-D forest and the statistical detector on faulted data,
+    trained on the first 80 % (D14), applied to all rows."""
+    from ..operators.detect.ensemble import Ensemble, StatisticalDetector
+    from ..operators.detect.iforest import IsolationForestDetector
+    f = chronological_split(faulted(spark, sf), 0.8)
+    ens = Ensemble().add_detector(IsolationForestDetector(0.1), 1.0).add_detector(StatisticalDetector(2.5, 1.5), 1.0)
+    ens.fit(f.where("is_train"), label="is_anomaly")
+    d = ens.predict(f)
+    return rnd(d.select(*KEY, "is_train", "is_anomaly", "Isolation_Forest", "Statistical", "ensemble_score", "ensemble"),
+               ["ensemble_score"])
+
+
+def v10_detailed_analysis(spark, sf):
+    """Per-detector metrics of the forest ensemble on the held-out 20 %."""
+    d = d13_ensemble_forest(spark, sf).where(~F.col("is_train"))
+    return rnd(validate.prf_by_detector(d, ["Isolation_Forest", "Statistical", "ensemble"]),
+               ["precision", "recall", "f1_score", "accuracy"])
+
+
+QUERIES: dict[str, Query] = {name: globals()[name] for name in [
+    *ORACLE, "d2_periods_per_event", "d8_isolation_forest", "d11_label_readings", "d13_ensemble_forest",
+    "v10_detailed_analysis"]}
