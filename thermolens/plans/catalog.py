@@ -491,6 +491,72 @@ def v10_detailed_analysis(spark, sf):
                ["precision", "recall", "f1_score", "accuracy"])
 
 
+# ---------------------------------------------------------------- streaming: run over all available input
+def _stream_name(prefix: str) -> str:
+    import uuid
+    return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+def t1_stream_rollup(spark, sf):
+    """Watermarked hourly rollup of the events stream (closed windows)."""
+    from ..streaming.queries import events_stream, run_to_table, stream_rollup
+    out = run_to_table(stream_rollup(events_stream(spark, sf), "1 hour", "1 hour"), _stream_name("t1"))
+    return rnd(out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")), ["avg", "stddev_v"])
+
+
+def t2t3_stream_rules_score(spark, sf):
+    """T2 + T3: domain rules and the statistical detector with a frozen batch
+    baseline, on the streamed hourly rollup."""
+    from ..streaming.queries import events_stream, run_to_table, stream_domain_rules, stream_rollup, stream_score
+    frozen = baseline_fit(readings_hourly(spark, sf), "avg")
+    s = stream_rollup(events_stream(spark, sf), "1 hour", "1 hour").withColumn("T_diff", F.col("max_v") - F.col("min_v"))
+    s = stream_score(stream_domain_rules(s), frozen)
+    out = run_to_table(s.select("event_type", "timestamp", "rule_avg_range", "rule_min_gt_max", "rule_spread_range",
+                                "domain_anomaly", "statistical", "statistical_score"), _stream_name("t23"))
+    return rnd(out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")), ["statistical_score"])
+
+
+def _stream_series(spark, sf):
+    from ..streaming.queries import events_stream, run_to_table, stream_series_state
+    ev = events_stream(spark, sf)
+    rd = ev.select(F.col("ts").alias("timestamp"), F.col("value").alias("avg"), F.lit("domestic").alias("type"),
+                   F.col("user_id").cast("string").alias("ID"))
+    return run_to_table(stream_series_state(rd, "1 hour", 24, 2.0), _stream_name("t57"))
+
+
+def t5t6_stream_gap_rate_sigma(spark, sf):
+    """T5 + T6: per-event readings per user, released in event-time order."""
+    o = _stream_series(spark, sf).where(F.col("record") == "reading")
+    o = o.select("type", "ID", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "avg", "time_diff_min",
+                 "avg_rate_per_min", "avg_rolling_mean", "avg_rolling_std", "anomaly", "period_no")
+    return rnd(o, ["avg_rate_per_min", "avg_rolling_mean", "avg_rolling_std"])
+
+
+def t7_stream_periods(spark, sf):
+    """Closed anomaly periods from the stream."""
+    o = _stream_series(spark, sf).where(F.col("record") == "period")
+    return o.select("type", "ID", "period_no", F.col("start_ts").cast("timestamp_ntz").alias("start_ts"),
+                    F.col("end_ts").cast("timestamp_ntz").alias("end_ts"), "n_rows")
+
+
+def t9_stream_dedup(spark, sf):
+    """The events stream read twice (at-least-once delivery), deduplicated."""
+    from ..streaming.queries import events_stream, run_to_table
+    ev = events_stream(spark, sf)
+    both = ev.unionByName(events_stream(spark, sf))
+    d = both.withWatermark("ts", "1 hour").dropDuplicatesWithinWatermark(["event_type", "ts"])
+    out = run_to_table(d.select("event_id", "ts", "event_type", "value"), _stream_name("t9"))
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+ORACLE.update({
+    "t1_stream_rollup": sql.T1,
+    "t2t3_stream_rules_score": sql.T2T3,
+    "t5t6_stream_gap_rate_sigma": sql.T5T6,
+    "t7_stream_periods": sql.T7,
+    "t9_stream_dedup": sql.T9,
+})
+
 QUERIES: dict[str, Query] = {name: globals()[name] for name in [
     *ORACLE, "d2_periods_per_event", "d8_isolation_forest", "d11_label_readings", "d13_ensemble_forest",
     "v10_detailed_analysis"]}

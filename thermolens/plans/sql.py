@@ -529,3 +529,55 @@ JOIN (SELECT date_trunc('hour', "timestamp") AS bucket, avg("avg") AS b_mean,
 for _name, _val in list(globals().items()):
     if _name.isupper() and isinstance(_val, str) and _name not in ("HOURLY", "READINGS", "FAULTED", "SCORED", "LABELED", "VALS"):
         globals()[_name] = _rewrite_round(_val)
+
+# ---------------------------------------------------------------- streaming (closed windows / released rows only)
+T1 = _rewrite_round('''
+SELECT * FROM (
+  SELECT event_type, date_trunc('hour', ts) AS "timestamp", round(avg(value), 6) AS "avg", min(value) AS min_v,
+    max(value) AS max_v, round(stddev_samp(value), 6) AS stddev_v
+  FROM events GROUP BY 1, 2)
+WHERE epoch_us("timestamp" + INTERVAL 1 HOUR) <= (SELECT floor(epoch_us(max(ts)) / 1000) * 1000 - 3600000000 FROM events)''')
+
+T9 = 'SELECT event_id, ts, event_type, value FROM events'
+
+_STREAM_SERIES = '''
+WITH ev AS (SELECT 'domestic' AS "type", CAST(user_id AS VARCHAR) AS "ID", ts AS "timestamp", value AS "avg" FROM events),
+lim AS (SELECT floor(epoch_us(max(ts)) / 1000) * 1000 - 3600000000 AS wm FROM events),
+f AS (
+  SELECT *, CAST(floor(date_diff('microsecond', lag("timestamp") OVER w, "timestamp") / 60000000.0) AS BIGINT) AS time_diff_min,
+    avg("avg") OVER w24 AS rm, stddev_samp("avg") OVER w24 AS rs, lag("avg") OVER w AS pa, row_number() OVER w AS rn
+  FROM ev WINDOW w AS (PARTITION BY "type", "ID" ORDER BY "timestamp"),
+                 w24 AS (PARTITION BY "type", "ID" ORDER BY "timestamp" ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)
+),
+g AS (SELECT *, coalesce(abs("avg" - rm) > 2 * rs, false) AS anomaly,
+        CASE WHEN rn = 1 THEN 0.0 WHEN time_diff_min > 0 THEN ("avg" - pa) / time_diff_min ELSE 0.0 END AS rate
+      FROM f, lim WHERE epoch_us("timestamp") <= lim.wm),
+g2 AS (SELECT *, CASE WHEN anomaly AND NOT coalesce(lag(anomaly) OVER (PARTITION BY "type", "ID" ORDER BY "timestamp"), false)
+                       THEN 1 ELSE 0 END AS st FROM g),
+h AS (SELECT *, sum(st) OVER (PARTITION BY "type", "ID" ORDER BY "timestamp" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pno,
+             max("timestamp") OVER (PARTITION BY "type", "ID") AS last_ts
+      FROM g2)
+'''
+T5T6 = _rewrite_round(_STREAM_SERIES + '''
+SELECT "type", "ID", "timestamp", "avg", time_diff_min, round(rate, 6) AS avg_rate_per_min, round(rm, 6) AS avg_rolling_mean,
+  round(rs, 6) AS avg_rolling_std, anomaly, CASE WHEN anomaly THEN CAST(pno AS BIGINT) END AS period_no FROM h''')
+T7 = _STREAM_SERIES + '''
+SELECT "type", "ID", CAST(pno AS BIGINT) AS period_no, min("timestamp") AS start_ts, max("timestamp") AS end_ts, count(*) AS n_rows
+FROM h WHERE anomaly GROUP BY "type", "ID", pno HAVING max("timestamp") < any_value(last_ts)'''
+
+T2T3 = _rewrite_round(HOURLY.replace("hourly AS (", "WITH hourly AS (", 1) + ''',
+bp AS (SELECT avg("avg") AS mean, stddev_pop("avg") AS std, quantile_cont("avg", 0.25) AS q1, quantile_cont("avg", 0.75) AS q3 FROM hourly),
+closed AS (
+  SELECT * FROM (
+    SELECT event_type, date_trunc('hour', ts) AS "timestamp", avg(value) AS "avg", min(value) AS min_v, max(value) AS max_v
+    FROM events GROUP BY 1, 2)
+  WHERE epoch_us("timestamp" + INTERVAL 1 HOUR) <= (SELECT floor(epoch_us(max(ts)) / 1000) * 1000 - 3600000000 FROM events))
+SELECT event_type, "timestamp",
+  coalesce(("avg" < -10) OR ("avg" > 100), false) AS rule_avg_range, coalesce(min_v > max_v, false) AS rule_min_gt_max,
+  coalesce((max_v - min_v < 0) OR (max_v - min_v > 50), false) AS rule_spread_range,
+  coalesce(("avg" < -10) OR ("avg" > 100), false) OR coalesce(min_v > max_v, false) OR coalesce((max_v - min_v < 0) OR (max_v - min_v > 50), false) AS domain_anomaly,
+  CAST(coalesce(abs(("avg" - bp.mean) / nullif(bp.std, 0)) > 3, false)
+       OR coalesce(("avg" < bp.q1 - 1.5 * (bp.q3 - bp.q1)) OR ("avg" > bp.q3 + 1.5 * (bp.q3 - bp.q1)), false) AS INTEGER) AS statistical,
+  round(abs(("avg" - bp.mean) / nullif(bp.std, 0)) / 3.0
+        + CAST(coalesce(("avg" < bp.q1 - 1.5 * (bp.q3 - bp.q1)) OR ("avg" > bp.q3 + 1.5 * (bp.q3 - bp.q1)), false) AS DOUBLE), 6) AS statistical_score
+FROM closed, bp''')
