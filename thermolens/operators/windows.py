@@ -138,13 +138,12 @@ def rows_over(df: DataFrame, exprs: WindowExprs, preceding: int,
         w = plain_window(s)
         return df.withColumns({k: f(w) for k, f in exprs.items()})
     b = layout.block_rows
-    if preceding >= b:
-        raise ValueError(f"frame of {preceding} rows needs block_rows > {preceding}")
     d = with_position(df, s, layout)
     SK, POS = sk_col(s), pos_col(s)
     own = F.floor(F.col(POS) / b)
-    halo = (F.col(POS) % b) >= (b - preceding) if preceding > 0 else F.lit(False)
-    d = d.withColumn("_blk", F.explode(F.when(halo, F.array(own, own + 1)).otherwise(F.array(own))))
+    # a row is also needed by every later block its position + frame reaches (halo)
+    reach = F.floor((F.col(POS) + preceding) / b)
+    d = d.withColumn("_blk", F.explode(F.sequence(own, reach)))
     w = Window.partitionBy(SK, "_blk").orderBy(POS)
     d = d.withColumns({k: f(w) for k, f in exprs.items()})
     return d.where(F.col("_blk") == own).drop("_blk")
