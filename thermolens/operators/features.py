@@ -11,37 +11,45 @@ from ..functions.numeric import temperature_ratios
 from ..schema import DEFAULT_SERIES, FEATURE_VALUE_COLS, Series, has
 from .scaling import time_gap_features
 from .timeseries import ffill_then_zero, rate_exprs, rolling_time_exprs
-from .windows import DEFAULT_LAYOUT, Layout, range_over, rows_over
+from .windows import DEFAULT_LAYOUT, Layout, checkpoint, range_over, rows_over, with_position
 
 ID_COLS = ("timestamp", "type", "ID")
 
 
 def feature_matrix(df: DataFrame, type_categories=("domestic",), hours=(1, 6, 24),
                    s: Series = DEFAULT_SERIES, layout: Layout = DEFAULT_LAYOUT,
-                   gap_stats_by=()) -> DataFrame:
+                   gap_stats_by=(), materialize: bool = True) -> DataFrame:
     """Base columns, calendar, type dummies, time-range rolling mean/std, weighted
     change, gap features, per-minute rates, temperature ratios, then forward fill
     and zero.  Keeps ``timestamp, type, ID`` for row identity; ``feature_columns``
     lists the model inputs.
 
-    Physical shape: one range-window stage (all rolling columns share one
-    partition/order spec), one row-window stage (all lag-based columns), one
-    running stage for the forward fill, and one broadcast one-row aggregate.
+    Physical shape: positions once on the input; gap statistics are a one-row
+    aggregate of the input (broadcast); one range-window stage (all rolling columns
+    share one partition/order spec) and one row-window stage (all lag-based
+    columns).  That windowed table is checkpointed once (reliable storage, the
+    session's checkpoint folder) because the forward fill reads it twice (in-block
+    fill and per-block carries); without it every earlier stage would run twice.
     """
     vals = [c for c in FEATURE_VALUE_COLS if c in df.columns]
     d = df.withColumns({"hour": hour(), "day_of_week": day_of_week(), "month": month(),
                         "is_weekend": is_weekend()})
     d = one_hot(d, "type", list(type_categories), dummy_na=True)
+    if layout.strategy != "series":
+        d = with_position(d, s, layout)
+    d = time_gap_features(d, "time_diff_min", gap_stats_by)
     d = range_over(d, rolling_time_exprs(vals, hours), max(hours) * 3_600_000_000, s, layout)
     gap = "time_diff_min" if "time_diff_min" in d.columns else None
     lag_exprs = rate_exprs(vals, gap, "weighted_change")
     if gap:
         lag_exprs.update(rate_exprs(vals, gap, "rate_per_min"))
     d = rows_over(d, lag_exprs, 1, s, layout)
-    d = time_gap_features(d, "time_diff_min", gap_stats_by)
     if has(d, "avg", "min_v", "max_v"):
         d = d.withColumns(temperature_ratios())
     cols = feature_columns(d, vals, hours)
+    if materialize:
+        d = checkpoint(d.select(*[c for c in ID_COLS if c in d.columns], *cols,
+                                *[c for c in d.columns if c.startswith(("_sk_", "_pos_"))]))
     d = ffill_then_zero(d, cols, s, layout)
     return d.select(*[c for c in ID_COLS if c in d.columns], *cols)
 

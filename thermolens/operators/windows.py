@@ -234,3 +234,12 @@ def _block_total(op: str, k: str, POS: str) -> Column:
 def drop_internal(df: DataFrame) -> DataFrame:
     """Drop every hidden series-key / position column."""
     return df.drop(*[c for c in df.columns if c.startswith(("_sk_", "_pos_"))])
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the session's checkpoint folder (``spark.checkpoint.dir``,
+    a shared folder on a cluster) and cut its lineage.  Used where a composite
+    operator reads one intermediate twice."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
