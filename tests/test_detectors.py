@@ -98,3 +98,21 @@ def test_calendar(spark):
                     cal.is_peak().alias("p")).collect()
     assert [(r["d"], r["w"], r["n"], r["p"]) for r in out] == [(0, False, "Monday", 1), (5, True, "Saturday", 1),
                                                                (6, True, "Sunday", 0)]
+
+
+def test_expected_residual_matches_lstsq(spark):
+    import datetime as dt
+    import random
+    import numpy as np
+    from thermolens.operators.expected import REGRESSORS, design, fit_expected
+    rnd = random.Random(5)
+    rows, v = [], 20.0
+    for i in range(200):
+        v = 5 + 0.7 * v + rnd.gauss(0, 1)
+        rows.append((dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), v, i % 24 >= 22, "d", "S"))
+    df = spark.createDataFrame(rows, "timestamp timestamp_ntz, avg double, nighttime boolean, type string, ID string")
+    c = fit_expected(df).collect()[0]
+    pdf = design(df).where("lag1 is not null").toPandas()
+    b = np.linalg.lstsq(pdf[list(REGRESSORS)].to_numpy(float), pdf["avg"].to_numpy(), rcond=None)[0]
+    assert np.allclose(b, [c[f"b_{r}"] for r in REGRESSORS], atol=1e-8)
+    assert abs(c["b_lag1"] - 0.7) < 0.15

@@ -550,6 +550,7 @@ def t9_stream_dedup(spark, sf):
 
 
 ORACLE.update({
+    "d8_isolation_forest": sql.D8,
     "t1_stream_rollup": sql.T1,
     "t2t3_stream_rules_score": sql.T2T3,
     "t5t6_stream_gap_rate_sigma": sql.T5T6,
@@ -557,6 +558,15 @@ ORACLE.update({
     "t9_stream_dedup": sql.T9,
 })
 
+def r2_expected_residual(spark, sf):
+    """R2: per-series regression fitted on the first 80 % (D14), residual flags on all rows."""
+    from ..operators.expected import expected_residual, fit_expected
+    r = chronological_split(readings(spark, sf), 0.8, per_series=True)
+    coef = fit_expected(r.where("is_train"))
+    d = expected_residual(r, coef, 3.0)
+    return rnd(d.select(*KEY, "is_train", "avg", "expected", "residual", "expected_anomaly"), ["expected", "residual"])
+
+
 QUERIES: dict[str, Query] = {name: globals()[name] for name in [
     *ORACLE, "d2_periods_per_event", "d8_isolation_forest", "d11_label_readings", "d13_ensemble_forest",
-    "v10_detailed_analysis"]}
+    "v10_detailed_analysis", "r2_expected_residual"]}

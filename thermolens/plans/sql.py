@@ -581,3 +581,47 @@ SELECT event_type, "timestamp",
   round(abs(("avg" - bp.mean) / nullif(bp.std, 0)) / 3.0
         + CAST(coalesce(("avg" < bp.q1 - 1.5 * (bp.q3 - bp.q1)) OR ("avg" > bp.q3 + 1.5 * (bp.q3 - bp.q1)), false) AS DOUBLE), 6) AS statistical_score
 FROM closed, bp''')
+
+# ---------------------------------------------------------------- D8: the level-wise 1-D forest, same recipe in SQL
+
+
+def _hu(*parts):
+    return "(('0x' || substr(md5(concat_ws(':', " + ", ".join(parts) + ")), 1, 8))::BIGINT / 4294967296.0)"
+
+
+def _forest_sql(trees=100, psi=256, seed=42, q=0.1, levels=8):
+    ctes = [READINGS.strip(),
+            """rows_ AS (SELECT "type", "ID", "timestamp", "avg", "type" || '|' || "ID" AS k, epoch_us("timestamp") AS us, "avg" AS x
+              FROM readings WHERE "avg" IS NOT NULL)""",
+            f"""pool AS (SELECT * FROM rows_ WHERE {_hu(f"'{seed}'", 'k', 'CAST(us AS VARCHAR)', "'pool'")} < least(1.0, {4 * trees * psi}.0 / (SELECT count(*) FROM rows_)))""",
+            f"""rep AS (SELECT p.*, CAST(t.tree AS INTEGER) AS tree FROM pool p, range({trees}) t(tree))""",
+            f"""smp AS (SELECT tree, x, row_number() OVER (PARTITION BY tree ORDER BY {_hu(f"'{seed}'", 'CAST(tree AS VARCHAR)', 'k', 'CAST(us AS VARCHAR)', "'tree'")}, k, us) AS r FROM rep)""",
+            """l0 AS (SELECT tree, x, CAST(1 AS BIGINT) AS node, 0 AS depth, CAST('-inf' AS DOUBLE) AS lo, CAST('inf' AS DOUBLE) AS hi, false AS done
+              FROM smp WHERE r <= %d)""" % psi]
+    for i in range(levels):
+        u = _hu(f"'{seed}'", "CAST(tree AS VARCHAR)", "CAST(node AS VARCHAR)", "'split'")
+        ctes.append(f"""s{i} AS (SELECT *, min(x) OVER w AS mn, max(x) OVER w AS mx, count(*) OVER w AS cnt
+              FROM l{i} WINDOW w AS (PARTITION BY tree, node))""")
+        ctes.append(f"""t{i} AS (SELECT *, done OR cnt <= 1 OR mn = mx AS leaf, mn + {u} * (mx - mn) AS split FROM s{i})""")
+        ctes.append(f"""l{i + 1} AS (SELECT tree, x,
+              CASE WHEN leaf THEN node ELSE node * 2 + CAST(x >= split AS BIGINT) END AS node,
+              CASE WHEN leaf THEN depth ELSE depth + 1 END AS depth,
+              CASE WHEN leaf OR NOT (x >= split) THEN lo ELSE split END AS lo,
+              CASE WHEN leaf OR (x >= split) THEN hi ELSE split END AS hi,
+              leaf AS done FROM t{i})""")
+    cf = lambda n: (f"(CASE WHEN {n} <= 1 THEN 0.0 WHEN {n} = 2 THEN 1.0 ELSE 2.0 * (ln({n} - 1) + 0.5772156649015329) "
+                    f"- 2.0 * ({n} - 1) / {n} END)")
+    ctes += [f"""leaves AS (SELECT tree, node, any_value(lo) AS lo, any_value(depth) AS depth, count(*) AS n_leaf FROM l{levels} GROUP BY tree, node)""",
+             f"""lh AS (SELECT tree, lo, depth + {cf('CAST(n_leaf AS DOUBLE)')} AS h FROM leaves)""",
+             """dh AS (SELECT lo, h - coalesce(lag(h) OVER (PARTITION BY tree ORDER BY lo), 0.0) AS dh FROM lh)""",
+             f"""steps AS (SELECT lo, sum(dh) OVER (ORDER BY lo ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / {trees}.0 AS eh
+              FROM (SELECT lo, sum(dh) AS dh FROM dh GROUP BY lo))""",
+             f"""cpsi AS (SELECT {cf('CAST(max(m) AS DOUBLE)')} AS c FROM (SELECT tree, count(*) AS m FROM l0 GROUP BY tree))""",
+             """sc AS (SELECT r.*, pow(2.0, -b.eh / (SELECT c FROM cpsi)) AS s FROM rows_ r ASOF JOIN steps b ON r.x >= b.lo)""",
+             f"""cut AS (SELECT quantile_cont(s, {1 - q}) AS cut FROM sc)"""]
+    return _rewrite_round("WITH " + ",\n".join(ctes) + """
+SELECT "type", "ID", "timestamp", "avg", round(s, 6) AS if_score, CAST(coalesce(s > cut.cut, false) AS INTEGER) AS "Isolation_Forest",
+  round(s - cut.cut, 6) AS "Isolation_Forest_score" FROM sc, cut""")
+
+
+D8 = _forest_sql()
