@@ -516,6 +516,21 @@ def t2t3_stream_rules_score(spark, sf):
     return rnd(out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")), ["statistical_score"])
 
 
+def t4_stream_ensemble(spark, sf):
+    """T4: ensemble vote on the stream with min/max frozen from the batch scores."""
+    from ..operators.scaling import minmax_fit
+    from ..streaming.queries import events_stream, run_to_table, stream_ensemble, stream_rollup, stream_score
+    hourly = readings_hourly(spark, sf)
+    frozen = baseline_fit(hourly, "avg")
+    batch_scores = baseline_predict(hourly, frozen, "avg", out="statistical", score_out="statistical_score")
+    mm = minmax_fit(batch_scores, ["statistical_score"])
+    s = stream_score(stream_rollup(events_stream(spark, sf), "1 hour", "1 hour"), frozen)
+    s = stream_ensemble(s, {"statistical_score": 1.0}, mm, 0.5)
+    out = run_to_table(s.select("event_type", "timestamp", "statistical_score", "ensemble_score", "ensemble"),
+                       _stream_name("t4"))
+    return rnd(out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")), ["statistical_score", "ensemble_score"])
+
+
 def _stream_series(spark, sf):
     from ..streaming.queries import events_stream, run_to_table, stream_series_state
     ev = events_stream(spark, sf)
@@ -551,13 +566,54 @@ def t9_stream_dedup(spark, sf):
 
 ORACLE.update({
     "d8_isolation_forest": sql.D8,
+    "d2_periods_per_event": sql.D2_EVENT,
+    "p2_to_production": sql.P2,
+    "p4_split_day_night": sql.P4,
+    "p9_ground_truth_summary": sql.P9,
+    "p10_true_anomalies": sql.P10,
+    "w15_align_sequence_scores": sql.W15,
     "t1_stream_rollup": sql.T1,
+    "t4_stream_ensemble": sql.T4,
     "t2t3_stream_rules_score": sql.T2T3,
     "t5t6_stream_gap_rate_sigma": sql.T5T6,
     "t7_stream_periods": sql.T7,
     "t9_stream_dedup": sql.T9,
 })
 
+def p2_to_production(spark, sf):
+    """Production projection of the labelled (faulted) table: labels stripped."""
+    from ..operators.clean import to_production
+    return rnd(to_production(faulted(spark, sf)), ["avg", "min_v", "max_v", "T_diff"])
+
+
+def p4_split_day_night(spark, sf):
+    """The night and day subsets, tagged and recombined."""
+    from ..operators.clean import split_day_night
+    night, day = split_day_night(readings(spark, sf))
+    return night.select(*KEY, F.lit("night").alias("part")).unionByName(day.select(*KEY, F.lit("day").alias("part")))
+
+
+def p9_ground_truth_summary(spark, sf):
+    """Injected anomalies: total and rate."""
+    from ..operators.clean import ground_truth_summary
+    return rnd(ground_truth_summary(faulted(spark, sf)), ["anomaly_rate"])
+
+
+def p10_true_anomalies(spark, sf):
+    """P10: rows whose label is true."""
+    from ..operators.clean import true_anomalies
+    return true_anomalies(faulted(spark, sf)).select(*KEY, "anomaly_type")
+
+
+def w15_align_sequence_scores(spark, sf):
+    """W14 + W15: a score per 24-row sequence (its max - min range) lands on the
+    sequence's last row; earlier rows take the series' last score."""
+    r = readings(spark, sf)
+    seq = ts.sequences(r, "avg", 24).select(*KEY, (F.array_max("sequence") - F.array_min("sequence")).alias("seq_score"))
+    d = ts.align_sequence_scores(r.join(seq, KEY, "left"), "seq_score", 24)
+    return rnd(d.select(*KEY, "seq_score"), ["seq_score"])
+
+
 def r2_expected_residual(spark, sf):
     """R2: per-series regression fitted on the first 80 % (D14), residual flags on all rows."""
     from ..operators.expected import expected_residual, fit_expected
@@ -568,5 +624,6 @@ def r2_expected_residual(spark, sf):
 
 
 QUERIES: dict[str, Query] = {name: globals()[name] for name in [
-    *ORACLE, "d2_periods_per_event", "d8_isolation_forest", "d11_label_readings", "d13_ensemble_forest",
-    "v10_detailed_analysis", "r2_expected_residual"]}
+    *ORACLE, "d8_isolation_forest", "d11_label_readings", "d13_ensemble_forest",
+    "v10_detailed_analysis", "r2_expected_residual", "p2_to_production", "p4_split_day_night",
+    "p9_ground_truth_summary", "p10_true_anomalies", "w15_align_sequence_scores"]}

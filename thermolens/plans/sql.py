@@ -625,3 +625,47 @@ SELECT "type", "ID", "timestamp", "avg", round(s, 6) AS if_score, CAST(coalesce(
 
 
 D8 = _forest_sql()
+
+# ---------------------------------------------------------------- P2, P4, P9, P10, W15, D2 per event
+P2 = with_(FAULTED) + '''SELECT "timestamp", round("avg", 6) AS "avg", round(min_v, 6) AS min_v, round(max_v, 6) AS max_v,
+  round("T_diff", 6) AS "T_diff", "type", "ID", nighttime FROM faulted'''
+P2 = _rewrite_round(P2)
+P4 = q('''SELECT "type", "ID", "timestamp", CASE WHEN coalesce(nighttime, false) THEN 'night' ELSE 'day' END AS part FROM readings''', READINGS)
+P9 = with_(FAULTED) + '''SELECT CAST(sum(CAST(is_anomaly AS INTEGER)) AS BIGINT) AS total_anomalies,
+  round(round(avg(CAST(is_anomaly AS INTEGER)), 9), 6) AS anomaly_rate, count(*) AS n_rows FROM faulted'''
+P10 = with_(FAULTED) + 'SELECT "type", "ID", "timestamp", anomaly_type FROM faulted WHERE is_anomaly'
+W15 = q('''
+SELECT "type", "ID", "timestamp",
+  round(coalesce(CASE WHEN rn >= 24 THEN sc END, last_sc, CAST('inf' AS DOUBLE)), 6) AS seq_score
+FROM (
+  SELECT *, max_by(CASE WHEN rn >= 24 THEN sc END, CASE WHEN rn >= 24 THEN "timestamp" END) OVER (PARTITION BY "type", "ID") AS last_sc
+  FROM (SELECT *, row_number() OVER w AS rn, max("avg") OVER w24 - min("avg") OVER w24 AS sc FROM readings
+        WINDOW w AS (PARTITION BY "type", "ID" ORDER BY "timestamp"),
+               w24 AS (PARTITION BY "type", "ID" ORDER BY "timestamp" ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)))''', READINGS)
+D2_EVENT = '''
+WITH ev AS (SELECT 'domestic' AS "type", CAST(user_id AS VARCHAR) AS "ID", ts AS "timestamp", value AS "avg" FROM events),
+flags AS (
+  SELECT "type", "ID", "timestamp",
+    coalesce(abs("avg" - avg("avg") OVER w) > 2 * stddev_samp("avg") OVER w, false) AS f
+  FROM ev WINDOW w AS (PARTITION BY "type", "ID" ORDER BY "timestamp" ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)),
+starts AS (SELECT *, CASE WHEN f AND NOT coalesce(lag(f) OVER (PARTITION BY "type", "ID" ORDER BY "timestamp"), false) THEN 1 ELSE 0 END AS s FROM flags),
+numbered AS (SELECT *, sum(s) OVER (PARTITION BY "type", "ID" ORDER BY "timestamp" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS period_no FROM starts),
+runs AS (SELECT "type", "ID", CAST(period_no AS BIGINT) AS period_no, min("timestamp") AS start_ts, max("timestamp") AS end_ts, count(*) AS n_rows
+         FROM numbered WHERE f GROUP BY ALL)
+SELECT *, strftime(start_ts, '%A') AS start_weekday, strftime(start_ts, '%H:%M') AS start_time,
+       strftime(end_ts, '%A') AS end_weekday, strftime(end_ts, '%H:%M') AS end_time FROM runs'''
+
+T4 = _rewrite_round(HOURLY.replace("hourly AS (", "WITH hourly AS (", 1) + ''',
+bp AS (SELECT avg("avg") AS mean, stddev_pop("avg") AS std, quantile_cont("avg", 0.25) AS q1, quantile_cont("avg", 0.75) AS q3 FROM hourly),
+bscore AS (SELECT abs(("avg" - bp.mean) / nullif(bp.std, 0)) / 3.0
+        + CAST(coalesce(("avg" < bp.q1 - 1.5 * (bp.q3 - bp.q1)) OR ("avg" > bp.q3 + 1.5 * (bp.q3 - bp.q1)), false) AS DOUBLE) AS sc FROM hourly, bp),
+mm AS (SELECT min(sc) AS lo, max(sc) AS hi FROM bscore),
+closed AS (
+  SELECT * FROM (SELECT event_type, date_trunc('hour', ts) AS "timestamp", avg(value) AS "avg" FROM events GROUP BY 1, 2)
+  WHERE epoch_us("timestamp" + INTERVAL 1 HOUR) <= (SELECT floor(epoch_us(max(ts)) / 1000) * 1000 - 3600000000 FROM events)),
+scored AS (SELECT event_type, "timestamp", abs(("avg" - bp.mean) / nullif(bp.std, 0)) / 3.0
+        + CAST(coalesce(("avg" < bp.q1 - 1.5 * (bp.q3 - bp.q1)) OR ("avg" > bp.q3 + 1.5 * (bp.q3 - bp.q1)), false) AS DOUBLE) AS sc FROM closed, bp)
+SELECT event_type, "timestamp", round(sc, 6) AS statistical_score,
+  round(0.0 + 1.0 * coalesce(CASE WHEN hi = lo THEN 0.0 ELSE (sc - lo) / (hi - lo) END, 0.0), 6) AS ensemble_score,
+  CAST(0.0 + 1.0 * coalesce(CASE WHEN hi = lo THEN 0.0 ELSE (sc - lo) / (hi - lo) END, 0.0) > 0.5 AS INTEGER) AS ensemble
+FROM scored, mm''')
