@@ -116,3 +116,23 @@ def test_expected_residual_matches_lstsq(spark):
     b = np.linalg.lstsq(pdf[list(REGRESSORS)].to_numpy(float), pdf["avg"].to_numpy(), rcond=None)[0]
     assert np.allclose(b, [c[f"b_{r}"] for r in REGRESSORS], atol=1e-8)
     assert abs(c["b_lag1"] - 0.7) < 0.15
+
+
+def test_exact_quantiles_brute_force(spark):
+    import numpy as np
+    from thermolens.operators.quantiles import exact_quantiles
+    rnd = np.random.default_rng(4)
+    rows = []
+    for g, n in enumerate([1, 2, 3, 5, 8, 13, 50, 101, 713]):
+        vals = np.round(rnd.exponential(40, n), 2)
+        vals[: n // 4] = vals[0]          # ties
+        rows += [(g, float(v)) for v in vals]
+    df = spark.createDataFrame(rows, "g int, v double")
+    probs = [0.0, 0.05, 0.25, 0.5, 0.75, 0.9, 0.95, 1.0]
+    for acc in (100, 1_000_000):
+        got = {r["g"]: r for r in exact_quantiles(df, "v", probs, ["g"], [f"p{i}" for i in range(len(probs))],
+                                                   accuracy=acc).collect()}
+        for g in got:
+            vals = np.array([v for gg, v in rows if gg == g])
+            want = np.percentile(vals, [p * 100 for p in probs])
+            assert np.allclose([got[g][f"p{i}"] for i in range(len(probs))], want, rtol=0, atol=1e-9), (g, acc)

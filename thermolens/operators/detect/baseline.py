@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ...schema import flag
 from ..clean import normal_only
 from ..joins import attach_params
-from ..scaling import quantile
+from ..scaling import quantile_table, with_quantiles
 
 
 def baseline_fit(df: DataFrame, col: str = "avg", label: str | None = None, by: Sequence[str] = (),
@@ -19,8 +19,8 @@ def baseline_fit(df: DataFrame, col: str = "avg", label: str | None = None, by:
     rows without a label), plus the two thresholds: a params table, one row per
     group."""
     d = normal_only(df, label)
-    p = d.groupBy(*by).agg(F.avg(col).alias("mean"), F.stddev_pop(col).alias("std"),
-                           quantile(col, 0.25, approx).alias("q1"), quantile(col, 0.75, approx).alias("q3"))
+    p = with_quantiles(d.groupBy(*by).agg(F.avg(col).alias("mean"), F.stddev_pop(col).alias("std")),
+                       quantile_table(d, [col], [0.25, 0.75], by, {(col, 0.25): "q1", (col, 0.75): "q3"}, approx), by)
     return p.withColumns({"iqr": F.col("q3") - F.col("q1"),
                           "z_threshold": F.lit(float(z_threshold)),
                           "iqr_multiplier": F.lit(float(iqr_multiplier))})

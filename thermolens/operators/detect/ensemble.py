@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from ...schema import DEFAULT_SERIES, Series, flag
 from ..clean import normal_only
 from ..joins import attach_params
-from ..scaling import minmax_fit, quantile
+from ..scaling import minmax_fit, quantile_table
 from ..windows import DEFAULT_LAYOUT, Layout, pos_col, sk_col, with_position
 from .baseline import baseline_fit, baseline_predict
 
@@ -135,7 +135,7 @@ def chronological_split(df: DataFrame, train_fraction: float = 0.8, per_series:
 def quantile_threshold_fit(df: DataFrame, score: str, p: float = 0.95, label: str | None = None,
                            by: Sequence[str] = (), approx: bool = False) -> DataFrame:
     """D15 fit: threshold = p-quantile of the score on normal rows."""
-    return normal_only(df, label).groupBy(*by).agg(quantile(score, p, approx).alias("threshold"))
+    return quantile_table(normal_only(df, label), [score], [p], by, {(score, p): "threshold"}, approx)
 
 
 def quantile_threshold(df: DataFrame, score: str, params: DataFrame, by: Sequence[str] = (),

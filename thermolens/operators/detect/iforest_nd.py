@@ -162,8 +162,8 @@ def isolation_forest_nd(df: DataFrame, features: Sequence[str], trees: int = 100
     n = df.count()
     model = ForestND(nodes, features, min(psi, n), trees)
     scored = score_forest_nd(df, model, "_s")
-    q = F.percentile_approx("_s", 1 - contamination, 100_000) if approx_cut else F.percentile("_s", 1 - contamination)
-    cut = scored.agg(q.alias("_cut"))
+    from ..scaling import quantile_table
+    cut = quantile_table(scored, ["_s"], [1 - contamination], (), {("_s", 1 - contamination): "_cut"}, approx_cut)
     d = scored.crossJoin(F.broadcast(cut))
     return d.withColumns({"isolation_forest_anomaly": F.col("_s") > F.col("_cut"),
                           "anomaly_score": -F.col("_s")}).drop("_s", "_cut")
@@ -176,11 +176,12 @@ def label_readings(df: DataFrame, system_type: str | None = "domestic", contamin
     ``anomaly_score`` and the three component flags."""
     from ..clean import filter_type
     from ..features import feature_columns, feature_matrix
+    from ..windows import checkpoint
     from .rules import domain_rules
     from .zscore import zscore_any
     d = filter_type(df, system_type)
     fm = feature_matrix(d, type_categories=(system_type,) if system_type else ("domestic", "forward"))
-    fm = fm.persist()  # fit, score and cut all read it; lineage still recomputes it on executor loss
+    fm = checkpoint(fm)  # fit, score and cut all read it: materialise once in the shared checkpoint folder
     feats = feature_columns(fm)
     flagged = isolation_forest_nd(fm, feats, trees, 256, contamination, seed) \
         .select("timestamp", "type", "ID", "isolation_forest_anomaly", "anomaly_score")

@@ -16,21 +16,43 @@ from ..functions.numeric import EPS
 from .joins import attach_params
 
 
-def quantile(col: str | Column, p, approx: bool = False, accuracy: int = 100_000) -> Column:
-    """Exact linear-interpolated quantile (= NumPy default / DuckDB quantile_cont),
-    or ``percentile_approx`` when ``approx``.  The exact form buffers the distinct
-    values of a group, which is bounded for sensor readings of fixed resolution;
-    use ``approx=True`` for unbounded domains."""
+def quantile(col: str | Column, p, accuracy: int = 100_000) -> Column:
+    """Approximate quantile aggregate (bounded sketch) for use inside ``agg``."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.percentile_approx(c, p, accuracy) if approx else F.percentile(c, p)
+    return F.percentile_approx(c, p, accuracy)
+
+
+def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
+                   names: dict | None = None, approx: bool = False) -> DataFrame:
+    """One row per group with a column per (column, probability), named
+    ``names[(col, p)]`` (default ``{col}__q{per-mille}``, e.g. ``avg__q250``).  Exact by default (linear
+    interpolation, = NumPy / DuckDB ``quantile_cont``) without buffering a group
+    in one task (``quantiles.exact_quantiles``); ``approx`` uses the sketch."""
+    by = list(by)
+    names = names or {}
+    nm = lambda c, p: names.get((c, p), f"{c}__q{round(p * 1000):03d}")
+    if approx:
+        return df.groupBy(*by).agg(*[quantile(c, p).alias(nm(c, p)) for c in cols for p in probs])
+    from .quantiles import exact_quantiles
+    u = df.select(*by, F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_v"))
+                                            for c in cols])).alias("_u")).select(*by, "_u._col", "_u._v")
+    qn = [f"_q{i}" for i in range(len(probs))]
+    q = exact_quantiles(u, "_v", probs, [*by, "_col"], qn)
+    return q.groupBy(*by).agg(*[F.max(F.when(F.col("_col") == c, F.col(qn[i]))).alias(nm(c, p))
+                                for c in cols for i, p in enumerate(probs)])
+
+
+def with_quantiles(aggs: DataFrame, qt: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Combine a grouped aggregate with its quantile table."""
+    return aggs.join(qt, list(by)) if by else aggs.crossJoin(qt)
 
 
 def time_gap_features(df: DataFrame, col: str = "time_diff_min", by: Sequence[str] = ()) -> DataFrame:
     """gap / median, |gap - median|, |(gap - mean) / (std_samp + 1e-8)|."""
     if col not in df.columns:
         return df
-    p = df.groupBy(*by).agg(quantile(col, 0.5).alias("_med"), F.avg(col).alias("_mean"),
-                            F.stddev_samp(col).alias("_std"))
+    p = with_quantiles(df.groupBy(*by).agg(F.avg(col).alias("_mean"), F.stddev_samp(col).alias("_std")),
+                       quantile_table(df, [col], [0.5], by, {(col, 0.5): "_med"}), by)
     d = attach_params(df, p, by)
     g = F.col(col)
     return d.withColumns({
@@ -43,7 +65,7 @@ def time_gap_features(df: DataFrame, col: str = "time_diff_min", by: Sequence[st
 def fill_median(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """NULL -> median of the column."""
     cols = [c for c in cols if c in df.columns]
-    p = df.groupBy(*by).agg(*[quantile(c, 0.5).alias(f"_med_{c}") for c in cols])
+    p = quantile_table(df, cols, [0.5], by, {(c, 0.5): f"_med_{c}" for c in cols})
     d = attach_params(df, p, by)
     return d.withColumns({c: F.coalesce(F.col(c), F.col(f"_med_{c}")) for c in cols}) \
             .drop(*[f"_med_{c}" for c in cols])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import day_name, hour
 from ..functions.numeric import round_to
-from .scaling import quantile
+from .scaling import quantile_table, with_quantiles
 
 
 def _i(c: str | Column) -> Column:
@@ -21,17 +21,17 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), approx:
     """A1: count, mean, std (sample), min, 25/50/75 %, max per column: one aggregate
     for all columns, then unpivoted to one row per (group, column)."""
     cols = [c for c in cols if c in df.columns]
+    probs = [0.25, 0.5, 0.75]
     aggs = []
     for c in cols:
-        q = quantile(c, [0.25, 0.5, 0.75], approx)
-        aggs.append(F.struct(F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"),
-                             F.stddev_samp(c).alias("std"), F.min(F.col(c).cast("double")).alias("min"),
-                             q.alias("_q"), F.max(F.col(c).cast("double")).alias("max")).alias(f"_s_{c}"))
-    g = df.groupBy(*by).agg(*aggs)
-    e = g.select(*by, F.explode(F.array(*[F.col(f"_s_{c}") for c in cols])).alias("_s"))
-    return e.select(*by, "_s.column", "_s.count", "_s.mean", "_s.std", "_s.min",
-                    F.col("_s._q")[0].alias("q25"), F.col("_s._q")[1].alias("q50"),
-                    F.col("_s._q")[2].alias("q75"), "_s.max")
+        aggs += [F.count(c).alias(f"{c}__count"), F.avg(c).alias(f"{c}__mean"), F.stddev_samp(c).alias(f"{c}__std"),
+                 F.min(F.col(c).cast("double")).alias(f"{c}__min"), F.max(F.col(c).cast("double")).alias(f"{c}__max")]
+    g = with_quantiles(df.groupBy(*by).agg(*aggs), quantile_table(df, cols, probs, by, approx=approx), by)
+    rows = [F.struct(F.lit(c).alias("column"), F.col(f"{c}__count").alias("count"), F.col(f"{c}__mean").alias("mean"),
+                     F.col(f"{c}__std").alias("std"), F.col(f"{c}__min").alias("min"),
+                     F.col(f"{c}__q250").alias("q25"), F.col(f"{c}__q500").alias("q50"),
+                     F.col(f"{c}__q750").alias("q75"), F.col(f"{c}__max").alias("max")) for c in cols]
+    return g.select(*by, F.explode(F.array(*rows)).alias("_s")).select(*by, "_s.*")
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:

@@ -22,6 +22,7 @@ from ..operators.detect.rules import domain_rules
 from ..operators.detect.zscore import zscore_any
 from ..operators.faults import inject_faults, rate_within_tolerance
 from ..operators.features import exog_features, feature_matrix
+from ..operators.windows import checkpoint
 from ..schema import Series
 from ..sources.fixtures import readings_hourly, readings_per_event
 from ..sources.readers import slice_rows
@@ -38,14 +39,18 @@ def rnd(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
 
 
 # ---------------------------------------------------------------- canonical tables
+# Stage outputs are materialised with checkpoint() in the session's shared
+# checkpoint folder -- the hand-off points where the reference writes files
+# (combined readings, injected batch, scored batch, labels).  Operators stay lazy;
+# the stages keep every downstream plan small and cut lineage for recovery.
 def readings(spark, sf) -> DataFrame:
     """X1 over the hourly rollup."""
-    return prepare_readings(readings_hourly(spark, sf))
+    return checkpoint(prepare_readings(readings_hourly(spark, sf)))
 
 
 def faulted(spark, sf) -> DataFrame:
     """5 % of rows perturbed, seed 42."""
-    return inject_faults(readings(spark, sf), 0.05, 42)
+    return checkpoint(inject_faults(readings(spark, sf), 0.05, 42))
 
 
 def scored(spark, sf) -> DataFrame:
@@ -55,7 +60,7 @@ def scored(spark, sf) -> DataFrame:
     params = baseline_fit(f, "avg", label="is_anomaly", z_threshold=2.5, iqr_multiplier=1.5)
     d = baseline_predict(f, params, "avg", out="statistical", score_out="statistical_score")
     d = rolling_sigma(d, "avg", 24, 2.0, "anomaly")
-    return ensemble_predict(d, {"statistical_score": 1.0, "anomaly_ratio": 1.0}, 0.5)
+    return checkpoint(ensemble_predict(d, {"statistical_score": 1.0, "anomaly_ratio": 1.0}, 0.5))
 
 
 def labeled(spark, sf) -> DataFrame:
@@ -65,8 +70,8 @@ def labeled(spark, sf) -> DataFrame:
     d = zscore_any(d, VALS, 3.0)
     d = domain_rules(d)
     d = baseline_predict(d, baseline_fit(r, "avg"), "avg", out="_b").withColumn("baseline_anomaly", F.col("_b") == 1).drop("_b")
-    return d.withColumn("is_anomaly", F.col("rolling_anomaly") | F.col("statistical_anomaly")
-                        | F.col("domain_anomaly") | F.col("baseline_anomaly"))
+    return checkpoint(d.withColumn("is_anomaly", F.col("rolling_anomaly") | F.col("statistical_anomaly")
+                                   | F.col("domain_anomaly") | F.col("baseline_anomaly")))
 
 
 # ---------------------------------------------------------------- queries

@@ -32,6 +32,7 @@ def get_session(master: str | None = None, app: str = "thermolens",
     conf = dict(REQUIRED_CONF)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
+    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
