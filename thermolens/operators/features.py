@@ -24,12 +24,13 @@ def feature_matrix(df: DataFrame, type_categories=("domestic",), hours=(1, 6, 24
     and zero.  Keeps ``timestamp, type, ID`` for row identity; ``feature_columns``
     lists the model inputs.
 
-    Physical shape: positions once on the input; gap statistics are a one-row
-    aggregate of the input (broadcast); one range-window stage (all rolling columns
-    share one partition/order spec) and one row-window stage (all lag-based
-    columns).  That windowed table is checkpointed once (reliable storage, the
-    session's checkpoint folder) because the forward fill reads it twice (in-block
-    fill and per-block carries); without it every earlier stage would run twice.
+    Physical shape: positions once on the input, which is then checkpointed
+    (reliable storage, the session's checkpoint folder) because gap statistics
+    (exact median: a few aggregate passes) and the windows all read it; one
+    range-window stage (all rolling columns share one partition/order spec) and one
+    row-window stage (all lag-based columns).  That windowed table is checkpointed
+    too, because the forward fill reads it twice (in-block fill and per-block
+    carries); without the two materialisations every earlier stage would re-run.
     """
     vals = [c for c in FEATURE_VALUE_COLS if c in df.columns]
     d = df.withColumns({"hour": hour(), "day_of_week": day_of_week(), "month": month(),
@@ -37,6 +38,9 @@ def feature_matrix(df: DataFrame, type_categories=("domestic",), hours=(1, 6, 24
     d = one_hot(d, "type", list(type_categories), dummy_na=True)
     if layout.strategy != "series":
         d = with_position(d, s, layout)
+    if materialize:
+        # read three times below (gap statistics, range windows, row windows)
+        d = checkpoint(d)
     d = time_gap_features(d, "time_diff_min", gap_stats_by)
     d = range_over(d, rolling_time_exprs(vals, hours), max(hours) * 3_600_000_000, s, layout)
     gap = "time_diff_min" if "time_diff_min" in d.columns else None
