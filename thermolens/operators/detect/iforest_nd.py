@@ -158,6 +158,8 @@ def isolation_forest_nd(df: DataFrame, features: Sequence[str], trees: int = 100
                         approx_cut: bool = True) -> DataFrame:
     """Fit on ``df`` and flag it: ``isolation_forest_anomaly`` (s > cut) and
     ``anomaly_score`` = -s (lower = more anomalous, the labeler's convention)."""
+    from ...session import ship_package
+    ship_package(df.sparkSession)
     nodes = fit_forest_nd(df, features, trees, psi, seed, s)
     n = df.count()
     model = ForestND(nodes, features, min(psi, n), trees)

@@ -38,6 +38,8 @@ def design(df: DataFrame, s: Series = DEFAULT_SERIES, layout: Layout = DEFAULT_L
 
 def fit_expected(df: DataFrame, s: Series = DEFAULT_SERIES, layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
     """Coefficients ``b_<regressor>`` per series (rows with a lag and a value)."""
+    from ..session import ship_package
+    ship_package(df.sparkSession)
     s = s.present(df)
     d = design(df, s, layout).where(F.col("lag1").isNotNull() & F.col("avg").isNotNull())
     k = len(REGRESSORS)

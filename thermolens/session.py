@@ -62,3 +62,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``thermolens`` importable in Python workers (``applyInPandas``,
+    ``mapInPandas``, stateful streams): zip the package once per process and add it
+    with ``addPyFile`` (what ``--py-files`` does on a cluster).  No-op when already
+    shipped to this SparkContext."""
+    sc = spark.sparkContext
+    if getattr(sc, "_thermolens_shipped", False):
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="thermolens-pyfiles-"), "thermolens.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, dirs, files in os.walk(pkg):
+            dirs[:] = [x for x in dirs if x != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    sc._thermolens_shipped = True

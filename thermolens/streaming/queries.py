@@ -170,6 +170,8 @@ def stream_series_state(readings: DataFrame, watermark: str = "1 hour", window:
     """T5-T7 on a readings stream (``timestamp`` TIMESTAMP, ``avg``, key columns).
     ``record = 'reading'`` rows carry gap / rate / rolling statistics / flag /
     period number; ``record = 'period'`` rows are closed anomaly periods."""
+    from ..session import ship_package
+    ship_package(readings.sparkSession)
     return (readings.withWatermark("timestamp", watermark)
             .groupBy(*key)
             .applyInPandasWithState(_series_state_fn(window, k), SERIES_OUT, STATE, "append",
