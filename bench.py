@@ -24,6 +24,9 @@ def main() -> None:
                         extra={"spark.driver.memory": "16g"})
     from pyspark.sql import functions as F
 
+    from thermolens.session import ship_package
+    ship_package(spark)
+
     from thermolens.operators.clean import filter_type, prepare_readings
     from thermolens.operators.detect.zscore import zscore_any
     from thermolens.operators.features import feature_matrix
