@@ -30,12 +30,10 @@ binary value attached to every batch with a one-row broadcast join, and
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ...schema import DEFAULT_SERIES, Series
 from ..faults import series_label

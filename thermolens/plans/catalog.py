@@ -23,9 +23,7 @@ from ..operators.detect.zscore import zscore_any
 from ..operators.faults import inject_faults, rate_within_tolerance
 from ..operators.features import exog_features, feature_matrix
 from ..operators.windows import checkpoint
-from ..schema import Series
 from ..sources.fixtures import readings_hourly, readings_per_event
-from ..sources.readers import slice_rows
 from . import sql
 
 Query = Callable[[SparkSession, str], DataFrame]
