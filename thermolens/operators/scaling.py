@@ -47,12 +47,13 @@ def with_quantiles(aggs: DataFrame, qt: DataFrame, by: Sequence[str] = ()) -> Da
     return aggs.join(qt, list(by)) if by else aggs.crossJoin(qt)
 
 
-def time_gap_features(df: DataFrame, col: str = "time_diff_min", by: Sequence[str] = ()) -> DataFrame:
+def time_gap_features(df: DataFrame, col: str = "time_diff_min", by: Sequence[str] = (),
+                      approx: bool = False) -> DataFrame:
     """gap / median, |gap - median|, |(gap - mean) / (std_samp + 1e-8)|."""
     if col not in df.columns:
         return df
     p = with_quantiles(df.groupBy(*by).agg(F.avg(col).alias("_mean"), F.stddev_samp(col).alias("_std")),
-                       quantile_table(df, [col], [0.5], by, {(col, 0.5): "_med"}), by)
+                       quantile_table(df, [col], [0.5], by, {(col, 0.5): "_med"}, approx), by)
     d = attach_params(df, p, by)
     g = F.col(col)
     return d.withColumns({
@@ -62,20 +63,21 @@ def time_gap_features(df: DataFrame, col: str = "time_diff_min", by: Sequence[st
     }).drop("_med", "_mean", "_std")
 
 
-def fill_median(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def fill_median(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), approx: bool = False) -> DataFrame:
     """NULL -> median of the column."""
     cols = [c for c in cols if c in df.columns]
-    p = quantile_table(df, cols, [0.5], by, {(c, 0.5): f"_med_{c}" for c in cols})
+    p = quantile_table(df, cols, [0.5], by, {(c, 0.5): f"_med_{c}" for c in cols}, approx)
     d = attach_params(df, p, by)
     return d.withColumns({c: F.coalesce(F.col(c), F.col(f"_med_{c}")) for c in cols}) \
             .drop(*[f"_med_{c}" for c in cols])
 
 
-def zscores(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), suffix: str = "_z") -> DataFrame:
+def zscores(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), suffix: str = "_z",
+            approx: bool = False) -> DataFrame:
     """|z| with population std on median-filled values; zero std -> NULL."""
     cols = [c for c in cols if c in df.columns]
     filled = fill_median(df.select("*", *[F.col(c).alias(f"_f_{c}") for c in cols]),
-                         [f"_f_{c}" for c in cols], by)
+                         [f"_f_{c}" for c in cols], by, approx)
     p = filled.groupBy(*by).agg(*[x for c in cols for x in (
         F.avg(f"_f_{c}").alias(f"_m_{c}"), F.stddev_pop(f"_f_{c}").alias(f"_s_{c}"))])
     d = attach_params(filled, p, by)
