@@ -5,10 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import quality_rules, simhash
 from .common import table
 
 
+def trusted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the documents that the labels call good: the trusted target."""
+    return table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text counts, base rule and n-gram ratio verdict of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality_rules.judge(docs, trusted_documents(spark, sf_dir))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept", "llr_score")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document (3-word shingles, 3 bits)."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
@@ -16,6 +29,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_quality_rules": op2_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
