@@ -31,6 +31,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def filter_settled(df: DataFrame, condition: Column) -> DataFrame:
+    """Rows of ``df`` that meet ``condition``, judged on its finished columns.
+
+    A plain filter is pushed through the projections that compute its columns and is
+    inlined there; inside a lambda that means once per array element.  A
+    non-deterministic column holds the filter where it stands.
+    """
+    return df.withColumn("_settled", F.monotonically_increasing_id()).where(
+        condition & (F.col("_settled") >= 0)).drop("_settled")
+
+
 def with_workers(spark: SparkSession) -> None:
     """Make this package importable in Python workers."""
     ship_package(spark)

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, text_of, words_of
+from .common import checkpointed, filter_settled, text_of, words_of
 
 BUCKETS = 1 << 14
 GRAM_TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]+"
@@ -99,7 +99,8 @@ def bucket_counts(docs: DataFrame, trusted_ids: DataFrame, text: str = "text", d
     ids = trusted_ids.select(F.col(trusted_ids.columns[0]).alias("_tid")).where("_tid is not null").distinct()
     d = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     d = d.join(ids, F.col("_id") == F.col("_tid"), "left").select("_text", F.col("_tid").isNotNull().alias("_trusted"))
-    grams = with_buckets(d, "_text", "_b", buckets).select("_trusted", F.explode("_b").alias("bucket"))
+    grams = with_buckets(d, "_text", "_b", buckets).select("_trusted", F.explode_outer("_b").alias("bucket"))
+    grams = grams.where("bucket is not null")  # not explode: its inferred filter would hash each text once more
     return grams.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("raw"), F.sum(F.col("_trusted").cast("long")).alias("target"))
 
@@ -140,4 +141,4 @@ def keep_good(docs: DataFrame, trusted_ids: DataFrame, **how) -> DataFrame:
     # judged on a narrow copy under private names, so that clashing columns stay as they are
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
                     F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
-    return judge(d, trusted_ids, **how).where("kept").select("_row.*")
+    return filter_settled(judge(d, trusted_ids, **how), F.col("kept")).select("_row.*")
