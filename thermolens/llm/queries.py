@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules, simhash
+from . import pii, quality_rules, simhash
 from .common import table
 
 
@@ -22,6 +22,16 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept", "llr_score")
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data spans of every document: stated kinds and discovered identifiers."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = pii.with_spans(docs, pii.learn_patterns(docs))
+    counts = {f"n_{k}": F.regexp_count("base_spans", F.lit(f"{k}:")).cast("long")
+              for k in ("email", "ip", "card", "phone")}
+    return d.select("doc_id", *[c.alias(n) for n, c in counts.items()],
+                    F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document (3-word shingles, 3 bits)."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
@@ -30,6 +40,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op6_pii": op6_pii,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
