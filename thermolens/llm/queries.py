@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii, quality_rules, simhash
+from . import mixing, pii, quality_rules, simhash
 from .common import table
 
 
@@ -22,6 +22,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept", "llr_score")
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    d = mixing.mixed(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return d.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data spans of every document: stated kinds and discovered identifiers."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -40,6 +46,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op5_mixing": op5_mixing,
     "op6_pii": op6_pii,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
