@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pii, quality_rules, simhash
+from . import mixing, packing, pii, quality_rules, simhash
 from .common import table
 
 
@@ -38,6 +38,11 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 2048 tokens."""
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document (3-word shingles, 3 bits)."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
@@ -48,6 +53,7 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op5_mixing": op5_mixing,
     "op6_pii": op6_pii,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
