@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, pii, quality_rules, simhash
+from . import merkle, mixing, packing, pii, quality_rules, sharding, simhash
 from .common import table
 
 
@@ -22,6 +22,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept", "llr_score")
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document: eight shards of nearly equal bytes."""
+    d = sharding.sharded(table(spark, sf_dir, "documents"), shards=8)
+    return d.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                    F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     d = mixing.mixed(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
@@ -43,6 +50,13 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle fingerprint of every document and of its edited text, and their likeness."""
+    d = merkle.fingerprinted(table(spark, sf_dir, "documents"))
+    return d.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+                    "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document (3-word shingles, 3 bits)."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
@@ -51,9 +65,11 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op4_sharding": op4_sharding,
     "op5_mixing": op5_mixing,
     "op6_pii": op6_pii,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_document_fingerprints": op8_document_fingerprints,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
