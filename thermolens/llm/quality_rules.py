@@ -34,12 +34,12 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 # Mean ratio per n-gram below which a document reads unlike the target.
 THRESHOLD = -0.3
+BROADCAST_IDS = 1_000_000
 PRIOR = 1000.0
 
 
-def _repeat_words(sorted_grams: str) -> Column:
-    """Words covered by 3-word windows that occur twice or more: from the windows sorted
-    by content, the positions next to an equal one, then the length of their union."""
+def _repeat_starts(sorted_grams: str) -> Column:
+    """Start positions of the windows that equal a neighbour in the array sorted by content."""
     return F.expr(f"""
       sort_array(transform(filter({sorted_grams}, (g, j) ->
           (j > 0 and get({sorted_grams}, j - 1).a = g.a and get({sorted_grams}, j - 1).b = g.b
@@ -64,12 +64,20 @@ def text_counts(df: DataFrame, text: str = "text") -> DataFrame:
         "word_chars": F.length(F.array_join("_w", "")).cast("long"),
         "n_symbols": F.regexp_count(t, F.lit(r"[#*$%&|<>]")).cast("long"),
         "_lines": F.expr(f"filter(split(coalesce(`{text}`, ''), '\\n'), x -> x rlike '[^\\\\x20\\\\x09-\\\\x0D]')"),
-        "_grams": F.expr("""sort_array(transform(slice(_w, 1, greatest(size(_w) - 2, 0)), (x, i) ->
-            named_struct('a', x, 'b', get(_w, i + 1), 'c', get(_w, i + 2), 'i', i)))"""),
+        # 32 bits of each window's hash over its position: sorted as plain longs, windows
+        # whose hashes agree are neighbours
+        "_k": F.expr("""sort_array(transform(slice(_w, 1, greatest(size(_w) - 2, 0)), (x, i) ->
+            shiftleft(xxhash64(x, get(_w, i + 1), get(_w, i + 2)), 32) | cast(i as bigint)))"""),
     })
+    d = d.withColumn("_cand", F.expr("""transform(filter(_k, (k, j) ->
+        shiftright(k, 32) = shiftright(get(_k, j - 1), 32) or shiftright(k, 32) = shiftright(get(_k, j + 1), 32)),
+        k -> cast(k & 4294967295L as int))"""))
+    # those few are compared word by word, so the count is exact
+    d = d.withColumn("_grams", F.expr("""sort_array(transform(_cand, i ->
+        named_struct('a', get(_w, i), 'b', get(_w, i + 1), 'c', get(_w, i + 2), 'i', i)))"""))
     d = d.withColumns({
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        "_at": _repeat_words("_grams"),
+        "_at": _repeat_starts("_grams"),
     })
     covered = F.expr("""aggregate(transform(_at, (p, j) -> least(3, coalesce(get(_at, j + 1) - p, 3))), 0L,
                         (s, x) -> s + x)""")
@@ -96,7 +104,10 @@ def with_buckets(df: DataFrame, text: str, name: str, buckets: int = BUCKETS) ->
 def bucket_counts(docs: DataFrame, trusted_ids: DataFrame, text: str = "text", doc_id: str = "doc_id",
                   buckets: int = BUCKETS) -> DataFrame:
     """(bucket, raw, target): n-gram counts of all documents and of the trusted ones."""
-    ids = trusted_ids.select(F.col(trusted_ids.columns[0]).alias("_tid")).where("_tid is not null").distinct()
+    ids = checkpointed(trusted_ids.select(F.col(trusted_ids.columns[0]).alias("_tid")).where("_tid is not null")
+                       .distinct())
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)  # a few MB at most; more ids than that meet the texts in a shuffled join
     d = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     d = d.join(ids, F.col("_id") == F.col("_tid"), "left").select("_text", F.col("_tid").isNotNull().alias("_trusted"))
     grams = with_buckets(d, "_text", "_b", buckets).select("_trusted", F.explode_outer("_b").alias("bucket"))
