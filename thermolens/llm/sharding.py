@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 from .common import checkpointed, gapless_positions, text_of
 
 DIGITS = 3
-KEY_DIGITS = 32
 TOLERANCE = 0.0005
 
 
@@ -49,17 +48,18 @@ def splitters(rows: DataFrame, shards: int, total: int, tolerance: float = TOLER
         depth += DIGITS
         parents = sorted({p for p, _ in open_.values()})
         part = rows if depth == DIGITS else rows.where(F.substring("key", 1, depth - DIGITS).isin(parents))
-        sums = part.groupBy(F.substring("key", 1, depth).alias("p")).agg(F.sum("size").alias("b")).collect()
-        inside: dict[str, list[tuple[str, int]]] = {}
-        for r in sorted((r["p"], r["b"]) for r in sums):
-            inside.setdefault(r[0][:depth - DIGITS] if depth <= KEY_DIGITS else r[0], []).append(r)
+        sums = part.groupBy(F.substring("key", 1, depth).alias("p")).agg(
+            F.sum("size").alias("b"), (F.min("key") == F.max("key")).alias("one")).collect()
+        inside: dict[str, list[tuple[str, int, bool]]] = {}
+        for r in sorted((r["p"], r["b"], r["one"]) for r in sums):
+            inside.setdefault(r[0][:depth - DIGITS], []).append(r)
         for i, (parent, below) in list(open_.items()):
             want = total * i / shards
-            for p, b in inside[parent]:
+            for p, b, one in inside[parent]:
                 if below + b >= want:
                     break
                 below += b
-            if b <= allowed or depth >= KEY_DIGITS:
+            if one or b <= allowed:
                 # the nearer edge of the bucket: before it, or after all keys that begin so
                 found[i] = p if want - below <= below + b - want else p + "~"
                 del open_[i]
