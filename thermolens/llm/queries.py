@@ -5,10 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import merkle, mixing, packing, pii, quality_rules, sharding, simhash
+from . import licenses, merkle, mixing, packing, pii, quality_rules, sharding, simhash, url_filters
 from .common import table
 
 
+# The stated URL rules of the contract, ``host/path``.
+URL_RULES = [
+    ("com/", "allow"),
+    ("example.com/en/", "block"),
+    ("www.example.com/en/", "allow"),
+    ("net/es/", "block"),
+    ("net/fr/", "block"),
+]
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License of every document: its own header's, else the nearest ancestor directory's
+    (a document's path is source/language/id)."""
+    docs = table(spark, sf_dir, "documents")
+    files = docs.select("doc_id", F.concat_ws("/", "source", "lang", "doc_id").alias("path"), "text")
+    d = licenses.licensed(files)
+    return d.select("doc_id", "path", F.col("header.license").alias("header_license"),
+                    F.col("header.cosine").alias("header_cosine"), F.col("header.line").alias("header_line"),
+                    F.col("file.license").alias("file_license"), "inherited_from", "inherited", "license")
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL: the stated rule's, else the mined rules'.
+
+    Pages are labelled by the stated rules, the others by the label of the document
+    with the page's number, where there is one: low quality or toxic means block."""
+    bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), F.lit("block")).otherwise(F.lit("allow"))
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("verdict"))
+    d = url_filters.filtered(table(spark, sf_dir, "pages"), labels, URL_RULES)
+    return d.select("page_id", "host", "path", "rule", "verdict", "mined_rule", "confidence")
+
+
 def trusted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of the documents that the labels call good: the trusted target."""
     return table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
@@ -64,7 +96,9 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_quality_rules": op2_quality_rules,
+    "op3_url_filter": op3_url_filter,
     "op4_sharding": op4_sharding,
     "op5_mixing": op5_mixing,
     "op6_pii": op6_pii,
