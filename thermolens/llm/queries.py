@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, merkle, mixing, packing, pii, quality_rules, sharding, simhash, url_filters
+from . import licenses, merkle, mixing, packing, pii, quality_classifier, quality_rules, sharding, simhash, url_filters
 from .common import table
 
 
@@ -95,6 +95,15 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chance that every document is of good quality."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
+    d = quality_classifier.scored(docs, model)
+    return d.select("doc_id", quality_classifier.held_out(F.col("doc_id")).alias("held_out"), "score",
+                    (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_quality_rules": op2_quality_rules,
@@ -105,6 +114,7 @@ QUERIES = {
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLE: dict[str, str] = {}
