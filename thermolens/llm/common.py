@@ -31,15 +31,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def filter_settled(df: DataFrame, condition: Column) -> DataFrame:
-    """Rows of ``df`` that meet ``condition``, judged on its finished columns.
+def settled(df: DataFrame, names: list[str]) -> DataFrame:
+    """``df`` with the computed columns ``names`` finished: a filter on them stays above.
 
-    A plain filter is pushed through the projections that compute its columns and is
-    inlined there; inside a lambda that means once per array element.  A
-    non-deterministic column holds the filter where it stands.
+    A filter is otherwise pushed through the projections that compute its columns and inlined
+    there; inside a lambda that means once per array element.  Nothing is pushed
+    through a generator's output, so the columns pass through one.
     """
-    return df.withColumn("_settled", F.monotonically_increasing_id()).where(
-        condition & (F.col("_settled") >= 0)).drop("_settled")
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in names]
+    one = F.array(F.struct(*[F.col(f"`{c}`") for c in names]))
+    d = df.select(*rest, F.explode_outer(one).alias("_done"))
+    return d.select(*rest, *[F.col(f"_done.`{c}`").alias(c) for c in names])
 
 
 def with_workers(spark: SparkSession) -> None:

@@ -25,6 +25,8 @@ other columns, whatever their names, are not touched.
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from bisect import bisect_left, bisect_right
 
@@ -38,9 +40,8 @@ from .common import checkpointed, gapless_positions, with_workers
 
 LENGTH = 2048
 END_ID = 0
-_CACHE_WORDS = 400_000
-# White space at which a text may be cut before tokenizing (the tokenizer drops it).
-_BREAKS = str.maketrans("\t\n\r", "   ")
+_CACHE_WORDS = 300_000
+_CACHE_PARTS = 700_000
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -48,30 +49,72 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-class WordIds:
-    """Ids of a text, as little-endian 32-bit bytes, from a bounded cache of words.
+# A word of precomposed Latin letters, then marks without an apostrophe: exactly two
+# pre-tokens, whose ids the BPE model gives directly (the normalizer only lower-cases them).
+_PLAIN_WORD = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u017E]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable character that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+class WordIds(dict):
+    """Word -> its ids as little-endian 32-bit bytes; a bounded cache over the tokenizer.
 
     The tokenizer's pre-tokens never cross white space, so a text's ids are its
-    words' ids in order; each distinct word is tokenized once per worker."""
+    words' ids in order.  Words that are not plain go through the whole tokenizer.
+    """
 
     def __init__(self, path: str):
+        super().__init__()
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def __call__(self, text: str) -> bytes:
-        words = text.translate(_BREAKS).split(" ")
-        known = self.known
-        new = list({w for w in words if w not in known})
-        if new:
-            if len(known) + len(new) > _CACHE_WORDS:
-                known.clear()
-                new = list(set(words))
-            for a in range(0, len(new), 4096):
-                part = new[a:a + 4096]
-                for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                    known[w] = np.asarray(e.ids, dtype="<u4").tobytes()
-        return b"".join([known[w] for w in words])
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.parts: dict[str, bytes] = {}
+
+    def of_text(self, text: str) -> bytes:
+        # cut at any of the white space that the tokenizer drops; other kinds stay inside a word
+        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        return b"".join(map(self.__getitem__, words))
+
+    def __missing__(self, word: str) -> bytes:
+        m = _PLAIN_WORD.fullmatch(word)
+        if m:
+            ids = self._part(m[1].lower()) + (self._part(m[2]) if m[2] else b"")
+        else:
+            ids = _packed_ids(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        if len(self) >= _CACHE_WORDS:
+            self.clear()
+        self[word] = ids
+        return ids
+
+    def _part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            shown = part if part.isascii() else "".join([self.letters[b] for b in part.encode()])
+            ids = _packed_ids([t.id for t in self.model.tokenize(shown)])
+            if len(self.parts) >= _CACHE_PARTS:
+                self.parts.clear()
+            self.parts[part] = ids
+        return ids
+
+
+def _packed_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+_SHARED: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    """This worker process's cache, kept from task to task."""
+    if path not in _SHARED:
+        _SHARED[path] = WordIds(path)
+    return _SHARED[path]
 
 
 def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH) -> DataFrame:
@@ -81,7 +124,7 @@ def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH) -> Da
     end = np.uint32(END_ID).astype("<u4").tobytes()
 
     def run(batches):
-        ids_of = WordIds(where or tokenizer_path())
+        ids_of = word_ids(where or tokenizer_path()).of_text
         for b in batches:
             row, piece, start, size, crc = [], [], [], [], []
             for i, text in enumerate(b.column(1).to_pylist()):

@@ -295,10 +295,10 @@ def masked(docs: DataFrame) -> DataFrame:
     def mask(texts: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([mask_text(t, s) for t, s in zip(texts, spans, strict=True)], dtype=object)
 
-    d = with_spans(docs, learn_patterns(docs), base="_base", spans="_spans")
-    new = d.withColumn("_new", mask(F.col("text"), F.col("_spans")))
-    cols = {"text": F.col("_new")}
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "text")
+    d = with_spans(d, learn_patterns(docs)).withColumn("_new", mask(F.col("text"), F.col("spans")))
+    new = {"text": F.col("_new")}
     if "n_chars" in docs.columns:
-        cols["n_chars"] = F.when(F.col("_spans") == "", F.col("n_chars")).otherwise(
+        new["n_chars"] = F.when(F.col("spans") == "", F.col("_row.n_chars")).otherwise(
             F.length("_new").cast(docs.schema["n_chars"].dataType))
-    return new.select(*[cols.get(c, F.col(c)).alias(c) for c in docs.columns])
+    return d.select(*[new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, filter_settled, text_of, words_of
+from .common import checkpointed, settled, text_of, words_of
 
 BUCKETS = 1 << 14
 GRAM_TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]+"
@@ -82,7 +82,8 @@ def text_counts(df: DataFrame, text: str = "text") -> DataFrame:
     covered = F.expr("""aggregate(transform(_at, (p, j) -> least(3, coalesce(get(_at, j + 1) - p, 3))), 0L,
                         (s, x) -> s + x)""")
     d = d.withColumn("n_repeat_words", covered)
-    return d.select(*own, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return settled(d.select(*own, *names), names)
 
 
 def base_failed() -> Column:
@@ -144,7 +145,8 @@ def judge(docs: DataFrame, trusted_ids: DataFrame, text: str = "text", doc_id: s
         "case when size(_b) = 0 then 0D else aggregate(_b, 0D, (s, b) -> s + get(_llr, b)) / size(_b) end"))
     d = text_counts(d.select(*own, "llr_score"), text)
     d = d.withColumn("base_failed", base_failed())
-    return d.withColumn("kept", ~F.col("base_failed") & (F.col("llr_score") >= F.lit(threshold))).select(*own, *made)
+    d = d.withColumn("kept", ~F.col("base_failed") & (F.col("llr_score") >= F.lit(threshold)))
+    return settled(d.select(*own, *made), made)
 
 
 def keep_good(docs: DataFrame, trusted_ids: DataFrame, **how) -> DataFrame:
@@ -152,4 +154,4 @@ def keep_good(docs: DataFrame, trusted_ids: DataFrame, **how) -> DataFrame:
     # judged on a narrow copy under private names, so that clashing columns stay as they are
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
                     F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
-    return filter_settled(judge(d, trusted_ids, **how), F.col("kept")).select("_row.*")
+    return judge(d, trusted_ids, **how).where("kept").select("_row.*")

@@ -241,17 +241,18 @@ def keep_representatives(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -
     Rows that repeat an id are one document, of which one row stays; rows without an
     id stay only where no member of their component has one (then one row stays).
     """
-    found = near_duplicates(docs, shingle, max_bits)
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "text")
+    found = near_duplicates(d, shingle, max_bits)
     named = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(named, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    lost = docs.where("doc_id is null")
+    kept = d.join(named, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("_row.*")
+    lost = d.where("doc_id is null")
     if lost.select("doc_id").isEmpty():
         return kept
     nameless = checkpointed(found.where("component_id is null").select("fp").distinct())
     comp = components(links(nameless, max_bits))
     stay = _tagged(lost, shingle).join(nameless, F.col("_fp") == F.col("fp"), "left_semi")
     stay = stay.join(comp, F.col("_fp") == F.col("fp"), "left").withColumn("_root", F.coalesce("root", "_fp"))
-    return kept.unionByName(stay.dropDuplicates(["_root"]).select(*docs.columns))
+    return kept.unionByName(stay.dropDuplicates(["_root"]).select("_row.*"))
 
 
 def _tagged(docs: DataFrame, shingle: int) -> DataFrame:
