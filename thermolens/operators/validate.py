@@ -88,9 +88,9 @@ def missed_types(df: DataFrame, y: str = "is_anomaly", yhat: str = "ensemble",
     return df.where(_b(y) & ~_b(yhat)).groupBy(kind).agg(F.count(F.lit(1)).alias("n"))
 
 
-def recall_gate(df: DataFrame, threshold: float = 0.7, first_n: int | None = 500, y: str = "is_anomaly",
+def recall_gate(df: DataFrame, threshold: float = 0.7, first_n: int | None = None, y: str = "is_anomaly",
                 yhat: str = "ensemble", s: Series = DEFAULT_SERIES, layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
-    """V8: recall on the first ``first_n`` rows in time order (all when None) and
+    """V8: recall on all rows, or on the first ``first_n`` in time order, and
     ``recall >= threshold``."""
     if first_n is not None:
         from ..sources.readers import slice_rows

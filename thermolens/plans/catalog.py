@@ -258,7 +258,7 @@ def v7_detection_status(spark, sf):
 
 
 def v8_recall_gate(spark, sf):
-    return rnd(validate.recall_gate(scored(spark, sf), 0.7, 500), ["precision", "recall", "f1_score", "accuracy"])
+    return rnd(validate.recall_gate(scored(spark, sf), 0.7), ["precision", "recall", "f1_score", "accuracy"])
 
 
 def d14_chronological_split(spark, sf):
@@ -500,46 +500,53 @@ def _stream_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
 
 
+def _run_rollup(spark, sf, name, then):
+    from ..sources.fixtures import events
+    from ..streaming.queries import events_stream, run_rollup
+    out = run_rollup(events_stream(spark, sf), events(spark, sf), _stream_name(name), then)
+    return out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
 def t1_stream_rollup(spark, sf):
-    """Watermarked hourly rollup of the events stream (closed windows)."""
-    from ..streaming.queries import events_stream, run_to_table, stream_rollup
-    out = run_to_table(stream_rollup(events_stream(spark, sf), "1 hour", "1 hour"), _stream_name("t1"))
-    return rnd(out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")), ["avg", "stddev_v"])
+    """Watermarked hourly rollup of the events stream, all windows."""
+    return rnd(_run_rollup(spark, sf, "t1", lambda d: d), ["avg", "stddev_v"])
 
 
 def t2t3_stream_rules_score(spark, sf):
     """T2 + T3: domain rules and the statistical detector with a frozen batch
     baseline, on the streamed hourly rollup."""
-    from ..streaming.queries import events_stream, run_to_table, stream_domain_rules, stream_rollup, stream_score
+    from ..streaming.queries import stream_domain_rules, stream_score
     frozen = baseline_fit(readings_hourly(spark, sf), "avg")
-    s = stream_rollup(events_stream(spark, sf), "1 hour", "1 hour").withColumn("T_diff", F.col("max_v") - F.col("min_v"))
-    s = stream_score(stream_domain_rules(s), frozen)
-    out = run_to_table(s.select("event_type", "timestamp", "rule_avg_range", "rule_min_gt_max", "rule_spread_range",
-                                "domain_anomaly", "statistical", "statistical_score"), _stream_name("t23"))
-    return rnd(out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")), ["statistical_score"])
+
+    def then(d):
+        d = d.withColumn("T_diff", F.col("max_v") - F.col("min_v"))
+        d = stream_score(stream_domain_rules(d), frozen)
+        return d.select("event_type", "timestamp", "rule_avg_range", "rule_min_gt_max", "rule_spread_range",
+                        "domain_anomaly", "statistical", "statistical_score")
+    return rnd(_run_rollup(spark, sf, "t23", then), ["statistical_score"])
 
 
 def t4_stream_ensemble(spark, sf):
     """T4: ensemble vote on the stream with min/max frozen from the batch scores."""
     from ..operators.scaling import minmax_fit
-    from ..streaming.queries import events_stream, run_to_table, stream_ensemble, stream_rollup, stream_score
+    from ..streaming.queries import stream_ensemble, stream_score
     hourly = readings_hourly(spark, sf)
     frozen = baseline_fit(hourly, "avg")
     batch_scores = baseline_predict(hourly, frozen, "avg", out="statistical", score_out="statistical_score")
     mm = minmax_fit(batch_scores, ["statistical_score"])
-    s = stream_score(stream_rollup(events_stream(spark, sf), "1 hour", "1 hour"), frozen)
-    s = stream_ensemble(s, {"statistical_score": 1.0}, mm, 0.5)
-    out = run_to_table(s.select("event_type", "timestamp", "statistical_score", "ensemble_score", "ensemble"),
-                       _stream_name("t4"))
-    return rnd(out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")), ["statistical_score", "ensemble_score"])
+
+    def then(d):
+        d = stream_ensemble(stream_score(d, frozen), {"statistical_score": 1.0}, mm, 0.5)
+        return d.select("event_type", "timestamp", "statistical_score", "ensemble_score", "ensemble")
+    return rnd(_run_rollup(spark, sf, "t4", then), ["statistical_score", "ensemble_score"])
 
 
 def _stream_series(spark, sf):
-    from ..streaming.queries import events_stream, run_to_table, stream_series_state
+    from ..streaming.queries import events_stream, run_series_state
     ev = events_stream(spark, sf)
     rd = ev.select(F.col("ts").alias("timestamp"), F.col("value").alias("avg"), F.lit("domestic").alias("type"),
                    F.col("user_id").cast("string").alias("ID"))
-    return run_to_table(stream_series_state(rd, "1 hour", 24, 2.0), _stream_name("t57"))
+    return run_series_state(rd, _stream_name("t57"), "1 hour", 24, 2.0)
 
 
 def t5t6_stream_gap_rate_sigma(spark, sf):
@@ -551,18 +558,17 @@ def t5t6_stream_gap_rate_sigma(spark, sf):
 
 
 def t7_stream_periods(spark, sf):
-    """Closed anomaly periods from the stream."""
+    """All anomaly periods from the stream."""
     o = _stream_series(spark, sf).where(F.col("record") == "period")
     return o.select("type", "ID", "period_no", F.col("start_ts").cast("timestamp_ntz").alias("start_ts"),
                     F.col("end_ts").cast("timestamp_ntz").alias("end_ts"), "n_rows")
 
 
 def t9_stream_dedup(spark, sf):
-    """The events stream read twice (at-least-once delivery), deduplicated."""
-    from ..streaming.queries import events_stream, run_to_table
-    ev = events_stream(spark, sf)
-    both = ev.unionByName(events_stream(spark, sf))
-    d = both.withWatermark("ts", "1 hour").dropDuplicatesWithinWatermark(["event_type", "ts"])
+    """The events stream read twice (at-least-once delivery), deduplicated by event."""
+    from ..streaming.queries import events_stream, run_to_table, stream_dedup
+    both = events_stream(spark, sf).unionByName(events_stream(spark, sf))
+    d = stream_dedup(both, ("event_id",), "ts", "1 hour")
     out = run_to_table(d.select("event_id", "ts", "event_type", "value"), _stream_name("t9"))
     return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 

@@ -404,7 +404,7 @@ V7 = with_(SCORED) + '''SELECT "type", "ID", "timestamp", round("avg", 6) AS "av
 FROM pred'''
 V8 = with_(SCORED) + f'''SELECT *, {_metrics()}, CAST(0.7 AS DOUBLE) AS recall_threshold,
   coalesce(true_positives::DOUBLE / nullif(true_positives + false_negatives, 0), 0.0) >= 0.7 AS validation_passed
-FROM (SELECT {_CONF} FROM (SELECT * FROM pred ORDER BY "timestamp", "type", "ID" LIMIT 500))'''
+FROM (SELECT {_CONF} FROM pred)'''
 V2 = with_(SCORED) + f'''SELECT *, {_metrics()} FROM (SELECT {_CONF.replace('ensemble = ', 'statistical = ')} FROM pred)'''
 
 D14 = q('''SELECT "type", "ID", "timestamp",
@@ -530,19 +530,17 @@ for _name, _val in list(globals().items()):
     if _name.isupper() and isinstance(_val, str) and _name not in ("HOURLY", "READINGS", "FAULTED", "SCORED", "LABELED", "VALS"):
         globals()[_name] = _rewrite_round(_val)
 
-# ---------------------------------------------------------------- streaming (closed windows / released rows only)
+# ---------------------------------------------------------------- streaming (the whole finite input)
 T1 = _rewrite_round('''
 SELECT * FROM (
   SELECT event_type, date_trunc('hour', ts) AS "timestamp", round(avg(value), 6) AS "avg", min(value) AS min_v,
     max(value) AS max_v, round(stddev_samp(value), 6) AS stddev_v
-  FROM events GROUP BY 1, 2)
-WHERE epoch_us("timestamp" + INTERVAL 1 HOUR) <= (SELECT floor(epoch_us(max(ts)) / 1000) * 1000 - 3600000000 FROM events)''')
+  FROM events GROUP BY 1, 2)''')
 
 T9 = 'SELECT event_id, ts, event_type, value FROM events'
 
 _STREAM_SERIES = '''
 WITH ev AS (SELECT 'domestic' AS "type", CAST(user_id AS VARCHAR) AS "ID", ts AS "timestamp", value AS "avg" FROM events),
-lim AS (SELECT floor(epoch_us(max(ts)) / 1000) * 1000 - 3600000000 AS wm FROM events),
 f AS (
   SELECT *, CAST(floor(date_diff('microsecond', lag("timestamp") OVER w, "timestamp") / 60000000.0) AS BIGINT) AS time_diff_min,
     avg("avg") OVER w24 AS rm, stddev_samp("avg") OVER w24 AS rs, lag("avg") OVER w AS pa, row_number() OVER w AS rn
@@ -551,7 +549,7 @@ f AS (
 ),
 g AS (SELECT *, coalesce(abs("avg" - rm) > 2 * rs, false) AS anomaly,
         CASE WHEN rn = 1 THEN 0.0 WHEN time_diff_min > 0 THEN ("avg" - pa) / time_diff_min ELSE 0.0 END AS rate
-      FROM f, lim WHERE epoch_us("timestamp") <= lim.wm),
+      FROM f),
 g2 AS (SELECT *, CASE WHEN anomaly AND NOT coalesce(lag(anomaly) OVER (PARTITION BY "type", "ID" ORDER BY "timestamp"), false)
                        THEN 1 ELSE 0 END AS st FROM g),
 h AS (SELECT *, sum(st) OVER (PARTITION BY "type", "ID" ORDER BY "timestamp" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pno,
@@ -563,15 +561,14 @@ SELECT "type", "ID", "timestamp", "avg", time_diff_min, round(rate, 6) AS avg_ra
   round(rs, 6) AS avg_rolling_std, anomaly, CASE WHEN anomaly THEN CAST(pno AS BIGINT) END AS period_no FROM h''')
 T7 = _STREAM_SERIES + '''
 SELECT "type", "ID", CAST(pno AS BIGINT) AS period_no, min("timestamp") AS start_ts, max("timestamp") AS end_ts, count(*) AS n_rows
-FROM h WHERE anomaly GROUP BY "type", "ID", pno HAVING max("timestamp") < any_value(last_ts)'''
+FROM h WHERE anomaly GROUP BY "type", "ID", pno'''
 
 T2T3 = _rewrite_round(HOURLY.replace("hourly AS (", "WITH hourly AS (", 1) + ''',
 bp AS (SELECT avg("avg") AS mean, stddev_pop("avg") AS std, quantile_cont("avg", 0.25) AS q1, quantile_cont("avg", 0.75) AS q3 FROM hourly),
 closed AS (
   SELECT * FROM (
     SELECT event_type, date_trunc('hour', ts) AS "timestamp", avg(value) AS "avg", min(value) AS min_v, max(value) AS max_v
-    FROM events GROUP BY 1, 2)
-  WHERE epoch_us("timestamp" + INTERVAL 1 HOUR) <= (SELECT floor(epoch_us(max(ts)) / 1000) * 1000 - 3600000000 FROM events))
+    FROM events GROUP BY 1, 2))
 SELECT event_type, "timestamp",
   coalesce(("avg" < -10) OR ("avg" > 100), false) AS rule_avg_range, coalesce(min_v > max_v, false) AS rule_min_gt_max,
   coalesce((max_v - min_v < 0) OR (max_v - min_v > 50), false) AS rule_spread_range,
@@ -593,9 +590,11 @@ def _forest_sql(trees=100, psi=256, seed=42, q=0.1, levels=8):
     ctes = [READINGS.strip(),
             """rows_ AS (SELECT "type", "ID", "timestamp", "avg", "type" || '|' || "ID" AS k, epoch_us("timestamp") AS us, "avg" AS x
               FROM readings WHERE "avg" IS NOT NULL)""",
-            f"""pool AS (SELECT * FROM rows_ WHERE {_hu(f"'{seed}'", 'k', 'CAST(us AS VARCHAR)', "'pool'")} < least(1.0, {4 * trees * psi}.0 / (SELECT count(*) FROM rows_)))""",
-            f"""rep AS (SELECT p.*, CAST(t.tree AS INTEGER) AS tree FROM pool p, range({trees}) t(tree))""",
-            f"""smp AS (SELECT tree, x, row_number() OVER (PARTITION BY tree ORDER BY {_hu(f"'{seed}'", 'CAST(tree AS VARCHAR)', 'k', 'CAST(us AS VARCHAR)', "'tree'")}, k, us) AS r FROM rep)""",
+            f"""hashed AS (SELECT *, CAST({_hu(f"'{seed}'", 'k', 'CAST(us AS VARCHAR)')} * 4294967296 AS BIGINT) AS b FROM rows_)""",
+            f"""trees_ AS (SELECT CAST(tree AS INTEGER) AS tree, CAST(((tree + 1) * 1103515245 + {seed} * 12345) % 2147483648 AS BIGINT) AS a
+              FROM range({trees}) t(tree))""",
+            """rep AS (SELECT p.*, t.tree, (b * (a - a % 2 + 1) + t.tree * 69069) % 4294967296 AS h FROM hashed p, trees_ t)""",
+            """smp AS (SELECT tree, x, row_number() OVER (PARTITION BY tree ORDER BY h, k, us) AS r FROM rep)""",
             """l0 AS (SELECT tree, x, CAST(1 AS BIGINT) AS node, 0 AS depth, CAST('-inf' AS DOUBLE) AS lo, CAST('inf' AS DOUBLE) AS hi, false AS done
               FROM smp WHERE r <= %d)""" % psi]
     for i in range(levels):
@@ -661,8 +660,7 @@ bscore AS (SELECT abs(("avg" - bp.mean) / nullif(bp.std, 0)) / 3.0
         + CAST(coalesce(("avg" < bp.q1 - 1.5 * (bp.q3 - bp.q1)) OR ("avg" > bp.q3 + 1.5 * (bp.q3 - bp.q1)), false) AS DOUBLE) AS sc FROM hourly, bp),
 mm AS (SELECT min(sc) AS lo, max(sc) AS hi FROM bscore),
 closed AS (
-  SELECT * FROM (SELECT event_type, date_trunc('hour', ts) AS "timestamp", avg(value) AS "avg" FROM events GROUP BY 1, 2)
-  WHERE epoch_us("timestamp" + INTERVAL 1 HOUR) <= (SELECT floor(epoch_us(max(ts)) / 1000) * 1000 - 3600000000 FROM events)),
+  SELECT * FROM (SELECT event_type, date_trunc('hour', ts) AS "timestamp", avg(value) AS "avg" FROM events GROUP BY 1, 2)),
 scored AS (SELECT event_type, "timestamp", abs(("avg" - bp.mean) / nullif(bp.std, 0)) / 3.0
         + CAST(coalesce(("avg" < bp.q1 - 1.5 * (bp.q3 - bp.q1)) OR ("avg" > bp.q3 + 1.5 * (bp.q3 - bp.q1)), false) AS DOUBLE) AS sc FROM closed, bp)
 SELECT event_type, "timestamp", round(sc, 6) AS statistical_score,

@@ -59,18 +59,13 @@ def write_readings(df: DataFrame, path: str, fmt: str = "parquet",
     w.save(path)
 
 
-TOP_K_LIMIT = 100_000
-
-
 def slice_rows(df: DataFrame, start: int, end: int | None = None, per_series: bool = False,
                series=None, layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
     """Positional slice ``[start, end)`` in time order (``head(n)``, ``iloc``).
 
     * per series: a filter on the exact distributed position (no series in one task);
-    * whole table, small ``end`` (a head): a top-k sort -- each task keeps at most
-      ``end`` rows and the final merge holds ``end`` x tasks rows;
-    * whole table, large or open slice: exact positions over fine (1 minute) time
-      chunks, so no task holds more than a minute of the whole table.
+    * whole table: the same filter on positions in the whole table's time order, over
+      fine (1 minute) time chunks.
     Ties in time are broken by the series key, then ``series.tiebreak``.
     """
     from ..operators.windows import pos_col, sk_col
@@ -78,8 +73,6 @@ def slice_rows(df: DataFrame, start: int, end: int | None = None, per_series: bo
     s = series or DEFAULT_SERIES
     if not per_series:
         s = Series(key=(), ts=s.ts, tiebreak=tuple(c for c in s.key if c in df.columns) + tuple(s.tiebreak))
-        if end is not None and end <= TOP_K_LIMIT:
-            return df.orderBy(*s.order).limit(end).offset(start)
         layout = Layout(layout.strategy, "1 minute", layout.block_rows)
     s = s.present(df)
     d = with_position(df, s, layout)

@@ -21,7 +21,8 @@ from __future__ import annotations
 import json
 import math
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,7 @@ from ..operators.detect.baseline import baseline_predict
 from ..operators.detect.ensemble import ensemble_predict
 from ..operators.detect.rules import domain_rules
 from ..schema import SERIES_KEY
+from ..sources.readers import rollup_readings
 
 EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -50,8 +52,10 @@ def checkpoint_location(spark: SparkSession, name: str) -> str:
 def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
     """The driver's ``events`` parquet as a stream; ``ts`` cast to TIMESTAMP because a
     watermark needs it (the session zone is UTC, so instants are unchanged)."""
-    s = (spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events*.parquet")
-         .option("maxFilesPerTrigger", max_files_per_trigger).parquet(sf_dir))
+    s = (spark.readStream.schema(EVENTS_SCHEMA)
+         .option("maxFilesPerTrigger", max_files_per_trigger)
+         # a pattern, so that the table may be one file or a folder of part files
+         .parquet(f"{sf_dir}/event[s].parquet"))
     return s.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -96,7 +100,7 @@ def stream_dedup(readings: DataFrame, key: Sequence[str] = SERIES_KEY, ts: str =
 
 
 SERIES_OUT = T.StructType([
-    T.StructField("record", T.StringType()),             # 'reading' or 'period'
+    T.StructField("record", T.StringType()),             # 'reading', 'period' or 'late'
     T.StructField("type", T.StringType()), T.StructField("ID", T.StringType()),
     T.StructField("timestamp", T.TimestampType()), T.StructField("avg", T.DoubleType()),
     T.StructField("time_diff_min", T.LongType()), T.StructField("avg_rate_per_min", T.DoubleType()),
@@ -108,55 +112,65 @@ SERIES_OUT = T.StructType([
 STATE = T.StructType([T.StructField("s", T.StringType())])
 
 
+def _release(st: dict, key: Sequence, wm_us: float, window: int, k: float, close: bool = False) -> list[tuple]:
+    """Move the buffered rows up to the watermark out of the state, in event-time order,
+    as output records; ``close`` also ends the open run (no more rows can come)."""
+    st["buf"].sort(key=lambda r: (r[0], r[1] is None, r[1] or 0.0))
+    ready = [r for r in st["buf"] if r[0] <= wm_us]
+    st["buf"] = [r for r in st["buf"] if r[0] > wm_us]
+    out = []
+
+    def period():
+        s0, s1, n = st["run"]
+        st["run"] = None
+        return ("period", key[0], key[1], None, None, None, None, None, None, None, st["pno"],
+                pd.Timestamp(s0 * 1000), pd.Timestamp(s1 * 1000), n)
+
+    for us, a in ready:
+        prev = st["last"]
+        gap = None if prev is None else (us - prev[0]) // 60_000_000
+        if prev is None or not gap or gap <= 0:
+            rate = 0.0
+        else:
+            rate = (a - prev[1]) / gap if a is not None and prev[1] is not None else None
+        win = (st["win"] + [a])[-window:]
+        vals = [v for v in win if v is not None]
+        mean = sum(vals) / len(vals) if vals else None
+        std = math.sqrt(sum((v - mean) ** 2 for v in vals) / (len(vals) - 1)) if len(vals) > 1 else None
+        flag = bool(a is not None and std is not None and abs(a - mean) > k * std)
+        if flag:
+            if st["run"] is None:
+                st["pno"] += 1
+                st["run"] = [us, us, 0]
+            st["run"][1] = us
+            st["run"][2] += 1
+        elif st["run"] is not None:
+            out.append(period())
+        out.append(("reading", key[0], key[1], pd.Timestamp(us * 1000), a, gap, rate, mean, std, flag,
+                    st["pno"] if flag else None, None, None, None))
+        st["last"] = [us, a]
+        st["win"] = win[-(window - 1):] if window > 1 else []
+    if close and st["run"] is not None:
+        out.append(period())
+    return out
+
+
 def _series_state_fn(window: int, k: float):
     def fn(key, pdfs, state):
         st = json.loads(state.get[0]) if state.exists else {"buf": [], "last": None, "win": [], "run": None,
-                                                             "pno": 0, "late": 0}
+                                                             "pno": 0}
         last_us = st["last"][0] if st["last"] else None
+        late = 0
         for pdf in pdfs:
             for t, a in zip(pdf["timestamp"], pdf["avg"]):
                 us = int(pd.Timestamp(t).value // 1000)
-                if last_us is not None and us <= last_us:
-                    st["late"] += 1          # behind what was already released: dropped, counted
+                if last_us is not None and us < last_us:
+                    late += 1          # behind what was already released: reported, not ordered in
                     continue
                 st["buf"].append([us, None if a is None or (isinstance(a, float) and math.isnan(a)) else float(a)])
-        wm_us = state.getCurrentWatermarkMs() * 1000
-        st["buf"].sort()
-        ready = [r for r in st["buf"] if r[0] <= wm_us]
-        st["buf"] = [r for r in st["buf"] if r[0] > wm_us]
-        out = []
-        for us, a in ready:
-            prev = st["last"]
-            gap = None if prev is None else (us - prev[0]) // 60_000_000
-            if prev is None:
-                rate = 0.0
-            elif gap is not None and gap > 0 and a is not None and prev[1] is not None:
-                rate = (a - prev[1]) / gap
-            elif gap is not None and gap > 0:
-                rate = None
-            else:
-                rate = 0.0
-            win = (st["win"] + [a])[-window:]
-            vals = [v for v in win if v is not None]
-            mean = sum(vals) / len(vals) if vals else None
-            std = math.sqrt(sum((v - mean) ** 2 for v in vals) / (len(vals) - 1)) if len(vals) > 1 else None
-            flag = bool(a is not None and std is not None and abs(a - mean) > k * std)
-            ts = pd.Timestamp(us * 1000)
-            if flag and st["run"] is None:
-                st["pno"] += 1
-                st["run"] = [us, us, 0]
-            if flag:
-                st["run"][1] = us
-                st["run"][2] += 1
-            elif st["run"] is not None:
-                s0, s1, n = st["run"]
-                out.append(("period", key[0], key[1], None, None, None, None, None, None, None, st["pno"],
-                            pd.Timestamp(s0 * 1000), pd.Timestamp(s1 * 1000), n))
-                st["run"] = None
-            out.append(("reading", key[0], key[1], ts, a, gap, rate, mean, std, flag,
-                        st["pno"] if flag else None, None, None, None))
-            st["last"] = [us, a]
-            st["win"] = win[-(window - 1):] if window > 1 else []
+        out = _release(st, key, state.getCurrentWatermarkMs() * 1000, window, k)
+        if late:
+            out.append(("late", key[0], key[1], None, None, None, None, None, None, None, None, None, None, late))
         state.update((json.dumps(st),))
         if st["buf"]:
             state.setTimeoutTimestamp(max(st["buf"][0][0] // 1000, state.getCurrentWatermarkMs() + 1))
@@ -169,7 +183,8 @@ def stream_series_state(readings: DataFrame, watermark: str = "1 hour", window:
                         key: Sequence[str] = SERIES_KEY) -> DataFrame:
     """T5-T7 on a readings stream (``timestamp`` TIMESTAMP, ``avg``, key columns).
     ``record = 'reading'`` rows carry gap / rate / rolling statistics / flag /
-    period number; ``record = 'period'`` rows are closed anomaly periods."""
+    period number; ``record = 'period'`` rows are closed anomaly periods; ``record =
+    'late'`` rows count (``n_rows``) readings that came behind released ones."""
     from ..session import ship_package
     ship_package(readings.sparkSession)
     return (readings.withWatermark("timestamp", watermark)
@@ -192,12 +207,64 @@ def monitor(scored_stream: DataFrame, report_path: str, checkpoint: str, y: str
     return w.start()
 
 
-def run_to_table(stream: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
-    """Run a stream over everything available (``availableNow``) into a memory
-    table and return it as a batch DataFrame (used by registered queries and tests)."""
+@dataclass
+class StreamRun:
+    """A finished run: the sink table, the query's checkpoint and its last watermark."""
+
+    table: DataFrame
+    checkpoint: str
+    watermark: str | None
+
+
+def run_stream(stream: DataFrame, name: str) -> StreamRun:
+    """Run a stream over everything available (``availableNow``) into a Parquet sink
+    under the shared checkpoint folder; no row passes through the driver."""
     spark = stream.sparkSession
-    q = (stream.writeStream.format("memory").queryName(name).outputMode(output_mode)
-         .option("checkpointLocation", checkpoint_location(spark, name))
+    base = checkpoint_location(spark, name)
+    q = (stream.writeStream.format("parquet").queryName(name).outputMode("append")
+         .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.table(name)
+    times = [p["eventTime"].get("watermark") for p in q.recentProgress if p["eventTime"]]
+    table = spark.read.schema(stream.schema).parquet(f"{base}/out")
+    return StreamRun(table, f"{base}/checkpoint", times[-1] if times else None)
+
+
+def run_to_table(stream: DataFrame, name: str) -> DataFrame:
+    """``run_stream``'s table: a stateless or append-mode stream as a batch DataFrame."""
+    return run_stream(stream, name).table
+
+
+def run_rollup(events: DataFrame, batch_events: DataFrame, name: str, then: Callable[[DataFrame], DataFrame],
+               width: str = "1 hour", watermark: str = "1 hour", key: Sequence[str] = ("event_type",),
+               ts: str = "ts", value: str = "value") -> DataFrame:
+    """T1 and what follows it (``then``) over a finite stream, all windows included:
+    the windows that the last watermark left open are rolled up from the end of the
+    same input, now that no more rows can come."""
+    run = run_stream(then(stream_rollup(events, width, watermark, key, ts, value)), name)
+    rest = batch_events
+    if run.watermark:
+        end = F.to_timestamp(F.lit(run.watermark))
+        rest = rest.where(F.window(ts, width).end > end)
+    rest = rollup_readings(rest.withColumn(ts, F.col(ts).cast("timestamp")), width, key, ts, value)
+    rest = rest.select(*key, "timestamp", "avg", "min_v", "max_v", "stddev_v")
+    return run.table.unionByName(then(rest))
+
+
+def run_series_state(readings: DataFrame, name: str, watermark: str = "1 hour", window: int = 24,
+                     k: float = 2.0, key: Sequence[str] = SERIES_KEY) -> DataFrame:
+    """T5-T7 over a finite stream, its end included: what is still buffered, and runs
+    still open, are read from the query's state and released as if the watermark had passed."""
+    run = run_stream(stream_series_state(readings, watermark, window, k, key), name)
+    spark = readings.sparkSession
+    state = spark.read.format("statestore").load(run.checkpoint)
+    state = state.select(*[F.col(f"key.{c}").alias(c) for c in key], F.col("value.groupState.s").alias("s"))
+
+    def flush(pdfs):
+        for pdf in pdfs:
+            out = []
+            for *series, s in pdf.itertuples(index=False):
+                out += _release(json.loads(s), series, math.inf, window, k, close=True)
+            yield pd.DataFrame(out, columns=[f.name for f in SERIES_OUT.fields])
+
+    return run.table.unionByName(state.mapInPandas(flush, SERIES_OUT))
