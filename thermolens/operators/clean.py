@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import nighttime as night_expr
 from ..functions.numeric import t_diff as t_diff_expr
 from ..schema import DEFAULT_SERIES, PRODUCTION_COLS, VALUE_COLS, Series, clean_doubles
+from .joins import join_null_safe
 from .timeseries import time_diff_min
 from .windows import DEFAULT_LAYOUT, Layout
 
@@ -107,9 +108,9 @@ def combine(dfs: Sequence[DataFrame]) -> DataFrame:
 
 def intersect_rows(a: DataFrame, b: DataFrame, on: Sequence[str] = ("type", "ID", "timestamp")) -> DataFrame:
     """Rows of ``a`` whose key is also in ``b`` (semi join)."""
-    return a.join(b.select(*on).distinct(), list(on), "left_semi")
+    return join_null_safe(a, b.select(*on), on, "left_semi")
 
 
 def except_rows(a: DataFrame, b: DataFrame, on: Sequence[str] = ("type", "ID", "timestamp")) -> DataFrame:
     """Rows of ``a`` whose key is not in ``b`` (anti join)."""
-    return a.join(b.select(*on).distinct(), list(on), "left_anti")
+    return join_null_safe(a, b.select(*on), on, "left_anti")

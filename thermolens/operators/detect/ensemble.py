@@ -3,8 +3,9 @@ threshold, ensemble metadata."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,6 +67,9 @@ class StatisticalDetector:
         return baseline_predict(df, params, self.col, (), out=self.name, score_out=f"{self.name}_score")
 
 
+SETTINGS = "detector string, detector_type string, settings string, weight double, threshold double"
+
+
 @dataclass
 class Ensemble:
     """Registered detectors with weights; fit each (each fit is Spark jobs on
@@ -90,8 +94,30 @@ class Ensemble:
                                                 lambda det=det: det.fit(df, label), force_retrain)
             else:
                 self.params[name] = det.fit(df, label)
+        if store:
+            self._save_settings(df.sparkSession, store)
         return self
 
+    def _save_settings(self, spark: SparkSession, store: str) -> None:
+        rows = [(n, type(d).__name__, json.dumps(asdict(d)), self.weights[n], float(self.threshold))
+                for n, d in self.detectors.items()]
+        spark.createDataFrame(rows, SETTINGS).coalesce(1).write.mode("overwrite").parquet(f"{store}/_ensemble")
+
+    @classmethod
+    def load(cls, spark: SparkSession, store: str, types: Mapping[str, type] | None = None) -> "Ensemble":
+        """The ensemble that ``fit(store=...)`` saved: detectors with their settings,
+        weights, threshold and fitted parameters.  ``types`` names further detector classes."""
+        from ...sources.readers import load_params
+        from .iforest import IsolationForestDetector
+        known = {c.__name__: c for c in (StatisticalDetector, IsolationForestDetector)} | dict(types or {})
+        out = cls()
+        # one row per detector
+        for r in spark.read.parquet(f"{store}/_ensemble").collect():
+            out.threshold = r["threshold"]
+            out.add_detector(known[r["detector_type"]](**json.loads(r["settings"])), r["weight"])
+            out.params[r["detector"]] = load_params(spark, f"{store}/{r['detector']}")
+        return out
+
     @property
     def is_fitted(self) -> bool:
         return bool(self.detectors) and all(n in self.params for n in self.detectors)

@@ -2,11 +2,9 @@
 
 1-D forest (D8), all in the DataFrame API:
 
-* **sample**: a uniform hash pool of about ``pool_factor * trees * psi`` rows (all
-  rows when the table is small), replicated once per tree; each tree keeps the
-  ``psi`` pool rows with the smallest hash of (seed, tree, row key).  A uniform
-  subset of a uniform pool is a uniform subset of the table.  Work is bounded by
-  ``trees * pool``, never ``trees * n``.
+* **sample**: each tree keeps the ``psi`` rows with the smallest rank hash of (seed,
+  tree, row key): one MD5 per row, one integer mix per tree.  Rows too large in that
+  hash to be kept are left out before the ranking, so about ``4 * psi`` rows per tree are shuffled.
 * **build**: level-wise.  For each of ``ceil(log2 psi)`` levels, min / max / count
   per (tree, node) is a window over the sample (at most ``trees * psi`` rows); a
   node splits at ``min + u(seed, tree, node) * (max - min)``; a row moves to child
@@ -85,18 +83,42 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def tree_samples(rows: DataFrame, trees: int, psi: int, seed: int, slack: float = 4.0) -> DataFrame:
+    """``rows`` (with ``_k``, ``_us``) plus ``tree``: per tree the ``psi`` rows with the smallest
+    rank hash.  One MD5 per row, then one integer mix per tree.
+
+    Rows whose hash lies above ``slack * psi / n`` are left out before the ranking: they
+    cannot be among the smallest ``psi`` when that many lie below, which ``complete_samples`` checks.
+    """
+    n = rows.agg(F.count(F.lit(1)).alias("_n"))
+    base = (hash_uniform(F.lit(seed), F.col("_k"), F.col("_us")) * F.lit(4294967296.0)).cast("long")
+    d = rows.crossJoin(F.broadcast(n)).withColumn("_b", base)
+    d = d.withColumn("_top", F.lit(slack * psi * 4294967296.0) / F.col("_n"))
+    d = d.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    a = F.pmod((F.col("tree").cast("long") + 1) * F.lit(1103515245) + F.lit(seed * 12345), F.lit(2147483648))
+    d = d.withColumn("_h", F.pmod(F.col("_b") * (a - a % 2 + 1) + F.col("tree") * F.lit(69069), F.lit(4294967296)))
+    d = d.where(F.col("_h") < F.col("_top"))
+    w = Window.partitionBy("tree").orderBy("_h", "_k", "_us")
+    return d.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= psi).drop("_r", "_h", "_b", "_top", "_n")
+
+
+def complete_samples(rows: DataFrame, trees: int, psi: int, seed: int) -> DataFrame:
+    """``tree_samples``, written to the checkpoint folder and with min(psi, n) rows in
+    every tree; should a tree have kept fewer, the limit is raised until none does."""
+    slack = 4.0
+    while True:
+        d = _checkpoint(tree_samples(rows, trees, psi, seed, slack))
+        got = d.groupBy("tree").agg(F.count(F.lit(1)).alias("m")).agg(F.count(F.lit(1)), F.min("m")).first()
+        n = rows.count() if got[0] < trees or got[1] < psi else psi
+        if n == 0 or (got[0] == trees and got[1] >= min(psi, n)):
+            return d
+        slack *= 4
+
+
 def sample_trees(df: DataFrame, col: str = "avg", trees: int = 100, psi: int = 256, seed: int = 42,
-                 s: Series = DEFAULT_SERIES, pool_factor: int = 4) -> DataFrame:
+                 s: Series = DEFAULT_SERIES) -> DataFrame:
     """Per-tree samples: (tree, _k, _us, _x) with at most ``psi`` rows per tree."""
-    rows = _keyed(df, col, s)
-    n = rows.agg(F.count(F.lit(1)).alias("_n"))
-    p = F.least(F.lit(1.0), F.lit(float(pool_factor * trees * psi)) / F.col("_n"))
-    pool = rows.crossJoin(F.broadcast(n)).where(
-        hash_uniform(F.lit(seed), F.col("_k"), F.col("_us"), F.lit("pool")) < p).drop("_n")
-    rep = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    h = hash_uniform(F.lit(seed), F.col("tree"), F.col("_k"), F.col("_us"), F.lit("tree"))
-    w = Window.partitionBy("tree").orderBy(h, "_k", "_us")
-    return rep.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= psi).drop("_r")
+    return complete_samples(_keyed(df, col, s), trees, psi, seed).select("_k", "_us", "_x", "tree")
 
 
 def grow_1d(sample: DataFrame, psi: int, seed: int = 42, checkpoint_every: int = 4) -> DataFrame:
@@ -106,10 +128,13 @@ def grow_1d(sample: DataFrame, psi: int, seed: int = 42, checkpoint_every: int =
                       F.lit(float("-inf")).alias("lo"), F.lit(float("inf")).alias("hi"),
                       F.lit(False).alias("done"))
     w = Window.partitionBy("tree", "node")
+    # a tree of fewer than psi rows stops at its own height limit
+    rows = F.count(F.lit(1)).over(Window.partitionBy("tree"))
+    d = d.withColumn("limit", F.greatest(F.lit(1), F.ceil(F.log2(F.greatest(rows, F.lit(2)).cast("double")))))
     for level in range(max_depth):
         mn, mx, cnt = F.min("_x").over(w), F.max("_x").over(w), F.count(F.lit(1)).over(w)
         d = d.withColumns({"_mn": mn, "_mx": mx, "_cnt": cnt})
-        leaf = F.col("done") | (F.col("_cnt") <= 1) | (F.col("_mn") == F.col("_mx"))
+        leaf = F.col("done") | (F.col("_cnt") <= 1) | (F.col("_mn") == F.col("_mx")) | (F.lit(level) >= F.col("limit"))
         u = hash_uniform(F.lit(seed), F.col("tree"), F.col("node"), F.lit("split"))
         split = F.col("_mn") + u * (F.col("_mx") - F.col("_mn"))
         right = F.col("_x") >= split
@@ -183,7 +208,6 @@ def isolation_forest_fit(df: DataFrame, col: str = "avg", trees: int = 100, psi:
                          grid_cells: int = 4096, approx_cut: bool = False) -> Forest1D:
     """D8 fit on the training rows of ``df``."""
     sample = sample_trees(df, col, trees, psi, seed, s)
-    sample = _checkpoint(sample)
     # psi actually used = min(psi, n) (the sklearn rule for small tables)
     psi_eff = sample.groupBy("tree").agg(F.count(F.lit(1)).alias("m")).agg(F.max("m").alias("psi"))
     leaves = _checkpoint(grow_1d(sample, psi, seed))
@@ -208,6 +232,20 @@ def isolation_forest_predict(df: DataFrame, model: Forest1D, col: str | None = N
                           f"{name}_score": F.col("if_score") - F.col("_cut")}).drop("_cut")
 
 
+def forest_params(model: Forest1D) -> DataFrame:
+    """All that scoring needs as one row: cut, grid and lookup cells (their number is
+    bounded by the grid and trees * psi), so a saved row is the whole forest."""
+    cells = model.cells.agg(F.collect_list(F.struct("cell", "start_eh", "_steps")).alias("cells"))
+    return model.cut.crossJoin(model.grid).crossJoin(cells)
+
+
+def forest_of_params(params: DataFrame, col: str) -> Forest1D:
+    """The forest of a ``forest_params`` row, for scoring."""
+    cells = params.select(F.inline("cells"))
+    steps = cells.select(F.inline("_steps")).distinct()
+    return Forest1D(steps, cells, params.select("g_lo", "g_w", "g_n"), params.select("cut", "psi", "c_psi"), col)
+
+
 @dataclass
 class IsolationForestDetector:
     """D8 as an ensemble detector (1-D on ``col``)."""
@@ -220,8 +258,7 @@ class IsolationForestDetector:
     name: str = "Isolation_Forest"
 
     def fit(self, df, label=None):
-        self.model = isolation_forest_fit(df, self.col, self.trees, self.psi, self.contamination, self.seed)
-        return self.model.cut
+        return forest_params(isolation_forest_fit(df, self.col, self.trees, self.psi, self.contamination, self.seed))
 
     def score(self, df, params):
-        return isolation_forest_predict(df, self.model, self.col, self.name)
+        return isolation_forest_predict(df, forest_of_params(params, self.col), self.col, self.name)

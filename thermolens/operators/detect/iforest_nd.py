@@ -1,6 +1,6 @@
 """N-dimensional isolation forest and D11, the labeler composition.
 
-* sample: the same hash pool as D8 (``sample_trees``), carrying a feature vector;
+* sample: the same rank hash as D8 (``complete_samples``), carrying a feature vector;
 * build: ``groupBy(tree).applyInPandas`` -- one task per tree, at most ``psi``
   rows each, random feature and uniform split from a generator seeded by
   (seed, tree); rows are sorted by key first, so the tree does not depend on
@@ -9,8 +9,8 @@
   size -- the only thing brought to the driver, shipped to executors as a
   broadcast variable;
 * score: ``mapInPandas``, vectorised traversal per Arrow batch;
-* cut: ``1 - contamination`` quantile of s on the training rows
-  (``percentile_approx`` by default: s has unbounded distinct values).
+* cut: the exact ``1 - contamination`` quantile of s on the training rows, or a
+  sketch of it (``approx_cut``).
 
 Per-feature standardisation is an affine map per axis and does not change which
 rows a uniform axis-parallel split separates, so features are used unscaled.
@@ -23,14 +23,14 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ...schema import DEFAULT_SERIES, Series
 from ..faults import series_label
 from ..windows import epoch_micros
-from .iforest import c_factor, hash_uniform
+from .iforest import c_factor, complete_samples
 
 NODE_SCHEMA = T.StructType([T.StructField(n, t) for n, t in [
     ("tree", T.IntegerType()), ("node", T.IntegerType()), ("feature", T.IntegerType()),
@@ -66,20 +66,12 @@ def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple
 
 
 def fit_forest_nd(df: DataFrame, features: Sequence[str], trees: int = 100, psi: int = 256,
-                  seed: int = 42, s: Series = DEFAULT_SERIES, pool_factor: int = 4) -> DataFrame:
+                  seed: int = 42, s: Series = DEFAULT_SERIES) -> DataFrame:
     """Node table of the forest (one Spark job; one task per tree)."""
     feats = list(features)
     rows = df.select(series_label(df, s).alias("_k"), epoch_micros(df, s.ts).alias("_us"),
                      *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_f{i}") for i, c in enumerate(feats)])
-    n = rows.agg(F.count(F.lit(1)).alias("_n"))
-    p = F.least(F.lit(1.0), F.lit(float(pool_factor * trees * psi)) / F.col("_n"))
-    pool = rows.crossJoin(F.broadcast(n)).where(
-        hash_uniform(F.lit(seed), F.col("_k"), F.col("_us"), F.lit("pool")) < p).drop("_n")
-    rep = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    h = hash_uniform(F.lit(seed), F.col("tree"), F.col("_k"), F.col("_us"), F.lit("tree"))
-    sample = rep.withColumn("_r", F.row_number().over(Window.partitionBy("tree").orderBy(h, "_k", "_us"))) \
-                .where(F.col("_r") <= psi)
-    max_depth = max(1, math.ceil(math.log2(max(psi, 2))))
+    sample = complete_samples(rows, trees, psi, seed)
     nf = len(feats)
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -87,7 +79,8 @@ def fit_forest_nd(df: DataFrame, features: Sequence[str], trees: int = 100, psi:
         tree = int(pdf["tree"].iloc[0])
         x = pdf[[f"_f{i}" for i in range(nf)]].to_numpy(dtype=float)
         rng = np.random.default_rng([seed, tree])
-        nodes = _grow(x, rng, max_depth)
+        # the height limit of the rows this tree really has
+        nodes = _grow(x, rng, max(1, math.ceil(math.log2(max(len(x), 2)))))
         out = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "left", "right", "leaf_h"])
         out.insert(0, "tree", tree)
         return out.astype({"tree": "int32", "node": "int32", "feature": "int32", "left": "int32", "right": "int32"})
@@ -155,7 +148,7 @@ def score_forest_nd(df: DataFrame, model: ForestND, out: str = "if_score") -> Da
 
 def isolation_forest_nd(df: DataFrame, features: Sequence[str], trees: int = 100, psi: int = 256,
                         contamination: float = 0.05, seed: int = 42, s: Series = DEFAULT_SERIES,
-                        approx_cut: bool = True) -> DataFrame:
+                        approx_cut: bool = False) -> DataFrame:
     """Fit on ``df`` and flag it: ``isolation_forest_anomaly`` (s > cut) and
     ``anomaly_score`` = -s (lower = more anomalous, the labeler's convention)."""
     from ...session import ship_package
@@ -163,8 +156,9 @@ def isolation_forest_nd(df: DataFrame, features: Sequence[str], trees: int = 100
     nodes = fit_forest_nd(df, features, trees, psi, seed, s)
     n = df.count()
     model = ForestND(nodes, features, min(psi, n), trees)
-    scored = score_forest_nd(df, model, "_s")
     from ..scaling import quantile_table
+    from ..windows import checkpoint
+    scored = checkpoint(score_forest_nd(df, model, "_s"))  # read by the cut and by the output: walk the trees once
     cut = quantile_table(scored, ["_s"], [1 - contamination], (), {("_s", 1 - contamination): "_cut"}, approx_cut)
     d = scored.crossJoin(F.broadcast(cut))
     return d.withColumns({"isolation_forest_anomaly": F.col("_s") > F.col("_cut"),
@@ -181,13 +175,13 @@ def label_readings(df: DataFrame, system_type: str | None = "domestic", contamin
     from ..windows import checkpoint
     from .rules import domain_rules
     from .zscore import zscore_any
-    d = filter_type(df, system_type)
-    fm = feature_matrix(d, type_categories=(system_type,) if system_type else ("domestic", "forward"))
+    d = domain_rules(zscore_any(filter_type(df, system_type)))
+    # the readings travel inside the feature rows, so no key joins them back: repeated
+    # and NULL keys keep their own flag
+    d = d.withColumn("_raw", F.struct(*d.columns))
+    fm = feature_matrix(d, type_categories=(system_type,) if system_type else ("domestic", "forward"), keep=("_raw",))
     fm = checkpoint(fm)  # fit, score and cut all read it: materialise once in the shared checkpoint folder
-    feats = feature_columns(fm)
-    flagged = isolation_forest_nd(fm, feats, trees, 256, contamination, seed) \
-        .select("timestamp", "type", "ID", "isolation_forest_anomaly", "anomaly_score")
-    base = domain_rules(zscore_any(d))
-    out = base.join(flagged, ["timestamp", "type", "ID"], "left")
-    return out.withColumn("is_anomaly", F.coalesce(F.col("isolation_forest_anomaly"), F.lit(False))
+    out = isolation_forest_nd(fm, feature_columns(fm), trees, 256, contamination, seed)
+    out = out.select("_raw.*", "isolation_forest_anomaly", "anomaly_score")
+    return out.withColumn("is_anomaly", F.col("isolation_forest_anomaly")
                           | F.col("statistical_anomaly") | F.col("domain_anomaly"))

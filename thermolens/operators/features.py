@@ -18,10 +18,10 @@ ID_COLS = ("timestamp", "type", "ID")
 
 def feature_matrix(df: DataFrame, type_categories=("domestic",), hours=(1, 6, 24),
                    s: Series = DEFAULT_SERIES, layout: Layout = DEFAULT_LAYOUT,
-                   gap_stats_by=(), materialize: bool = True) -> DataFrame:
+                   gap_stats_by=(), materialize: bool = True, keep=()) -> DataFrame:
     """Base columns, calendar, type dummies, time-range rolling mean/std, weighted
     change, gap features, per-minute rates, temperature ratios, then forward fill
-    and zero.  Keeps ``timestamp, type, ID`` for row identity; ``feature_columns``
+    and zero.  Keeps ``timestamp, type, ID`` and the columns in ``keep`` for row identity; ``feature_columns``
     lists the model inputs.
 
     Physical shape: positions once on the input, which is then checkpointed
@@ -52,10 +52,10 @@ def feature_matrix(df: DataFrame, type_categories=("domestic",), hours=(1, 6, 24
         d = d.withColumns(temperature_ratios())
     cols = feature_columns(d, vals, hours)
     if materialize:
-        d = checkpoint(d.select(*[c for c in ID_COLS if c in d.columns], *cols,
+        d = checkpoint(d.select(*[c for c in ID_COLS if c in d.columns], *cols, *keep,
                                 *[c for c in d.columns if c.startswith(("_sk_", "_pos_"))]))
     d = ffill_then_zero(d, cols, s, layout)
-    return d.select(*[c for c in ID_COLS if c in d.columns], *cols)
+    return d.select(*[c for c in ID_COLS if c in d.columns], *cols, *keep)
 
 
 def feature_columns(d: DataFrame, vals=None, hours=(1, 6, 24)) -> list[str]:
@@ -89,4 +89,4 @@ def exog_features(df: DataFrame, s: Series = DEFAULT_SERIES, layout: Layout = DE
                       "temp_ma_24h": lambda w: F.avg("avg").over(w.rowsBetween(-23, 0))}, 24, s, layout)
     cols = ["hour_sin", "hour_cos", "is_weekend", "is_night", "is_peak", "temp_lag_24h", "temp_ma_24h"]
     d = ffill_then_zero(d, cols, s, layout)
-    return d.select(*[c for c in ID_COLS if c in d.columns], *cols)
+    return d.select(*[c for c in ID_COLS if c in d.columns], *cols, *keep)

@@ -22,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import join_null_safe
+
 ACCURACY = 1_000_000
 
 
@@ -46,7 +48,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequenc
     br = br.select(*by, "_n", F.col("_b.i").alias("_i"), F.col("_b.lo").alias("_lo"),
                    F.col("_b.hi").alias("_hi"), (F.col("_b.p") * (F.col("_n") - 1)).alias("_h"))
     # one row per group and probability: at most ``groups * len(probs)`` rows; AQE decides broadcast
-    j = d.join(br, by) if by else d.crossJoin(F.broadcast(br))
+    j = join_null_safe(d, br, by) if by else d.crossJoin(F.broadcast(br))
     x_, lo_, hi_ = F.col("_x"), F.col("_lo"), F.col("_hi")
     # rows below the bracket, plus the nearest value on each side of it: the sketch
     # returns actual elements, so for small groups a target rank can sit one
@@ -58,12 +60,14 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequenc
     band = j.where((x_ >= lo_) & (x_ <= hi_)).groupBy(*by, "_i", "_x").agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(*by, "_i").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
     band = band.withColumn("_cum", F.sum("_c").over(w))
-    hb = band.join(edge.select(*by, "_i", "_below"), [*by, "_i"]).join(br.select(*by, "_i", "_h"), [*by, "_i"])
+    hb = join_null_safe(band, edge.select(*by, "_i", "_below"), [*by, "_i"])
+    hb = join_null_safe(hb, br.select(*by, "_i", "_h"), [*by, "_i"])
     r0 = F.floor(F.col("_h"))
     # value at 0-based rank r inside the bracket = smallest x with below + cum > r
     at = lambda r: F.min(F.when(F.col("_below") + F.col("_cum") > r, F.col("_x")))
     got = hb.groupBy(*by, "_i").agg(at(r0).alias("_b0"), at(r0 + 1).alias("_b1"))
-    v = edge.join(br.select(*by, "_i", "_h"), [*by, "_i"]).join(got, [*by, "_i"], "left")
+    v = join_null_safe(edge, br.select(*by, "_i", "_h"), [*by, "_i"])
+    v = join_null_safe(v, got, [*by, "_i"], "left")
 
     def pick(r, inside):
         return (F.when(r < F.col("_below"), F.col("_prev"))
@@ -77,4 +81,4 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequenc
     if not by:
         return out
     # groups whose column is all NULL still get a row (quantiles NULL), like the aggregate
-    return df.select(*by).distinct().join(out, by, "left")
+    return join_null_safe(df.select(*by).distinct(), out, by, "left")

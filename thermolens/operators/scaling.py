@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import EPS
-from .joins import attach_params
+from .joins import attach_params, join_null_safe
 
 
 def quantile(col: str | Column, p, accuracy: int = 100_000) -> Column:
@@ -44,7 +44,7 @@ def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], b
 
 def with_quantiles(aggs: DataFrame, qt: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Combine a grouped aggregate with its quantile table."""
-    return aggs.join(qt, list(by)) if by else aggs.crossJoin(qt)
+    return join_null_safe(aggs, qt, by) if by else aggs.crossJoin(qt)
 
 
 def time_gap_features(df: DataFrame, col: str = "time_diff_min", by: Sequence[str] = (),

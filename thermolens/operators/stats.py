@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import day_name, hour
 from ..functions.numeric import round_to
+from .joins import join_null_safe
 from .scaling import quantile_table, with_quantiles
 
 
@@ -149,7 +150,7 @@ def histogram(df: DataFrame, col: str, bins: int = 50, by: Sequence[str] = (), d
     rng = df.agg(F.min(col).alias("_lo"), F.max(col).alias("_hi")) if common_range or not by \
         else df.groupBy(*by).agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
     d = df.where(F.col(col).isNotNull())
-    d = d.crossJoin(F.broadcast(rng)) if common_range or not by else d.join(rng, list(by))
+    d = d.crossJoin(F.broadcast(rng)) if common_range or not by else join_null_safe(d, rng, by)
     width = (F.col("_hi") - F.col("_lo")) / bins
     b = F.when(width == 0, F.lit(0)).otherwise(F.least(F.floor((F.col(col) - F.col("_lo")) / width), F.lit(bins - 1)))
     g = d.groupBy(*by, b.cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.first("_lo").alias("_lo"),
@@ -158,7 +159,7 @@ def histogram(df: DataFrame, col: str, bins: int = 50, by: Sequence[str] = (), d
     g = g.withColumns({"bin_start": F.col("_lo") + F.col("bin") * w, "bin_end": F.col("_lo") + (F.col("bin") + 1) * w})
     if density:
         tot = d.groupBy(*by).agg(F.count(F.lit(1)).alias("_N"))
-        g = (g.join(tot, list(by)) if by else g.crossJoin(F.broadcast(tot)))
+        g = (join_null_safe(g, tot, by) if by else g.crossJoin(F.broadcast(tot)))
         g = g.withColumn("density", F.try_divide(F.col("n"), F.col("_N") * w)).drop("_N")
     return g.drop("_lo", "_hi")
 

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import DEFAULT_SERIES, Series
+from .joins import join_null_safe
 from .windows import (DEFAULT_LAYOUT, Layout, epoch_micros, parse_span, pos_col, range_over, rows_over,
                       running, series_key, sk_col, with_position)
 
@@ -199,7 +200,9 @@ def sequences(df: DataFrame, col: str = "avg", length: int = 24, out: str = "seq
               s: Series = DEFAULT_SERIES, layout: Layout = DEFAULT_LAYOUT, full_only: bool = True) -> DataFrame:
     """Overlapping windows of ``length`` values, as an array on the window's
     last row (n - length + 1 of them per series)."""
-    d = rows_over(df, {out: lambda w: F.collect_list(col).over(w.rowsBetween(-(length - 1), 0)),
+    # structs, because collect_list leaves out NULLs and every position counts
+    d = rows_over(df, {out: lambda w: F.transform(F.collect_list(F.struct(F.col(col).alias("v"))).over(
+                           w.rowsBetween(-(length - 1), 0)), lambda x: x["v"]),
                        "_seq_n": lambda w: F.count(F.lit(1)).over(w.rowsBetween(-(length - 1), 0))},
                   length - 1, s, layout)
     if full_only:
@@ -223,22 +226,36 @@ def align_sequence_scores(df: DataFrame, score: str, length: int = 24, s: Series
     return d.withColumn(out, F.coalesce(filled, F.lit(float("inf")))).drop("_last")
 
 
+GRID_CHUNK = 4096
+
+
+def _interval_us(us: Column) -> Column:
+    return F.make_dt_interval(secs=(us.cast("decimal(28,6)") / F.lit(1_000_000)).cast("decimal(18,6)"))
+
+
+def floor_time(df: DataFrame, ts: str, step: str) -> Column:
+    """The timestamp floored to a multiple of ``step`` since 1970-01-01 (same type)."""
+    return F.col(ts) - _interval_us(F.pmod(epoch_micros(df, ts), F.lit(parse_span(step))))
+
+
 def time_grid(df: DataFrame, step: str = "1 hour", s: Series = DEFAULT_SERIES) -> DataFrame:
-    """Regular timeline per series from its first to its last reading.
-    Generated per series row by ``sequence`` and exploded (distributed by series)."""
+    """Regular timeline per series from its first to its last reading, in steps
+    from the first one.  A series' slots are exploded in chunks of ``GRID_CHUNK``, so
+    no row ever holds a whole timeline."""
     s = s.present(df)
-    bounds = df.groupBy(*s.key).agg(F.min(s.ts).alias("_lo"), F.max(s.ts).alias("_hi"))
     step_us = parse_span(step)
-    grid = bounds.select(*s.key, F.explode(F.sequence(
-        F.col("_lo"), F.col("_hi"), F.expr(f"INTERVAL '{step_us // 1_000_000}' SECOND"))).alias(s.ts))
-    return grid
+    bounds = df.groupBy(*s.key).agg(F.min(s.ts).alias("_lo"), F.max(s.ts).alias("_hi"))
+    last = F.floor((epoch_micros(bounds, "_hi") - epoch_micros(bounds, "_lo")) / F.lit(step_us))
+    d = bounds.withColumn("_last", last.cast("long")).where("_last is not null")
+    d = d.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("_last") / GRID_CHUNK))))
+    d = d.withColumn("_j", F.explode(F.sequence(F.col("_i") * GRID_CHUNK, F.least(
+        F.col("_last"), F.col("_i") * GRID_CHUNK + (GRID_CHUNK - 1)))))
+    return d.select(*s.key, (F.col("_lo") + _interval_us(F.col("_j") * F.lit(step_us))).alias(s.ts))
 
 
 def missing_slots(df: DataFrame, step: str = "1 hour", s: Series = DEFAULT_SERIES) -> DataFrame:
-    """W16 use: grid slots (truncated to ``step``) with no reading (left anti join)."""
+    """W16 use: slots with no reading: readings and grid are floored to ``step``, then a
+    NULL-safe anti join."""
     s = s.present(df)
-    grid = time_grid(df.withColumn(s.ts, F.date_trunc("hour", s.ts).cast(df.schema[s.ts].dataType))
-                     if step == "1 hour" else df, step, s)
-    have = df.select(*s.key, F.date_trunc("hour", s.ts).cast(df.schema[s.ts].dataType).alias(s.ts)) \
-        if step == "1 hour" else df.select(*s.key, s.ts)
-    return grid.join(have, [*s.key, s.ts], "left_anti")
+    floored = df.select(*s.key, floor_time(df, s.ts, step).alias(s.ts))
+    return join_null_safe(time_grid(floored, step, s), floored, [*s.key, s.ts], "left_anti")

@@ -48,8 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder there (HDFS / object store); we only read it.
-    Only when nothing is configured (a laptop or a test) do we fall back to a
-    fresh local scratch folder.
+    Only a local session with nothing configured (a laptop or a test) falls back to a
+    fresh scratch folder; elsewhere executors do not share such a folder, so it raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="thermolens-ckpt-",
                                       dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)
