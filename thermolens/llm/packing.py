@@ -40,8 +40,8 @@ from .common import checkpointed, gapless_positions, with_workers
 
 LENGTH = 2048
 END_ID = 0
-_CACHE_WORDS = 300_000
-_CACHE_PARTS = 700_000
+_CACHE_WORDS = 400_000
+_CACHE_PARTS = 400_000
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -81,9 +81,14 @@ class WordIds(dict):
         words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         return b"".join(map(self.__getitem__, words))
 
+    def forget(self) -> None:
+        self.clear()
+        self.parts.clear()
+
     def __missing__(self, word: str) -> bytes:
-        m = _PLAIN_WORD.fullmatch(word)
-        if m:
+        if word.isascii() and word.isalpha():
+            ids = self._part(word.lower())
+        elif m := _PLAIN_WORD.fullmatch(word):
             ids = self._part(m[1].lower()) + (self._part(m[2]) if m[2] else b"")
         else:
             ids = _packed_ids(self.tokenizer.encode(word, add_special_tokens=False).ids)
@@ -111,7 +116,7 @@ _SHARED: dict[str, WordIds] = {}
 
 
 def word_ids(path: str) -> WordIds:
-    """This worker process's cache, kept from task to task."""
+    """This worker process's tokenizer, loaded once, with its cache."""
     if path not in _SHARED:
         _SHARED[path] = WordIds(path)
     return _SHARED[path]
@@ -124,23 +129,27 @@ def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH) -> Da
     end = np.uint32(END_ID).astype("<u4").tobytes()
 
     def run(batches):
-        ids_of = word_ids(where or tokenizer_path()).of_text
-        for b in batches:
-            row, piece, start, size, crc = [], [], [], [], []
-            for i, text in enumerate(b.column(1).to_pylist()):
-                ids = ids_of(text or "") + end
-                n = len(ids) // 4
-                for p, a in enumerate(range(0, n, length)):
-                    m = min(length, n - a)
-                    row.append(i)
-                    piece.append(p)
-                    start.append(a)
-                    size.append(m)
-                    crc.append(zlib.crc32(ids[4 * a:4 * (a + m)]))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                 pa.array(size, pa.int64()), pa.array(crc, pa.int64())],
-                ["doc_id", "piece", "start", "length", "ids_crc32"])
+        ids = word_ids(where or tokenizer_path())
+        try:
+            for b in batches:
+                row, piece, start, size, crc = [], [], [], [], []
+                for i, text in enumerate(b.column(1).to_pylist()):
+                    own = ids.of_text(text or "") + end
+                    n = len(own) // 4
+                    for p, a in enumerate(range(0, n, length)):
+                        m = min(length, n - a)
+                        row.append(i)
+                        piece.append(p)
+                        start.append(a)
+                        size.append(m)
+                        crc.append(zlib.crc32(own[4 * a:4 * (a + m)]))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()),
+                     pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array(crc, pa.int64())],
+                    ["doc_id", "piece", "start", "length", "ids_crc32"])
+        finally:
+            # a worker outlives its task; the next one may need the memory for something else
+            ids.forget()
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
