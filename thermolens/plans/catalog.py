@@ -41,20 +41,20 @@ def rnd(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
 # checkpoint folder -- the hand-off points where the reference writes files
 # (combined readings, injected batch, scored batch, labels).  Operators stay lazy;
 # the stages keep every downstream plan small and cut lineage for recovery.
-def readings(spark, sf) -> DataFrame:
-    """X1 over the hourly rollup."""
-    return checkpoint(prepare_readings(readings_hourly(spark, sf)))
+def readings(spark, sf, source=readings_hourly) -> DataFrame:
+    """X1 over the hourly rollup, or over one reading per event (``readings_per_event``)."""
+    return checkpoint(prepare_readings(source(spark, sf)))
 
 
-def faulted(spark, sf) -> DataFrame:
+def faulted(spark, sf, source=readings_hourly) -> DataFrame:
     """5 % of rows perturbed, seed 42."""
-    return checkpoint(inject_faults(readings(spark, sf), 0.05, 42))
+    return checkpoint(inject_faults(readings(spark, sf, source), 0.05, 42))
 
 
-def scored(spark, sf) -> DataFrame:
+def scored(spark, sf, source=readings_hourly) -> DataFrame:
     """E3 flow: statistical baseline (z 2.5) fitted on normal rows + rolling-sigma
     ratio, equal weights, threshold 0.5."""
-    f = faulted(spark, sf)
+    f = faulted(spark, sf, source)
     params = baseline_fit(f, "avg", label="is_anomaly", z_threshold=2.5, iqr_multiplier=1.5)
     d = baseline_predict(f, params, "avg", out="statistical", score_out="statistical_score")
     d = rolling_sigma(d, "avg", 24, 2.0, "anomaly")
@@ -175,14 +175,14 @@ def f14_minmax(spark, sf):
     return rnd(d.select(*KEY, "avg_norm"), ["avg_norm"])
 
 
-def x2_feature_matrix(spark, sf):
-    d = feature_matrix(filter_type(readings(spark, sf), "domestic"), type_categories=("domestic",))
+def x2_feature_matrix(spark, sf, source=readings_hourly):
+    d = feature_matrix(filter_type(readings(spark, sf, source), "domestic"), type_categories=("domestic",))
     dbl = [c for c, t in d.dtypes if t == "double"]
     return rnd(d, dbl)
 
 
-def a1_describe(spark, sf):
-    d = stats.describe(readings(spark, sf), VALS)
+def a1_describe(spark, sf, source=readings_hourly):
+    d = stats.describe(readings(spark, sf, source), VALS)
     return rnd(d, ["mean", "std", "q25", "q50", "q75"])
 
 
@@ -203,8 +203,8 @@ def a4_value_counts(spark, sf):
     return stats.value_counts(readings(spark, sf), "type")
 
 
-def d3_zscore_any(spark, sf):
-    d = zscore_any(filter_type(readings(spark, sf), "domestic"), VALS, 3.0, keep_z=True)
+def d3_zscore_any(spark, sf, source=readings_hourly):
+    d = zscore_any(filter_type(readings(spark, sf, source), "domestic"), VALS, 3.0, keep_z=True)
     cols = [f"{c}_z" for c in VALS]
     return rnd(d.select(*KEY, *cols, "statistical_anomaly"), cols)
 
@@ -223,14 +223,14 @@ def r1_inject_faults(spark, sf):
     return rnd(faulted(spark, sf), ["avg", "min_v", "max_v", "T_diff"])
 
 
-def d12_ensemble(spark, sf):
-    d = scored(spark, sf).select(*KEY, "is_anomaly", "anomaly_type", "statistical", "statistical_score",
+def d12_ensemble(spark, sf, source=readings_hourly):
+    d = scored(spark, sf, source).select(*KEY, "is_anomaly", "anomaly_type", "statistical", "statistical_score",
                                  "anomaly", "anomaly_ratio", "ensemble_score", "ensemble")
     return rnd(d, ["statistical_score", "anomaly_ratio", "ensemble_score"])
 
 
-def v9_validation_report(spark, sf):
-    d = validate.validation_report(scored(spark, sf))
+def v9_validation_report(spark, sf, source=readings_hourly):
+    d = validate.validation_report(scored(spark, sf, source))
     return rnd(d, ["precision", "recall", "f1_score", "accuracy"])
 
 
@@ -261,8 +261,8 @@ def v8_recall_gate(spark, sf):
     return rnd(validate.recall_gate(scored(spark, sf), 0.7), ["precision", "recall", "f1_score", "accuracy"])
 
 
-def d14_chronological_split(spark, sf):
-    r = readings(spark, sf)
+def d14_chronological_split(spark, sf, source=readings_hourly):
+    r = readings(spark, sf, source)
     d = chronological_split(r, 0.8, per_series=False)
     d = chronological_split(d, 0.8, per_series=True, out="is_train_series")
     return d.select(*KEY, "is_train", "is_train_series")
@@ -456,10 +456,10 @@ ORACLE: dict[str, str] = {
 
 
 # ---------------------------------------------------------------- forest-based (no SQL oracle: rows check + unit tests)
-def d8_isolation_forest(spark, sf):
+def d8_isolation_forest(spark, sf, source=readings_hourly):
     """1-D forest on the hourly mean, 100 trees, contamination 0.1."""
     from ..operators.detect.iforest import isolation_forest_fit, isolation_forest_predict
-    r = readings(spark, sf)
+    r = readings(spark, sf, source)
     model = isolation_forest_fit(r, "avg", 100, 256, 0.1, 42)
     d = isolation_forest_predict(r, model)
     return rnd(d.select(*KEY, "avg", "if_score", "Isolation_Forest", "Isolation_Forest_score"),
@@ -632,7 +632,89 @@ def r2_expected_residual(spark, sf):
     return rnd(d.select(*KEY, "is_train", "avg", "expected", "residual", "expected_anomaly"), ["expected", "residual"])
 
 
-QUERIES: dict[str, Query] = {name: globals()[name] for name in [
+def s5_save_reload(spark, sf):
+    """S5 + D13: fit and save, load in a second step, predict: rows, and rows that differ from
+    the directly fitted ensemble's."""
+    import uuid
+
+    from ..operators.detect.ensemble import Ensemble, StatisticalDetector
+    from ..operators.detect.iforest import IsolationForestDetector
+    from ..session import ensure_checkpoint_dir
+    f = faulted(spark, sf)
+    ens = Ensemble().add_detector(IsolationForestDetector(0.1), 2.0).add_detector(StatisticalDetector(2.5, 1.5), 1.0)
+    store = f"{ensure_checkpoint_dir(spark)}/models/{uuid.uuid4().hex}"
+    direct = ens.fit(f, "is_anomaly", store=store).predict(f).select(*KEY, "ensemble_score", "ensemble")
+    loaded = Ensemble.load(spark, store).predict(f).select(
+        *KEY, F.col("ensemble_score").alias("_s"), F.col("ensemble").alias("_e"))
+    both = joins.join_null_safe(direct, loaded, KEY, "full_outer")
+    same = F.col("ensemble_score").eqNullSafe(F.col("_s")) & F.col("ensemble").eqNullSafe(F.col("_e"))
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~same).alias("n_different"))
+
+
+def s1_s3_round_trip(spark, sf):
+    """S3 + S1 + S2: readings written (partitioned by type, and as CSV), found and read again."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..sources.readers import read_first_available, read_readings, write_readings
+    base = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    r = readings(spark, sf)
+    write_readings(r, f"{base}/parquet")
+    write_readings(r, f"{base}/csv", fmt="csv", partition_by=None)
+    first = read_first_available(spark, [f"{base}/missing", f"{base}/parquet"])
+    csv = read_readings(spark, f"{base}/csv", schema=r.schema)
+    cols = [*KEY, "avg", "min_v", "max_v", "nighttime", "time_diff_min", "T_diff"]
+    d = first.select(F.lit("parquet").alias("fmt"), *cols).unionByName(csv.select(F.lit("csv").alias("fmt"), *cols))
+    return rnd(d, VALS)
+
+
+def s6_t8_monitor_report(spark, sf):
+    """T8 + V9 + S6: the scored readings as a stream, one validation row appended per
+    micro-batch; their counts add up to the whole table's."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..streaming.queries import checkpoint_location, monitor
+    base = f"{ensure_checkpoint_dir(spark)}/monitor/{uuid.uuid4().hex}"
+    scored(spark, sf).repartition(4).write.parquet(f"{base}/in")
+    src = spark.read.parquet(f"{base}/in")
+    stream = spark.readStream.schema(src.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    monitor(stream, f"{base}/report", checkpoint_location(spark, "monitor")).awaitTermination()
+    cols = ["batch_size", "true_positives", "false_positives", "false_negatives", "true_negatives"]
+    return spark.read.parquet(f"{base}/report").agg(*[F.sum(c).cast("long").alias(c) for c in cols])
+
+
+def p7_w1_tagged(spark, sf):
+    """P7 + W1 + F7: source files of one circuit without their tags, stamped as text; tagged, parsed, in time order."""
+    from ..operators.clean import tag_series
+    from ..operators.timeseries import sort_by_time
+    r = readings_hourly(spark, sf).where("ID = 'click'").select(
+        F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("timestamp"), "avg")
+    r = r.withColumn("timestamp", cal.parse_timestamp("timestamp"))
+    return rnd(sort_by_time(tag_series(r, "domestic", "click")), ["avg"])
+
+
+def _per_event(query: Query) -> Query:
+    def run(spark, sf):
+        return query(spark, sf, readings_per_event)
+    run.__doc__ = f"{query.__name__} over one reading per event, one series per user."
+    return run
+
+
+PER_EVENT = {f"{q.__name__}_per_event": _per_event(q) for q in (
+    x2_feature_matrix, a1_describe, d3_zscore_any, d8_isolation_forest, d12_ensemble, v9_validation_report,
+    d14_chronological_split)}
+
+ORACLE.update({
+    "s5_save_reload": sql.S5, "s1_s3_round_trip": sql.S1_S3, "s6_t8_monitor_report": sql.T8, "p7_w1_tagged": sql.P7_W1,
+    "d13_ensemble_forest": sql.D13, "v10_detailed_analysis": sql.V10,
+    "x2_feature_matrix_per_event": sql.per_event(sql.X2), "a1_describe_per_event": sql.per_event(sql.A1),
+    "d3_zscore_any_per_event": sql.per_event(sql.D3), "d8_isolation_forest_per_event": sql.per_event(sql.D8),
+    "d12_ensemble_per_event": sql.per_event(sql.D12), "v9_validation_report_per_event": sql.per_event(sql.V9),
+    "d14_chronological_split_per_event": sql.per_event(sql.D14),
+})
+
+QUERIES: dict[str, Query] = {name: PER_EVENT.get(name) or globals()[name] for name in [
     *ORACLE, "d8_isolation_forest", "d11_label_readings", "d13_ensemble_forest",
     "v10_detailed_analysis", "r2_expected_residual", "p2_to_production", "p4_split_day_night",
     "p9_ground_truth_summary", "p10_true_anomalies", "w15_align_sequence_scores"]}

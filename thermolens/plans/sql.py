@@ -586,10 +586,11 @@ def _hu(*parts):
     return "(('0x' || substr(md5(concat_ws(':', " + ", ".join(parts) + ")), 1, 8))::BIGINT / 4294967296.0)"
 
 
-def _forest_sql(trees=100, psi=256, seed=42, q=0.1, levels=8):
-    ctes = [READINGS.strip(),
-            """rows_ AS (SELECT "type", "ID", "timestamp", "avg", "type" || '|' || "ID" AS k, epoch_us("timestamp") AS us, "avg" AS x
-              FROM readings WHERE "avg" IS NOT NULL)""",
+def _forest_ctes(base, table, trees=100, psi=256, seed=42, q=0.1, levels=8):
+    """CTEs that end in ``steps``, ``cpsi``, ``sc`` and ``cut`` of a forest fitted on ``table``."""
+    ctes = [base.strip(),
+            f"""rows_ AS (SELECT "type", "ID", "timestamp", "avg", "type" || '|' || "ID" AS k, epoch_us("timestamp") AS us, "avg" AS x
+              FROM {table} WHERE "avg" IS NOT NULL)""",
             f"""hashed AS (SELECT *, CAST({_hu(f"'{seed}'", 'k', 'CAST(us AS VARCHAR)')} * 4294967296 AS BIGINT) AS b FROM rows_)""",
             f"""trees_ AS (SELECT CAST(tree AS INTEGER) AS tree, CAST(((tree + 1) * 1103515245 + {seed} * 12345) % 2147483648 AS BIGINT) AS a
               FROM range({trees}) t(tree))""",
@@ -618,7 +619,11 @@ def _forest_sql(trees=100, psi=256, seed=42, q=0.1, levels=8):
              f"""cpsi AS (SELECT {cf('CAST(max(m) AS DOUBLE)')} AS c FROM (SELECT tree, count(*) AS m FROM l0 GROUP BY tree))""",
              """sc AS (SELECT r.*, pow(2.0, -b.eh / (SELECT c FROM cpsi)) AS s FROM rows_ r ASOF JOIN steps b ON r.x >= b.lo)""",
              f"""cut AS (SELECT quantile_cont(s, {1 - q}) AS cut FROM sc)"""]
-    return _rewrite_round("WITH " + ",\n".join(ctes) + """
+    return ",\n".join(ctes)
+
+
+def _forest_sql():
+    return _rewrite_round("WITH " + _forest_ctes(READINGS, "readings") + """
 SELECT "type", "ID", "timestamp", "avg", round(s, 6) AS if_score, CAST(coalesce(s > cut.cut, false) AS INTEGER) AS "Isolation_Forest",
   round(s - cut.cut, 6) AS "Isolation_Forest_score" FROM sc, cut""")
 
@@ -667,3 +672,52 @@ SELECT event_type, "timestamp", round(sc, 6) AS statistical_score,
   round(0.0 + 1.0 * coalesce(CASE WHEN hi = lo THEN 0.0 ELSE (sc - lo) / (hi - lo) END, 0.0), 6) AS ensemble_score,
   CAST(0.0 + 1.0 * coalesce(CASE WHEN hi = lo THEN 0.0 ELSE (sc - lo) / (hi - lo) END, 0.0) > 0.5 AS INTEGER) AS ensemble
 FROM scored, mm''')
+
+# ---------------------------------------------------------------- D13: forest + statistical detector, fitted on the first 80 %
+_D13 = "WITH " + _forest_ctes(FAULTED.strip() + """,
+f AS (SELECT *, row_number() OVER (ORDER BY "timestamp", "type", "ID") - 1 < floor(count(*) OVER () * 0.8) AS is_train FROM faulted),
+tr AS (SELECT * FROM f WHERE is_train)""", "tr") + """,
+bp AS (SELECT avg("avg") AS mean, stddev_pop("avg") AS std, quantile_cont("avg", 0.25) AS q1, quantile_cont("avg", 0.75) AS q3
+       FROM tr WHERE NOT is_anomaly),
+e1 AS (SELECT f.*, pow(2.0, -b.eh / (SELECT c FROM cpsi)) - (SELECT cut FROM cut) AS if_s FROM f ASOF JOIN steps b ON f."avg" >= b.lo),
+e2 AS (SELECT e1.*, abs(("avg" - bp.mean) / nullif(bp.std, 0)) AS z,
+         coalesce(("avg" < bp.q1 - 1.5 * (bp.q3 - bp.q1)) OR ("avg" > bp.q3 + 1.5 * (bp.q3 - bp.q1)), false) AS out_ FROM e1, bp),
+e3 AS (SELECT *, CAST(if_s > 0 AS INTEGER) AS "Isolation_Forest", CAST(coalesce(z > 2.5, false) OR out_ AS INTEGER) AS "Statistical",
+         z / 2.5 + CAST(out_ AS DOUBLE) AS st_s FROM e2),
+mm2 AS (SELECT min(if_s) AS lo1, max(if_s) AS hi1, min(st_s) AS lo2, max(st_s) AS hi2 FROM e3),
+e4 AS (SELECT e3.*, 0.5 * coalesce(CASE WHEN hi1 = lo1 THEN 0.0 ELSE (if_s - lo1) / (hi1 - lo1) END, 0.0)
+         + 0.5 * coalesce(CASE WHEN hi2 = lo2 THEN 0.0 ELSE (st_s - lo2) / (hi2 - lo2) END, 0.0) AS ensemble_score FROM e3, mm2),
+ens AS (SELECT *, CAST(ensemble_score > 0.5 AS INTEGER) AS ensemble FROM e4)
+"""
+D13 = _rewrite_round(_D13 + '''SELECT "type", "ID", "timestamp", is_train, is_anomaly, "Isolation_Forest", "Statistical",
+  round(ensemble_score, 6) AS ensemble_score, ensemble FROM ens''')
+V10 = _rewrite_round(_D13 + f'''SELECT detector, true_positives, false_positives, false_negatives, true_negatives, detected,
+  {_metrics()}, true_positives AS correct FROM (
+  SELECT detector, count_if(is_anomaly AND p) AS true_positives, count_if(NOT is_anomaly AND p) AS false_positives,
+    count_if(is_anomaly AND NOT p) AS false_negatives, count_if(NOT is_anomaly AND NOT p) AS true_negatives, count_if(p) AS detected
+  FROM (SELECT is_anomaly, is_train, 'Isolation_Forest' AS detector, "Isolation_Forest" = 1 AS p FROM ens
+        UNION ALL SELECT is_anomaly, is_train, 'Statistical', "Statistical" = 1 FROM ens
+        UNION ALL SELECT is_anomaly, is_train, 'ensemble', ensemble = 1 FROM ens) WHERE NOT is_train GROUP BY detector)''')
+
+# ---------------------------------------------------------------- round trips, monitor, tags
+S5 = with_(FAULTED) + "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM faulted"
+S1_S3 = _rewrite_round(q('''SELECT fmt, "type", "ID", "timestamp", round("avg", 6) AS "avg", round(min_v, 6) AS min_v, round(max_v, 6) AS max_v,
+  nighttime, time_diff_min, round("T_diff", 6) AS "T_diff" FROM readings, (VALUES ('parquet'), ('csv')) f(fmt)''', READINGS))
+T8 = with_(SCORED) + f"SELECT count(*) AS batch_size, {_CONF} FROM pred"
+P7_W1 = _rewrite_round(q("SELECT \"timestamp\", round(\"avg\", 6) AS \"avg\", 'domestic' AS \"type\", 'click' AS \"ID\" FROM hourly WHERE \"ID\" = 'click'", HOURLY))
+
+# ---------------------------------------------------------------- one reading per event
+HOURLY_EVENT = """
+hourly AS (
+  SELECT ts AS "timestamp", value AS "avg", min(value) OVER w AS min_v, max(value) OVER w AS max_v,
+         'domestic' AS "type", CAST(user_id AS VARCHAR) AS "ID"
+  FROM events
+  WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW)
+)"""
+
+
+def per_event(text: str) -> str:
+    """The same oracle over one reading per event instead of the hourly rollup."""
+    for rollup in (HOURLY, _rewrite_round(HOURLY)):
+        text = text.replace(rollup.strip(), HOURLY_EVENT.strip())
+    return text
