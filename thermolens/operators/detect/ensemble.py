@@ -4,6 +4,7 @@ threshold, ensemble metadata."""
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 from typing import Protocol
@@ -16,7 +17,7 @@ from ...schema import DEFAULT_SERIES, Series, flag
 from ..clean import normal_only
 from ..joins import attach_params
 from ..scaling import minmax_fit, quantile_table
-from ..windows import DEFAULT_LAYOUT, Layout, pos_col, sk_col, with_position
+from ..windows import DEFAULT_LAYOUT, Layout, first_rows, pos_col, sk_col, with_position
 from .baseline import baseline_fit, baseline_predict
 
 
@@ -149,11 +150,12 @@ def chronological_split(df: DataFrame, train_fraction: float = 0.8, per_series:
     if not per_series:
         s = Series(key=(), ts=s.ts, tiebreak=tuple(s.tiebreak) or tuple(c for c in s.key if c in df.columns))
     s = s.present(df)
+    if not per_series:
+        return first_rows(df, s, math.floor(df.count() * train_fraction), out)
     SK, POS = sk_col(s), pos_col(s)
     d = with_position(df, s, layout)
     n = d.groupBy(SK).agg(F.count(F.lit(1)).alias("_n"))
-    # global split: the count is a one-row aggregate (proven size) -> broadcast
-    d = d.join(n, SK) if per_series else d.crossJoin(F.broadcast(n.drop(SK)))
+    d = d.join(n, SK)
     cut = F.floor(F.col("_n") * F.lit(train_fraction))
     return d.withColumn(out, F.col(POS) < cut).drop("_n")
 

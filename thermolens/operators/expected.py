@@ -15,7 +15,6 @@ modelled (stated deviation).
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,19 +48,20 @@ def fit_expected(df: DataFrame, s: Series = DEFAULT_SERIES, layout: Layout = DEF
     keys = list(s.key)
     out_schema = ", ".join([f"`{c}` string" for c in keys] + [f"b_{r} double" for r in REGRESSORS])
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for _, r in pdf.iterrows():      # one row per series
-            a = np.zeros((k, k))
+    def solve(pdfs):
+        for pdf in pdfs:                 # one row per series; a batch of systems at a time
+            a = np.zeros((len(pdf), k, k))
             for i in range(k):
                 for j in range(i, k):
-                    a[i, j] = a[j, i] = r[f"xx_{i}_{j}"]
-            b = np.array([r[f"xy_{i}"] for i in range(k)])
-            beta = np.linalg.lstsq(a, b, rcond=None)[0]
-            rows.append([r[c] for c in keys] + list(beta))
-        return pd.DataFrame(rows, columns=keys + [f"b_{r}" for r in REGRESSORS])
+                    a[:, i, j] = a[:, j, i] = pdf[f"xx_{i}_{j}"]
+            b = np.stack([pdf[f"xy_{i}"] for i in range(k)], axis=1) if len(pdf) else np.zeros((0, k))
+            beta = (np.linalg.pinv(a, rcond=k * np.finfo(float).eps) @ b[:, :, None])[:, :, 0]
+            out = pdf[keys].astype(object).reset_index(drop=True)
+            for i, r in enumerate(REGRESSORS):
+                out[f"b_{r}"] = beta[:, i]
+            yield out
 
-    return ne.groupBy(*keys).applyInPandas(solve, out_schema)
+    return ne.mapInPandas(solve, out_schema)
 
 
 def expected_residual(df: DataFrame, coef: DataFrame, k: float = 3.0, s: Series = DEFAULT_SERIES,

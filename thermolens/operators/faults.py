@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import DEFAULT_SERIES, Series
-from .windows import epoch_micros
+from .windows import checkpoint, epoch_micros
 
 # Fixed anomaly kinds and their perturbation ranges (reference values).
 KINDS = ("overheat", "underheat", "sensor_error")
@@ -37,6 +37,37 @@ def series_label(df: DataFrame, s: Series) -> Column:
     return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in keys]) if keys else F.lit("")
 
 
+def _mark_smallest(d: DataFrame, rate: float) -> DataFrame:
+    """``is_anomaly`` on exactly the ``floor(n * rate)`` rows with the smallest (_h, _k, _us).
+
+    Counts per hash bucket (at most ``N_BUCKETS`` rows), then per hash value inside the
+    one boundary bucket (as many again), name the boundary value; every other row is a
+    comparison, and only rows that share that value are ranked."""
+    d = d.withColumn("_b", F.floor(F.col("_h") * N_BUCKETS))
+
+    def boundary(counts: DataFrame, key: str, k: int):
+        run = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+        c = counts.withColumn("_before", F.coalesce(F.sum("_n").over(run), F.lit(0)))
+        return c.where((F.col("_before") <= k) & (F.lit(k) < F.col("_before") + F.col("_n"))).first()
+
+    buckets = checkpoint(d.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")))
+    n = buckets.agg(F.sum("_n")).first()[0] or 0
+    k = int(n * rate)
+    at = boundary(buckets, "_b", k)
+    if at is None:  # all rows, or none at all
+        return d.withColumn("is_anomaly", F.lit(n > 0 and k >= n)).drop("_b")
+    inside = d.where(F.col("_b") == at["_b"]).groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
+    edge = boundary(inside, "_h", k - at["_before"])
+    rest = k - at["_before"] - edge["_before"]
+    d = d.drop("_b")
+    below = d.withColumn("is_anomaly", F.col("_h") < F.lit(edge["_h"]))
+    if rest == 0:
+        return below
+    rank = F.row_number().over(Window.partitionBy("_h").orderBy("_k", "_us"))
+    ties = d.where(F.col("_h") == F.lit(edge["_h"])).withColumn("is_anomaly", rank <= rest)
+    return below.where(F.col("_h") != F.lit(edge["_h"])).unionByName(ties)
+
+
 def inject_faults(df: DataFrame, rate: float = 0.05, seed: int = 42, s: Series = DEFAULT_SERIES,
                   exact: bool = True) -> DataFrame:
     """Perturb ``floor(n * rate)`` rows (or each row with probability ``rate`` when
@@ -48,19 +79,7 @@ def inject_faults(df: DataFrame, rate: float = 0.05, seed: int = 42, s: Series =
     u = lambda salt: uniform(seed, F.col("_k"), F.col("_us"), salt)
     d = d.withColumn("_h", u("pick"))
     if exact:
-        d = d.withColumn("_b", F.floor(F.col("_h") * N_BUCKETS))
-        counts = d.groupBy("_b").agg(F.count(F.lit(1)).alias("_nb"))
-        # bucket table has at most N_BUCKETS rows: one ordered pass over it is cheap
-        w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-        cum = counts.select("_b", "_nb", F.coalesce(F.sum("_nb").over(w), F.lit(0)).alias("_before"),
-                            F.sum("_nb").over(Window.partitionBy()).alias("_n"))
-        cum = cum.withColumn("_k_sel", F.floor(F.col("_n") * F.lit(rate)))
-        d = d.join(F.broadcast(cum.select("_b", "_before", "_nb", "_k_sel")), "_b")
-        rank = F.row_number().over(Window.partitionBy("_b").orderBy("_h", "_k", "_us")) - 1
-        picked = F.when(F.col("_before") + F.col("_nb") <= F.col("_k_sel"), F.lit(True)) \
-                  .when(F.col("_before") >= F.col("_k_sel"), F.lit(False)) \
-                  .otherwise(F.col("_before") + rank < F.col("_k_sel"))
-        d = d.withColumn("is_anomaly", picked).drop("_b", "_before", "_nb", "_k_sel")
+        d = _mark_smallest(d, rate)
     else:
         d = d.withColumn("is_anomaly", F.col("_h") < F.lit(rate))
     kind = F.floor(u("kind") * 3)

@@ -117,10 +117,11 @@ def validation_report(df: DataFrame, y: str = "is_anomaly", yhat: str = "ensembl
 def detailed_analysis(scored: DataFrame, detectors: Sequence[str], y: str = "is_anomaly",
                       yhat: str = "ensemble", start: int = 0, end: int | None = None,
                       s: Series = DEFAULT_SERIES, layout: Layout = DEFAULT_LAYOUT) -> dict[str, DataFrame]:
-    """Slice, then the V1-V7 tables over one persisted scored slice."""
+    """Slice, then the V1-V7 tables over one scored slice, written to the checkpoint folder."""
     from ..sources.readers import slice_rows
+    from .windows import checkpoint
     d = slice_rows(scored, start, end, series=s, layout=layout) if (start or end is not None) else scored
-    d = d.persist()
+    d = checkpoint(d)
     return {
         "metrics": prf(d, y, yhat),
         "by_detector": prf_by_detector(d, list(detectors) + [yhat], y),

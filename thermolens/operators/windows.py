@@ -125,6 +125,53 @@ def with_position(df: DataFrame, s: Series = DEFAULT_SERIES,
     return d.withColumn(POS, F.col("_off") + rn - 1).drop("_off", "_chunk")
 
 
+# Widths of the refinement of a position in the global time order.
+_REFINE = (86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000, 1_000, 1)
+
+
+def time_of_position(df: DataFrame, us: str, k: int) -> tuple[int, int, int] | None:
+    """(micro-second, rows before it, rows at it) of the row at 0-based position ``k``
+    in time order; None past the end.  Rows are counted per day, then only the
+    boundary day's per hour, and so on down to one micro-second: no sort, and each
+    pass brings back one row per chunk of the boundary."""
+    lo, before, part = None, 0, df.select(us).where(F.col(us).isNotNull())
+    n = 0
+    for width in _REFINE:
+        inside = part if lo is None else part.where((F.col(us) >= lo) & (F.col(us) < lo + span))
+        chunk = F.floor(F.col(us) / F.lit(width)).cast("long")
+        counts = sorted((r["c"], r["n"]) for r in inside.groupBy(chunk.alias("c")).agg(
+            F.count(F.lit(1)).alias("n")).collect())
+        for c, n in counts:
+            if before + n > k:
+                break
+            before += n
+        else:
+            return None
+        lo, span = c * width, width
+    return lo, before, n
+
+
+def first_rows(df: DataFrame, s: Series, k: int, out: str) -> DataFrame:
+    """Add ``out``: whether a row is among the first ``k`` of the whole table in time
+    order.  Rows are compared with the boundary micro-second; only rows at it are ranked (by the
+    remaining order columns).  Rows without a time come last."""
+    d = df.withColumn("_us", epoch_micros(df, s.ts))
+    at = time_of_position(d, "_us", k) if k > 0 else None
+    if k <= 0:
+        return d.withColumn(out, F.lit(False)).drop("_us")
+    if at is None:
+        dated = d.where(F.col("_us").isNotNull()).count()
+        rest, tie = k - dated, F.col("_us").isNull()
+    else:
+        rest, tie = k - at[1], F.col("_us").eqNullSafe(F.lit(at[0]))
+    before = F.lit(True) if at is None else F.coalesce(F.col("_us") < F.lit(at[0]), F.lit(False))
+    if rest <= 0:
+        return d.withColumn(out, before & ~tie).drop("_us")
+    rank = F.row_number().over(Window.partitionBy("_us").orderBy(*s.order))
+    ties = d.where(tie).withColumn(out, rank <= rest)
+    return d.where(~tie).withColumn(out, before).unionByName(ties).drop("_us")
+
+
 WindowExprs = Mapping[str, Callable[[WindowSpec], Column]]
 
 

@@ -64,16 +64,17 @@ def slice_rows(df: DataFrame, start: int, end: int | None = None, per_series: bo
     """Positional slice ``[start, end)`` in time order (``head(n)``, ``iloc``).
 
     * per series: a filter on the exact distributed position (no series in one task);
-    * whole table: the same filter on positions in the whole table's time order, over
-      fine (1 minute) time chunks.
+    * whole table: comparisons with the boundary times, found by counting ever finer
+      time chunks; only rows at a boundary micro-second are ranked.
     Ties in time are broken by the series key, then ``series.tiebreak``.
     """
-    from ..operators.windows import pos_col, sk_col
+    from ..operators.windows import first_rows, pos_col, sk_col
     from ..schema import DEFAULT_SERIES, Series
     s = series or DEFAULT_SERIES
     if not per_series:
-        s = Series(key=(), ts=s.ts, tiebreak=tuple(c for c in s.key if c in df.columns) + tuple(s.tiebreak))
-        layout = Layout(layout.strategy, "1 minute", layout.block_rows)
+        s = Series(key=(), ts=s.ts, tiebreak=tuple(c for c in s.key if c in df.columns) + tuple(s.tiebreak)).present(df)
+        d = df if end is None else first_rows(df, s, end, "_in").where("_in").drop("_in")
+        return d if start <= 0 else first_rows(d, s, start, "_out").where("not _out").drop("_out")
     s = s.present(df)
     d = with_position(df, s, layout)
     p = F.col(pos_col(s))
