@@ -8,11 +8,11 @@ Here the exact linear-interpolated quantile (NumPy default, DuckDB
 1. one aggregate per group: the row count and a ``percentile_approx`` sketch
    (bounded memory, rank error <= n / accuracy) read at ``p -/+ 3 / accuracy``:
    two values that bracket the target ranks;
-2. rows inside the bracket are collapsed to (value, count) -- a hot value is one
-   row -- and rows below it are counted (partial aggregates);
-3. a running count over the bracket's distinct values (about ``6 n / accuracy``
-   of them per group at most) finds the values at ranks ``floor(h)`` and
-   ``floor(h) + 1``, ``h = p (n - 1)``, which are interpolated.
+2. in one more pass rows inside the bracket are collapsed to (value, count) -- a hot
+   value is one row -- and the rows below and above it to one row each;
+3. a running count over those rows (about ``6 n / accuracy`` distinct values per group
+   at most) finds the values at ranks ``floor(h)`` and ``floor(h) + 1``,
+   ``h = p (n - 1)``, which are interpolated.
 """
 
 from __future__ import annotations
@@ -49,31 +49,21 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequenc
                    F.col("_b.hi").alias("_hi"), (F.col("_b.p") * (F.col("_n") - 1)).alias("_h"))
     # one row per group and probability: at most ``groups * len(probs)`` rows; AQE decides broadcast
     j = join_null_safe(d, br, by) if by else d.crossJoin(F.broadcast(br))
-    x_, lo_, hi_ = F.col("_x"), F.col("_lo"), F.col("_hi")
-    # rows below the bracket, plus the nearest value on each side of it: the sketch
-    # returns actual elements, so for small groups a target rank can sit one
-    # element outside the bracket
-    edge = j.groupBy(*by, "_i").agg(F.count_if(x_ < lo_).alias("_below"),
-                                    F.count_if((x_ >= lo_) & (x_ <= hi_)).alias("_inside"),
-                                    F.max(F.when(x_ < lo_, x_)).alias("_prev"),
-                                    F.min(F.when(x_ > hi_, x_)).alias("_next"))
-    band = j.where((x_ >= lo_) & (x_ <= hi_)).groupBy(*by, "_i", "_x").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*by, "_i").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    band = band.withColumn("_cum", F.sum("_c").over(w))
-    hb = join_null_safe(band, edge.select(*by, "_i", "_below"), [*by, "_i"])
-    hb = join_null_safe(hb, br.select(*by, "_i", "_h"), [*by, "_i"])
+    x_ = F.col("_x")
+    # one pass: each value inside the bracket with its count; everything below it, and
+    # everything above, as one row with the value nearest to the bracket (the sketch
+    # returns actual elements, so for small groups a target rank can sit one element outside)
+    side = F.when(x_ < F.col("_lo"), -1).when(x_ > F.col("_hi"), 1).otherwise(0)
+    g = j.groupBy(*by, "_i", "_h", side.alias("_side"), F.when(side == 0, x_).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_c"), F.max("_x").alias("_mx"), F.min("_x").alias("_mn"))
+    w = Window.partitionBy(*by, "_i").orderBy("_side", "_v").rowsBetween(Window.unboundedPreceding, 0)
+    g = g.withColumns({
+        "_cum": F.sum("_c").over(w),
+        "_e": F.when(F.col("_side") < 0, F.col("_mx")).when(F.col("_side") > 0, F.col("_mn")).otherwise(F.col("_v"))})
+    # value at 0-based rank r: that of the first row whose running count exceeds r
     r0 = F.floor(F.col("_h"))
-    # value at 0-based rank r inside the bracket = smallest x with below + cum > r
-    at = lambda r: F.min(F.when(F.col("_below") + F.col("_cum") > r, F.col("_x")))
-    got = hb.groupBy(*by, "_i").agg(at(r0).alias("_b0"), at(r0 + 1).alias("_b1"))
-    v = join_null_safe(edge, br.select(*by, "_i", "_h"), [*by, "_i"])
-    v = join_null_safe(v, got, [*by, "_i"], "left")
-
-    def pick(r, inside):
-        return (F.when(r < F.col("_below"), F.col("_prev"))
-                 .when(r >= F.col("_below") + F.col("_inside"), F.col("_next"))
-                 .otherwise(inside))
-    v = v.withColumns({"_v0": pick(r0, F.col("_b0")), "_v1": pick(r0 + 1, F.col("_b1"))})
+    at = lambda r: F.min_by("_e", F.when(F.col("_cum") > r, F.col("_cum")))
+    v = g.groupBy(*by, "_i", "_h").agg(at(r0).alias("_v0"), at(r0 + 1).alias("_v1"))
     frac = F.col("_h") - F.floor(F.col("_h"))
     v = v.withColumn("_q", F.when(frac == 0, F.col("_v0"))
                      .otherwise(F.col("_v0") + (F.coalesce(F.col("_v1"), F.col("_v0")) - F.col("_v0")) * frac))

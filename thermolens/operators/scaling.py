@@ -74,16 +74,27 @@ def fill_median(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), appr
 
 def zscores(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), suffix: str = "_z",
             approx: bool = False) -> DataFrame:
-    """|z| with population std on median-filled values; zero std -> NULL."""
+    """|z| with population std on median-filled values; zero std -> NULL.
+
+    Mean and variance of the filled column follow from the column's own moments, its
+    median and its number of NULLs, so the filled column is not aggregated again."""
     cols = [c for c in cols if c in df.columns]
-    filled = fill_median(df.select("*", *[F.col(c).alias(f"_f_{c}") for c in cols]),
-                         [f"_f_{c}" for c in cols], by, approx)
-    p = filled.groupBy(*by).agg(*[x for c in cols for x in (
-        F.avg(f"_f_{c}").alias(f"_m_{c}"), F.stddev_pop(f"_f_{c}").alias(f"_s_{c}"))])
-    d = attach_params(filled, p, by)
-    out = {f"{c}{suffix}": F.abs(F.try_divide(F.col(f"_f_{c}") - F.col(f"_m_{c}"), F.col(f"_s_{c}")))
-           for c in cols}
-    return d.withColumns(out).drop(*[f"_{k}_{c}" for c in cols for k in ("f", "m", "s")])
+    med = quantile_table(df, cols, [0.5], by, {(c, 0.5): f"_med_{c}" for c in cols}, approx)
+    moments = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *[x for c in cols for x in (
+        F.count(c).alias(f"_c_{c}"), F.avg(c).alias(f"_a_{c}"), F.var_pop(c).alias(f"_v_{c}"))])
+    p = with_quantiles(moments, med, by)
+    for c in cols:
+        k, n, mid = F.col("_n") - F.col(f"_c_{c}"), F.col("_n"), F.col(f"_med_{c}")
+        own, var = F.coalesce(F.col(f"_a_{c}"), mid), F.coalesce(F.col(f"_v_{c}"), F.lit(0.0))
+        mean = F.when(k == 0, own).otherwise((F.col(f"_c_{c}") * own + k * mid) / n)
+        p = p.withColumn(f"_m_{c}", mean)
+        m = F.col(f"_m_{c}")
+        filled = (F.col(f"_c_{c}") * (var + (own - m) * (own - m)) + k * (mid - m) * (mid - m)) / n
+        p = p.withColumn(f"_s_{c}", F.sqrt(F.when(k == 0, var).otherwise(filled)))
+    d = attach_params(df, p.select(*by, *[f"_{x}_{c}" for c in cols for x in ("med", "m", "s")]), by)
+    out = {f"{c}{suffix}": F.abs(F.try_divide(F.coalesce(F.col(c), F.col(f"_med_{c}")) - F.col(f"_m_{c}"),
+                                              F.col(f"_s_{c}"))) for c in cols}
+    return d.withColumns(out).drop(*[f"_{k}_{c}" for c in cols for k in ("med", "m", "s")])
 
 
 def standardize_fit(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
