@@ -25,7 +25,3 @@ def spark():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="thermolens-test-", dir="/tmp")
-
-
-def frame(spark, rows, schema="timestamp timestamp_ntz, avg double, min_v double, max_v double, type string, ID string"):
-    return spark.createDataFrame(rows, schema)

@@ -4,7 +4,7 @@ keys, small forests, reloading, a table stored as a folder."""
 import datetime as dt
 
 import pytest
-from conftest import frame
+from helpers import frame
 from pyspark.sql import functions as F
 
 from thermolens.operators.clean import except_rows, intersect_rows

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import frame
+from helpers import frame
 from pyspark.sql import functions as F
 
 from thermolens.operators.detect.ensemble import chronological_split
