@@ -4,7 +4,7 @@ from collections import Counter
 import brute
 import numpy as np
 import pytest
-from conftest import edge_rows
+from edge_docs import edge_rows
 from pyspark.sql import functions as F
 
 from thermolens.llm import licenses, mixing, packing, quality_classifier, sharding, url_filters

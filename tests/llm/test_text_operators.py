@@ -3,7 +3,7 @@ from collections import Counter
 
 import brute
 import xxhash
-from conftest import PLAIN, edge_rows
+from edge_docs import PLAIN, edge_rows
 from pyspark.sql import functions as F
 
 from thermolens.llm import merkle, pii, quality_rules, simhash

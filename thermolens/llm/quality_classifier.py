@@ -34,7 +34,8 @@ from .common import checkpointed, with_workers
 
 BUCKETS = 1 << 18
 MAX_TRAIN = 8_000
-BROADCAST_IDS = 1_000_000
+# Ids (about 70 bytes each, so 17 MB) up to which they are broadcast.
+BROADCAST_IDS = 250_000
 SMOOTHING = 1.0
 COST = 1.0
 ROUNDS = 12
@@ -105,7 +106,7 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.round(F.avg("quality")).cast("int").alias("y"))
     known = checkpointed(known.where(~held_out(F.col("doc_id"))))
     if known.count() <= BROADCAST_IDS:
-        known = F.broadcast(known)  # a few MB at most; more meet the texts in a shuffled join
+        known = F.broadcast(known)  # more ids than that meet the texts in a shuffled join
     d = docs.select("doc_id", "text").join(known, "doc_id")
     return d.select("text", "y", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)).alias("h"))
 

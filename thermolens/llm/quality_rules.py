@@ -35,7 +35,8 @@ MAX_REPEAT_PERCENT = 50
 # Mean ratio per n-gram below which a document reads unlike the target: between the
 # lowest scores of clean text (-0.39 on 200 documents, -0.13 and up on more) and marked-up junk (about -1).
 THRESHOLD = -0.45
-BROADCAST_IDS = 1_000_000
+# Ids (about 70 bytes each, so 17 MB) up to which they are broadcast.
+BROADCAST_IDS = 250_000
 PRIOR = 1000.0
 
 
@@ -109,7 +110,7 @@ def bucket_counts(docs: DataFrame, trusted_ids: DataFrame, text: str = "text", d
     ids = checkpointed(trusted_ids.select(F.col(trusted_ids.columns[0]).alias("_tid")).where("_tid is not null")
                        .distinct())
     if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)  # a few MB at most; more ids than that meet the texts in a shuffled join
+        ids = F.broadcast(ids)  # more ids than that meet the texts in a shuffled join
     d = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     d = d.join(ids, F.col("_id") == F.col("_tid"), "left").select("_text", F.col("_tid").isNotNull().alias("_trusted"))
     grams = with_buckets(d, "_text", "_b", buckets).select("_trusted", F.explode_outer("_b").alias("bucket"))
