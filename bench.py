@@ -28,14 +28,21 @@ def main() -> None:
     ship_package(spark)
 
     from thermolens.operators.clean import prepare_readings
+    from thermolens.operators.detect.zscore import zscore_any
+    from thermolens.operators.features import feature_matrix
     from thermolens.plans import catalog as C
     from thermolens.sources.fixtures import readings_per_event
 
+    def per_event(spark, sf):
+        return prepare_readings(readings_per_event(spark, sf))
+
     # every entry works on one reading per event: none on the hourly table, which stops growing
     queries = {
         "d2_periods_per_event": C.d2_periods_per_event,
-        "x1_prepare_per_event": lambda s, sf: prepare_readings(readings_per_event(s, sf)),
-        **C.PER_EVENT,
+        "x1_prepare_per_event": per_event,
+        "x2_feature_matrix_per_event": lambda s, sf: feature_matrix(per_event(s, sf)),
+        "d3_zscore_per_event": lambda s, sf: zscore_any(per_event(s, sf)),
+        **{k: q for k, q in C.PER_EVENT.items() if not k.startswith(("x2_", "d3_"))},
         "t1_stream_rollup": C.t1_stream_rollup,
         "t7_stream_periods": C.t7_stream_periods,
     }
