@@ -34,6 +34,8 @@ WEIGHTS = (1, 2, 3)
 # Hash bits summed by each pass; 5 passes see all 60 bits of the hash.
 PASS_BITS = 12
 HASH_BITS = 60
+# Sources (about 200 bytes each) up to which the rule table is broadcast; more meet the rows in a shuffled join.
+BROADCAST_SOURCES = 50_000
 
 
 def n_words(text: str = "text") -> Column:
@@ -128,9 +130,11 @@ def mixed(docs: DataFrame, weights: tuple = WEIGHTS, cap: int = CAP) -> DataFram
     rule = goals.join(ties.select(F.col("source").alias("_s"), "below", "rows", "tie_rows"),
                       F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
     rule = checkpointed(rule.withColumn("_split", (F.col("tie_rows") > 0) & (F.col("tie_rows") < F.col("rows"))))
-    # one row per source; joined, not forced into a broadcast
+    # one row per source, written and counted: small tables go to the texts, not the texts to them
     r = rule.select(F.col("source").alias("_s"), *[F.col(c).alias(f"_{c}") for c in (
         "source_size", "target", "copies", "budget", "below", "tie_rows")], "_split")
+    if rule.count() <= BROADCAST_SOURCES:
+        r = F.broadcast(r)
     d = d.join(r, F.col("source").eqNullSafe(F.col("_s")), "left")
     tie = F.col("_hash") == F.col("_below")
     if not rule.where("_split").isEmpty():
