@@ -33,6 +33,8 @@ from .common import checkpointed, text_of
 
 THRESHOLD = 0.7
 MIN_AGREE = 2
+# Licensed directories (about 200 bytes each) up to which they are broadcast; more meet the files in a shuffled join.
+BROADCAST_DIRS = 50_000
 TOKEN = r"[\p{L}\p{N}]+"
 
 # Public licence notices, one line each.
@@ -182,5 +184,8 @@ def licensed(files: DataFrame, templates: dict[str, str] = TEMPLATES, threshold:
         *own, "header", "file", F.regexp_extract(path, "^(.*)/[^/]*$", 1).alias("dir"))
     scans = checkpointed(scans)
     dirs = checkpointed(directory_licenses(scans, min_agree))
-    out = scans.join(nearest_ancestors(dirs), "dir", "left")
+    near = checkpointed(nearest_ancestors(dirs))
+    if near.count() <= BROADCAST_DIRS:
+        near = F.broadcast(near)
+    out = scans.join(near, "dir", "left")
     return out.select(*own, *made[:-1], F.coalesce("file.license", "header.license", "inherited").alias("license"))
