@@ -44,6 +44,13 @@ def settled(df: DataFrame, names: list[str]) -> DataFrame:
     return d.select(*rest, *[F.col(f"_done.`{c}`").alias(c) for c in names])
 
 
+def texts_of(column, rows: int = 256):
+    """The strings of an Arrow column, a few hundred at a time: a whole batch of long
+    texts as Python strings would double a worker's memory."""
+    for a in range(0, len(column), rows):
+        yield from column.slice(a, rows).to_pylist()
+
+
 def with_workers(spark: SparkSession) -> None:
     """Make this package importable in Python workers."""
     ship_package(spark)

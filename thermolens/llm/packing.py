@@ -36,12 +36,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, gapless_positions, with_workers
+from .common import checkpointed, gapless_positions, texts_of, with_workers
 
 LENGTH = 2048
 END_ID = 0
-_CACHE_WORDS = 400_000
-_CACHE_PARTS = 400_000
+_CACHE_WORDS = 120_000
+_CACHE_PARTS = 250_000
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -133,7 +133,7 @@ def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH) -> Da
         try:
             for b in batches:
                 row, piece, start, size, crc = [], [], [], [], []
-                for i, text in enumerate(b.column(1).to_pylist()):
+                for i, text in enumerate(texts_of(b.column(1))):
                     own = ids.of_text(text or "") + end
                     n = len(own) // 4
                     for p, a in enumerate(range(0, n, length)):

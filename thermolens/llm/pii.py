@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, with_workers
+from .common import checkpointed, texts_of, with_workers
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 MIN_LENGTH = 6
@@ -136,7 +136,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             ctx, val, kind = [], [], []
-            for text in b.column(0).to_pylist():
+            for text in texts_of(b.column(0)):
                 if not text or not _DIGITS.search(text):
                     continue
                 known = {}
@@ -194,7 +194,7 @@ def _context_counts(docs: DataFrame, contexts: list[str]) -> DataFrame:
         seen: Counter = Counter()
         plain: dict[str, str] = {}
         for b in batches:
-            for text in b.column(0).to_pylist():
+            for text in texts_of(b.column(0)):
                 if not text:
                     continue
                 words = text.split()

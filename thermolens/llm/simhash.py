@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, with_workers
+from .common import checkpointed, texts_of, with_workers
 
 SEED = 42
 _CHUNK = 1 << 16
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            fps = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], dtype=np.uint64)
+            fps = np.array([fingerprint(t, shingle) for t in texts_of(b.column(1))], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
