@@ -237,6 +237,35 @@ def test_license_inheritance(spark):
     assert got[(None, None, None)] == 1
 
 
+def test_license_headers_with_ordinary_words_at_two_table_sizes(spark):
+    import math
+    import re
+    lines = ["// This code is released under the MIT License.", "This article is licensed under CC BY 4.0.",
+             "# Copyright holders of this work: all rights reserved."]
+    tok = lambda s: Counter(re.findall(r"[^\W_]+", s.lower()))
+    for n in (400, 40_000):
+        filler = "this code and the article is a copyright of holders work"
+        docs = spark.range(n).select("id", F.lit("a/b").alias("path"), F.lit(filler).alias("text")).unionByName(
+            spark.createDataFrame([(-1 - i, "a/b", f"first\n{x}\n{filler}") for i, x in enumerate(lines)],
+                                  "id long, path string, text string"))
+        df = Counter({t: n + len(lines) for t in tok(filler)})
+        df.update({t for t in tok(lines[0]) if t not in tok(filler)})
+        for x in lines[1:]:
+            df.update({t for t in tok(x) if t not in tok(filler)})
+        df["first"] += len(lines)
+        idf = lambda t: math.log((1 + n + len(lines)) / (1 + df[t])) + 1  # noqa: B023, E731
+
+        def cos(a, b):
+            ln = lambda c: math.sqrt(sum((m * idf(t)) ** 2 for t, m in c.items()))  # noqa: B023, E731
+            return sum(a[t] * b[t] * idf(t) ** 2 for t in a) / ln(a) / ln(b)  # noqa: B023
+
+        got = {r["id"]: r["header"] for r in licenses.scanned(docs).where("header is not null").collect()}
+        for i, (x, k) in enumerate(zip(lines, ("MIT", "CC-BY-4.0", "Proprietary"), strict=True)):
+            assert got[-1 - i]["license"] == k and got[-1 - i]["line"] == 2, (n, x)
+            assert got[-1 - i]["cosine"] == pytest.approx(cos(tok(x), tok(licenses.TEMPLATES[k])), abs=1e-8)
+        assert len(got) == len(lines)
+
+
 # ---- quality classifier
 
 def test_classifier_held_out_accuracy(spark):

@@ -3,11 +3,13 @@ inheritance from the nearest ancestor directory.
 
 Weights.  Tokens are runs of letters and digits; a token weighs its count times
 ln((1 + documents) / (1 + documents that contain it)) + 1, where document counts cover
-the whole table.  Tokens that no template has weigh as much as an unseen one.
+the whole table, for template tokens and all others.
 
 Candidate lines.  A line can reach the threshold with a template only if it has one of the
 template's heaviest tokens: without them the rest of the template is too light
-(prefix filtering of the cosine join).  Lines with such a token are compared with every template, exactly.
+(prefix filtering of the cosine join).  Of the lines with such a token, those stay that would reach the
+threshold if each of their tokens that no template has weighed ``LEAST``, the least a token can weigh.  The
+tokens of the lines that stay are counted over the whole table, and the lines are compared with every template, exactly.
 
 Headers and licence files.  The best line of a file is its header; a file whose whole text matches a template is a
 licence file and speaks for its directory.  A directory without one takes the licence that all of its own headers
@@ -35,6 +37,10 @@ THRESHOLD = 0.7
 MIN_AGREE = 2
 # Licensed directories (about 200 bytes each) up to which they are broadcast; more meet the files in a shuffled join.
 BROADCAST_DIRS = 50_000
+# Distinct tokens of candidate lines (about 100 bytes each) up to which they are broadcast.
+BROADCAST_TOKENS = 100_000
+# The weight of a token that every document has.
+LEAST = 1.0
 TOKEN = r"[\p{L}\p{N}]+"
 
 # Public licence notices, one line each.
@@ -79,8 +85,7 @@ class Weights:
         has = docs.select(F.explode_outer(F.array_intersect(tokens_of(text_of()), words)).alias("t"))
         # a document without template tokens is one null row, and counts as a document
         df = {r["t"]: r["n"] for r in has.groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect()}
-        n = docs.count()
-        self.unseen = math.log(1 + n) + 1
+        n = self.n = docs.count()
         self.idf = {t: math.log((1 + n) / (1 + df.get(t, 0))) + 1 for t in vocabulary}
         self.vectors, anchors = {}, set()
         for k, c in counts.items():
@@ -96,62 +101,100 @@ class Weights:
         self.anchors = sorted(anchors)
 
     def _counts(self, toks: Column) -> Column:
-        """Squared length of a token list's vector."""
+        """Squared length of a token list's vector, if tokens that no template has weigh ``LEAST``."""
         idf = F.map_from_arrays(F.array(*[F.lit(t) for t in self.idf]), F.array(*[F.lit(x) for x in self.idf.values()]))
         return F.aggregate(F.array_distinct(toks), F.lit(0.0), lambda s, t: s + F.pow(
-            F.size(F.filter(toks, lambda x: x == t)) * F.coalesce(F.element_at(idf, t), F.lit(self.unseen)), F.lit(2.0)))
+            F.size(F.filter(toks, lambda x: x == t)) * F.coalesce(F.element_at(idf, t), F.lit(LEAST)), F.lit(2.0)))
 
-    def best(self, toks: Column) -> Column:
-        """struct(cosine, order, license) of the template nearest to a token list."""
-        length = F.sqrt(self._counts(toks))
-        scored = []
-        for i, (k, vector) in enumerate(self.vectors.items()):
+    def bound(self, toks: Column) -> Column:
+        """No less than the cosine of a token list with any template."""
+        dots = []
+        for vector in self.vectors.values():
             dot = F.lit(0.0)
             for t, w in vector.items():
                 dot = dot + F.size(F.filter(toks, _is(t))) * F.lit(self.idf[t] * w)
-            scored.append(F.struct(F.round(dot / length, 9).alias("cosine"), F.lit(-i).alias("order"),
-                                   F.lit(k).alias("license")))
-        return F.array_max(F.array(*scored))
+            dots.append(dot)
+        return F.array_max(F.array(*dots)) / F.sqrt(self._counts(toks))
 
     def may_match(self, known: Column, n: Column, threshold: float) -> Column:
         """Whether a text of ``n`` tokens, of which ``known`` are template tokens, can reach the
         threshold: its other tokens alone must not be too long a vector."""
-        return (n - F.size(known)) * F.lit((self.unseen * threshold) ** 2) <= \
+        return (n - F.size(known)) * F.lit((LEAST * threshold) ** 2) <= \
             self._counts(known) * F.lit(1 - threshold ** 2)
 
+    def table(self, docs: DataFrame, words: DataFrame) -> DataFrame:
+        """(t, idf, vec: the token's place in every template) of the templates' tokens and of
+        those in the column t of ``words``; document counts from all of ``docs``."""
+        own = docs.sparkSession.createDataFrame(
+            [(t, x, [v.get(t, 0.0) for v in self.vectors.values()]) for t, x in self.idf.items()],
+            "t string, idf double, vec array<double>")
+        extra = checkpointed(words.select("t").distinct().join(F.broadcast(own), "t", "left_anti"))
+        some = extra.count()
+        if not some:
+            return F.broadcast(own)
+        every = docs.select(F.explode(F.array_distinct(tokens_of(text_of()))).alias("t"))
+        if some <= BROADCAST_TOKENS:
+            every = every.join(F.broadcast(extra), "t", "left_semi")
+        df = every.groupBy("t").agg(F.count(F.lit(1)).alias("n"))
+        if some > BROADCAST_TOKENS:
+            df = df.join(extra, "t", "left_semi")
+        idf = F.log(F.lit(1.0 + self.n) / (F.col("n") + 1)) + 1
+        out = own.unionByName(df.select("t", idf.alias("idf"), F.lit(None).cast("array<double>").alias("vec")))
+        return F.broadcast(out) if some <= BROADCAST_TOKENS else out
+
 
 def _is(token: str):
     return lambda x: x == F.lit(token)
 
 
+def scored(parts: DataFrame, files: DataFrame, w: Weights) -> DataFrame:
+    """(_row, line, b struct(cosine, order, license) of the nearest template) of (_row, line, toks) rows."""
+    words = parts.select("_row", "line", F.explode("toks").alias("t")).groupBy("_row", "line", "t").agg(
+        F.count(F.lit(1)).alias("m"))
+    words = checkpointed(words)
+    x = F.col("m") * F.col("idf")
+    sums = words.join(w.table(files, words), "t").groupBy("_row", "line").agg(
+        F.sqrt(F.sum(x * x)).alias("length"),
+        F.array(*[F.coalesce(F.sum(x * F.col("vec")[i]), F.lit(0.0)) for i in range(len(w.vectors))]).alias("dots"))
+    near = [F.struct(F.round(F.col("dots")[i] / F.col("length"), 9).alias("cosine"), F.lit(-i).alias("order"),
+                     F.lit(k).alias("license")) for i, k in enumerate(w.vectors)]
+    return sums.select("_row", "line", F.array_max(F.array(*near)).alias("b"))
+
+
 def scanned(files: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """``files`` (with columns path and text) plus ``header`` struct(cosine, license, line) and
-    ``file`` struct(cosine, license), both null where nothing reaches the threshold."""
-    own = [c for c in files.columns if c not in ("header", "file")]
+    """``files`` (with columns path and text) without their text, plus ``header`` struct(cosine, license, line)
+    and ``file`` struct(cosine, license), both null where nothing reaches the threshold."""
+    own = [c for c in files.columns if c not in ("header", "file", "text")]
     w = Weights(files, templates, threshold)
     anchors = rf"(?<![\p{{L}}\p{{N}}])({'|'.join(w.anchors)})(?![\p{{L}}\p{{N}}])"
-    d = files.select(*own).withColumn("_lines", F.filter(
-        F.transform(F.split(F.lower(text_of()), "\n"), lambda x, i: F.struct((i + 1).alias("line"), x.alias("t"))),
+    d = files.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_own"), text_of().alias("_text"))
+    d = d.withColumn("_lines", F.filter(
+        F.transform(F.split(F.lower("_text"), "\n"), lambda x, i: F.struct((i + 1).alias("line"), x.alias("t"))),
         lambda x: F.regexp_like(x["t"], F.lit(anchors))))
     some = F.size("_lines") > 0
     vocabulary = F.array(*[F.lit(t) for t in w.idf])
     d = d.withColumns({
         "_c": F.transform("_lines", lambda x: F.struct(x["line"].alias("line"), tokens_of(x["t"]).alias("toks"))),
-        "_t": F.when(some, tokens_of(text_of())),
+        "_t": F.when(some, tokens_of(F.col("_text"))),
     })
     d = d.withColumn("_v", F.filter("_t", lambda x: F.array_contains(vocabulary, x)))
-    # from here on only the few lines and texts that hold an anchor carry work
-    d = d.withColumns({
-        "_h": F.when(some, F.transform("_c", lambda c: F.struct(
-            w.best(c["toks"]).alias("b"), (-c["line"]).alias("line")))),
-        "_f": F.when(some & w.may_match(F.col("_v"), F.size("_t"), threshold), w.best(F.col("_t"))),
-    })
-    d = d.withColumn("_b", F.array_max("_h"))
-    header = F.when(F.col("_b.b.cosine") >= threshold, F.struct(
-        F.col("_b.b.cosine").alias("cosine"), F.col("_b.b.license").alias("license"), (-F.col("_b.line")).alias("line")))
-    whole = F.when(F.col("_f.cosine") >= threshold, F.struct(
-        F.col("_f.cosine").alias("cosine"), F.col("_f.license").alias("license")))
-    return d.select(*own, header.alias("header"), whole.alias("file"))
+    # from here on only the few lines and texts that hold an anchor carry work; line 0 is the whole file
+    near = F.filter("_c", lambda c: w.bound(c["toks"]) >= F.lit(threshold - 1e-6))
+    whole = F.when(some & w.may_match(F.col("_v"), F.size("_t"), threshold),
+                   F.array(F.struct(F.lit(0).alias("line"), F.col("_t").alias("toks"))))
+    d = d.select("_own", F.monotonically_increasing_id().alias("_row"),
+                 F.when(some, F.concat(near, F.coalesce(whole, F.slice("_c", 1, 0)))).alias("_parts"))
+    d = checkpointed(d)
+    found = scored(d.where("size(_parts) > 0").select("_row", F.inline("_parts")), files, w)
+    found = found.where(F.col("b.cosine") >= threshold).groupBy("_row").agg(
+        F.max(F.when(F.col("line") > 0, F.struct("b", (-F.col("line")).alias("line")))).alias("h"),
+        F.max(F.when(F.col("line") == 0, F.col("b"))).alias("f"))
+    header = F.when(F.col("h").isNotNull(), F.struct(
+        F.col("h.b.cosine").alias("cosine"), F.col("h.b.license").alias("license"), (-F.col("h.line")).alias("line")))
+    file = F.when(F.col("f").isNotNull(), F.struct(
+        F.col("f.cosine").alias("cosine"), F.col("f.license").alias("license")))
+    out = d.join(found, "_row", "left")
+    return out.select(*[F.col(f"_own.`{c}`").alias(c) for c in own], header.alias("header"), file.alias("file"))
 
 
 def directory_licenses(scans: DataFrame, min_agree: int = MIN_AGREE) -> DataFrame:
