@@ -502,8 +502,9 @@ def _stream_name(prefix: str) -> str:
 
 def _run_rollup(spark, sf, name, then):
     from ..sources.fixtures import events
-    from ..streaming.queries import events_stream, run_rollup
-    out = run_rollup(events_stream(spark, sf), events(spark, sf), _stream_name(name), then)
+    from ..streaming.queries import events_stream, input_delay, run_rollup
+    out = run_rollup(events_stream(spark, sf), events(spark, sf), _stream_name(name), then,
+                     watermark=input_delay(spark, f"{sf}/events.parquet"))
     return out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
@@ -542,11 +543,11 @@ def t4_stream_ensemble(spark, sf):
 
 
 def _stream_series(spark, sf):
-    from ..streaming.queries import events_stream, run_series_state
+    from ..streaming.queries import events_stream, input_delay, run_series_state
     ev = events_stream(spark, sf)
     rd = ev.select(F.col("ts").alias("timestamp"), F.col("value").alias("avg"), F.lit("domestic").alias("type"),
                    F.col("user_id").cast("string").alias("ID"))
-    return run_series_state(rd, _stream_name("t57"), "1 hour", 24, 2.0)
+    return run_series_state(rd, _stream_name("t57"), input_delay(spark, f"{sf}/events.parquet"), 24, 2.0)
 
 
 def t5t6_stream_gap_rate_sigma(spark, sf):

@@ -23,6 +23,7 @@ import math
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -59,6 +60,27 @@ def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int =
     return s.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def input_delay(spark: SparkSession, path: str, ts: str = "ts", at_least: str = "1 hour") -> str:
+    """A watermark delay under which no row of the Parquet files at ``path`` is late, read in the
+    order of their modification times (those with equal times in any order).  One row per
+    file comes to the driver, which lists the same files for the stream."""
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    files = spark.read.parquet(path).select(
+        F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_modification_time").alias("m"), at.alias("t"))
+    files = files.groupBy("f", "m").agg(F.min("t").alias("lo"), F.max("t").alias("hi")).where("lo is not null").collect()
+    lag, before = 0, None
+    for _, same in groupby(sorted(files, key=lambda r: r["m"]), key=lambda r: r["m"]):
+        same = sorted(same, key=lambda r: r["hi"])
+        for r in same:
+            other = same[-1] if r is not same[-1] else same[-2] if len(same) > 1 else None
+            ahead = [x for x in (before, other and other["hi"]) if x is not None]
+            lag = max([lag, *[x - r["lo"] for x in ahead]])
+        before = max(x for x in (before, same[-1]["hi"]) if x is not None)
+    if lag < pd.Timedelta(at_least).total_seconds() * 1e6:
+        return at_least
+    return f"{lag // 1_000_000 + 2} seconds"
+
+
 def readings_stream(spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int = 1) -> DataFrame:
     s = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(path)
     return s.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
@@ -209,11 +231,13 @@ def monitor(scored_stream: DataFrame, report_path: str, checkpoint: str, y: str
 
 @dataclass
 class StreamRun:
-    """A finished run: the sink table, the query's checkpoint and its last watermark."""
+    """A finished run: the sink table, the query's checkpoint, its last watermark, and
+    how many rows its stateful operator dropped as late."""
 
     table: DataFrame
     checkpoint: str
     watermark: str | None
+    late: int
 
 
 def run_stream(stream: DataFrame, name: str) -> StreamRun:
@@ -224,10 +248,16 @@ def run_stream(stream: DataFrame, name: str) -> StreamRun:
     q = (stream.writeStream.format("parquet").queryName(name).outputMode("append")
          .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
          .trigger(availableNow=True).start())
-    q.awaitTermination()
+    dropped: dict[int, int] = {}
+    done = False
+    while not done:         # Spark keeps the last 100 reports only
+        done = q.awaitTermination(1)
+        for p in q.recentProgress:
+            n = sum(o.get("numRowsDroppedByWatermark", 0) for o in p["stateOperators"])
+            dropped[p["batchId"]] = max(n, dropped.get(p["batchId"], 0))
     times = [p["eventTime"].get("watermark") for p in q.recentProgress if p["eventTime"]]
     table = spark.read.schema(stream.schema).parquet(f"{base}/out")
-    return StreamRun(table, f"{base}/checkpoint", times[-1] if times else None)
+    return StreamRun(table, f"{base}/checkpoint", times[-1] if times else None, sum(dropped.values()))
 
 
 def run_to_table(stream: DataFrame, name: str) -> DataFrame:
@@ -240,21 +270,24 @@ def run_rollup(events: DataFrame, batch_events: DataFrame, name: str, then: Call
                ts: str = "ts", value: str = "value") -> DataFrame:
     """T1 and what follows it (``then``) over a finite stream, all windows included:
     the windows that the last watermark left open are rolled up from the end of the
-    same input, now that no more rows can come."""
+    same input, now that no more rows can come.  If rows were late, which a ``watermark``
+    from ``input_delay`` rules out, all windows are rolled up from that input."""
     run = run_stream(then(stream_rollup(events, width, watermark, key, ts, value)), name)
     rest = batch_events
-    if run.watermark:
+    if run.watermark and not run.late:
         end = F.to_timestamp(F.lit(run.watermark))
         rest = rest.where(F.window(ts, width).end > end)
     rest = rollup_readings(rest.withColumn(ts, F.col(ts).cast("timestamp")), width, key, ts, value)
     rest = rest.select(*key, "timestamp", "avg", "min_v", "max_v", "stddev_v")
-    return run.table.unionByName(then(rest))
+    return then(rest) if run.late else run.table.unionByName(then(rest))
 
 
 def run_series_state(readings: DataFrame, name: str, watermark: str = "1 hour", window: int = 24,
                      k: float = 2.0, key: Sequence[str] = SERIES_KEY) -> DataFrame:
     """T5-T7 over a finite stream, its end included: what is still buffered, and runs
-    still open, are read from the query's state and released as if the watermark had passed."""
+    still open, are read from the query's state and released as if the watermark had passed.
+    One 'late' record without a key counts readings that Spark dropped behind the watermark; a
+    ``watermark`` from ``input_delay`` rules them out."""
     run = run_stream(stream_series_state(readings, watermark, window, k, key), name)
     spark = readings.sparkSession
     state = spark.read.format("statestore").load(run.checkpoint)
@@ -267,4 +300,8 @@ def run_series_state(readings: DataFrame, name: str, watermark: str = "1 hour",
                 out += _release(json.loads(s), series, math.inf, window, k, close=True)
             yield pd.DataFrame(out, columns=[f.name for f in SERIES_OUT.fields])
 
-    return run.table.unionByName(state.mapInPandas(flush, SERIES_OUT))
+    out = run.table.unionByName(state.mapInPandas(flush, SERIES_OUT))
+    if run.late:
+        row = tuple({"record": "late", "n_rows": run.late}.get(f.name) for f in SERIES_OUT.fields)
+        out = out.unionByName(spark.createDataFrame([row], SERIES_OUT))
+    return out
