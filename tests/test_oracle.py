@@ -39,3 +39,13 @@ def test_matches_duckdb(spark, con, name):
     dcols = [d[0] for d in cur.description]
     assert sorted(sdf.columns) == sorted(dcols)
     assert rows_of(sdf.columns, [tuple(r) for r in sdf.collect()]) == rows_of(dcols, cur.fetchall())
+
+
+@pytest.mark.parametrize("name", ["p7_w1_tagged_all", "n4_cross_circuit_pairs"])
+def test_every_circuit_matches_duckdb(spark, con, name):
+    test_matches_duckdb(spark, con, name)
+    d = E.queries()[name](spark, SF)
+    if name.startswith("p7"):
+        assert d.select("type", "ID").distinct().count() == 5
+    else:       # one domestic pair, three forward pairs
+        assert d.select("type", "a_ID", "b_ID").distinct().count() == 4

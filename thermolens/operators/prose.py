@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import DEFAULT_SERIES, Series, flag
 from .timeseries import gap_mode, time_diff_min
-from .windows import DEFAULT_LAYOUT, Layout, series_key, sk_col
+from .windows import DEFAULT_LAYOUT, Layout, checkpoint, series_key, sk_col
 
 
 def gap_warning(df: DataFrame, s: Series = DEFAULT_SERIES, layout: Layout = DEFAULT_LAYOUT,
@@ -46,3 +46,22 @@ def cross_circuit_check(a: DataFrame, b: DataFrame, drop: float = 10.0, bucket:
     j = per_bucket(a, "a").join(per_bucket(b, "b"), "bucket", "inner")
     return j.withColumn("diagnosis", F.when(F.col("a_drop") & F.col("b_drop"), "both")
                         .when(F.col("a_drop"), "only_a").when(F.col("b_drop"), "only_b").otherwise("none"))
+
+
+def cross_circuit_pairs(readings: DataFrame, drop: float = 10.0, bucket: str = "hour", col: str = "avg",
+                        ts: str = "timestamp", within: str = "type", circuit: str = "ID") -> DataFrame:
+    """N4 for every pair of circuits that share a ``within`` (a_ID < b_ID): one mean per
+    circuit and bucket, computed once and written out, joined with itself on the bucket."""
+    per = readings.groupBy(within, circuit, F.date_trunc(bucket, ts).alias("bucket")).agg(
+        F.avg(col).alias("mean"), F.sum(col).alias("_s"), F.count(col).alias("_n"))
+    own = Window.partitionBy(within, circuit)
+    low = flag(F.sum("_s").over(own) / F.sum("_n").over(own) - F.col("mean") > drop)
+    per = checkpoint(per.select(within, circuit, "bucket", "mean", low.alias("drop")))
+    a, b = (per.select(F.col(within).alias(f"_{x}"), F.col("bucket").alias(f"_{x}_bucket"), F.col(circuit).alias(f"{x}_{circuit}"),
+                       F.col("mean").alias(f"{x}_mean"), F.col("drop").alias(f"{x}_drop")) for x in ("a", "b"))
+    j = a.join(b, F.col("_a").eqNullSafe(F.col("_b")) & (F.col("_a_bucket") == F.col("_b_bucket"))
+               & (F.col(f"a_{circuit}") < F.col(f"b_{circuit}")))
+    return j.select(
+        F.col("_a").alias(within), f"a_{circuit}", f"b_{circuit}", F.col("_a_bucket").alias("bucket"), "a_mean", "a_drop",
+        "b_mean", "b_drop", F.when(F.col("a_drop") & F.col("b_drop"), "both").when(F.col("a_drop"), "only_a")
+        .when(F.col("b_drop"), "only_b").otherwise("none").alias("diagnosis"))

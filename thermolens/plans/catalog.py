@@ -695,6 +695,28 @@ def p7_w1_tagged(spark, sf):
     return rnd(sort_by_time(tag_series(r, "domestic", "click")), ["avg"])
 
 
+def p7_w1_tagged_all(spark, sf):
+    """P7 + W1 + F7 over every circuit: each circuit's source rows without their tags; tagged, parsed, united, in time order."""
+    from ..operators.clean import tag_series
+    from ..operators.timeseries import sort_by_time
+    h = checkpoint(readings_hourly(spark, sf).select(
+        "type", "ID", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("timestamp"), "avg"))
+    out = None
+    for c in h.select("type", "ID").distinct().orderBy("type", "ID").collect():
+        rows = h.where(F.col("type").eqNullSafe(F.lit(c["type"])) & F.col("ID").eqNullSafe(F.lit(c["ID"])))
+        rows = rows.select(cal.parse_timestamp("timestamp").alias("timestamp"), "avg")
+        one = tag_series(rows, c["type"], c["ID"])
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    if out is None:
+        out = h.select(cal.parse_timestamp("timestamp").alias("timestamp"), "avg", "type", "ID")
+    return rnd(sort_by_time(out), ["avg"])
+
+
+def n4_cross_circuit_pairs(spark, sf):
+    """N4 for all pairs of circuits within a type."""
+    return rnd(prose.cross_circuit_pairs(readings(spark, sf), 10.0), ["a_mean", "b_mean"])
+
+
 def _per_event(query: Query) -> Query:
     def run(spark, sf):
         return query(spark, sf, readings_per_event)
@@ -708,6 +730,7 @@ PER_EVENT = {f"{q.__name__}_per_event": _per_event(q) for q in (
 
 ORACLE.update({
     "s5_save_reload": sql.S5, "s1_s3_round_trip": sql.S1_S3, "s6_t8_monitor_report": sql.T8, "p7_w1_tagged": sql.P7_W1,
+    "p7_w1_tagged_all": sql.P7_W1_ALL, "n4_cross_circuit_pairs": sql.N4_PAIRS,
     "d13_ensemble_forest": sql.D13, "v10_detailed_analysis": sql.V10,
     "x2_feature_matrix_per_event": sql.per_event(sql.X2), "a1_describe_per_event": sql.per_event(sql.A1),
     "d3_zscore_any_per_event": sql.per_event(sql.D3), "d8_isolation_forest_per_event": sql.per_event(sql.D8),

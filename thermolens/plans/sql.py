@@ -706,6 +706,18 @@ S1_S3 = _rewrite_round(q('''SELECT fmt, "type", "ID", "timestamp", round("avg",
 T8 = with_(SCORED) + f"SELECT count(*) AS batch_size, {_CONF} FROM pred"
 P7_W1 = _rewrite_round(q("SELECT \"timestamp\", round(\"avg\", 6) AS \"avg\", 'domestic' AS \"type\", 'click' AS \"ID\" FROM hourly WHERE \"ID\" = 'click'", HOURLY))
 
+P7_W1_ALL = _rewrite_round(q('SELECT "timestamp", round("avg", 6) AS "avg", "type", "ID" FROM hourly', HOURLY))
+
+N4_PAIRS = _rewrite_round(q('''
+SELECT a."type", a."ID" AS "a_ID", b."ID" AS "b_ID", a.bucket, round(a.m, 6) AS a_mean, a.low AS a_drop,
+  round(b.m, 6) AS b_mean, b.low AS b_drop,
+  CASE WHEN a.low AND b.low THEN 'both' WHEN a.low THEN 'only_a' WHEN b.low THEN 'only_b' ELSE 'none' END AS diagnosis
+FROM per a JOIN per b ON a."type" = b."type" AND a.bucket = b.bucket AND a."ID" < b."ID"''', READINGS + ''',
+per AS (
+  SELECT g."type", g."ID", g.bucket, g.m, coalesce(o.m - g.m > 10, false) AS low
+  FROM (SELECT "type", "ID", date_trunc('hour', "timestamp") AS bucket, avg("avg") AS m FROM readings GROUP BY ALL) g
+  JOIN (SELECT "type", "ID", avg("avg") AS m FROM readings GROUP BY ALL) o ON g."type" = o."type" AND g."ID" = o."ID")'''))
+
 # ---------------------------------------------------------------- one reading per event
 HOURLY_EVENT = """
 hourly AS (
