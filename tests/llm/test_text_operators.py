@@ -208,6 +208,69 @@ def test_merkle_edits_match_brute_force(spark, edge):
     assert sum(r["near_edited"] > r["near_next"] for r in got) > 0.95 * len(got)
 
 
+def brute_leaves(paragraph):
+    """Pieces of a paragraph: up to 48 plain characters with the marks and white space after them, else 48 at most."""
+    out, at, marks = [], 0, ".!?;:|,"
+    while at < len(paragraph):
+        end = at
+        while end < len(paragraph) and end - at < 48 and paragraph[end] not in marks:
+            end += 1
+        if end < len(paragraph) and paragraph[end] in marks:
+            while end < len(paragraph) and paragraph[end] in marks:
+                end += 1
+            while end < len(paragraph) and paragraph[end] in " \t\n\x0b\f\r":
+                end += 1
+        out.append(paragraph[at:end])
+        at = end
+    return out
+
+
+def brute_fingerprint(text):
+    import hashlib
+    md5 = lambda s: hashlib.md5(s.encode()).hexdigest()
+    leaves = [[md5(x) for x in brute_leaves(p)] for p in (text or "").split("\n")]
+    paragraphs = [md5("".join(x)) for x in leaves]
+    # a section's text is its paragraphs' digests, a comma after each but the one that ends it
+    sections, run = [], ""
+    for q in paragraphs:
+        run += q
+        if q[0] in "01":
+            sections.append(md5(run))
+            run = ""
+        else:
+            run += ","
+    if run:
+        sections.append(md5(run))
+    short = lambda xs: ".".join(x[:8] for x in xs)
+    return ":".join([md5("".join(sections)), short(sections), short(paragraphs), short([x for xs in leaves for x in xs])])
+
+
+def brute_likeness(a, b):
+    if a.split(":")[0] == b.split(":")[0]:
+        return 1.0
+    x, y = ({v for v in f.split(":")[3].split(".") if v} for f in (a, b))
+    return min(len(x & y) / max(len(x), len(y), 1), 0.999999)
+
+
+def test_merkle_columns_match_brute_force(spark):
+    docs = docs_of(spark).select("doc_id", "text")
+    top = docs.agg(F.max("doc_id")).first()[0]
+    odd = ["", None, "a" * 48 + ".b" * 3, "x" * 49 + "., \t\u00a0y\n\n" + "\u00e9" * 100, "same\nline.", "same\nline."]
+    docs = docs.unionByName(spark.createDataFrame([(top + 1 + i, t) for i, t in enumerate(odd)], docs.schema))
+    rows = sorted(((r["doc_id"], r["text"] or "") for r in docs.collect()), reverse=True)
+    nxt = {rows[k][0]: rows[(k + 1) % len(rows)][1] for k in range(len(rows))}
+    got = merkle.fingerprinted(docs).collect()
+    assert len(got) == len(rows) == len(nxt)
+    for r in got:
+        following, n = nxt[r["doc_id"]], len(r["text"])
+        fp, after = brute_fingerprint(r["text"]), r["text"][:n - n // 3] + following[:n // 3]
+        assert r["fingerprint"] == fp
+        assert r["edited_fingerprint"] == brute_fingerprint(after)
+        assert abs(r["near_edited"] - brute_likeness(fp, brute_fingerprint(after))) < 1e-12
+        assert abs(r["near_next"] - brute_likeness(fp, brute_fingerprint(following))) < 1e-12
+    assert any(r["near_next"] == 1 for r in got) and any(0 < r["near_next"] < 1 for r in got)
+
+
 def test_merkle_chunks_agree_with_one_window(spark, monkeypatch):
     monkeypatch.setattr(merkle, "ROWS_PER_CHUNK", 7)
     rows = [(i * i % 101, f"text {i}") for i in range(101)] + [(None, "null a"), (None, "null b")]
