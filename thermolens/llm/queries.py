@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, merkle, mixing, packing, pii, quality_classifier, quality_rules, sharding, simhash, url_filters
+from . import hard_negatives, licenses, merkle, mixing, packing, pii, quality_classifier, quality_rules, sharding, simhash, url_filters
 from .common import table
 
 
@@ -104,6 +104,17 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def mining_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``embeddings`` with the stated label shift of every seventh row."""
+    shifted = F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return table(spark, sf_dir, "embeddings").withColumn("label", shifted)
+
+
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, for each of its five positives."""
+    return hard_negatives.mined(mining_rows(spark, sf_dir), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_quality_rules": op2_quality_rules,
@@ -115,6 +126,33 @@ QUERIES = {
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
-ORACLE: dict[str, str] = {}
+_OP11_SQL = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+         list_inner_product(a.v, r.v)::BIGINT AS score
+  FROM e a JOIN e r ON a.vec_id <> r.vec_id
+  WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT * FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, p.id AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id)::INTEGER AS rank,
+       n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same
+ AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) <= 5
+"""
+
+ORACLE: dict[str, str] = {
+    "op11_hard_negatives": _OP11_SQL,
+}
