@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hard_negatives, licenses, merkle, mixing, packing, pii, quality_classifier, quality_rules, sharding, simhash, url_filters
+from . import hard_negatives, licenses, merkle, mixing, packing, pii, quality_classifier, quality_rules, sharding, simhash, token_alignment, url_filters
 from .common import table
 
 
@@ -115,6 +115,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mined(mining_rows(spark, sf_dir), F.col("vec_id") % 100 == 0)
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token links of two tokenizers in every document, and how often their pairs are linked."""
+    return token_alignment.aligned(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_quality_rules": op2_quality_rules,
@@ -127,6 +132,7 @@ QUERIES = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_hard_negatives": op11_hard_negatives,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 _OP11_SQL = """
