@@ -3,6 +3,8 @@ micro-batches."""
 
 import random
 
+import pandas as pd
+
 from pyspark.sql import functions as F
 
 from thermolens.operators.detect.rolling import rolling_sigma
@@ -54,7 +56,8 @@ def test_streams_over_part_files_that_are_not_in_time_order(spark, tmp_dir):
     import os
 
     from thermolens.plans import catalog
-    from thermolens.streaming.queries import events_stream, input_delay, run_rollup, run_series_state
+    from thermolens.streaming import time_order
+    from thermolens.streaming.queries import events_stream, run_rollup, run_series_state
     ev = spark.read.parquet(f"{SF}/events.parquet")
     at = F.unix_micros(F.col("ts").cast("timestamp"))
     cut = ev.select(F.percentile(at, F.array(F.lit(0.33), F.lit(0.66)))).collect()[0][0]
@@ -67,14 +70,18 @@ def test_streams_over_part_files_that_are_not_in_time_order(spark, tmp_dir):
             d.toPandas().to_parquet(file, coerce_timestamps="us")
             os.utime(file, (1_700_000_000 + i, 1_700_000_000 + i))
     whole, parts = f"{tmp_dir}/whole", f"{tmp_dir}/parts"
-    assert input_delay(spark, f"{whole}/events.parquet") == "1 hour"
+    assert time_order.sources_in_order(spark, f"{whole}/events.parquet") == [f"{whole}/events.parquet"]
+    folders = time_order.sources_in_order(spark, f"{parts}/events.parquet", slice_rows=300)
+    assert len(folders) == -(-ev.count() // 300)
+    spans = [spark.read.parquet(f).agg(F.min("ts"), F.max("ts"), F.count("*")).first() for f in folders]
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:])) and sum(x[2] for x in spans) == ev.count()
     for query in (catalog.t1_stream_rollup, catalog.t5t6_stream_gap_rate_sigma, catalog.t7_stream_periods):
         want, got = (sorted(map(repr, query(spark, sf).collect())) for sf in (whole, parts))
         assert want and got == want, query.__name__
     assert catalog.t5t6_stream_gap_rate_sigma(spark, parts).count() == ev.count()
 
     # too short a delay: nothing is lost silently
-    src = events_stream(spark, parts)
+    src = events_stream(spark, f"{parts}/events.parquet")
     rd = src.select(F.col("ts").alias("timestamp"), F.col("value").alias("avg"), F.lit("domestic").alias("type"),
                     F.col("user_id").cast("string").alias("ID"))
     n = {r["record"]: r["n"] for r in run_series_state(rd, "late_series").groupBy("record").agg(
@@ -82,3 +89,90 @@ def test_streams_over_part_files_that_are_not_in_time_order(spark, tmp_dir):
     assert n["late"] > 0 and n["reading"] + n["late"] == ev.count()
     rolled = run_rollup(src, spark.read.parquet(f"{parts}/events.parquet"), "late_rollup", lambda d: d)
     assert rolled.count() == catalog.t1_stream_rollup(spark, whole).count()
+
+
+def plain_series(rows, window=24, k=2.0):
+    """T5-T7 of one series, reading by reading."""
+    import math
+    out, periods, vals, last, run, runs = [], [], [], None, None, 0
+    for us, a in sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or 0.0)):
+        gap = None if last is None else (us - last[0]) // 60_000_000
+        rate = 0.0 if not gap or gap < 0 else None if a is None or last[1] is None else (a - last[1]) / gap
+        vals = (vals + [a])[-window:]
+        have = [v for v in vals if v is not None]
+        mean = sum(have) / len(have) if have else None
+        std = math.sqrt(sum((v - mean) ** 2 for v in have) / (len(have) - 1)) if len(have) > 1 else None
+        flag = a is not None and std is not None and abs(a - mean) > k * std
+        if flag and run is None:
+            runs, run = runs + 1, [us, us, 0]
+        if flag:
+            run[1:] = [us, run[2] + 1]
+        elif run is not None:
+            periods.append((runs, *run))
+            run = None
+        out.append((us, a, gap, rate, mean, std, flag, runs if flag else None))
+        last = (us, a)
+    return out, periods + ([(runs, *run)] if run else [])
+
+
+def test_measured_equals_row_by_row_however_it_is_cut():
+    import numpy as np
+    import pytest
+
+    from thermolens.streaming.series_state import NEW_SERIES, measured
+    rnd = random.Random(9)
+    for case in range(60):
+        n = rnd.choice([0, 1, 2, 5, 60, 200])
+        rows = [(rnd.randrange(0, 4 * n + 1) * 30_000_000, None if rnd.random() < 0.1 else
+                 rnd.choice([20.0, 20.5, 21.0, 90.0, 95.0, -3.0])) for _ in range(n)]
+        rows = [r for r, us in zip(rows, [x[0] for x in rows])]
+        window, k = rnd.choice([(24, 2.0), (3, 0.5), (1, 2.0), (5, 0.0)])
+        want, periods = plain_series(rows, window, k)
+        cuts = sorted({0, 10 ** 15, *[rnd.randrange(0, 4 * n + 1) * 30_000_000 for _ in range(rnd.randrange(0, 6))]})
+        state, got, closed = NEW_SERIES, [], []
+        for lo, hi in zip(cuts, cuts[1:]):
+            part = [r for r in rows if lo <= r[0] < hi]
+            rnd.shuffle(part)
+            us = np.array([r[0] for r in part], dtype=np.int64)
+            avg = np.array([np.nan if r[1] is None else r[1] for r in part], dtype=float)
+            out, state = measured(("domestic", "1"), us, avg, state, window, k, hi, close=hi == cuts[-1])
+            r = out[out["record"] == "reading"]
+            got += list(zip(r["timestamp"].astype("datetime64[us]").astype("int64"), r["avg"], r["time_diff_min"],
+                            r["avg_rate_per_min"], r["avg_rolling_mean"], r["avg_rolling_std"], r["anomaly"], r["period_no"]))
+            p = out[out["record"] == "period"]
+            closed += list(zip(p["period_no"].astype(int), p["start_ts"].astype("datetime64[us]").astype("int64"),
+                               p["end_ts"].astype("datetime64[us]").astype("int64"), p["n_rows"].astype(int)))
+        assert len(got) == len(want) and closed == periods, case
+        for g, w in zip(got, want):
+            for x, y in zip(g, w):
+                if y is None:
+                    assert pd.isna(x)
+                else:
+                    assert x == pytest.approx(y, rel=1e-9, abs=1e-9), (case, g, w)
+
+
+def test_disorder_of_files():
+    from thermolens.streaming.time_order import disorder
+    assert disorder([]) == 0
+    assert disorder([(1, 0, 10), (2, 11, 20), (3, 21, 30)]) == 0
+    assert disorder([(1, 0, 10), (2, 8, 20)]) == 2
+    assert disorder([(1, 11, 20), (2, 0, 10)]) == 20
+    assert disorder([(1, 0, 10), (1, 5, 20)]) == 20     # either file may come first
+    assert disorder([(1, 0, 50), (2, 51, 60), (3, 20, 70)]) == 40
+
+
+def test_series_state_is_appended_and_typed(spark, tmp_dir):
+    """Many micro-batches inside the delay: the buffer grows by appends, nothing is released early."""
+    from thermolens.streaming.queries import run_series_state, run_stream
+    rows = [(f"2024-01-01 00:{m:02d}:00", 20.0 + m % 7, "domestic", "a" if m % 2 else None) for m in range(40)]
+    rd = spark.createDataFrame(rows, "timestamp string, avg double, type string, ID string").withColumn(
+        "timestamp", F.col("timestamp").cast("timestamp"))
+    for i in range(8):
+        rd.where(F.minute("timestamp") % 8 == i).coalesce(1).write.parquet(f"{tmp_dir}/src/part={i}")
+    src = readings_stream(spark, f"{tmp_dir}/src", rd.schema, 1)
+    run = run_stream(stream_series_state(src, "1 hour"), "appended")
+    assert run.table.count() == 0 and run.late == 0
+    held = spark.read.format("statestore").option("stateVarName", "buffer").load(run.checkpoint)
+    assert held.count() == 40 and held.select("key.ID").distinct().count() == 2
+    out = run_series_state(src, "appended_whole").where("record = 'reading'").collect()
+    assert len(out) == 40 and sum(r["time_diff_min"] is None for r in out) == 2

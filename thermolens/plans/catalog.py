@@ -502,9 +502,8 @@ def _stream_name(prefix: str) -> str:
 
 def _run_rollup(spark, sf, name, then):
     from ..sources.fixtures import events
-    from ..streaming.queries import events_stream, input_delay, run_rollup
-    out = run_rollup(events_stream(spark, sf), events(spark, sf), _stream_name(name), then,
-                     watermark=input_delay(spark, f"{sf}/events.parquet"))
+    from ..streaming.queries import run_rollup, streams_in_order
+    out = run_rollup(streams_in_order(spark, f"{sf}/events.parquet"), events(spark, sf), _stream_name(name), then)
     return out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
@@ -543,11 +542,11 @@ def t4_stream_ensemble(spark, sf):
 
 
 def _stream_series(spark, sf):
-    from ..streaming.queries import events_stream, input_delay, run_series_state
-    ev = events_stream(spark, sf)
-    rd = ev.select(F.col("ts").alias("timestamp"), F.col("value").alias("avg"), F.lit("domestic").alias("type"),
-                   F.col("user_id").cast("string").alias("ID"))
-    return run_series_state(rd, _stream_name("t57"), input_delay(spark, f"{sf}/events.parquet"), 24, 2.0)
+    from ..streaming.queries import run_series_state, streams_in_order
+    rd = [ev.select(F.col("ts").alias("timestamp"), F.col("value").alias("avg"), F.lit("domestic").alias("type"),
+                    F.col("user_id").cast("string").alias("ID"))
+          for ev in streams_in_order(spark, f"{sf}/events.parquet")]
+    return run_series_state(rd, _stream_name("t57"), "1 hour", 24, 2.0)
 
 
 def t5t6_stream_gap_rate_sigma(spark, sf):
@@ -567,11 +566,10 @@ def t7_stream_periods(spark, sf):
 
 def t9_stream_dedup(spark, sf):
     """The events stream read twice (at-least-once delivery), deduplicated by event."""
-    from ..streaming.queries import events_stream, run_to_table, stream_dedup
-    both = events_stream(spark, sf).unionByName(events_stream(spark, sf))
-    d = stream_dedup(both, ("event_id",), "ts", "1 hour")
-    out = run_to_table(d.select("event_id", "ts", "event_type", "value"), _stream_name("t9"))
-    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    from ..streaming.queries import run_stream, stream_dedup, streams_in_order
+    twice = [stream_dedup(ev.unionByName(ev), ("event_id",), "ts", "1 hour").select("event_id", "ts", "event_type", "value")
+             for ev in streams_in_order(spark, f"{sf}/events.parquet")]
+    return run_stream(twice, _stream_name("t9")).table.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 ORACLE.update({

@@ -5,37 +5,31 @@
   window is emitted once the watermark passes its end (the tail stays open).
 * T2 ``stream_domain_rules`` / T3 ``stream_score`` / T4 ``stream_ensemble``:
   stateless; parameters are frozen batch tables joined stream-static (broadcast).
-* T5-T7 ``stream_series_state``: one ``applyInPandasWithState`` per series.  Rows
-  are buffered until the watermark passes them and then released in event-time
-  order, so micro-batch boundaries and arrival order do not change results.
-  State per series: the buffer (bounded by the watermark delay), the last released
-  reading, the last ``window - 1`` values and the open anomaly run.  Released rows
-  get the gap (T5), per-minute rate (T5), rolling mean / std / sigma flag (T6) and
-  a period number; closed runs are emitted as period records (T7).
+* T5-T7 ``stream_series_state`` (``series_state``): typed per-series state and event-time
+  timers; rows are released in event-time order once the watermark has passed, so
+  micro-batch boundaries and arrival order do not change results.
 * T8 ``monitor``: ``foreachBatch`` validation report appended per micro-batch.
 * T9 ``stream_dedup``: ``dropDuplicatesWithinWatermark`` on (series, timestamp).
 """
 
 from __future__ import annotations
 
-import json
-import math
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from itertools import groupby
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators.detect.baseline import baseline_predict
 from ..operators.detect.ensemble import ensemble_predict
 from ..operators.detect.rules import domain_rules
+from ..operators.windows import parse_span
 from ..schema import SERIES_KEY
 from ..sources.readers import rollup_readings
+from .series_state import SERIES_OUT, STATE_STORE, released_rest, stream_series_state
+from .time_order import SLICE_ROWS, file_stream, sources_in_order
 
 EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -50,37 +44,13 @@ def checkpoint_location(spark: SparkSession, name: str) -> str:
     return f"{base}/streams/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """The driver's ``events`` parquet as a stream; ``ts`` cast to TIMESTAMP because a
+def events_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = 1) -> DataFrame:
+    """The Parquet files of an ``events`` table as a stream; ``ts`` cast to TIMESTAMP because a
     watermark needs it (the session zone is UTC, so instants are unchanged)."""
-    s = (spark.readStream.schema(EVENTS_SCHEMA)
-         .option("maxFilesPerTrigger", max_files_per_trigger)
-         # a pattern, so that the table may be one file or a folder of part files
-         .parquet(f"{sf_dir}/event[s].parquet"))
+    s = file_stream(spark, path, EVENTS_SCHEMA, max_files_per_trigger)
     return s.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def input_delay(spark: SparkSession, path: str, ts: str = "ts", at_least: str = "1 hour") -> str:
-    """A watermark delay under which no row of the Parquet files at ``path`` is late, read in the
-    order of their modification times (those with equal times in any order).  One row per
-    file comes to the driver, which lists the same files for the stream."""
-    at = F.unix_micros(F.col(ts).cast("timestamp"))
-    files = spark.read.parquet(path).select(
-        F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_modification_time").alias("m"), at.alias("t"))
-    files = files.groupBy("f", "m").agg(F.min("t").alias("lo"), F.max("t").alias("hi")).where("lo is not null").collect()
-    lag, before = 0, None
-    for _, same in groupby(sorted(files, key=lambda r: r["m"]), key=lambda r: r["m"]):
-        same = sorted(same, key=lambda r: r["hi"])
-        for r in same:
-            other = same[-1] if r is not same[-1] else same[-2] if len(same) > 1 else None
-            ahead = [x for x in (before, other and other["hi"]) if x is not None]
-            lag = max([lag, *[x - r["lo"] for x in ahead]])
-        before = max(x for x in (before, same[-1]["hi"]) if x is not None)
-    if lag < pd.Timedelta(at_least).total_seconds() * 1e6:
-        return at_least
-    return f"{lag // 1_000_000 + 2} seconds"
-
-
 def readings_stream(spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int = 1) -> DataFrame:
     s = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(path)
     return s.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
@@ -121,100 +91,6 @@ def stream_dedup(readings: DataFrame, key: Sequence[str] = SERIES_KEY, ts: str =
     return readings.withWatermark(ts, watermark).dropDuplicatesWithinWatermark([*key, ts])
 
 
-SERIES_OUT = T.StructType([
-    T.StructField("record", T.StringType()),             # 'reading', 'period' or 'late'
-    T.StructField("type", T.StringType()), T.StructField("ID", T.StringType()),
-    T.StructField("timestamp", T.TimestampType()), T.StructField("avg", T.DoubleType()),
-    T.StructField("time_diff_min", T.LongType()), T.StructField("avg_rate_per_min", T.DoubleType()),
-    T.StructField("avg_rolling_mean", T.DoubleType()), T.StructField("avg_rolling_std", T.DoubleType()),
-    T.StructField("anomaly", T.BooleanType()), T.StructField("period_no", T.LongType()),
-    T.StructField("start_ts", T.TimestampType()), T.StructField("end_ts", T.TimestampType()),
-    T.StructField("n_rows", T.LongType()),
-])
-STATE = T.StructType([T.StructField("s", T.StringType())])
-
-
-def _release(st: dict, key: Sequence, wm_us: float, window: int, k: float, close: bool = False) -> list[tuple]:
-    """Move the buffered rows up to the watermark out of the state, in event-time order,
-    as output records; ``close`` also ends the open run (no more rows can come)."""
-    st["buf"].sort(key=lambda r: (r[0], r[1] is None, r[1] or 0.0))
-    ready = [r for r in st["buf"] if r[0] <= wm_us]
-    st["buf"] = [r for r in st["buf"] if r[0] > wm_us]
-    out = []
-
-    def period():
-        s0, s1, n = st["run"]
-        st["run"] = None
-        return ("period", key[0], key[1], None, None, None, None, None, None, None, st["pno"],
-                pd.Timestamp(s0 * 1000), pd.Timestamp(s1 * 1000), n)
-
-    for us, a in ready:
-        prev = st["last"]
-        gap = None if prev is None else (us - prev[0]) // 60_000_000
-        if prev is None or not gap or gap <= 0:
-            rate = 0.0
-        else:
-            rate = (a - prev[1]) / gap if a is not None and prev[1] is not None else None
-        win = (st["win"] + [a])[-window:]
-        vals = [v for v in win if v is not None]
-        mean = sum(vals) / len(vals) if vals else None
-        std = math.sqrt(sum((v - mean) ** 2 for v in vals) / (len(vals) - 1)) if len(vals) > 1 else None
-        flag = bool(a is not None and std is not None and abs(a - mean) > k * std)
-        if flag:
-            if st["run"] is None:
-                st["pno"] += 1
-                st["run"] = [us, us, 0]
-            st["run"][1] = us
-            st["run"][2] += 1
-        elif st["run"] is not None:
-            out.append(period())
-        out.append(("reading", key[0], key[1], pd.Timestamp(us * 1000), a, gap, rate, mean, std, flag,
-                    st["pno"] if flag else None, None, None, None))
-        st["last"] = [us, a]
-        st["win"] = win[-(window - 1):] if window > 1 else []
-    if close and st["run"] is not None:
-        out.append(period())
-    return out
-
-
-def _series_state_fn(window: int, k: float):
-    def fn(key, pdfs, state):
-        st = json.loads(state.get[0]) if state.exists else {"buf": [], "last": None, "win": [], "run": None,
-                                                             "pno": 0}
-        last_us = st["last"][0] if st["last"] else None
-        late = 0
-        for pdf in pdfs:
-            for t, a in zip(pdf["timestamp"], pdf["avg"]):
-                us = int(pd.Timestamp(t).value // 1000)
-                if last_us is not None and us < last_us:
-                    late += 1          # behind what was already released: reported, not ordered in
-                    continue
-                st["buf"].append([us, None if a is None or (isinstance(a, float) and math.isnan(a)) else float(a)])
-        out = _release(st, key, state.getCurrentWatermarkMs() * 1000, window, k)
-        if late:
-            out.append(("late", key[0], key[1], None, None, None, None, None, None, None, None, None, None, late))
-        state.update((json.dumps(st),))
-        if st["buf"]:
-            state.setTimeoutTimestamp(max(st["buf"][0][0] // 1000, state.getCurrentWatermarkMs() + 1))
-        if out:
-            yield pd.DataFrame(out, columns=[f.name for f in SERIES_OUT.fields])
-    return fn
-
-
-def stream_series_state(readings: DataFrame, watermark: str = "1 hour", window: int = 24, k: float = 2.0,
-                        key: Sequence[str] = SERIES_KEY) -> DataFrame:
-    """T5-T7 on a readings stream (``timestamp`` TIMESTAMP, ``avg``, key columns).
-    ``record = 'reading'`` rows carry gap / rate / rolling statistics / flag /
-    period number; ``record = 'period'`` rows are closed anomaly periods; ``record =
-    'late'`` rows count (``n_rows``) readings that came behind released ones."""
-    from ..session import ship_package
-    ship_package(readings.sparkSession)
-    return (readings.withWatermark("timestamp", watermark)
-            .groupBy(*key)
-            .applyInPandasWithState(_series_state_fn(window, k), SERIES_OUT, STATE, "append",
-                                    GroupStateTimeout.EventTimeTimeout))
-
-
 def monitor(scored_stream: DataFrame, report_path: str, checkpoint: str, y: str = "is_anomaly",
             yhat: str = "ensemble", trigger: dict | None = None):
     """Per micro-batch validation row (V9) appended to a report table."""
@@ -240,24 +116,36 @@ class StreamRun:
     late: int
 
 
-def run_stream(stream: DataFrame, name: str) -> StreamRun:
+def run_stream(streams: DataFrame | Sequence[DataFrame], name: str) -> StreamRun:
     """Run a stream over everything available (``availableNow``) into a Parquet sink
-    under the shared checkpoint folder; no row passes through the driver."""
-    spark = stream.sparkSession
+    under the shared checkpoint folder; no row passes through the driver.  Several streams are the same
+    query on sources that follow each other; they are run one after the other with one checkpoint."""
+    streams = [streams] if isinstance(streams, DataFrame) else list(streams)
+    spark = streams[0].sparkSession
     base = checkpoint_location(spark, name)
-    q = (stream.writeStream.format("parquet").queryName(name).outputMode("append")
-         .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
-         .trigger(availableNow=True).start())
-    dropped: dict[int, int] = {}
-    done = False
-    while not done:         # Spark keeps the last 100 reports only
-        done = q.awaitTermination(1)
-        for p in q.recentProgress:
-            n = sum(o.get("numRowsDroppedByWatermark", 0) for o in p["stateOperators"])
-            dropped[p["batchId"]] = max(n, dropped.get(p["batchId"], 0))
-    times = [p["eventTime"].get("watermark") for p in q.recentProgress if p["eventTime"]]
-    table = spark.read.schema(stream.schema).parquet(f"{base}/out")
-    return StreamRun(table, f"{base}/checkpoint", times[-1] if times else None, sum(dropped.values()))
+    late, watermark = 0, None
+    store, own = "spark.sql.streaming.stateStore.providerClass", STATE_STORE
+    before = spark.conf.get(store, None)
+    spark.conf.set(store, own)  # typed state needs it; a query takes it over when it starts
+    try:
+        for stream in streams:
+            q = (stream.writeStream.format("parquet").queryName(f"{name}_{uuid.uuid4().hex[:6]}").outputMode("append")
+                 .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
+                 .trigger(availableNow=True).start())
+            dropped: dict[int, int] = {}
+            done = False
+            while not done:         # Spark keeps the last 100 reports only
+                done = q.awaitTermination(1)
+                for p in q.recentProgress:
+                    n = sum(o.get("numRowsDroppedByWatermark", 0) for o in p["stateOperators"])
+                    dropped[p["batchId"]] = max(n, dropped.get(p["batchId"], 0))
+            late += sum(dropped.values())
+            times = [p["eventTime"].get("watermark") for p in q.recentProgress if p["eventTime"]]
+            watermark = times[-1] if times and times[-1] else watermark
+    finally:
+        spark.conf.unset(store) if before is None else spark.conf.set(store, before)
+    table = spark.read.schema(streams[0].schema).parquet(f"{base}/out")
+    return StreamRun(table, f"{base}/checkpoint", watermark, late)
 
 
 def run_to_table(stream: DataFrame, name: str) -> DataFrame:
@@ -265,42 +153,44 @@ def run_to_table(stream: DataFrame, name: str) -> DataFrame:
     return run_stream(stream, name).table
 
 
-def run_rollup(events: DataFrame, batch_events: DataFrame, name: str, then: Callable[[DataFrame], DataFrame],
-               width: str = "1 hour", watermark: str = "1 hour", key: Sequence[str] = ("event_type",),
-               ts: str = "ts", value: str = "value") -> DataFrame:
+def streams_in_order(spark: SparkSession, path: str, delay: str = "1 hour", slice_rows: int = SLICE_ROWS) -> list[DataFrame]:
+    """The ``events`` files at ``path`` as streams that, run one after the other, bring no row late
+    under ``delay``."""
+    paths = sources_in_order(spark, path, "ts", delay, slice_rows)
+    if paths == [path]:
+        return [events_stream(spark, path)]
+    return [events_stream(spark, p, None) for p in paths]
+
+
+def run_rollup(events: DataFrame | Sequence[DataFrame], batch_events: DataFrame, name: str,
+               then: Callable[[DataFrame], DataFrame], width: str = "1 hour", watermark: str = "1 hour",
+               key: Sequence[str] = ("event_type",), ts: str = "ts", value: str = "value") -> DataFrame:
     """T1 and what follows it (``then``) over a finite stream, all windows included:
     the windows that the last watermark left open are rolled up from the end of the
-    same input, now that no more rows can come.  If rows were late, which a ``watermark``
-    from ``input_delay`` rules out, all windows are rolled up from that input."""
-    run = run_stream(then(stream_rollup(events, width, watermark, key, ts, value)), name)
+    same input, now that no more rows can come.  If rows were late, which ``streams_in_order``
+    rules out, all windows are rolled up from that input."""
+    events = [events] if isinstance(events, DataFrame) else list(events)
+    run = run_stream([then(stream_rollup(e, width, watermark, key, ts, value)) for e in events], name)
     rest = batch_events
     if run.watermark and not run.late:
-        end = F.to_timestamp(F.lit(run.watermark))
-        rest = rest.where(F.window(ts, width).end > end)
+        end = F.to_timestamp(F.lit(run.watermark)).cast(batch_events.schema[ts].dataType)
+        span = F.make_interval(secs=F.lit(parse_span(width) / 1_000_000))
+        rest = rest.where(F.col(ts) >= end - span).where(F.window(ts, width).end > end)  # the first one reaches the scan
     rest = rollup_readings(rest.withColumn(ts, F.col(ts).cast("timestamp")), width, key, ts, value)
     rest = rest.select(*key, "timestamp", "avg", "min_v", "max_v", "stddev_v")
     return then(rest) if run.late else run.table.unionByName(then(rest))
 
 
-def run_series_state(readings: DataFrame, name: str, watermark: str = "1 hour", window: int = 24,
+def run_series_state(readings: DataFrame | Sequence[DataFrame], name: str, watermark: str = "1 hour", window: int = 24,
                      k: float = 2.0, key: Sequence[str] = SERIES_KEY) -> DataFrame:
     """T5-T7 over a finite stream, its end included: what is still buffered, and runs
     still open, are read from the query's state and released as if the watermark had passed.
-    One 'late' record without a key counts readings that Spark dropped behind the watermark; a
-    ``watermark`` from ``input_delay`` rules them out."""
-    run = run_stream(stream_series_state(readings, watermark, window, k, key), name)
-    spark = readings.sparkSession
-    state = spark.read.format("statestore").load(run.checkpoint)
-    state = state.select(*[F.col(f"key.{c}").alias(c) for c in key], F.col("value.groupState.s").alias("s"))
-
-    def flush(pdfs):
-        for pdf in pdfs:
-            out = []
-            for *series, s in pdf.itertuples(index=False):
-                out += _release(json.loads(s), series, math.inf, window, k, close=True)
-            yield pd.DataFrame(out, columns=[f.name for f in SERIES_OUT.fields])
-
-    out = run.table.unionByName(state.mapInPandas(flush, SERIES_OUT))
+    One 'late' record without a key counts readings that Spark dropped behind the watermark;
+    ``streams_in_order`` rules them out."""
+    readings = [readings] if isinstance(readings, DataFrame) else list(readings)
+    run = run_stream([stream_series_state(r, watermark, window, k, key) for r in readings], name)
+    spark = readings[0].sparkSession
+    out = run.table.unionByName(released_rest(spark, run.checkpoint, window, k, key))
     if run.late:
         row = tuple({"record": "late", "n_rows": run.late}.get(f.name) for f in SERIES_OUT.fields)
         out = out.unionByName(spark.createDataFrame([row], SERIES_OUT))
