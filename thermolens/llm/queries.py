@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hard_negatives, licenses, merkle, mixing, packing, pii, quality_classifier, quality_rules, sharding, simhash, token_alignment, url_filters
+from . import (hard_negatives, licenses, merkle, mixing, packing, pii, quality_classifier, quality_rules, sharding, simhash,
+               token_alignment, toxicity, url_filters)
 from .common import table
 
 
@@ -115,6 +116,15 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mined(mining_rows(spark, sf_dir), F.col("vec_id") % 100 == 0)
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chance that every document is toxic."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    d = toxicity.scored(docs, model)
+    return d.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                    (F.col("score") >= 0.7).cast("int").alias("predicted"), "windows")
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token links of two tokenizers in every document, and how often their pairs are linked."""
     return token_alignment.aligned(table(spark, sf_dir, "documents"))
@@ -132,6 +142,7 @@ QUERIES = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_toxicity": op12_toxicity,
     "op13_token_alignment": op13_token_alignment,
 }
 
