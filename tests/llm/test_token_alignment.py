@@ -91,11 +91,9 @@ def want(brute, docs):
 
 def test_units_equal_whole_texts(brute):
     rnd, align = random.Random(7), T.aligner()
-    for _ in range(8000):
-        text = "".join(rnd.choice(PARTS) for _ in range(rnd.randrange(1, 25)))
-        if rnd.random() < 0.03:
-            text += "▁x"
-        groups, links, n_a, n_b = align.of_text(text)
+    texts = ["".join(rnd.choice(PARTS) for _ in range(rnd.randrange(1, 25))) + ("▁x" if rnd.random() < 0.03 else "")
+             for _ in range(8000)]
+    for text, (groups, links, n_a, n_b) in zip(texts, align.of_texts(texts)):
         w = brute.of_text(text)
         if w is None:
             assert (groups, len(links), n_a, n_b) == (b"", 0, 0, 0), repr(text)
@@ -104,6 +102,15 @@ def test_units_equal_whole_texts(brute):
             assert [(int(x) >> 32, int(x) & 0xFFFFFFFF) for x in links] == w[3], repr(text)
 
 
+def test_faster_encoder_equals_the_tokenizer():
+    """Every character it takes, next to others."""
+    rnd, align = random.Random(11), T.aligner()
+    taken = [c for c in map(chr, range(0x250)) if T._PLAIN.fullmatch(c)]
+    texts = [" " + "".join(rnd.choice(taken) for _ in range(12)) for _ in range(20000)] + [f" a{c}b {c} {c}{c}" for c in taken]
+    for t in texts:
+        assert align.a_ids(t) == align.a.encode(t, add_special_tokens=False).ids, repr(t)
+
+
 def test_equals_brute_force(spark, edge, empty, brute):
     docs = [(r["doc_id"], r["text"]) for r in edge.collect()]
     docs += [(100, "▁ not spelled"), (101, " leading"), (102, "  two"), (103, " "), (104, "the the the the")]
@@ -123,7 +130,7 @@ def test_equals_brute_force_in_small_chunks(spark, brute, monkeypatch):
     assert rows(T.aligned(d)) == w
     monkeypatch.setattr(T, "CHUNK_DOCS", 8)  # workers load the module afresh; the driver's closures carry no constant
     chunk = T.Chunk()
-    links = [T.aligner().of_text(t)[1] for _, t in docs]
+    links = [x[1] for x in T.aligner().of_texts([t for _, t in docs])]
     at = [chunk.add(x) for x in links]
     total = Counter()
     for pair, plane, dense, bits in chunk.bitmaps():
@@ -156,6 +163,6 @@ def test_query_on_whole_table(spark, brute):
 
 def test_long_text_without_spaces(brute):
     text = "abcd" * 5000 + "\n" * 3000 + "é" * 5000
-    groups, links, n_a, n_b = T.aligner().of_text(text)
+    groups, links, n_a, n_b = T.aligner().of_texts([text])[0]
     w = brute.of_text(text)
     assert (n_a, n_b, groups.decode().split(";")) == w[:3] and len(links) == len(w[3])

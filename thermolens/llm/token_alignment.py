@@ -7,7 +7,8 @@ linked, and the text is cut into groups.
 
 Units.  Neither tokenizer has a token that goes from a non-space into a space, so a text is cut
 before every single space between two other characters.  Each unit is encoded once per worker and
-cached; a text whose units do not all spell their own bytes is encoded whole.
+cached; a text whose units do not all spell their own bytes is encoded whole.  Units of
+characters whose class does not depend on the version of Unicode are encoded by another encoder of A's vocabulary, which is faster.
 
 Inverted pair bitmaps.  A task numbers its documents in chunks of at most 2**16.  For every (A id, B id) pair
 it keeps the set of the chunk's documents that hold the pair as a compressed bitmap: two bytes per document, or one bit
@@ -46,86 +47,144 @@ B_FILE = "piece_bpe_32k.model"
 CHUNK_DOCS = 1 << 16
 # Postings (14 bytes each) of a chunk that a task holds before it writes them.
 CHUNK_POSTINGS = 4_000_000
-_CACHE_UNITS = 150_000
-# Longer units are not kept.
-_CACHE_CHARS = 100
+# Units, and characters of units, after which a worker's cache is emptied.
+_CACHE_UNITS = 250_000
+_CACHE_CHARS = 8_000_000
+# Characters of the texts that are aligned together.
+_GROUP_CHARS = 500_000
 # A single space between a non-space (or nothing) and a character that no tokenizer calls white space.
 _CUT = re.compile(r"(?<! ) (?=\S)")
 _B_BITS = 32
-
-
-class Unspelled(ValueError):
-    """The tokens' bytes are not the text's."""
+# Fixed value: how tokenizer A cuts a text before it merges.
+_A_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Characters that every version of Unicode puts in the same class.
+_PLAIN = re.compile(r"[\t\n\r\x20-\x7E\u00A1-\u024F]*")
 
 
 class Aligner(dict):
-    """Unit (a text without its leading space) -> (groups, links, counts) as bytes; a bounded cache."""
+    """Unit (a text without its leading space) -> (groups, links, counts) as bytes; a bounded cache.
+
+    New units are encoded and aligned together, laid end to end like one text.
+    """
 
     def __init__(self, a_path: str, b_path: str):
         super().__init__()
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         byte_of = {c: b for b, c in _byte_letters().items()}
-        self.a_bytes = {i: bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode()
-                        for t, i in self.a.get_vocab().items()}
+        special = {t.content for t in self.a.get_added_tokens_decoder().values()}
+        vocabulary = {i: t for t, i in self.a.get_vocab().items()}
+        self.a_bytes = [bytes(byte_of[c] for c in t) if t not in special else t.encode()
+                        for t in (vocabulary.get(i, "") for i in range(max(vocabulary) + 1))]
         self.b_bytes = [self._b_piece(i) for i in range(self.b.get_piece_size())]
+        # the same vocabulary in a faster encoder; ids are merge ranks
+        self.plain = tiktoken.Encoding("a", pat_str=_A_PATTERN, special_tokens={}, mergeable_ranks={
+            self.a_bytes[i]: i for i, t in vocabulary.items() if t not in special})
+        self.sizes = [np.array([len(x) for x in v], np.int64) for v in (self.a_bytes, self.b_bytes)]
+        # an id as text with what follows it: inside a group, at the end of its half
+        self.shown = [[np.array([f"{i}{end}" for i in range(len(v))], object) for end in (",", last)]
+                      for v, last in ((self.a_bytes, "|"), (self.b_bytes, ";"))]
+        self.chars = 0
 
     def _b_piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("\u2581", " ").encode()
 
-    def encoded(self, unit: str) -> tuple[list[int], list[int]]:
-        """Ids of both tokenizers; raises ``Unspelled``."""
-        a, b = self.a.encode(f" {unit}", add_special_tokens=False).ids, self.b.encode(unit)
-        want = f" {unit}".encode()
-        if b"".join([self.a_bytes[i] for i in a]) != want or b"".join([self.b_bytes[i] for i in b]) != want:
-            raise Unspelled
-        return a, b
-
-    def aligned(self, unit: str) -> tuple[bytes, bytes, bytes]:
-        """(groups as text, links as long pairs, (A tokens, B tokens) as two longs)."""
-        a, b = self.encoded(unit)
-        groups, links = [], []
-        i = j = at_a = at_b = first_a = first_b = 0
-        while i < len(a):
-            at_a += len(self.a_bytes[a[i]])
-            i += 1
-            while at_b < at_a:
-                at_b += len(self.b_bytes[b[j]])
-                j += 1
-            if at_a == at_b:
-                groups.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
-                links.append(a[i - 1] << _B_BITS | b[j - 1])
-                first_a, first_b = i, j
-        return ";".join(groups).encode(), np.array(links, "<i8").tobytes(), np.array([len(a), len(b)], "<i8").tobytes()
-
-    def __missing__(self, unit: str) -> tuple[bytes, bytes, bytes]:
-        out = self.aligned(unit)
-        if len(unit) <= _CACHE_CHARS:
-            if len(self) >= _CACHE_UNITS:
-                self.clear()
-            self[unit] = out
+    def a_ids(self, text: str) -> list[int]:
+        """A's ids of ``text``."""
+        return self.plain.encode_ordinary(text) if _PLAIN.fullmatch(text) else \
+            self.a.encode(text, add_special_tokens=False).ids
+
+    def aligned(self, units: list[str]) -> list[tuple[bytes, bytes, bytes] | None]:
+        """(groups as text, links as long pairs, (A tokens, B tokens) as two longs) per unit; None where the tokens'
+        bytes are not the unit's."""
+        a, b = [self.a_ids(f" {u}") for u in units], self.b.encode(units, num_threads=1)
+        want = [f" {u}".encode() for u in units]
+        spelled = [b"".join([self.a_bytes[i] for i in x]) == w and b"".join([self.b_bytes[i] for i in y]) == w
+                   for x, y, w in zip(a, b, want, strict=True)]
+        if not all(spelled):
+            found = iter(self.aligned([u for u, ok in zip(units, spelled, strict=True) if ok]))
+            return [next(found) if ok else None for ok in spelled]
+        if not units:
+            return []
+        ids, ends, n = [], [], []
+        for x, size in zip((a, b), self.sizes, strict=True):
+            n.append(np.fromiter(map(len, x), np.int64, len(x)))
+            ids.append(np.fromiter((i for v in x for i in v), np.int64, int(n[-1].sum())))
+            ends.append(np.cumsum(size[ids[-1]]))
+        at = np.searchsorted(ends[1], ends[0])  # B reaches as far as A: every unit is spelled
+        cut_a = ends[1][at] == ends[0]
+        cut_b = np.zeros(len(ids[1]), bool)
+        cut_b[at[cut_a]] = True
+        links = (ids[0][cut_a] << _B_BITS | ids[1][cut_b]).astype("<i8")
+        # tokens in the order they are shown: group by group, A's before B's
+        group = [np.cumsum(c) - c for c in (cut_a, cut_b)]
+        count = [np.bincount(g, minlength=len(links)) for g in group]
+        text = np.empty(len(ids[0]) + len(ids[1]), object)
+        before = [np.r_[0, np.cumsum(c)[:-1]] for c in count]
+        text[np.arange(len(ids[0])) + before[1][group[0]]] = np.where(cut_a, self.shown[0][1][ids[0]], self.shown[0][0][ids[0]])
+        text[np.arange(len(ids[1])) + (before[0] + count[0])[group[1]]] = \
+            np.where(cut_b, self.shown[1][1][ids[1]], self.shown[1][0][ids[1]])
+        text = text.tolist()
+        tokens = np.cumsum(n[0] + n[1]).tolist()
+        linked = (8 * np.cumsum(cut_a)[np.cumsum(n[0]) - 1]).tolist()
+        packed, counts = links.tobytes(), np.stack(n, axis=1).astype("<i8").tobytes()
+        out, t, k = [], 0, 0
+        for i, (t1, k1) in enumerate(zip(tokens, linked, strict=True)):
+            out.append(("".join(text[t:t1])[:-1].encode(), packed[k:k1], counts[16 * i:16 * i + 16]))
+            t, k = t1, k1
         return out
 
-    def of_text(self, text: str | None) -> tuple[bytes, np.ndarray, int, int]:
-        """(groups, link pairs, A tokens, B tokens) of a whole text."""
-        if not text:
-            return b"", np.empty(0, np.int64), 0, 0
-        units = _CUT.split(f" {text}")
-        units = units[1:] if not units[0] else [units[0][1:], *units[1:]]
-        try:
-            found = list(map(self.__getitem__, units))
-        except Unspelled:
-            try:
-                found = [self.aligned(text)]
-            except Unspelled:
-                return b"", np.empty(0, np.int64), 0, 0
-        counts = np.frombuffer(b"".join([x[2] for x in found]), "<i8")
-        return (b";".join([x[0] for x in found]), np.frombuffer(b"".join([x[1] for x in found]), "<i8"),
-                int(counts[0::2].sum()), int(counts[1::2].sum()))
+    def learn(self, units: set[str]) -> None:
+        """Make sure that all of ``units`` are in the cache."""
+        if len(self) > _CACHE_UNITS or self.chars > _CACHE_CHARS:
+            self.clear()
+            self.chars = 0
+        new = list(units - self.keys())
+        self.update(zip(new, self.aligned(new), strict=True))
+        self.chars += sum(map(len, new))
+
+    def of_texts(self, texts: list[str | None]) -> list[tuple[bytes, np.ndarray, int, int]]:
+        """(groups, link pairs, A tokens, B tokens) of whole texts."""
+        cut = [units_of(t) for t in texts]
+        self.learn({u for units in cut for u in units})
+        out = []
+        for text, units in zip(texts, cut, strict=True):
+            found = [self[u] for u in units]
+            if None in found:
+                found = self.aligned([text])
+            if not found or found[0] is None:
+                out.append((b"", np.empty(0, np.int64), 0, 0))
+                continue
+            counts = np.frombuffer(b"".join([x[2] for x in found]), "<i8")
+            out.append((b";".join([x[0] for x in found]), np.frombuffer(b"".join([x[1] for x in found]), "<i8"),
+                        int(counts[0::2].sum()), int(counts[1::2].sum())))
+        return out
+
+
+def units_of(text: str | None) -> list[str]:
+    """A text's units, each without its leading space."""
+    if not text:
+        return []
+    units = _CUT.split(f" {text}")
+    return units[1:] if not units[0] else [units[0][1:], *units[1:]]
+
+
+def _grouped(texts):
+    """Lists of texts of about ``_GROUP_CHARS`` characters (a longer text is a list of its own)."""
+    group, size = [], 0
+    for t in texts:
+        group.append(t)
+        size += len(t or "")
+        if size >= _GROUP_CHARS:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
 
 
 _SHARED: dict[tuple[str, str], Aligner] = {}
@@ -245,8 +304,8 @@ def indexed(docs: DataFrame, a_path: str | None = None, b_path: str | None = Non
             for b in batches:
                 arrow_id = b.column(0).type
                 rows, first = [], 0
-                for k, text in enumerate(texts_of(b.column(1))):
-                    groups, links, n_a, n_b = align.of_text(text)
+                found = (x for g in _grouped(texts_of(b.column(1))) for x in align.of_texts(g))
+                for k, (groups, links, n_a, n_b) in enumerate(found):
                     sha = hashlib.sha256(groups).hexdigest() if n_a else ""
                     rows.append((chunk.add(links), n_a, n_b, len(links), sha))
                     if chunk.docs >= CHUNK_DOCS or chunk.size >= CHUNK_POSTINGS:
