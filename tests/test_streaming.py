@@ -52,6 +52,30 @@ def test_monitor_appends_reports(spark, tmp_dir):
     assert len(rep) == 1 and rep[0]["recall"] == 1.0 and rep[0]["batch_size"] == 2
 
 
+def test_a_replayed_batch_is_reported_once(spark, tmp_dir):
+    from thermolens.operators.validate import validation_report
+    from thermolens.sources.readers import write_report
+    df = spark.createDataFrame([(True, 1), (False, 0)], "is_anomaly boolean, ensemble int")
+    for run in ("monitor-0", "monitor-1", "monitor-0", "other/0"):
+        write_report(validation_report(df), f"{tmp_dir}/report", run)
+    runs = [r["run"] for r in spark.read.parquet(f"{tmp_dir}/report").collect()]
+    assert len(runs) == 3 and len(set(runs)) == 3
+    write_report(validation_report(df), f"{tmp_dir}/appended")
+    write_report(validation_report(df), f"{tmp_dir}/appended")
+    assert spark.read.parquet(f"{tmp_dir}/appended").count() == 2
+
+
+def test_monitor_run_again_over_its_first_batch(spark, tmp_dir):
+    """The checkpoint is lost after the report was written: the batch comes again, its row does not."""
+    from thermolens.streaming.queries import checkpoint_location, monitor
+    df = spark.createDataFrame([(True, 1), (False, 0)], "is_anomaly boolean, ensemble int")
+    df.write.parquet(f"{tmp_dir}/scored")
+    s = spark.readStream.schema(df.schema).parquet(f"{tmp_dir}/scored")
+    for _ in range(2):
+        monitor(s, f"{tmp_dir}/report", checkpoint_location(spark, "monitor")).awaitTermination()
+    assert [r["batch_id"] for r in spark.read.parquet(f"{tmp_dir}/report").collect()] == [0]
+
+
 def test_streams_over_part_files_that_are_not_in_time_order(spark, tmp_dir):
     import os
 

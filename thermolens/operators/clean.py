@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import nighttime as night_expr
@@ -60,6 +60,20 @@ def tag_series(df: DataFrame, system_type: str | None = None, sensor_id: str | N
     return df.withColumns(out) if out else df
 
 
+def tag_by_source(df: DataFrame, sources: DataFrame, source: str = "source") -> DataFrame:
+    """P7 for many sources at once: ``type`` and ``ID`` of the rows' source from a table (source, type, ID).
+    A source that the table lacks has null tags; a null source matches a null one."""
+    tags = sources.select(F.col(source).alias("_source"), "type", "ID").distinct()
+    d = df.drop("type", "ID").join(tags, F.col(source).eqNullSafe(F.col("_source")), "left")
+    return d.drop("_source", source)
+
+
+def source_of_path(path: str = "_metadata.file_path", depth: int = 1) -> Column:
+    """The name of the folder ``depth`` levels above a file: P7's source where every circuit
+    has its own folder."""
+    return F.url_decode(F.element_at(F.split(F.col(path), "/"), -1 - depth))
+
+
 def normal_only(df: DataFrame, label: str | None = "is_anomaly") -> DataFrame:
     """Training rows with label 0; all rows when there is no label."""
     if not label or label not in df.columns:

@@ -33,35 +33,39 @@ def interval_swing(df: DataFrame, spread: float = 10.0, min_gap_minutes: int = 1
     return df.withColumn(out, flag((F.col("T_diff") > spread) & (F.col("time_diff_min") > min_gap_minutes)))
 
 
-def cross_circuit_check(a: DataFrame, b: DataFrame, drop: float = 10.0, bucket: str = "hour",
-                        col: str = "avg", ts: str = "timestamp") -> DataFrame:
-    """Per time bucket, did the temperature drop (below the series' own mean
-    by more than ``drop``) in both circuits or in only one?  Equi-join of two
-    per-bucket aggregates on the bucket; a drop in both points at a shared cause
-    (heat source), a drop in one at that circuit (pump, valve)."""
-    def per_bucket(d, name):
-        m = d.agg(F.avg(col).alias("_m"))
-        g = d.groupBy(F.date_trunc(bucket, ts).alias("bucket")).agg(F.avg(col).alias(f"{name}_mean"))
-        return g.crossJoin(F.broadcast(m)).withColumn(f"{name}_drop", flag(F.col("_m") - F.col(f"{name}_mean") > drop)).drop("_m")
-    j = per_bucket(a, "a").join(per_bucket(b, "b"), "bucket", "inner")
-    return j.withColumn("diagnosis", F.when(F.col("a_drop") & F.col("b_drop"), "both")
-                        .when(F.col("a_drop"), "only_a").when(F.col("b_drop"), "only_b").otherwise("none"))
-
-
-def cross_circuit_pairs(readings: DataFrame, drop: float = 10.0, bucket: str = "hour", col: str = "avg",
-                        ts: str = "timestamp", within: str = "type", circuit: str = "ID") -> DataFrame:
-    """N4 for every pair of circuits that share a ``within`` (a_ID < b_ID): one mean per
-    circuit and bucket, computed once and written out, joined with itself on the bucket."""
+def circuit_drops(readings: DataFrame, drop: float = 10.0, bucket: str = "hour", col: str = "avg",
+                  ts: str = "timestamp", within: str = "type", circuit: str = "ID") -> DataFrame:
+    """(within, circuit, bucket, mean, drop): one row per circuit and time bucket; drop: its mean lies
+    more than ``drop`` below the circuit's own mean.  Written to the checkpoint folder."""
     per = readings.groupBy(within, circuit, F.date_trunc(bucket, ts).alias("bucket")).agg(
         F.avg(col).alias("mean"), F.sum(col).alias("_s"), F.count(col).alias("_n"))
     own = Window.partitionBy(within, circuit)
     low = flag(F.sum("_s").over(own) / F.sum("_n").over(own) - F.col("mean") > drop)
-    per = checkpoint(per.select(within, circuit, "bucket", "mean", low.alias("drop")))
-    a, b = (per.select(F.col(within).alias(f"_{x}"), F.col("bucket").alias(f"_{x}_bucket"), F.col(circuit).alias(f"{x}_{circuit}"),
-                       F.col("mean").alias(f"{x}_mean"), F.col("drop").alias(f"{x}_drop")) for x in ("a", "b"))
-    j = a.join(b, F.col("_a").eqNullSafe(F.col("_b")) & (F.col("_a_bucket") == F.col("_b_bucket"))
-               & (F.col(f"a_{circuit}") < F.col(f"b_{circuit}")))
-    return j.select(
-        F.col("_a").alias(within), f"a_{circuit}", f"b_{circuit}", F.col("_a_bucket").alias("bucket"), "a_mean", "a_drop",
-        "b_mean", "b_drop", F.when(F.col("a_drop") & F.col("b_drop"), "both").when(F.col("a_drop"), "only_a")
-        .when(F.col("b_drop"), "only_b").otherwise("none").alias("diagnosis"))
+    return checkpoint(per.select(within, circuit, "bucket", "mean", low.alias("drop")))
+
+
+def cross_circuit_counts(drops: DataFrame, within: str = "type") -> DataFrame:
+    """N4 over all pairs of circuits that share a ``within``, counted and not listed: per
+    bucket the circuits measured and dropped, and the pairs in which both, one or none dropped.
+    A partial aggregate: a bucket's rows are combined before the shuffle."""
+    g = drops.groupBy(within, "bucket").agg(F.count(F.lit(1)).alias("n_measured"), F.count_if("drop").alias("n_dropped"))
+    left = F.col("n_measured") - F.col("n_dropped")
+    pairs = lambda n: (n * (n - 1) / 2).cast("long")
+    return g.withColumns({"pairs_both": pairs(F.col("n_dropped")), "pairs_one": F.col("n_dropped") * left,
+                          "pairs_none": pairs(left)})
+
+
+def cross_circuit_check(drops: DataFrame, within: str = "type", circuit: str = "ID") -> DataFrame:
+    """N4 per drop: did other circuits of the same ``within`` drop in the same bucket?  'shared'
+    points at a common cause (heat source), 'own' at that circuit (pump, valve), 'single' has no other
+    circuit to compare with.
+
+    Only drops are looked up, each in its bucket's counts, so the output is linear in drops, however many
+    circuits a bucket has.  AQE broadcasts the counts where they are small and splits a bucket with many drops
+    otherwise."""
+    counts = cross_circuit_counts(drops, within).select(
+        F.struct(within, "bucket").alias("_at"), "n_measured", "n_dropped")
+    d = drops.where("drop").withColumn("_at", F.struct(within, "bucket")).join(counts, "_at")
+    also, rest = F.col("n_dropped") - 1, F.col("n_measured") - F.col("n_dropped")
+    return d.select(within, circuit, "bucket", "mean", also.alias("n_also_dropped"), rest.alias("n_not_dropped"),
+                    F.when(also > 0, "shared").when(rest > 0, "own").otherwise("single").alias("diagnosis"))

@@ -3,7 +3,7 @@ every metric is one aggregate; nothing is aligned by position."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -129,3 +129,19 @@ def detailed_analysis(scored: DataFrame, detectors: Sequence[str], y: str = "is_
         "missed_types": missed_types(d, y, yhat),
         "rows": outcome_rows(d, y, yhat).withColumn("status", detection_status(y, yhat)),
     }
+
+
+def analysis_table(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """V10's tables as one: (table, item, measure, value) with every number as a double, a yes or no as 1 or 0;
+    of the row table the counts per status."""
+    rows = tables["rows"].groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    out = None
+    for name, (d, item) in {"metrics": (tables["metrics"], None), "by_detector": (tables["by_detector"], "detector"),
+                            "by_type": (tables["by_type"], "anomaly_type"),
+                            "missed_types": (tables["missed_types"], "anomaly_type"), "rows": (rows, "status")}.items():
+        own = F.lit(None).cast("string") if item is None else F.col(item).cast("string")
+        numbers = [c for c, t in d.dtypes if c != item and t not in ("string", "timestamp", "timestamp_ntz")]
+        measures = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in numbers])
+        part = d.select(F.lit(name).alias("table"), own.alias("item"), F.inline(measures))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -383,9 +383,23 @@ def n3_interval_swing(spark, sf):
 
 
 def n4_cross_circuit(spark, sf):
-    r = readings(spark, sf)
-    d = prose.cross_circuit_check(r.where(F.col("ID") == "click"), r.where(F.col("ID") == "view"), 10.0)
-    return rnd(d, ["a_mean", "b_mean"])
+    """Every drop of every circuit, and whether others of its type dropped in the same hour."""
+    return rnd(prose.cross_circuit_check(prose.circuit_drops(readings(spark, sf), 10.0)), ["mean"])
+
+
+def w10_lag_rows(spark, sf):
+    """The value one row and 24 rows back."""
+    d = ts.lag_rows(ts.lag_rows(readings(spark, sf), "avg", 1, "lag_1"), "avg", 24, "lag_24")
+    return d.select(*KEY, "avg", "lag_1", "lag_24")
+
+
+def d10_union_with_forest(spark, sf):
+    """The union of rolling, z-score, rule, baseline and isolation forest flags."""
+    from ..operators.detect.iforest import isolation_forest_fit, isolation_forest_predict
+    d = labeled(spark, sf)
+    d = isolation_forest_predict(d, isolation_forest_fit(d, "avg", 100, 256, 0.1, 42))
+    return d.select(*KEY, *FLAGS, (F.col("Isolation_Forest") == 1).alias("forest_anomaly"),
+                    (F.col("is_anomaly") | (F.col("Isolation_Forest") == 1)).alias("is_anomaly"))
 
 
 ORACLE: dict[str, str] = {
@@ -451,6 +465,7 @@ ORACLE: dict[str, str] = {
     "n2_sensor_fault": sql.N2,
     "n3_interval_swing": sql.N3,
     "n4_cross_circuit": sql.N4,
+    "w10_lag_rows": sql.W10,
 }
 
 
@@ -684,35 +699,58 @@ def s6_t8_monitor_report(spark, sf):
 
 
 def p7_w1_tagged(spark, sf):
-    """P7 + W1 + F7: source files of one circuit without their tags, stamped as text; tagged, parsed, in time order."""
-    from ..operators.clean import tag_series
+    """P7 + W1 + F7: every circuit's readings in a folder of its own, without tags and with the time as text;
+    read together, tagged by folder, parsed, in time order."""
+    import uuid
+
+    from ..operators.clean import source_of_path, tag_by_source
     from ..operators.timeseries import sort_by_time
-    r = readings_hourly(spark, sf).where("ID = 'click'").select(
-        F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("timestamp"), "avg")
-    r = r.withColumn("timestamp", cal.parse_timestamp("timestamp"))
-    return rnd(sort_by_time(tag_series(r, "domestic", "click")), ["avg"])
+    from ..session import ensure_checkpoint_dir
+    base = f"{ensure_checkpoint_dir(spark)}/circuits/{uuid.uuid4().hex}"
+    h = checkpoint(readings_hourly(spark, sf).select(
+        F.concat_ws("-", "type", "ID").alias("source"), "type", "ID",
+        F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("timestamp"), "avg"))
+    h.select("source", "timestamp", "avg").write.partitionBy("source").parquet(base)
+    rows = spark.read.schema("timestamp string, avg double").option("recursiveFileLookup", True).parquet(base)
+    rows = rows.withColumn("source", F.substring_index(source_of_path(), "source=", -1))
+    d = tag_by_source(rows, h.select("source", "type", "ID"))
+    return rnd(sort_by_time(d.withColumn("timestamp", cal.parse_timestamp("timestamp"))).select("timestamp", "avg", "type", "ID"),
+               ["avg"])
 
 
 def p7_w1_tagged_all(spark, sf):
-    """P7 + W1 + F7 over every circuit: each circuit's source rows without their tags; tagged, parsed, united, in time order."""
-    from ..operators.clean import tag_series
+    """P7 + W1 + F7 over every circuit: rows that carry only their source's name, tagged from the table of
+    circuits; parsed, in time order."""
+    from ..operators.clean import tag_by_source
     from ..operators.timeseries import sort_by_time
-    h = checkpoint(readings_hourly(spark, sf).select(
-        "type", "ID", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("timestamp"), "avg"))
-    out = None
-    for c in h.select("type", "ID").distinct().orderBy("type", "ID").collect():
-        rows = h.where(F.col("type").eqNullSafe(F.lit(c["type"])) & F.col("ID").eqNullSafe(F.lit(c["ID"])))
-        rows = rows.select(cal.parse_timestamp("timestamp").alias("timestamp"), "avg")
-        one = tag_series(rows, c["type"], c["ID"])
-        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
-    if out is None:
-        out = h.select(cal.parse_timestamp("timestamp").alias("timestamp"), "avg", "type", "ID")
-    return rnd(sort_by_time(out), ["avg"])
+    h = checkpoint(readings_hourly(spark, sf))
+    rows = h.select(F.concat_ws("/", "type", "ID").alias("source"), "avg",
+                    cal.parse_timestamp(F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")).alias("timestamp"))
+    d = tag_by_source(rows, h.select(F.concat_ws("/", "type", "ID").alias("source"), "type", "ID"))
+    return rnd(sort_by_time(d).select("timestamp", "avg", "type", "ID"), ["avg"])
 
 
 def n4_cross_circuit_pairs(spark, sf):
-    """N4 for all pairs of circuits within a type."""
-    return rnd(prose.cross_circuit_pairs(readings(spark, sf), 10.0), ["a_mean", "b_mean"])
+    """N4 over all pairs of circuits within a type, counted per hour."""
+    return prose.cross_circuit_counts(prose.circuit_drops(readings(spark, sf), 10.0))
+
+
+def v10_analysis_tables(spark, sf):
+    """All tables (metrics, detectors, types, missed types, outcomes) of the last 20 % of the scored readings."""
+    d = chronological_split(scored(spark, sf), 0.8).where(~F.col("is_train"))
+    return rnd(validate.analysis_table(validate.detailed_analysis(d, ["statistical"])), ["value"])
+
+
+def d16_ensemble_info(spark, sf):
+    """Detectors of a fitted ensemble with weight, type and fitted flag, and how many readings each flags."""
+    from ..operators.detect.ensemble import Ensemble, StatisticalDetector
+    from ..operators.detect.iforest import IsolationForestDetector
+    f = faulted(spark, sf)
+    ens = Ensemble().add_detector(IsolationForestDetector(0.1), 2.0).add_detector(StatisticalDetector(2.5, 1.5), 1.0)
+    p = ens.fit(f, label="is_anomaly").predict(f)
+    names = F.array(*[F.struct(F.lit(n).alias("detector"), F.col(n).cast("long").alias("flag")) for n in ens.detectors])
+    n = p.select(F.inline(names)).groupBy("detector").agg(F.sum("flag").alias("n_flagged"), F.count(F.lit(1)).alias("n_rows"))
+    return ens.info(spark).join(n, "detector")
 
 
 def _per_event(query: Query) -> Query:
@@ -729,6 +767,7 @@ PER_EVENT = {f"{q.__name__}_per_event": _per_event(q) for q in (
 ORACLE.update({
     "s5_save_reload": sql.S5, "s1_s3_round_trip": sql.S1_S3, "s6_t8_monitor_report": sql.T8, "p7_w1_tagged": sql.P7_W1,
     "p7_w1_tagged_all": sql.P7_W1_ALL, "n4_cross_circuit_pairs": sql.N4_PAIRS,
+    "d10_union_with_forest": sql.D10_FOREST, "d16_ensemble_info": sql.D16, "v10_analysis_tables": sql.V10_TABLES,
     "d13_ensemble_forest": sql.D13, "v10_detailed_analysis": sql.V10,
     "x2_feature_matrix_per_event": sql.per_event(sql.X2), "a1_describe_per_event": sql.per_event(sql.A1),
     "d3_zscore_any_per_event": sql.per_event(sql.D3), "d8_isolation_forest_per_event": sql.per_event(sql.D8),

@@ -515,15 +515,20 @@ N1 = q('''SELECT "type", "ID", "timestamp", coalesce(g.gap > m.mode_gap, false)
 FROM gaps g LEFT JOIN gap_mode m USING ("type", "ID")''', READINGS)
 N2 = q('SELECT "type", "ID", "timestamp", "avg" IS NULL OR coalesce("avg" <= 0, false) AS sensor_fault FROM readings', READINGS)
 N3 = q('SELECT "type", "ID", "timestamp", coalesce("T_diff" > 10 AND time_diff_min > 15, false) AS interval_swing FROM readings', READINGS)
+_N4_DROPS = """
+per AS (
+  SELECT g."type", g."ID", g.bucket, g.m, coalesce(o.m - g.m > 10, false) AS low
+  FROM (SELECT "type", "ID", date_trunc('hour', "timestamp") AS bucket, avg("avg") AS m FROM readings GROUP BY ALL) g
+  JOIN (SELECT "type", "ID", avg("avg") AS m FROM readings GROUP BY ALL) o ON g."type" = o."type" AND g."ID" = o."ID")"""
 N4 = q('''
-SELECT a.bucket, round(a.a_mean, 6) AS a_mean, a.a_drop, round(b.b_mean, 6) AS b_mean, b.b_drop,
-  CASE WHEN a.a_drop AND b.b_drop THEN 'both' WHEN a.a_drop THEN 'only_a' WHEN b.b_drop THEN 'only_b' ELSE 'none' END AS diagnosis
-FROM (SELECT date_trunc('hour', "timestamp") AS bucket, avg("avg") AS a_mean,
-        coalesce((SELECT avg("avg") FROM readings WHERE "ID" = 'click') - avg("avg") > 10, false) AS a_drop
-      FROM readings WHERE "ID" = 'click' GROUP BY ALL) a
-JOIN (SELECT date_trunc('hour', "timestamp") AS bucket, avg("avg") AS b_mean,
-        coalesce((SELECT avg("avg") FROM readings WHERE "ID" = 'view') - avg("avg") > 10, false) AS b_drop
-      FROM readings WHERE "ID" = 'view' GROUP BY ALL) b ON a.bucket = b.bucket''', READINGS)
+SELECT a."type", a."ID", a.bucket, round(a.m, 6) AS mean, coalesce(count_if(b.low), 0) AS n_also_dropped,
+  coalesce(count_if(NOT b.low), 0) AS n_not_dropped,
+  CASE WHEN coalesce(count_if(b.low), 0) > 0 THEN 'shared' WHEN coalesce(count_if(NOT b.low), 0) > 0 THEN 'own' ELSE 'single' END AS diagnosis
+FROM per a LEFT JOIN per b ON a."type" = b."type" AND a.bucket = b.bucket AND a."ID" <> b."ID"
+WHERE a.low GROUP BY a."type", a."ID", a.bucket, a.m''', READINGS, _N4_DROPS)
+
+W10 = q('''SELECT "type", "ID", "timestamp", "avg", lag("avg", 1) OVER w AS lag_1, lag("avg", 24) OVER w AS lag_24
+FROM readings WINDOW w AS (PARTITION BY "type", "ID" ORDER BY "timestamp")''', READINGS)
 
 
 for _name, _val in list(globals().items()):
@@ -704,19 +709,56 @@ S5 = with_(FAULTED) + "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_differe
 S1_S3 = _rewrite_round(q('''SELECT fmt, "type", "ID", "timestamp", round("avg", 6) AS "avg", round(min_v, 6) AS min_v, round(max_v, 6) AS max_v,
   nighttime, time_diff_min, round("T_diff", 6) AS "T_diff" FROM readings, (VALUES ('parquet'), ('csv')) f(fmt)''', READINGS))
 T8 = with_(SCORED) + f"SELECT count(*) AS batch_size, {_CONF} FROM pred"
-P7_W1 = _rewrite_round(q("SELECT \"timestamp\", round(\"avg\", 6) AS \"avg\", 'domestic' AS \"type\", 'click' AS \"ID\" FROM hourly WHERE \"ID\" = 'click'", HOURLY))
-
 P7_W1_ALL = _rewrite_round(q('SELECT "timestamp", round("avg", 6) AS "avg", "type", "ID" FROM hourly', HOURLY))
-
-N4_PAIRS = _rewrite_round(q('''
-SELECT a."type", a."ID" AS "a_ID", b."ID" AS "b_ID", a.bucket, round(a.m, 6) AS a_mean, a.low AS a_drop,
-  round(b.m, 6) AS b_mean, b.low AS b_drop,
-  CASE WHEN a.low AND b.low THEN 'both' WHEN a.low THEN 'only_a' WHEN b.low THEN 'only_b' ELSE 'none' END AS diagnosis
-FROM per a JOIN per b ON a."type" = b."type" AND a.bucket = b.bucket AND a."ID" < b."ID"''', READINGS + ''',
-per AS (
-  SELECT g."type", g."ID", g.bucket, g.m, coalesce(o.m - g.m > 10, false) AS low
-  FROM (SELECT "type", "ID", date_trunc('hour', "timestamp") AS bucket, avg("avg") AS m FROM readings GROUP BY ALL) g
-  JOIN (SELECT "type", "ID", avg("avg") AS m FROM readings GROUP BY ALL) o ON g."type" = o."type" AND g."ID" = o."ID")'''))
+P7_W1 = P7_W1_ALL
+
+N4_PAIRS = q('''
+SELECT n."type", n.bucket, n_measured, n_dropped, coalesce(p.both_, 0)::BIGINT AS pairs_both, coalesce(p.one, 0)::BIGINT AS pairs_one,
+  coalesce(p.none, 0)::BIGINT AS pairs_none
+FROM (SELECT "type", bucket, count(*) AS n_measured, count_if(low) AS n_dropped FROM per GROUP BY ALL) n
+LEFT JOIN (SELECT a."type", a.bucket, count_if(a.low AND b.low) AS both_, count_if(a.low <> b.low) AS one, count_if(NOT a.low AND NOT b.low) AS none
+           FROM per a JOIN per b ON a."type" = b."type" AND a.bucket = b.bucket AND a."ID" < b."ID" GROUP BY ALL) p
+  ON n."type" = p."type" AND n.bucket = p.bucket''', READINGS, _N4_DROPS)
+
+# ---------------------------------------------------------------- D10 with the forest, D16, V10 in full
+D10_FOREST = "WITH " + _forest_ctes(LABELED, "readings") + """
+SELECT l."type", l."ID", l."timestamp", rolling_anomaly, statistical_anomaly, domain_anomaly, baseline_anomaly,
+  coalesce(s > cut.cut, false) AS forest_anomaly, is_anomaly OR coalesce(s > cut.cut, false) AS is_anomaly
+FROM labeled l CROSS JOIN cut LEFT JOIN sc ON l."type" = sc."type" AND l."ID" = sc."ID" AND l."timestamp" = sc."timestamp\""""
+
+D16 = "WITH " + _forest_ctes(FAULTED, "faulted") + """,
+bp AS (SELECT avg("avg") AS mean, stddev_pop("avg") AS std, quantile_cont("avg", 0.25) AS q1, quantile_cont("avg", 0.75) AS q3
+       FROM faulted WHERE NOT is_anomaly),
+n AS (
+  SELECT 'Isolation_Forest' AS detector, 'IsolationForestDetector' AS detector_type, 2.0 AS weight,
+    (SELECT count_if(s > cut.cut) FROM sc, cut) AS n_flagged
+  UNION ALL SELECT 'Statistical', 'StatisticalDetector', 1.0, count_if(coalesce(abs(("avg" - bp.mean) / nullif(bp.std, 0)) > 2.5, false)
+    OR coalesce(("avg" < bp.q1 - 1.5 * (bp.q3 - bp.q1)) OR ("avg" > bp.q3 + 1.5 * (bp.q3 - bp.q1)), false)) FROM faulted, bp)
+SELECT detector, detector_type, weight::DOUBLE AS weight, true AS is_fitted, 0.5::DOUBLE AS ensemble_threshold,
+  n_flagged::BIGINT AS n_flagged, (SELECT count(*) FROM faulted) AS n_rows FROM n"""
+
+
+def _unpivoted(table, item, inner):
+    return (f"SELECT '{table}' AS \"table\", {item} AS item, measure, round(value, 6) AS value FROM (UNPIVOT ("
+            f"SELECT {item}, CAST(COLUMNS(* EXCLUDE ({item})) AS DOUBLE) FROM ({inner})) ON COLUMNS(* EXCLUDE ({item})) "
+            f"INTO NAME measure VALUE value)")
+
+
+_V10_DETECTORS = " UNION ALL ".join(
+    f"SELECT '{d}' AS item, true_positives, false_positives, false_negatives, true_negatives, detected, true_positives AS correct, "
+    f"{_metrics()} FROM (SELECT {_CONF.replace('ensemble = ', d + ' = ')}, count_if({d} = 1) AS detected FROM h)"
+    for d in ("statistical", "ensemble"))
+V10_TABLES = _rewrite_round(with_(SCORED + """,
+h AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY "timestamp", "type", "ID") - 1 < floor(count(*) OVER () * 0.8) AS tr
+      FROM pred) WHERE NOT tr)""") + " UNION ALL ".join([
+    _unpivoted("metrics", "item", f"SELECT NULL::VARCHAR AS item, *, {_metrics()} FROM (SELECT {_CONF} FROM h)"),
+    _unpivoted("by_detector", "item", _V10_DETECTORS),
+    _unpivoted("by_type", "item", """SELECT anomaly_type AS item, count(*) AS total, count_if(ensemble = 1) AS detected,
+      count_if(ensemble = 1)::DOUBLE / count(*) AS detection_rate FROM h WHERE is_anomaly GROUP BY ALL"""),
+    _unpivoted("missed_types", "item", "SELECT anomaly_type AS item, count(*) AS n FROM h WHERE is_anomaly AND ensemble = 0 GROUP BY ALL"),
+    _unpivoted("rows", "item", """SELECT CASE WHEN is_anomaly AND ensemble = 1 THEN '3' WHEN is_anomaly THEN '1' WHEN ensemble = 1 THEN '4' ELSE '0' END AS item,
+      count(*) AS n FROM h GROUP BY ALL"""),
+]))
 
 # ---------------------------------------------------------------- one reading per event
 HOURLY_EVENT = """

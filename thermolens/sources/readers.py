@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -120,6 +121,13 @@ def fit_or_load(spark: SparkSession, path: str, fit: Callable[[], DataFrame],
     return load_params(spark, path)
 
 
-def write_report(metrics: DataFrame, path: str) -> None:
-    """Append one timestamped row per run to a Parquet report table."""
-    metrics.withColumn("run_ts", F.current_timestamp()).write.mode("append").parquet(path)
+def write_report(metrics: DataFrame, path: str, run: str | None = None) -> None:
+    """One timestamped row per run in a Parquet report table.
+
+    With ``run`` the rows go to that run's own partition and replace what an earlier attempt of the run
+    left there, so a replayed run is reported once.  Without it they are appended."""
+    d = metrics.withColumn("run_ts", F.current_timestamp())
+    if run is None:
+        d.write.mode("append").parquet(path)
+    else:
+        d.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run={quote(run, safe='')}")

@@ -92,13 +92,15 @@ def stream_dedup(readings: DataFrame, key: Sequence[str] = SERIES_KEY, ts: str =
 
 
 def monitor(scored_stream: DataFrame, report_path: str, checkpoint: str, y: str = "is_anomaly",
-            yhat: str = "ensemble", trigger: dict | None = None):
-    """Per micro-batch validation row (V9) appended to a report table."""
+            yhat: str = "ensemble", trigger: dict | None = None, name: str = "monitor"):
+    """Per micro-batch validation row (V9) in a report table (S6).  A micro-batch that is run
+    again replaces its row; ``name`` tells apart streams with checkpoints of their own."""
     from ..operators.validate import validation_report
     from ..sources.readers import write_report
 
     def per_batch(bdf: DataFrame, epoch: int) -> None:
-        write_report(validation_report(bdf, y, yhat).withColumn("batch_id", F.lit(epoch).cast("long")), report_path)
+        row = validation_report(bdf, y, yhat).withColumn("batch_id", F.lit(epoch).cast("long"))
+        write_report(row, report_path, f"{name}-{epoch}")
 
     w = scored_stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
