@@ -1,23 +1,27 @@
-"""License scans: TF-IDF cosine of header lines and licence files to templates, then
-inheritance from the nearest ancestor directory.
+"""License scans: TF-IDF cosine of headers and licence files to templates, then inheritance from the nearest ancestor
+directory.
 
 Weights.  Tokens are runs of letters and digits; a token weighs its count times
 ln((1 + documents) / (1 + documents that contain it)) + 1, where document counts cover
-the whole table, for template tokens and all others.
+every token of the whole table.
 
-Candidate lines.  A line can reach the threshold with a template only if it has one of the
-template's heaviest tokens: without them the rest of the template is too light
-(prefix filtering of the cosine join).  Of the lines with such a token, those stay that would reach the
-threshold if each of their tokens that no template has weighed ``LEAST``, the least a token can weigh.  The
-tokens of the lines that stay are counted over the whole table, and the lines are compared with every template, exactly.
+Templates (``license_templates``): notices, SPDX tags, standard header paragraphs and titles, and the full texts of short
+licences.
 
-Headers and licence files.  The best line of a file is its header; a file whose whole text matches a template is a
-licence file and speaks for its directory.  A directory without one takes the licence that all of its own headers
-agree on (at least ``MIN_AGREE`` of them).  A file without a header inherits from the nearest ancestor directory that
-has a licence, found by joining each directory's ancestor paths with the licensed directories.
+Header units.  Comment marks are taken off the lines.  A unit is a line, a sentence of a paragraph (lines up to
+a blank one, joined), or a whole paragraph, so a header may span lines, and a notice may stand beside
+other sentences.  A unit is compared only if it has one of a template's heaviest tokens, without which the rest of the
+template is too light (prefix filtering of the cosine join), and if it could reach the threshold were its tokens outside the
+templates as light as a token can be.  The rest are compared with every template, exactly.  The best unit is a file's header.
 
-Defined cases: null text = empty text; a null path is the root directory; ties between templates go to the smallest id,
-between lines to the first; null or repeated ids are rows like others; an empty table gives an empty result; other
+Licence files.  A file is one if its whole text matches a full licence text, or if it is named like one (LICENSE, COPYING, ...)
+and its text or a unit of it matches any template.  A short notice does not make a file a licence
+file.  Licence files speak for their directory; a file without a license of its own inherits from the nearest ancestor directory
+that has one, found by joining each directory's ancestor paths with the licensed directories.
+
+Defined cases: null text = empty text; a null path is a file without a name in the root directory; ties between templates go to the
+first by name of licence, between units to the one that comes first by its text; null or repeated ids are rows like others; an
+empty table gives an empty result; very long lines take time in proportion to their length (and its logarithm); other
 columns, whatever their names, are not touched.
 
 Built-in functions only.
@@ -27,41 +31,37 @@ from __future__ import annotations
 
 import math
 import re
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpointed, text_of
+from .license_templates import NOTICES, SPDX, TEXTS
 
 THRESHOLD = 0.7
-MIN_AGREE = 2
-# Licensed directories (about 200 bytes each) up to which they are broadcast; more meet the files in a shuffled join.
-BROADCAST_DIRS = 50_000
-# Distinct tokens of candidate lines (about 100 bytes each) up to which they are broadcast.
-BROADCAST_TOKENS = 100_000
+# A whole file must be nearer to a full licence text than a header to a notice: a part of the text is a header.
+WHOLE_THRESHOLD = 0.9
 # The weight of a token that every document has.
 LEAST = 1.0
 TOKEN = r"[\p{L}\p{N}]+"
+# Marks at the start and end of a line of comment.
+COMMENT = r"(?m)^[ \t\r]*(?://+!?|#+|/\*+|\*+/|\*+(?=[ \t\r]|$)|--+|;+|<!--+|%+|\"\"\"|''')[ \t]*|[ \t]*(?:\*+/|--+>)[ \t\r]*$"
+LICENCE_NAME = r"(?i)^(un)?(licen[cs]e|copying|copyright|notice)s?([-_.].*)?$"
+
+
+@dataclass(frozen=True)
+class Template:
+    license: str
+    text: str
+    whole: bool = False  # the full text of a licence
+
 
-# Public licence notices, one line each.
-TEMPLATES = {
-    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "BSD-2-Clause": "Released under the BSD 2-Clause License.",
-    "BSD-3-Clause": "Released under the BSD 3-Clause License.",
-    "CC-BY-4.0": "Licensed under CC BY 4.0.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
-    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
-    "CC0-1.0": "Dedicated to the public domain under CC0 1.0 Universal.",
-    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
-    "MIT": "Released under the MIT License.",
-    "MPL-2.0": "This file is subject to the terms of the Mozilla Public License, version 2.0.",
-    "Proprietary": "All rights reserved.",
-    "Unlicense": "This is free and unencumbered software released into the public domain.",
-}
+def known_templates() -> list[Template]:
+    """All templates, in the order in which ties are decided."""
+    spdx = [Template(re.sub("-(only|or-later)$", "", x), f"SPDX-License-Identifier: {x}") for x in SPDX]
+    own = [Template(*x) for x in NOTICES] + spdx + [Template(*x, whole=True) for x in TEXTS]
+    return sorted(own, key=lambda t: (t.license, t.whole, t.text))
 
 
 def template_tokens(text: str) -> dict[str, int]:
@@ -75,135 +75,121 @@ def tokens_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
 
 
+def document_counts(files: DataFrame) -> DataFrame:
+    """(t, n): in how many files each token stands; tokens of a single file are left out.  A task adds up its own
+    files' counts before anything is shuffled."""
+    every = files.select(F.explode(F.array_distinct(tokens_of(text_of()))).alias("t"))
+    return checkpointed(every.groupBy("t").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+
+
 class Weights:
     """Token weights of a corpus, and the templates as unit vectors (bounded by the templates)."""
 
-    def __init__(self, docs: DataFrame, templates: dict[str, str], threshold: float):
-        counts = {k: template_tokens(v) for k, v in sorted(templates.items())}
-        vocabulary = sorted({t for c in counts.values() for t in c})
-        words = F.array(*[F.lit(t) for t in vocabulary])
-        has = docs.select(F.explode_outer(F.array_intersect(tokens_of(text_of()), words)).alias("t"))
-        # a document without template tokens is one null row, and counts as a document
-        df = {r["t"]: r["n"] for r in has.groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect()}
-        n = self.n = docs.count()
-        self.idf = {t: math.log((1 + n) / (1 + df.get(t, 0))) + 1 for t in vocabulary}
-        self.vectors, anchors = {}, set()
-        for k, c in counts.items():
+    def __init__(self, files: DataFrame, templates: list[Template], threshold: float):
+        self.templates, self.n = templates, files.count()
+        self.counts = document_counts(files)
+        tokens = [template_tokens(t.text) for t in templates]
+        self.vocabulary = sorted({t for c in tokens for t in c})
+        own = files.sparkSession.createDataFrame([(t,) for t in self.vocabulary], "t string")
+        df = {r["t"]: r["n"] for r in self.counts.join(F.broadcast(own), "t").collect()}
+        self.idf = {t: math.log((1 + self.n) / (1 + df.get(t, 1))) + 1 for t in self.vocabulary}
+        self.vectors, anchors = [], set()
+        for c in tokens:
             w = {t: m * self.idf[t] for t, m in c.items()}
             norm = math.sqrt(sum(x * x for x in w.values()))
-            self.vectors[k] = {t: x / norm for t, x in w.items()}
+            self.vectors.append({t: x / norm for t, x in w.items()})
             left = 1.0
-            for t, x in sorted(self.vectors[k].items(), key=lambda p: (-p[1], p[0])):
+            for t, x in sorted(self.vectors[-1].items(), key=lambda p: (-p[1], p[0])):
                 if left < threshold * threshold:
                     break
                 anchors.add(t)
                 left -= x * x
-        self.anchors = sorted(anchors)
-
-    def _counts(self, toks: Column) -> Column:
-        """Squared length of a token list's vector, if tokens that no template has weigh ``LEAST``."""
-        idf = F.map_from_arrays(F.array(*[F.lit(t) for t in self.idf]), F.array(*[F.lit(x) for x in self.idf.values()]))
-        return F.aggregate(F.array_distinct(toks), F.lit(0.0), lambda s, t: s + F.pow(
-            F.size(F.filter(toks, lambda x: x == t)) * F.coalesce(F.element_at(idf, t), F.lit(LEAST)), F.lit(2.0)))
-
-    def bound(self, toks: Column) -> Column:
-        """No less than the cosine of a token list with any template."""
-        dots = []
-        for vector in self.vectors.values():
-            dot = F.lit(0.0)
-            for t, w in vector.items():
-                dot = dot + F.size(F.filter(toks, _is(t))) * F.lit(self.idf[t] * w)
-            dots.append(dot)
-        return F.array_max(F.array(*dots)) / F.sqrt(self._counts(toks))
-
-    def may_match(self, known: Column, n: Column, threshold: float) -> Column:
-        """Whether a text of ``n`` tokens, of which ``known`` are template tokens, can reach the
-        threshold: its other tokens alone must not be too long a vector."""
-        return (n - F.size(known)) * F.lit((LEAST * threshold) ** 2) <= \
-            self._counts(known) * F.lit(1 - threshold ** 2)
-
-    def table(self, docs: DataFrame, words: DataFrame) -> DataFrame:
-        """(t, idf, vec: the token's place in every template) of the templates' tokens and of
-        those in the column t of ``words``; document counts from all of ``docs``."""
-        own = docs.sparkSession.createDataFrame(
-            [(t, x, [v.get(t, 0.0) for v in self.vectors.values()]) for t, x in self.idf.items()],
-            "t string, idf double, vec array<double>")
-        extra = checkpointed(words.select("t").distinct().join(F.broadcast(own), "t", "left_anti"))
-        some = extra.count()
-        if not some:
-            return F.broadcast(own)
-        every = docs.select(F.explode(F.array_distinct(tokens_of(text_of()))).alias("t"))
-        if some <= BROADCAST_TOKENS:
-            every = every.join(F.broadcast(extra), "t", "left_semi")
-        df = every.groupBy("t").agg(F.count(F.lit(1)).alias("n"))
-        if some > BROADCAST_TOKENS:
-            df = df.join(extra, "t", "left_semi")
-        idf = F.log(F.lit(1.0 + self.n) / (F.col("n") + 1)) + 1
-        out = own.unionByName(df.select("t", idf.alias("idf"), F.lit(None).cast("array<double>").alias("vec")))
-        return F.broadcast(out) if some <= BROADCAST_TOKENS else out
-
-
-def _is(token: str):
-    return lambda x: x == F.lit(token)
-
-
-def scored(parts: DataFrame, files: DataFrame, w: Weights) -> DataFrame:
-    """(_row, line, b struct(cosine, order, license) of the nearest template) of (_row, line, toks) rows."""
-    words = parts.select("_row", "line", F.explode("toks").alias("t")).groupBy("_row", "line", "t").agg(
+        self.anchors = F.array(*[F.lit(t) for t in sorted(anchors)])
+        self.words = F.array(*[F.lit(t) for t in self.vocabulary])
+        self.weights = F.map_from_arrays(self.words, F.array(*[F.lit(self.idf[t]) for t in self.vocabulary]))
+
+    def may_match(self, toks: Column, threshold: float) -> Column:
+        """Whether a list of tokens can reach the threshold: the tokens that no template has must not, at ``LEAST``
+        each, make it too long a vector beside the squared length of the others (a fold over the sorted list)."""
+        known = F.array_sort(F.filter(toks, lambda x: F.array_contains(self.words, x)))
+        start = F.struct(F.lit("").alias("t"), F.lit(0.0).alias("run"), F.lit(0.0).alias("sum"))
+
+        def step(s, x):
+            w = F.element_at(self.weights, x)
+            run = F.when(s["t"] == x, s["run"]).otherwise(F.lit(0.0))
+            return F.struct(x.alias("t"), (run + w).alias("run"), (s["sum"] + (2 * run + w) * w).alias("sum"))
+
+        squared = F.aggregate(known, start, step, lambda s: s["sum"])
+        return (F.size(toks) - F.size(known)) * F.lit((LEAST * threshold) ** 2) <= squared * F.lit(1 - threshold ** 2) + 1e-6
+
+    def postings(self, spark) -> DataFrame:
+        """(t, k, w): the token's share of template k."""
+        return spark.createDataFrame([(t, k, w) for k, v in enumerate(self.vectors) for t, w in v.items()],
+                                     "t string, k int, w double")
+
+
+def units_of(text: Column) -> Column:
+    """A text's lines, paragraphs and sentences, lower-cased and without comment marks, each once."""
+    clean = F.regexp_replace(F.lower(text), COMMENT, "")
+    paragraphs = F.transform(F.split(clean, r"\n[ \t\r]*\n"), lambda p: F.trim(F.regexp_replace(p, r"\s+", " ")))
+    sentences = F.flatten(F.transform(paragraphs, lambda p: F.split(p, r"(?<=[.!?;])\s+")))
+    lines = F.transform(F.split(clean, "\n"), lambda x: F.trim(F.regexp_replace(x, r"\s+", " ")))
+    return F.array_distinct(F.concat(lines, sentences, paragraphs))
+
+
+def scored(parts: DataFrame, w: Weights) -> DataFrame:
+    """(_row, unit, k, cosine) of (_row, unit, toks) rows and all templates they share a token with."""
+    words = parts.select("_row", "unit", F.explode("toks").alias("t")).groupBy("_row", "unit", "t").agg(
         F.count(F.lit(1)).alias("m"))
-    words = checkpointed(words)
-    x = F.col("m") * F.col("idf")
-    sums = words.join(w.table(files, words), "t").groupBy("_row", "line").agg(
-        F.sqrt(F.sum(x * x)).alias("length"),
-        F.array(*[F.coalesce(F.sum(x * F.col("vec")[i]), F.lit(0.0)) for i in range(len(w.vectors))]).alias("dots"))
-    near = [F.struct(F.round(F.col("dots")[i] / F.col("length"), 9).alias("cosine"), F.lit(-i).alias("order"),
-                     F.lit(k).alias("license")) for i, k in enumerate(w.vectors)]
-    return sums.select("_row", "line", F.array_max(F.array(*near)).alias("b"))
-
-
-def scanned(files: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """``files`` (with columns path and text) without their text, plus ``header`` struct(cosine, license, line)
+    idf = F.log(F.lit(1.0 + w.n) / (F.coalesce("n", F.lit(1)) + 1)) + 1
+    words = checkpointed(words.join(w.counts, "t", "left").select("_row", "unit", "t", (F.col("m") * idf).alias("x")))
+    length = words.groupBy("_row", "unit").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("length"))
+    postings = F.broadcast(w.postings(parts.sparkSession))  # a few thousand rows, whatever the input
+    dots = words.join(postings, "t").groupBy("_row", "unit", "k").agg(F.sum(F.col("x") * F.col("w")).alias("dot"))
+    return dots.join(length, ["_row", "unit"]).select("_row", "unit", "k", F.round(F.col("dot") / F.col("length"), 9).alias("cosine"))
+
+
+def scanned(files: DataFrame, templates: list[Template] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+    """``files`` (with columns path and text) without their text, plus ``header`` struct(cosine, license, text)
     and ``file`` struct(cosine, license), both null where nothing reaches the threshold."""
+    templates = known_templates() if templates is None else templates
     own = [c for c in files.columns if c not in ("header", "file", "text")]
     w = Weights(files, templates, threshold)
-    anchors = rf"(?<![\p{{L}}\p{{N}}])({'|'.join(w.anchors)})(?![\p{{L}}\p{{N}}])"
-    d = files.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_own"), text_of().alias("_text"))
-    d = d.withColumn("_lines", F.filter(
-        F.transform(F.split(F.lower("_text"), "\n"), lambda x, i: F.struct((i + 1).alias("line"), x.alias("t"))),
-        lambda x: F.regexp_like(x["t"], F.lit(anchors))))
-    some = F.size("_lines") > 0
-    vocabulary = F.array(*[F.lit(t) for t in w.idf])
-    d = d.withColumns({
-        "_c": F.transform("_lines", lambda x: F.struct(x["line"].alias("line"), tokens_of(x["t"]).alias("toks"))),
-        "_t": F.when(some, tokens_of(F.col("_text"))),
-    })
-    d = d.withColumn("_v", F.filter("_t", lambda x: F.array_contains(vocabulary, x)))
-    # from here on only the few lines and texts that hold an anchor carry work; line 0 is the whole file
-    near = F.filter("_c", lambda c: w.bound(c["toks"]) >= F.lit(threshold - 1e-6))
-    whole = F.when(some & w.may_match(F.col("_v"), F.size("_t"), threshold),
-                   F.array(F.struct(F.lit(0).alias("line"), F.col("_t").alias("toks"))))
-    d = d.select("_own", F.monotonically_increasing_id().alias("_row"),
-                 F.when(some, F.concat(near, F.coalesce(whole, F.slice("_c", 1, 0)))).alias("_parts"))
+    name = F.element_at(F.split(F.coalesce("path", F.lit("")), "/"), -1)
+    d = files.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_own"), F.regexp_like(name, F.lit(LICENCE_NAME)).alias("_named"),
+                     text_of().alias("_text"), tokens_of(text_of()).alias("_toks"))
+    some = F.arrays_overlap("_toks", w.anchors)
+    # only files that hold an anchor are cut into units; unit '' is the whole file
+    units = F.transform(units_of(F.col("_text")), lambda u: F.struct(u.alias("unit"), tokens_of(u).alias("toks")))
+    units = F.filter(units, lambda u: F.arrays_overlap(u["toks"], w.anchors))
+    units = F.filter(units, lambda u: w.may_match(u["toks"], threshold))
+    whole = F.when(w.may_match(F.col("_toks"), threshold), F.array(F.struct(F.lit("").alias("unit"), F.col("_toks").alias("toks"))))
+    d = d.select("_own", "_named", F.monotonically_increasing_id().alias("_row"),
+                 F.when(some, F.concat(units, F.coalesce(whole, F.array().cast("array<struct<unit:string,toks:array<string>>>"))))
+                 .alias("_parts"))
     d = checkpointed(d)
-    found = scored(d.where("size(_parts) > 0").select("_row", F.inline("_parts")), files, w)
-    found = found.where(F.col("b.cosine") >= threshold).groupBy("_row").agg(
-        F.max(F.when(F.col("line") > 0, F.struct("b", (-F.col("line")).alias("line")))).alias("h"),
-        F.max(F.when(F.col("line") == 0, F.col("b"))).alias("f"))
+    near = scored(d.where("size(_parts) > 0").select("_row", F.inline("_parts")), w).where(F.col("cosine") >= threshold)
+    names = F.array(*[F.lit(t.license) for t in templates])
+    full = F.array(*[F.lit(t.whole) for t in templates])
+    near = near.select("_row", "unit", "cosine", (-F.col("k")).alias("order"), F.get(names, F.col("k")).alias("license"),
+                       F.get(full, F.col("k")).alias("full"))
+    best = near.groupBy("_row").agg(
+        F.min(F.when((F.col("unit") != "") & ~F.col("full"), F.struct((-F.col("cosine")).alias("c"), (-F.col("order")).alias("o"),
+                                                                      "unit", "license"))).alias("h"),
+        F.max(F.when((F.col("unit") == "") & F.col("full") & (F.col("cosine") >= WHOLE_THRESHOLD), F.struct("cosine", "order", "license"))).alias("t"),
+        F.max(F.struct("cosine", "order", "license")).alias("any"))
+    out = d.join(best, "_row", "left")
     header = F.when(F.col("h").isNotNull(), F.struct(
-        F.col("h.b.cosine").alias("cosine"), F.col("h.b.license").alias("license"), (-F.col("h.line")).alias("line")))
-    file = F.when(F.col("f").isNotNull(), F.struct(
-        F.col("f.cosine").alias("cosine"), F.col("f.license").alias("license")))
-    out = d.join(found, "_row", "left")
+        (-F.col("h.c")).alias("cosine"), F.col("h.license").alias("license"), F.col("h.unit").alias("text")))
+    file = F.coalesce("t", F.when(F.col("_named"), F.col("any")))
+    file = F.when(file.isNotNull(), F.struct(file["cosine"].alias("cosine"), file["license"].alias("license")))
     return out.select(*[F.col(f"_own.`{c}`").alias(c) for c in own], header.alias("header"), file.alias("file"))
 
 
-def directory_licenses(scans: DataFrame, min_agree: int = MIN_AGREE) -> DataFrame:
-    """(dir, license) of the directories that speak for their files, from (dir, header, file) rows."""
-    by = scans.groupBy("dir").agg(
-        F.max(F.struct("file.cosine", "file.license")).alias("f"), F.count("header").alias("n"),
-        F.min("header.license").alias("lo"), F.max("header.license").alias("hi"))
-    agreed = F.when((F.col("lo") == F.col("hi")) & (F.col("n") >= min_agree), F.col("lo"))
-    return by.select("dir", F.coalesce("f.license", agreed).alias("license"))
+def directory_licenses(scans: DataFrame) -> DataFrame:
+    """(dir, license or null) from (dir, file) rows: the licence file that matches best speaks for a directory."""
+    best = F.min(F.when(F.col("file").isNotNull(), F.struct((-F.col("file.cosine")).alias("c"), F.col("file.license").alias("license"))))
+    return scans.groupBy("dir").agg(best.alias("f")).select("dir", F.col("f.license").alias("license"))
 
 
 def nearest_ancestors(dirs: DataFrame) -> DataFrame:
@@ -217,18 +203,14 @@ def nearest_ancestors(dirs: DataFrame) -> DataFrame:
     return near.select("dir", F.col("m.path").alias("inherited_from"), F.col("m.license").alias("inherited"))
 
 
-def licensed(files: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD,
-             min_agree: int = MIN_AGREE) -> DataFrame:
+def licensed(files: DataFrame, templates: list[Template] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """``files`` without their text, plus ``header, file, dir, inherited_from, inherited, license``."""
     made = ["header", "file", "dir", "inherited_from", "inherited", "license"]
     own = [c for c in files.columns if c not in [*made, "text"]]
     path = F.coalesce("path", F.lit(""))
-    scans = scanned(files, templates, threshold).select(
-        *own, "header", "file", F.regexp_extract(path, "^(.*)/[^/]*$", 1).alias("dir"))
-    scans = checkpointed(scans)
-    dirs = checkpointed(directory_licenses(scans, min_agree))
-    near = checkpointed(nearest_ancestors(dirs))
-    if near.count() <= BROADCAST_DIRS:
-        near = F.broadcast(near)
+    scans = checkpointed(scanned(files, templates, threshold).select(
+        *own, "header", "file", F.regexp_extract(path, "^(.*)/[^/]*$", 1).alias("dir")))
+    near = checkpointed(nearest_ancestors(checkpointed(directory_licenses(scans))))
+    # Spark's adaptive plan broadcasts a small side and splits a directory with very many files otherwise
     out = scans.join(near, "dir", "left")
     return out.select(*own, *made[:-1], F.coalesce("file.license", "header.license", "inherited").alias("license"))

@@ -27,7 +27,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = docs.select("doc_id", F.concat_ws("/", "source", "lang", "doc_id").alias("path"), "text")
     d = licenses.licensed(files)
     return d.select("doc_id", "path", F.col("header.license").alias("header_license"),
-                    F.col("header.cosine").alias("header_cosine"), F.col("header.line").alias("header_line"),
+                    F.col("header.cosine").alias("header_cosine"), F.col("header.text").alias("header_text"),
                     F.col("file.license").alias("file_license"), "inherited_from", "inherited", "license")
 
 
