@@ -77,3 +77,50 @@ def test_nd_forest_share(spark):
     share = out.agg(F.avg(F.col("isolation_forest_anomaly").cast("int"))).collect()[0][0]
     assert 0.03 <= share <= 0.07
     assert out.orderBy("anomaly_score").first()["a"] == 9.0
+
+
+def test_nd_scores_equal_a_walk_of_every_tree(spark):
+    import datetime as dt
+
+    from thermolens.operators.detect import iforest_nd as N
+    rnd = random.Random(12)
+    rows = [(ts(1) + dt.timedelta(hours=i), rnd.gauss(0, 1), float(rnd.randrange(3)), 5.0, None if i % 9 == 0 else rnd.random(), "d", "S")
+            for i in range(150)]
+    df = spark.createDataFrame(rows, "timestamp timestamp_ntz, a double, b double, c double, e double, type string, ID string")
+    feats = ["a", "b", "c", "e"]
+    nodes = N.fit_forest_nd(df, feats, trees=7, psi=32, seed=4)
+    table = {(r["tree"], r["node"]): r for r in nodes.collect()}
+    assert {t for t, _ in table} == set(range(7)) and all(r["feature"] != 2 for r in table.values())  # c has no range
+    # every inner node has both children, every tree holds its whole sample
+    for (t, n), r in table.items():
+        kids = [(t, 2 * n) in table, (t, 2 * n + 1) in table]
+        assert all(kids) if r["feature"] is not None else not any(kids)
+    model = N.ForestND(nodes, feats, 32, 7)
+    got = {r["timestamp"]: r["s"] for r in N.score_forest_nd(df, model, "s").collect()}
+    for t, a, b, c, e, *_ in rows:
+        x = [round(a, 6), b, c, round(e or 0.0, 6)]
+        total = 0.0
+        for tree in range(7):
+            n = 1
+            while table[tree, n]["feature"] is not None:
+                n = 2 * n + (x[table[tree, n]["feature"]] >= table[tree, n]["threshold"])
+            total += table[tree, n]["leaf_h"]
+        assert math.isclose(got[t], 2 ** (-(total / 7) / IF.c_factor(32)), abs_tol=1e-8)
+    again = {tuple(r) for r in N.fit_forest_nd(df.repartition(5), feats, trees=7, psi=32, seed=4).collect()}
+    assert again == {tuple(r) for r in nodes.collect()}
+
+
+def test_scoring_runs_no_python(spark, data):
+    from thermolens.operators.detect import iforest_nd as N
+    model = N.ForestND(N.fit_forest_nd(data, ["avg"], trees=3, psi=16, seed=1), ["avg"], 16, 3)
+    plan = N.score_forest_nd(data, model, "s")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_a_large_table_puts_a_row_into_one_pool(spark):
+    rows = spark.range(60_000).select(F.lit("k").alias("_k"), F.col("id").alias("_us"))
+    for trees, psi in ((10, 64), (4, 16)):
+        d = IF.tree_samples(rows, trees, psi, 42).cache()
+        n = {r["tree"]: r["count"] for r in d.groupBy("tree").count().collect()}
+        assert n == {t: psi for t in range(trees)}
+        assert d.select("_us").distinct().count() == trees * psi     # no row in two trees

@@ -2,9 +2,9 @@
 
 1-D forest (D8), all in the DataFrame API:
 
-* **sample**: each tree keeps the ``psi`` rows with the smallest rank hash of (seed,
-  tree, row key): one MD5 per row, one integer mix per tree.  Rows too large in that
-  hash to be kept are left out before the ranking, so about ``4 * psi`` rows per tree are shuffled.
+* **sample**: each tree keeps the ``psi`` rows of its pool with the smallest rank hash of (seed,
+  row key, tree).  A row is in the pools of as few trees as give each about ``4 * psi`` rows (one in a
+  large table).  Rows too large in the rank to be kept are left out before the ranking.
 * **build**: level-wise.  For each of ``ceil(log2 psi)`` levels, min / max / count
   per (tree, node) is a window over the sample (at most ``trees * psi`` rows); a
   node splits at ``min + u(seed, tree, node) * (max - min)``; a row moves to child
@@ -19,10 +19,7 @@
   ``1 - q`` quantile of ``s`` on the training rows (``s`` has at most ``trees * psi``
   distinct values, so the exact quantile buffer is bounded); flag ``s > cut``.
 
-n-D forest (D9): trees are grown per tree with ``groupBy(tree).applyInPandas`` on
-at most ``psi`` rows each; the forest (``trees * (2 psi - 1)`` nodes at most) is one
-binary value attached to every batch with a one-row broadcast join, and
-``mapInPandas`` walks it vectorised.
+n-D forest (D9): ``iforest_nd``.
 """
 
 from __future__ import annotations
@@ -83,23 +80,32 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def tree_samples(rows: DataFrame, trees: int, psi: int, seed: int, slack: float = 4.0) -> DataFrame:
-    """``rows`` (with ``_k``, ``_us``) plus ``tree``: per tree the ``psi`` rows with the smallest
-    rank hash.  One MD5 per row, then one integer mix per tree.
+def hash_long(text: Column) -> Column:
+    """The first 60 bits of a text's md5."""
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
 
-    Rows whose hash lies above ``slack * psi / n`` are left out before the ranking: they
-    cannot be among the smallest ``psi`` when that many lie below, which ``complete_samples`` checks.
+def tree_samples(rows: DataFrame, trees: int, psi: int, seed: int, slack: float = 4.0) -> DataFrame:
+    """``rows`` (with ``_k``, ``_us``) plus ``tree``: per tree the ``psi`` rows of its pool with the smallest
+    rank hash.
+
+    Pools: a row's hash names its first tree, and it takes part in as many consecutive trees as
+    are needed for pools of ``slack * psi`` rows: all trees in a small table, one in a large one.  So a row is
+    never exploded into trees that have enough rows without it.  Within a pool
+    every row has an independent 60-bit rank; ranks above ``slack * psi`` expected rows are left out before the ranking, so about
+    ``trees * psi * slack`` rows leave the scan.  ``complete_samples`` checks that enough remained.
     """
     n = rows.agg(F.count(F.lit(1)).alias("_n"))
-    base = (hash_uniform(F.lit(seed), F.col("_k"), F.col("_us")) * F.lit(4294967296.0)).cast("long")
-    d = rows.crossJoin(F.broadcast(n)).withColumn("_b", base)
-    d = d.withColumn("_top", F.lit(slack * psi * 4294967296.0) / F.col("_n"))
-    d = d.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    a = F.pmod((F.col("tree").cast("long") + 1) * F.lit(1103515245) + F.lit(seed * 12345), F.lit(2147483648))
-    d = d.withColumn("_h", F.pmod(F.col("_b") * (a - a % 2 + 1) + F.col("tree") * F.lit(69069), F.lit(4294967296)))
-    d = d.where(F.col("_h") < F.col("_top"))
+    d = rows.crossJoin(F.broadcast(n)).withColumn("_m", F.md5(F.concat_ws(
+        ":", F.lit(str(seed)), F.col("_k"), F.col("_us").cast("string"))))
+    each = F.least(F.lit(trees), F.greatest(F.lit(1), F.ceil(F.lit(slack * trees * psi) / F.col("_n")))).cast("int")
+    first = F.conv(F.substring("_m", 1, 15), 16, 10).cast("long") % trees
+    d = d.withColumn("_each", each).withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_each") - 1)))
+    d = d.withColumn("tree", ((first + F.col("_j")) % trees).cast("int"))
+    d = d.withColumn("_h", hash_long(F.concat_ws(":", "_m", F.col("tree").cast("string"))))
+    d = d.where(F.col("_h") < F.lit(slack * psi * trees * float(1 << 60)) / (F.col("_n") * F.col("_each")))
     w = Window.partitionBy("tree").orderBy("_h", "_k", "_us")
-    return d.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= psi).drop("_r", "_h", "_b", "_top", "_n")
+    return d.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= psi).drop("_r", "_h", "_m", "_j", "_each", "_n")
 
 
 def complete_samples(rows: DataFrame, trees: int, psi: int, seed: int) -> DataFrame:

@@ -1,18 +1,19 @@
-"""N-dimensional isolation forest and D11, the labeler composition.
-
-* sample: the same rank hash as D8 (``complete_samples``), carrying a feature vector;
-* build: ``groupBy(tree).applyInPandas`` -- one task per tree, at most ``psi``
-  rows each, random feature and uniform split from a generator seeded by
-  (seed, tree); rows are sorted by key first, so the tree does not depend on
-  partitioning;
-* model: the node table, at most ``trees * (2 psi - 1)`` rows whatever the data
-  size -- the only thing brought to the driver, shipped to executors as a
-  broadcast variable;
-* score: ``mapInPandas``, vectorised traversal per Arrow batch;
+"""N-dimensional isolation forest and D11, the labeler composition, without Python code on the data.
+
+* sample: the pools and rank hashes of D8 (``complete_samples``), carrying an array of features;
+* build: level by level.  Per (tree, node) one partial aggregate gives the row count and each feature's
+  range; a node of more than one row that has a feature with a range splits at ``min + u * (max - min)`` of
+  one such feature; both draws are hashes of (seed, tree, node).  The sample rows (at most ``trees * psi``) move to
+  child ``2 node`` or ``2 node + 1`` by a broadcast join with that level's splits;
+* model: the node table, at most ``trees * (2 psi - 1)`` rows whatever the data size, the only
+  thing brought to the driver;
+* score: the node table goes back as three constant arrays, and every row walks all trees with built-in
+  array functions, ``ceil(log2 psi)`` steps each; no explosion, no join;
 * cut: the exact ``1 - contamination`` quantile of s on the training rows, or a
   sketch of it (``approx_cut``).
 
-Per-feature standardisation is an affine map per axis and does not change which
+Features are rounded to six decimals, which makes the forest the same in any engine that follows these
+rules.  Per-feature standardisation is an affine map per axis and does not change which
 rows a uniform axis-parallel split separates, so features are used unscaled.
 """
 
@@ -21,129 +22,103 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ...functions.numeric import round_to
 from ...schema import DEFAULT_SERIES, Series
 from ..faults import series_label
-from ..windows import epoch_micros
-from .iforest import c_factor, complete_samples
-
-NODE_SCHEMA = T.StructType([T.StructField(n, t) for n, t in [
-    ("tree", T.IntegerType()), ("node", T.IntegerType()), ("feature", T.IntegerType()),
-    ("threshold", T.DoubleType()), ("left", T.IntegerType()), ("right", T.IntegerType()),
-    ("leaf_h", T.DoubleType())]])
-
-
-def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple]:
-    """Isolation tree over rows of x: list of (node, feature, thr, left, right, leaf_h)."""
-    nodes: list[tuple] = []
-    stack = [(0, np.arange(len(x)), 0)]
-    next_id = 1
-    while stack:
-        nid, idx, depth = stack.pop()
-        sub = x[idx]
-        if len(idx) <= 1 or depth >= max_depth:
-            nodes.append((nid, -1, 0.0, -1, -1, depth + c_factor(len(idx))))
-            continue
-        lo, hi = sub.min(axis=0), sub.max(axis=0)
-        usable = np.flatnonzero(hi > lo)
-        if usable.size == 0:
-            nodes.append((nid, -1, 0.0, -1, -1, depth + c_factor(len(idx))))
-            continue
-        f = int(usable[rng.integers(usable.size)])
-        thr = float(lo[f] + rng.random() * (hi[f] - lo[f]))
-        go_left = sub[:, f] < thr
-        left, right = next_id, next_id + 1
-        next_id += 2
-        nodes.append((nid, f, thr, left, right, 0.0))
-        stack.append((left, idx[go_left], depth + 1))
-        stack.append((right, idx[~go_left], depth + 1))
-    return nodes
+from ..windows import checkpoint, epoch_micros
+from .iforest import c_factor, c_factor_col, complete_samples, hash_uniform
+
+
+def feature_array(features: Sequence[str]) -> Column:
+    """The features as an array of doubles; missing ones count as 0."""
+    return F.array(*[round_to(F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)), 6) for c in features])
+
+
+def depth_limit(rows: Column) -> Column:
+    """Height limit of a tree of so many rows."""
+    return F.greatest(F.lit(1), F.ceil(F.log2(F.greatest(rows, F.lit(2)).cast("double")))).cast("int")
+
+
+def _level(rows: DataFrame, limits: DataFrame, nf: int, level: int, seed: int) -> DataFrame:
+    """(tree, node, feature, threshold, leaf_h) of the nodes that have rows; feature is null in a leaf."""
+    x = [F.get("_x", F.lit(i)) for i in range(nf)]
+    g = rows.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("_n"), F.array(*[F.min(c) for c in x]).alias("_lo"),
+                                         F.array(*[F.max(c) for c in x]).alias("_hi"))
+    g = g.join(F.broadcast(limits), "tree")
+    usable = F.filter(F.sequence(F.lit(0), F.lit(nf - 1)), lambda i: F.get("_hi", i) > F.get("_lo", i))
+    g = g.withColumn("_use", F.when((F.col("_n") > 1) & (F.lit(level) < F.col("_limit")), usable).otherwise(
+        F.array().cast("array<int>")))
+    u = [hash_uniform(F.lit(seed), F.col("tree"), F.col("node"), F.lit(salt)) for salt in ("feature", "split")]
+    f = F.get("_use", F.floor(u[0] * F.size("_use")).cast("int"))
+    g = g.withColumn("feature", F.when(F.size("_use") > 0, f))
+    lo, hi = F.get("_lo", F.col("feature")), F.get("_hi", F.col("feature"))
+    return g.select("tree", "node", "feature", (lo + u[1] * (hi - lo)).alias("threshold"),
+                    F.when(F.col("feature").isNull(), F.lit(float(level)) + c_factor_col(F.col("_n"))).alias("leaf_h"))
 
 
 def fit_forest_nd(df: DataFrame, features: Sequence[str], trees: int = 100, psi: int = 256,
                   seed: int = 42, s: Series = DEFAULT_SERIES) -> DataFrame:
-    """Node table of the forest (one Spark job; one task per tree)."""
-    feats = list(features)
-    rows = df.select(series_label(df, s).alias("_k"), epoch_micros(df, s.ts).alias("_us"),
-                     *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_f{i}") for i, c in enumerate(feats)])
-    sample = complete_samples(rows, trees, psi, seed)
-    nf = len(feats)
-
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_k", "_us"], kind="mergesort")
-        tree = int(pdf["tree"].iloc[0])
-        x = pdf[[f"_f{i}" for i in range(nf)]].to_numpy(dtype=float)
-        rng = np.random.default_rng([seed, tree])
-        # the height limit of the rows this tree really has
-        nodes = _grow(x, rng, max(1, math.ceil(math.log2(max(len(x), 2)))))
-        out = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "left", "right", "leaf_h"])
-        out.insert(0, "tree", tree)
-        return out.astype({"tree": "int32", "node": "int32", "feature": "int32", "left": "int32", "right": "int32"})
-
-    return sample.select("tree", "_k", "_us", *[f"_f{i}" for i in range(nf)]).groupBy("tree").applyInPandas(build, NODE_SCHEMA)
+    """Node table of the forest: (tree, node, feature, threshold, leaf_h); node 1 is a root."""
+    rows = df.select(series_label(df, s).alias("_k"), epoch_micros(df, s.ts).alias("_us"), feature_array(features).alias("_x"))
+    d = complete_samples(rows, trees, psi, seed).select("tree", "_x", F.lit(1).cast("long").alias("node"))
+    limits = checkpoint(d.groupBy("tree").agg(depth_limit(F.count(F.lit(1))).alias("_limit")))
+    nodes = None
+    for level in range(max(1, math.ceil(math.log2(max(psi, 2)))) + 1):
+        here = checkpoint(_level(d, limits, len(features), level, seed))
+        nodes = here if nodes is None else nodes.unionByName(here)
+        split = here.where("feature is not null").select("tree", "node", "feature", "threshold")
+        right = F.get("_x", F.col("feature")) >= F.col("threshold")
+        d = checkpoint(d.join(F.broadcast(split), ["tree", "node"]).select(
+            "tree", "_x", (F.col("node") * 2 + right.cast("long")).alias("node")))
+    return nodes
 
 
 class ForestND:
-    """Fitted n-D forest: node arrays (bounded by trees * (2 psi - 1)) and the cut."""
+    """Fitted n-D forest as constant arrays (bounded by trees * (2 psi - 1) nodes) and the settings."""
 
     def __init__(self, nodes: DataFrame, features: Sequence[str], psi_eff: int, trees: int):
-        pdf = nodes.toPandas().sort_values(["tree", "node"])
-        self.features = list(features)
-        self.trees = trees
-        self.c_psi = c_factor(psi_eff)
-        size = int(pdf["node"].max()) + 1 if len(pdf) else 1
-        arr = {k: np.full((trees, size), fill, dtype=dt) for k, fill, dt in
-               [("feature", -1, np.int32), ("threshold", 0.0, float), ("left", -1, np.int32),
-                ("right", -1, np.int32), ("leaf_h", 0.0, float)]}
-        t, nd = pdf["tree"].to_numpy(), pdf["node"].to_numpy()
-        for k in arr:
-            arr[k][t, nd] = pdf[k].to_numpy()
-        self.arrays = arr
-        self.cut = None
-
-    def score_batch(self, x: np.ndarray, arrays=None) -> np.ndarray:
-        a = arrays or self.arrays
-        n = len(x)
-        total = np.zeros(n)
-        rows = np.arange(n)
-        for t in range(a["feature"].shape[0]):
-            node = np.zeros(n, dtype=np.int64)
-            while True:
-                f = a["feature"][t, node]
-                inner = f >= 0
-                if not inner.any():
-                    break
-                fi = np.where(inner, f, 0)
-                go_left = x[rows, fi] < a["threshold"][t, node]
-                nxt = np.where(go_left, a["left"][t, node], a["right"][t, node])
-                node = np.where(inner, nxt, node)
-            total += a["leaf_h"][t, node]
-        eh = total / a["feature"].shape[0]
-        return np.power(2.0, -eh / self.c_psi)
+        rows = nodes.collect()  # bounded by the forest
+        self.features, self.trees, self.c_psi = list(features), trees, c_factor(psi_eff)
+        self.depth = max((int(r["node"]).bit_length() for r in rows), default=1)
+        self.width = 1 << self.depth
+        feature, threshold, leaf = ([z] * (trees * self.width) for z in (-1, 0.0, 0.0))
+        for r in rows:
+            at = r["tree"] * self.width + r["node"]
+            if r["feature"] is None:
+                leaf[at] = r["leaf_h"]
+            else:
+                feature[at], threshold[at] = r["feature"], r["threshold"]
+        # folded into constants when the plan is made
+        self.arrays = [F.split(F.lit(",".join(map(repr, v))), ",").cast(f"array<{t}>")
+                       for v, t in ((feature, "int"), (threshold, "double"), (leaf, "double"))]
+
+    def path_length(self, x: Column) -> Column:
+        """Mean path length over all trees of a feature array."""
+        feature, threshold, leaf = self.arrays
+
+        def end(tree):
+            base = tree * F.lit(self.width)
+
+            def step(at, _):
+                f = F.get(feature, at)
+                child = base + (at - base) * 2 + (F.get(x, f) >= F.get(threshold, at)).cast("int")
+                return F.when(f < 0, at).otherwise(child)
+
+            return F.get(leaf, F.aggregate(F.sequence(F.lit(2), F.lit(self.depth)), base + 1, step)) if self.depth > 1 \
+                else F.get(leaf, base + 1)
+
+        return F.aggregate(F.sequence(F.lit(0), F.lit(self.trees - 1)), F.lit(0.0),
+                           lambda total, tree: total + end(tree)) / F.lit(float(self.trees))
 
 
 def score_forest_nd(df: DataFrame, model: ForestND, out: str = "if_score") -> DataFrame:
-    """Add s(x) (higher = more anomalous) with ``mapInPandas``."""
-    spark = df.sparkSession
-    bc = spark.sparkContext.broadcast(model.arrays)
-    feats, c_psi = model.features, model.c_psi
-    schema = T.StructType(df.schema.fields + [T.StructField(out, T.DoubleType())])
-    scorer = ForestND.__new__(ForestND)
-    scorer.c_psi = c_psi
-
-    def run(batches):
-        arrays = bc.value
-        for pdf in batches:
-            x = pdf[feats].astype(float).fillna(0.0).to_numpy()
-            pdf[out] = scorer.score_batch(x, arrays) if len(pdf) else np.zeros(0)
-            yield pdf
-
-    return df.mapInPandas(run, schema)
+    """Add s(x) (higher = more anomalous), to nine decimals."""
+    d = df.withColumn("_x", feature_array(model.features))
+    s = F.pow(F.lit(2.0), -model.path_length(F.col("_x")) / F.lit(model.c_psi)) if model.c_psi > 0 else F.lit(1.0)
+    return d.withColumn(out, F.round(s, 9)).drop("_x")
 
 
 def isolation_forest_nd(df: DataFrame, features: Sequence[str], trees: int = 100, psi: int = 256,
@@ -151,13 +126,9 @@ def isolation_forest_nd(df: DataFrame, features: Sequence[str], trees: int = 100
                         approx_cut: bool = False) -> DataFrame:
     """Fit on ``df`` and flag it: ``isolation_forest_anomaly`` (s > cut) and
     ``anomaly_score`` = -s (lower = more anomalous, the labeler's convention)."""
-    from ...session import ship_package
-    ship_package(df.sparkSession)
     nodes = fit_forest_nd(df, features, trees, psi, seed, s)
-    n = df.count()
-    model = ForestND(nodes, features, min(psi, n), trees)
+    model = ForestND(nodes, features, min(psi, df.count()), trees)
     from ..scaling import quantile_table
-    from ..windows import checkpoint
     scored = checkpoint(score_forest_nd(df, model, "_s"))  # read by the cut and by the output: walk the trees once
     cut = quantile_table(scored, ["_s"], [1 - contamination], (), {("_s", 1 - contamination): "_cut"}, approx_cut)
     d = scored.crossJoin(F.broadcast(cut))
@@ -172,7 +143,6 @@ def label_readings(df: DataFrame, system_type: str | None = "domestic", contamin
     ``anomaly_score`` and the three component flags."""
     from ..clean import filter_type
     from ..features import feature_columns, feature_matrix
-    from ..windows import checkpoint
     from .rules import domain_rules
     from .zscore import zscore_any
     d = domain_rules(zscore_any(filter_type(df, system_type)))

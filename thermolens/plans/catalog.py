@@ -767,7 +767,7 @@ PER_EVENT = {f"{q.__name__}_per_event": _per_event(q) for q in (
 ORACLE.update({
     "s5_save_reload": sql.S5, "s1_s3_round_trip": sql.S1_S3, "s6_t8_monitor_report": sql.T8, "p7_w1_tagged": sql.P7_W1,
     "p7_w1_tagged_all": sql.P7_W1_ALL, "n4_cross_circuit_pairs": sql.N4_PAIRS,
-    "d10_union_with_forest": sql.D10_FOREST, "d16_ensemble_info": sql.D16, "v10_analysis_tables": sql.V10_TABLES,
+    "d10_union_with_forest": sql.D10_FOREST, "d11_label_readings": sql.D11, "d16_ensemble_info": sql.D16, "v10_analysis_tables": sql.V10_TABLES,
     "d13_ensemble_forest": sql.D13, "v10_detailed_analysis": sql.V10,
     "x2_feature_matrix_per_event": sql.per_event(sql.X2), "a1_describe_per_event": sql.per_event(sql.A1),
     "d3_zscore_any_per_event": sql.per_event(sql.D3), "d8_isolation_forest_per_event": sql.per_event(sql.D8),

@@ -591,16 +591,23 @@ def _hu(*parts):
     return "(('0x' || substr(md5(concat_ws(':', " + ", ".join(parts) + ")), 1, 8))::BIGINT / 4294967296.0)"
 
 
+def _sample_ctes(rows, trees, psi, seed, *cols):
+    """CTEs that end in ``smp``: (tree, cols, r) of ``rows`` (k, us, cols), ranked within each tree's pool."""
+    own = ", ".join(cols)
+    return [f"""hashed AS (SELECT *, md5(concat_ws(':', '{seed}', k, CAST(us AS VARCHAR))) AS m FROM {rows})""",
+            f"""par AS (SELECT CAST(least({trees}, greatest(1, ceil({4.0 * trees * psi} / count(*)))) AS BIGINT) AS each_ FROM {rows})""",
+            f"""rep AS (SELECT h.*, CAST((('0x' || substr(m, 1, 15))::BIGINT + j) % {trees} AS INTEGER) AS tree
+              FROM hashed h, par, range({trees}) t(j) WHERE j < each_)""",
+            """ranked AS (SELECT *, ('0x' || substr(md5(concat_ws(':', m, CAST(tree AS VARCHAR))), 1, 15))::BIGINT AS h FROM rep)""",
+            f"""smp AS (SELECT tree, {own}, row_number() OVER (PARTITION BY tree ORDER BY h, k, us) AS r FROM ranked)"""]
+
+
 def _forest_ctes(base, table, trees=100, psi=256, seed=42, q=0.1, levels=8):
     """CTEs that end in ``steps``, ``cpsi``, ``sc`` and ``cut`` of a forest fitted on ``table``."""
     ctes = [base.strip(),
             f"""rows_ AS (SELECT "type", "ID", "timestamp", "avg", "type" || '|' || "ID" AS k, epoch_us("timestamp") AS us, "avg" AS x
               FROM {table} WHERE "avg" IS NOT NULL)""",
-            f"""hashed AS (SELECT *, CAST({_hu(f"'{seed}'", 'k', 'CAST(us AS VARCHAR)')} * 4294967296 AS BIGINT) AS b FROM rows_)""",
-            f"""trees_ AS (SELECT CAST(tree AS INTEGER) AS tree, CAST(((tree + 1) * 1103515245 + {seed} * 12345) % 2147483648 AS BIGINT) AS a
-              FROM range({trees}) t(tree))""",
-            """rep AS (SELECT p.*, t.tree, (b * (a - a % 2 + 1) + t.tree * 69069) % 4294967296 AS h FROM hashed p, trees_ t)""",
-            """smp AS (SELECT tree, x, row_number() OVER (PARTITION BY tree ORDER BY h, k, us) AS r FROM rep)""",
+            *_sample_ctes("rows_", trees, psi, seed, "x"),
             """l0 AS (SELECT tree, x, CAST(1 AS BIGINT) AS node, 0 AS depth, CAST('-inf' AS DOUBLE) AS lo, CAST('inf' AS DOUBLE) AS hi, false AS done
               FROM smp WHERE r <= %d)""" % psi]
     for i in range(levels):
@@ -738,6 +745,58 @@ SELECT detector, detector_type, weight::DOUBLE AS weight, true AS is_fitted, 0.5
   n_flagged::BIGINT AS n_flagged, (SELECT count(*) FROM faulted) AS n_rows FROM n"""
 
 
+_X2_COLUMNS = (["avg", "min_v", "max_v", "nighttime", "time_diff_min", "T_diff", "hour", "day_of_week", "month", "is_weekend",
+                "type_domestic", "type_nan"]
+               + [x for c in VALS for x in [f"{c}_rolling_{st}_{h}h" for h in (1, 6, 24) for st in ("mean", "std")]
+                  + [f"{c}_weighted_change"]]
+               + ["time_diff_normalized", "time_diff_deviation", "time_diff_z_score"] + [f"{c}_rate_per_min" for c in VALS]
+               + ["avg_to_max_ratio", "avg_to_min_ratio", "range_to_avg_ratio", "temp_range_normalized", "temp_stability"])
+
+
+def _forest_nd_sql(trees=100, psi=256, seed=42, q=0.05, levels=8):
+    nf = len(_X2_COLUMNS)
+    features = ", ".join(f'round(CAST("{c}" AS DOUBLE), 6)' for c in _X2_COLUMNS)
+    u = lambda salt: _hu(f"'{seed}'", "CAST(tree AS VARCHAR)", "CAST(node AS VARCHAR)", f"'{salt}'")
+    cf = lambda n: (f"(CASE WHEN {n} <= 1 THEN 0.0 WHEN {n} = 2 THEN 1.0 ELSE 2.0 * (ln({n} - 1) + 0.5772156649015329) "
+                    f"- 2.0 * ({n} - 1) / {n} END)")
+    ctes = [f"x2 AS ({X2})", f"""rows_ AS MATERIALIZED (SELECT "type", "ID", "timestamp", "type" || '|' || "ID" AS k, epoch_us("timestamp") AS us,
+              [{features}] AS f FROM x2)""",
+            *_sample_ctes("rows_", trees, psi, seed, "f"),
+            f"l0 AS MATERIALIZED (SELECT tree, f, CAST(1 AS BIGINT) AS node FROM smp WHERE r <= {psi})",
+            """lim AS (SELECT tree, greatest(1, ceil(log2(greatest(count(*), 2)))) AS lim FROM l0 GROUP BY tree)"""]
+    for i in range(levels + 1):
+        lo, hi = (", ".join(f"{agg}(f[{j + 1}])" for j in range(nf)) for agg in ("min", "max"))
+        ctes += [f"g{i} AS (SELECT tree, node, count(*) AS n, [{lo}] AS lo, [{hi}] AS hi FROM l{i} GROUP BY tree, node)",
+                 f"""v{i} AS (SELECT g.*, CASE WHEN n > 1 AND {i} < lim.lim THEN list_filter(range(1, {nf + 1}), lambda j: hi[j] > lo[j])
+                   ELSE [] END AS use FROM g{i} g JOIN lim USING (tree))""",
+                 f"""w{i} AS (SELECT *, CASE WHEN len(use) > 0 THEN use[1 + CAST(floor({u('feature')} * len(use)) AS BIGINT)] END AS ft FROM v{i})""",
+                 f"""n{i} AS MATERIALIZED (SELECT tree, node, ft, lo[ft] + {u('split')} * (hi[ft] - lo[ft]) AS thr,
+                   CASE WHEN ft IS NULL THEN {float(i)} + {cf('CAST(n AS DOUBLE)')} END AS h FROM w{i})"""]
+        if i < levels:
+            ctes.append(f"""l{i + 1} AS MATERIALIZED (SELECT l.tree, l.f, l.node * 2 + CAST(l.f[n.ft] >= n.thr AS BIGINT) AS node
+              FROM l{i} l JOIN n{i} n ON l.tree = n.tree AND l.node = n.node WHERE n.ft IS NOT NULL)""")
+    ctes += ["nodes AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM n{i}" for i in range(levels + 1)) + ")",
+             f"""p0 AS (SELECT row_number() OVER () AS i, r.*, CAST(t.tree AS INTEGER) AS tree, CAST(1 AS BIGINT) AS node
+               FROM rows_ r, range({trees}) t(tree))"""]
+    for i in range(levels):
+        ctes.append(f"""p{i + 1} AS (SELECT p.* REPLACE (CASE WHEN n.ft IS NULL THEN p.node ELSE p.node * 2 + CAST(p.f[n.ft] >= n.thr AS BIGINT) END AS node)
+          FROM p{i} p JOIN nodes n ON p.tree = n.tree AND p.node = n.node)""")
+    ctes += [f"""eh AS (SELECT "type", "ID", "timestamp", sum(n.h) / {float(trees)} AS eh FROM p{levels} p
+               JOIN nodes n ON p.tree = n.tree AND p.node = n.node GROUP BY ALL)""",
+             f"cp AS (SELECT {cf('CAST(least(' + str(psi) + ', count(*)) AS DOUBLE)')} AS c FROM rows_)",
+             """s9 AS (SELECT "type", "ID", "timestamp", round(pow(2.0, -eh / cp.c), 9) AS s FROM eh, cp)""",
+             f"cut AS (SELECT quantile_cont(s, {1 - q}) AS cut FROM s9)",
+             f"z AS ({D3})", f"dr AS ({D4})"]
+    return "WITH " + ",\n".join(ctes) + """
+SELECT r."type", r."ID", r."timestamp", r."avg", s9.s > cut.cut OR z.statistical_anomaly OR dr.domain_anomaly AS is_anomaly,
+  round(-s9.s, 6) AS anomaly_score, s9.s > cut.cut AS isolation_forest_anomaly, z.statistical_anomaly, dr.domain_anomaly
+FROM s9 CROSS JOIN cut JOIN (""" + X1 + """) r USING ("type", "ID", "timestamp") JOIN z USING ("type", "ID", "timestamp")
+JOIN dr USING ("type", "ID", "timestamp")"""
+
+
+D11 = _rewrite_round(_forest_nd_sql())
+
+
 def _unpivoted(table, item, inner):
     return (f"SELECT '{table}' AS \"table\", {item} AS item, measure, round(value, 6) AS value FROM (UNPIVOT ("
             f"SELECT {item}, CAST(COLUMNS(* EXCLUDE ({item})) AS DOUBLE) FROM ({inner})) ON COLUMNS(* EXCLUDE ({item})) "
