@@ -3,9 +3,13 @@ values"): per series, ``avg`` is regressed on its lag-1 value and four calendar
 regressors (hour_sin, hour_cos, is_weekend, is_night) by least squares.
 
 * fit: the normal equations are sums of cross products -- one partial aggregate
-  per series (map-side combined, so a hot series costs no more than a cold one);
-  the 6 x 6 system of each series is solved with NumPy in ``applyInPandas`` on a
-  table of **one row per series**;
+  per series (map-side combined, so a hot series costs no more than a cold one).
+  Values and regressors are taken to six decimals and summed as decimals, so the
+  sums are exact and do not depend on the order of rows;
+* solve: the symmetric 6 x 6 system of each series by elimination in column
+  expressions, on a table of **one row per series**.  A regressor whose pivot has
+  fallen below ``PIVOT`` of its own sum of squares adds nothing to those before it
+  (a constant night flag, say) and gets coefficient 0;
 * score: expected value, residual, residual sigma per series (aggregate) and
   ``|residual| > k * sigma``.
 Differencing and the moving-average term of the reference's simulator are not
@@ -14,8 +18,7 @@ modelled (stated deviation).
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import hour_cos, hour_sin, is_weekend
@@ -24,6 +27,7 @@ from .joins import attach_params
 from .timeseries import lag_rows
 from .windows import DEFAULT_LAYOUT, Layout
 
+PIVOT = 1e-9
 REGRESSORS = ("one", "lag1", "hour_sin", "hour_cos", "is_weekend", "is_night")
 
 
@@ -35,33 +39,47 @@ def design(df: DataFrame, s: Series = DEFAULT_SERIES, layout: Layout = DEFAULT_L
         "is_night": F.col("nighttime").cast("double") if "nighttime" in df.columns else F.lit(0.0)})
 
 
+def _exact(c: str) -> Column:
+    """A value in millionths, rounded."""
+    return F.round(F.col(c) * F.lit(1_000_000.0), 0).cast("decimal(18,0)")
+
+
+def _product_sum(a: str, b: str) -> Column:
+    return F.sum(_exact(a) * _exact(b)).cast("double") / F.lit(1e12)
+
+
+def solved(equations: DataFrame, k: int) -> DataFrame:
+    """``equations`` (one symmetric system per row: ``xx_i_j`` for i <= j, ``xy_i``) plus the solution ``x_0`` .. ``x_k-1``.
+
+    One projection per elimination step; Spark keeps them apart because each value is used several times.
+    """
+    d = equations.withColumns({f"_s_{i}": F.col(f"xx_{i}_{i}") for i in range(k)})
+    for p in range(k):
+        pivot = F.col(f"xx_{p}_{p}")
+        d = d.withColumn(f"_use_{p}", (pivot > F.lit(PIVOT) * F.col(f"_s_{p}")) & (pivot > 0))
+        d = d.withColumns({f"_f_{i}": F.when(F.col(f"_use_{p}"), F.col(f"xx_{p}_{i}") / pivot).otherwise(F.lit(0.0))
+                           for i in range(p + 1, k)})
+        d = d.withColumns({
+            **{f"xx_{i}_{j}": F.col(f"xx_{i}_{j}") - F.col(f"_f_{i}") * F.col(f"xx_{p}_{j}")
+               for i in range(p + 1, k) for j in range(i, k)},
+            **{f"xy_{i}": F.col(f"xy_{i}") - F.col(f"_f_{i}") * F.col(f"xy_{p}") for i in range(p + 1, k)}})
+    for p in range(k - 1, -1, -1):
+        rest = F.col(f"xy_{p}")
+        for j in range(p + 1, k):
+            rest = rest - F.col(f"xx_{p}_{j}") * F.col(f"x_{j}")
+        d = d.withColumn(f"x_{p}", F.when(F.col(f"_use_{p}"), rest / F.col(f"xx_{p}_{p}")).otherwise(F.lit(0.0)))
+    return d.drop(*[f"{c}_{i}" for c in ("_s", "_use", "_f") for i in range(k)])
+
+
 def fit_expected(df: DataFrame, s: Series = DEFAULT_SERIES, layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
     """Coefficients ``b_<regressor>`` per series (rows with a lag and a value)."""
-    from ..session import ship_package
-    ship_package(df.sparkSession)
     s = s.present(df)
     d = design(df, s, layout).where(F.col("lag1").isNotNull() & F.col("avg").isNotNull())
     k = len(REGRESSORS)
-    aggs = [F.sum(F.col(REGRESSORS[i]) * F.col(REGRESSORS[j])).alias(f"xx_{i}_{j}") for i in range(k) for j in range(i, k)]
-    aggs += [F.sum(F.col(REGRESSORS[i]) * F.col("avg")).alias(f"xy_{i}") for i in range(k)]
-    ne = d.groupBy(*s.key).agg(*aggs)
-    keys = list(s.key)
-    out_schema = ", ".join([f"`{c}` string" for c in keys] + [f"b_{r} double" for r in REGRESSORS])
-
-    def solve(pdfs):
-        for pdf in pdfs:                 # one row per series; a batch of systems at a time
-            a = np.zeros((len(pdf), k, k))
-            for i in range(k):
-                for j in range(i, k):
-                    a[:, i, j] = a[:, j, i] = pdf[f"xx_{i}_{j}"]
-            b = np.stack([pdf[f"xy_{i}"] for i in range(k)], axis=1) if len(pdf) else np.zeros((0, k))
-            beta = (np.linalg.pinv(a, rcond=k * np.finfo(float).eps) @ b[:, :, None])[:, :, 0]
-            out = pdf[keys].astype(object).reset_index(drop=True)
-            for i, r in enumerate(REGRESSORS):
-                out[f"b_{r}"] = beta[:, i]
-            yield out
-
-    return ne.mapInPandas(solve, out_schema)
+    aggs = [_product_sum(REGRESSORS[i], REGRESSORS[j]).alias(f"xx_{i}_{j}") for i in range(k) for j in range(i, k)]
+    aggs += [_product_sum(REGRESSORS[i], "avg").alias(f"xy_{i}") for i in range(k)]
+    d = solved(d.groupBy(*s.key).agg(*aggs), k)
+    return d.select(*s.key, *[F.col(f"x_{i}").alias(f"b_{r}") for i, r in enumerate(REGRESSORS)])
 
 
 def expected_residual(df: DataFrame, coef: DataFrame, k: float = 3.0, s: Series = DEFAULT_SERIES,

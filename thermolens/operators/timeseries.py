@@ -254,8 +254,29 @@ def time_grid(df: DataFrame, step: str = "1 hour", s: Series = DEFAULT_SERIES) -
 
 
 def missing_slots(df: DataFrame, step: str = "1 hour", s: Series = DEFAULT_SERIES) -> DataFrame:
-    """W16 use: slots with no reading: readings and grid are floored to ``step``, then a
-    NULL-safe anti join."""
+    """W16 use: slots with no reading, from the runs of missing slots; no grid, no join."""
+    return expand_outages(outages(df, step, s), step, s.present(df))
+
+
+def outages(df: DataFrame, step: str = "1 hour", s: Series = DEFAULT_SERIES, layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
+    """W16 without the grid: one row per run of missing slots of a series: its first and last slot and
+    their number, however long the outage.  Readings are floored to ``step``; ``expand_outages`` lists the slots."""
     s = s.present(df)
-    floored = df.select(*s.key, floor_time(df, s.ts, step).alias(s.ts))
-    return join_null_safe(time_grid(floored, step, s), floored, [*s.key, s.ts], "left_anti")
+    step_us = parse_span(step)
+    d = df.where(F.col(s.ts).isNotNull()).select(*s.key, floor_time(df, s.ts, step).alias(s.ts)).distinct()
+    own = Series(key=s.key, ts=s.ts)
+    d = rows_over(d, {"_prev": lambda w: F.lag(s.ts).over(w)}, 1, own, layout)
+    n = (F.timestamp_diff("MICROSECOND", F.col("_prev"), F.col(s.ts)) / F.lit(step_us)).cast("long") - 1
+    one = _interval_us(F.lit(step_us))
+    return d.withColumn("n_slots", n).where("n_slots > 0").select(
+        *s.key, (F.col("_prev") + one).alias("first_slot"), (F.col(s.ts) - one).alias("last_slot"), "n_slots")
+
+
+def expand_outages(runs: DataFrame, step: str = "1 hour", s: Series = DEFAULT_SERIES) -> DataFrame:
+    """The missing slots of ``outages``, in chunks of ``GRID_CHUNK``, so that no row holds a whole outage."""
+    step_us = parse_span(step)
+    keys = [c for c in s.key if c in runs.columns]
+    d = runs.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_slots") - 1) / GRID_CHUNK))))
+    d = d.withColumn("_j", F.explode(F.sequence(F.col("_i") * GRID_CHUNK, F.least(
+        F.col("n_slots") - 1, F.col("_i") * GRID_CHUNK + (GRID_CHUNK - 1)))))
+    return d.select(*keys, (F.col("first_slot") + _interval_us(F.col("_j") * F.lit(step_us))).alias(s.ts))

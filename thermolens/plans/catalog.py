@@ -131,6 +131,16 @@ def w16_missing_slots(spark, sf):
     return ts.missing_slots(readings(spark, sf), "1 hour").select(*KEY)
 
 
+def w16_outages(spark, sf):
+    """Runs of missing hours of every series, one row per outage."""
+    return ts.outages(readings(spark, sf), "1 hour")
+
+
+def w16_outages_per_event(spark, sf):
+    """Every user's runs of hours without an event."""
+    return ts.outages(readings_per_event(spark, sf), "1 hour")
+
+
 def f_calendar(spark, sf):
     r = readings(spark, sf)
     return rnd(r.select(*KEY, cal.hour().alias("hour"), cal.month().alias("month"),
@@ -414,6 +424,8 @@ ORACLE: dict[str, str] = {
     "w13_deviation_from_mean": sql.W13,
     "w14_sequences": sql.W14,
     "w16_missing_slots": sql.W16,
+    "w16_outages": sql.W16_OUTAGES,
+    "w16_outages_per_event": sql.W16_OUTAGES_EVENT,
     "f_calendar": sql.FCAL,
     "f8_one_hot": sql.F8,
     "f9_ratios": sql.F9,
@@ -767,7 +779,7 @@ PER_EVENT = {f"{q.__name__}_per_event": _per_event(q) for q in (
 ORACLE.update({
     "s5_save_reload": sql.S5, "s1_s3_round_trip": sql.S1_S3, "s6_t8_monitor_report": sql.T8, "p7_w1_tagged": sql.P7_W1,
     "p7_w1_tagged_all": sql.P7_W1_ALL, "n4_cross_circuit_pairs": sql.N4_PAIRS,
-    "d10_union_with_forest": sql.D10_FOREST, "d11_label_readings": sql.D11, "d16_ensemble_info": sql.D16, "v10_analysis_tables": sql.V10_TABLES,
+    "r2_expected_residual": sql.R2, "d10_union_with_forest": sql.D10_FOREST, "d11_label_readings": sql.D11, "d16_ensemble_info": sql.D16, "v10_analysis_tables": sql.V10_TABLES,
     "d13_ensemble_forest": sql.D13, "v10_detailed_analysis": sql.V10,
     "x2_feature_matrix_per_event": sql.per_event(sql.X2), "a1_describe_per_event": sql.per_event(sql.A1),
     "d3_zscore_any_per_event": sql.per_event(sql.D3), "d8_isolation_forest_per_event": sql.per_event(sql.D8),

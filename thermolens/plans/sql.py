@@ -169,6 +169,15 @@ SELECT g."type", g."ID", g."timestamp" FROM (
   FROM (SELECT "type", "ID", min("timestamp") AS lo, max("timestamp") AS hi FROM readings GROUP BY ALL)) g
 ANTI JOIN readings r ON g."type" = r."type" AND g."ID" = r."ID" AND g."timestamp" = r."timestamp"''', READINGS)
 
+W16_OUTAGES = q('''
+SELECT "type", "ID", prev + INTERVAL 1 HOUR AS first_slot, "timestamp" - INTERVAL 1 HOUR AS last_slot,
+  CAST(date_diff('hour', prev, "timestamp") - 1 AS BIGINT) AS n_slots
+FROM (SELECT *, lag("timestamp") OVER (PARTITION BY "type", "ID" ORDER BY "timestamp") AS prev
+      FROM (SELECT DISTINCT "type", "ID", date_trunc('hour', "timestamp") AS "timestamp" FROM readings))
+WHERE date_diff('hour', prev, "timestamp") > 1''', READINGS)
+W16_OUTAGES_EVENT = W16_OUTAGES.replace(READINGS.strip(), """readings AS (
+  SELECT 'domestic' AS "type", CAST(user_id AS VARCHAR) AS "ID", ts AS "timestamp" FROM events)""")
+
 FCAL = q('''
 SELECT "type", "ID", "timestamp",
   CAST(hour("timestamp") AS BIGINT) AS hour, CAST(month("timestamp") AS BIGINT) AS month,
@@ -745,6 +754,44 @@ SELECT detector, detector_type, weight::DOUBLE AS weight, true AS is_fitted, 0.5
   n_flagged::BIGINT AS n_flagged, (SELECT count(*) FROM faulted) AS n_rows FROM n"""
 
 
+def _r2_sql(k=6, pivot=1e-9):
+    regressors = ["one", "lag1", "hour_sin", "hour_cos", "is_weekend", "is_night"]
+    exact = lambda c: f"CAST(round({c} * 1000000.0) AS HUGEINT)"
+    total = lambda a, b: f"CAST(sum({exact(a)} * {exact(b)}) AS DOUBLE) / 1e12"
+    design = """SELECT "type", "ID", "timestamp", "avg", is_train, lag("avg") OVER w AS lag1, 1.0::DOUBLE AS one,
+      sin(2 * pi() * hour("timestamp") / 24) AS hour_sin, cos(2 * pi() * hour("timestamp") / 24) AS hour_cos,
+      CAST(isodow("timestamp") >= 6 AS DOUBLE) AS is_weekend, CAST(nighttime AS DOUBLE) AS is_night
+      FROM cutr {where} WINDOW w AS (PARTITION BY "type", "ID" ORDER BY "timestamp")"""
+    sums = [f"{total(regressors[i], regressors[j])} AS a_{i}_{j}" for i in range(k) for j in range(i, k)]
+    sums += [f'{total(regressors[i], chr(34) + "avg" + chr(34))} AS b_{i}' for i in range(k)]
+    ctes = ["""cutr AS (SELECT *, row_number() OVER (PARTITION BY "type", "ID" ORDER BY "timestamp") - 1
+              < floor(count(*) OVER (PARTITION BY "type", "ID") * 0.8) AS is_train FROM readings)""",
+            "des AS (" + design.format(where="") + ")", "dtr AS (" + design.format(where="WHERE is_train") + ")",
+            f"""e0 AS (SELECT *, {', '.join(f'a_{i}_{i} AS s_{i}' for i in range(k))} FROM (
+              SELECT "type", "ID", {', '.join(sums)} FROM dtr WHERE lag1 IS NOT NULL GROUP BY "type", "ID"))"""]
+    for p in range(k):
+        use = f"(a_{p}_{p} > {pivot} * s_{p} AND a_{p}_{p} > 0)"
+        f = {i: f"(CASE WHEN {use} THEN a_{p}_{i} / a_{p}_{p} ELSE 0.0 END)" for i in range(p + 1, k)}
+        new = [f"a_{i}_{j} - {f[i]} * a_{p}_{j} AS a_{i}_{j}" for i in range(p + 1, k) for j in range(i, k)]
+        new += [f"b_{i} - {f[i]} * b_{p} AS b_{i}" for i in range(p + 1, k)]
+        old = [f"a_{i}_{j}" for i in range(p + 1) for j in range(i, k)] + [f"b_{i}" for i in range(p + 1)]
+        old += [f"s_{i}" for i in range(k)] + [f"u_{i}" for i in range(p)]
+        ctes.append(f'e{p + 1} AS (SELECT "type", "ID", {", ".join(old + new)}, {use} AS u_{p} FROM e{p})')
+    last = f"e{k}"
+    for p in range(k - 1, -1, -1):
+        rest = f"b_{p}" + "".join(f" - a_{p}_{j} * x_{j}" for j in range(p + 1, k))
+        ctes.append(f"x{p} AS (SELECT *, CASE WHEN u_{p} THEN ({rest}) / a_{p}_{p} ELSE 0.0 END AS x_{p} FROM {last})")
+        last = f"x{p}"
+    expected = "0.0" + "".join(f" + x_{i} * d.{r}" for i, r in enumerate(regressors))
+    ctes += [f"""sco AS (SELECT d."type", d."ID", d."timestamp", d.is_train, d."avg", CASE WHEN lag1 IS NOT NULL THEN {expected} END AS expected
+               FROM des d JOIN x0 c ON d."type" = c."type" AND d."ID" = c."ID")""",
+             'res AS (SELECT *, "avg" - expected AS residual, stddev_samp("avg" - expected) OVER (PARTITION BY "type", "ID") AS sg FROM sco)']
+    return with_(_rewrite_round(READINGS), *ctes) + _rewrite_round("""SELECT "type", "ID", "timestamp", is_train, "avg", round(expected, 6) AS expected, round(residual, 6) AS residual,
+  coalesce(abs(residual) > 3 * sg, false) AS expected_anomaly FROM res""")
+
+
+R2 = _r2_sql()
+
 _X2_COLUMNS = (["avg", "min_v", "max_v", "nighttime", "time_diff_min", "T_diff", "hour", "day_of_week", "month", "is_weekend",
                 "type_domestic", "type_nan"]
                + [x for c in VALS for x in [f"{c}_rolling_{st}_{h}h" for h in (1, 6, 24) for st in ("mean", "std")]
