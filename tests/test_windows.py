@@ -82,3 +82,47 @@ def test_null_key_part_is_its_own_series(spark):
     a = rows_over(df, {"l": lambda w: F.lag("timestamp").over(w)}, 1, Series(), TINY)
     firsts = a.where(F.col("l").isNull()).count()
     assert firsts == 4   # one first row per series, including ID = NULL
+
+
+def test_a_crowded_chunk_is_split(spark):
+    """A third of all rows in one chunk of one series, many at one time: same positions, no part above a set size."""
+    import datetime as dt
+
+    from thermolens.operators.windows import split_chunks
+    rnd = random.Random(4)
+    rows = [(ts(1) + dt.timedelta(seconds=rnd.randrange(3600)), float(i), "domestic", "hot") for i in range(2000)]
+    rows += [(ts(1, 2), float(i), "domestic", "hot") for i in range(40)]
+    rows += [(ts(1 + i % 20) + dt.timedelta(seconds=rnd.randrange(80_000)), float(i), "domestic", str(i % 7)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "timestamp timestamp_ntz, avg double, type string, ID string").repartition(5)
+    s = Series(tiebreak=("avg",))
+    a = with_position(df, s, Layout(chunk="1 day", chunk_rows=300))
+    b = with_position(df, s, SERIES_LAYOUT)
+    cols = ["type", "ID", "timestamp", "avg", pos_col(s)]
+    assert rows_of(a, cols) == rows_of(b, cols)
+    d = df.where("ID = 'hot'").select(F.struct("type", "ID").alias("k"), F.lit(0).alias("_chunk"), F.unix_micros(
+        F.col("timestamp").cast("timestamp")).alias("us"))
+    parts = split_chunks(d, d.select("k", "_chunk").distinct(), F.col("us"), "k").groupBy("_sub").agg(
+        F.count("*").alias("n"), F.countDistinct("us").alias("times")).collect()
+    assert len(parts) > 150 and all(p["n"] <= 40 + 24 for p in parts)
+
+
+def test_frames_that_look_ahead_match(spark):
+    df = _data(spark)
+    exprs = {"next": lambda w: F.lead("avg", 2).over(w), "m": lambda w: F.avg("avg").over(w.rowsBetween(-3, 2))}
+    a = rows_over(df, exprs, 3, Series(), TINY, following=2)
+    b = rows_over(df, exprs, 3, Series(), SERIES_LAYOUT, following=2)
+    cols = ["type", "ID", "timestamp", "next", "m"]
+    assert same_rows(rows_of(a, cols), rows_of(b, cols))
+
+
+def test_periods_read_their_input_once(spark):
+    """What is left of the plan after the two writes has no scan of the input."""
+    df = _data(spark).withColumn("anomaly", F.coalesce(F.col("avg") > 70, F.lit(False)))
+    a = rows_of(tsop.anomaly_periods(df, "anomaly", Series(), TINY))
+    b = rows_of(tsop.anomaly_periods(df, "anomaly", Series(), SERIES_LAYOUT))
+    assert a == b and len(a) > 20
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
+        F.col("ts").alias("timestamp"), F.lit("domestic").alias("type"), F.col("user_id").cast("string").alias("ID"),
+        (F.col("value") > 50).alias("anomaly"))
+    plan = tsop.anomaly_periods(events)._jdf.queryExecution().executedPlan().toString()
+    assert "parquet" not in plan.lower()

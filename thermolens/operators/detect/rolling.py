@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ...schema import DEFAULT_SERIES, Series, flag
 from ..clean import filter_type
 from ..timeseries import anomaly_periods, rolling_rows
-from ..windows import DEFAULT_LAYOUT, Layout
+from ..windows import DEFAULT_LAYOUT, Layout, checkpoint
 
 
 def rolling_sigma(df: DataFrame, col: str = "avg", window: int = 24, k: float = 2.0,
@@ -30,8 +30,13 @@ def rolling_sigma(df: DataFrame, col: str = "avg", window: int = 24, k: float =
 
 def find_anomaly_domestic(df: DataFrame, system_type: str | None = "domestic", window: int = 24, k: float = 2.0,
                           s: Series = DEFAULT_SERIES, layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
-    """D2 (flagship): type filter -> rolling sigma -> anomaly periods per series."""
+    """D2 (flagship): type filter -> rolling sigma -> anomaly periods per series.
+
+    Key, time and value go to the checkpoint folder first, because positions (chunk counts) and
+    windows both read them: ``df`` is run once."""
+    s = s.present(df)
     d = filter_type(df, system_type)
+    d = checkpoint(d.select(*dict.fromkeys([*s.key, *s.order, "avg"])))
     d = rolling_sigma(d, "avg", window, k, "anomaly", s, layout)
     return anomaly_periods(d, "anomaly", s, layout).select(
         *[c for c in s.key if c in df.columns], "period_no", "start_ts", "end_ts", "n_rows",

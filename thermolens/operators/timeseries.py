@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..schema import DEFAULT_SERIES, Series
 from .joins import join_null_safe
-from .windows import (DEFAULT_LAYOUT, Layout, epoch_micros, parse_span, pos_col, range_over, rows_over,
+from .windows import (DEFAULT_LAYOUT, Layout, checkpoint, epoch_micros, parse_span, pos_col, range_over, rows_over,
                       running, series_key, sk_col, with_position)
 
 MINUTE_US = 60_000_000
@@ -153,17 +153,24 @@ def anomaly_periods(df: DataFrame, flag_col: str = "anomaly", s: Series = DEFAUL
 
     A run starts at a flagged row whose predecessor is not flagged and ends at
     its last flagged row; a run open at the end of the data is closed there.
-    Periods are numbered from 1 per series in time order.  Gaps-and-islands:
-    lag, a running count of run starts, then a partial aggregate per run.
+    Periods are numbered from 1 per series in time order.
+
+    One window stage looks one row back and one ahead; only the first and last row of each run
+    leave it, with their positions, so a run's length is a difference.  These few rows are written to the checkpoint
+    folder and numbered there; ``df`` is neither run nor read again.
     """
     s = s.present(df)
     f = F.coalesce(F.col(flag_col), F.lit(False))
-    d = df.withColumn("_f", f)
-    d = rows_over(d, {"_pf": lambda w: F.lag("_f").over(w)}, 1, s, layout)
-    d = d.withColumn("_start", (F.col("_f") & ~F.coalesce(F.col("_pf"), F.lit(False))).cast("long"))
-    d = running(d, {"period_no": ("sum", F.col("_start"))}, s, layout)
-    runs = d.where(F.col("_f")).groupBy(*s.key, "period_no").agg(
-        F.min(s.ts).alias("start_ts"), F.max(s.ts).alias("end_ts"), F.count(F.lit(1)).alias("n_rows"))
+    hidden = [c for c in (sk_col(s), pos_col(s)) if c in df.columns]
+    names = list(dict.fromkeys([*s.key, *s.order, *hidden]))
+    d = with_position(df.select(*names, f.alias("_f")), s, layout)
+    d = rows_over(d, {"_pf": lambda w: F.lag("_f").over(w), "_nf": lambda w: F.lead("_f").over(w)}, 1, s, layout, following=1)
+    first, last = (F.col("_f") & ~F.coalesce(F.col(c), F.lit(False)) for c in ("_pf", "_nf"))
+    POS = pos_col(s)
+    edges = checkpoint(d.where(first | last).select(*dict.fromkeys([*names, sk_col(s), POS]), first.cast("long").alias("_start")))
+    edges = running(edges, {"period_no": ("sum", F.col("_start"))}, s, layout)
+    runs = edges.groupBy(*s.key, "period_no").agg(
+        F.min(s.ts).alias("start_ts"), F.max(s.ts).alias("end_ts"), (F.max(POS) - F.min(POS) + 1).cast("long").alias("n_rows"))
     return render_periods(runs)
 
 

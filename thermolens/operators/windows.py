@@ -7,10 +7,10 @@ Two layouts compute the same, exact results:
 * ``blocked`` (default) -- never puts a whole series in one task:
 
   1. *position*: every row gets its exact 0-based position in its series.  Rows are
-     bucketed into time chunks; per (series, chunk) counts are a partial aggregate,
-     running offsets are a window over that small count table, and the row number
-     inside a (series, chunk) is a window whose size is bounded by the sensor's
-     sampling rate times the chunk width -- not by the length of the series.
+     bucketed into time chunks; per (series, chunk) counts are a partial aggregate (written to the
+     checkpoint folder: the input's rows are then read once more, not twice), a chunk of more than
+     ``chunk_rows`` rows is split at times of its own (``split_chunks``), running offsets are a window over that small
+     count table, and the row number inside a chunk is a window of bounded size.
   2. *row frames* (``rows_over``): positions are cut into blocks of ``block_rows``;
      the last ``preceding`` rows of each block are copied into the next block (halo),
      so a frame of up to ``preceding`` rows back is complete for every owned row.
@@ -70,6 +70,7 @@ class Layout:
 
     strategy: str = "blocked"   # "blocked" or "series"
     chunk: str = "1 day"        # time chunk for positions and time-range frames
+    chunk_rows: int = 1_000_000  # rows of a series' chunk above which it is split for positions
     block_rows: int = 65536     # rows per positional block for row frames
 
     @property
@@ -117,12 +118,34 @@ def with_position(df: DataFrame, s: Series = DEFAULT_SERIES,
         w = Window.partitionBy(SK).orderBy(*s.order)
         return d.withColumn(POS, F.row_number().over(w) - 1)
     d = d.withColumn("_chunk", F.floor(epoch_micros(d, s.ts) / F.lit(layout.chunk_us)))
-    counts = d.groupBy(SK, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(SK).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(SK, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    d = d.join(offsets, [SK, "_chunk"])
-    rn = F.row_number().over(Window.partitionBy(SK, "_chunk").orderBy(*s.order))
-    return d.withColumn(POS, F.col("_off") + rn - 1).drop("_off", "_chunk")
+    counts = checkpoint(d.groupBy(SK, "_chunk").agg(F.count(F.lit(1)).alias("_n")))
+    chunk = ["_chunk"]
+    if not (hot := counts.where(F.col("_n") > layout.chunk_rows)).isEmpty():
+        d = split_chunks(d, hot, epoch_micros(d, s.ts), SK)
+        chunk = ["_chunk", "_sub"]
+        counts = checkpoint(d.groupBy(SK, *chunk).agg(F.count(F.lit(1)).alias("_n")))
+    before = Window.partitionBy(SK).orderBy(*chunk).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(SK, *chunk, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    d = d.join(offsets, [SK, *chunk])
+    rn = F.row_number().over(Window.partitionBy(SK, *chunk).orderBy(*s.order))
+    return d.withColumn(POS, F.col("_off") + rn - 1).drop("_off", "_sub", "_chunk")
+
+
+SPLITS = 256
+
+
+def split_chunks(d: DataFrame, hot: DataFrame, us: Column, sk: str) -> DataFrame:
+    """Add ``_sub``: the part of its time chunk that a row is in.  The chunks of ``hot`` (series key, ``_chunk``) are cut at up to
+    ``SPLITS - 1`` times that a mergeable sketch of their rows' times gives, so a part holds about
+    1/``SPLITS`` of them (more only where that many rows have one time); all others are one part."""
+    keys = hot.select(F.col(sk).alias("_hk"), F.col("_chunk").alias("_hc"))
+    on = (F.col(sk) == F.col("_hk")) & (F.col("_chunk") == F.col("_hc"))
+    cuts = d.withColumn("_at", us).join(keys, on, "left_semi").groupBy(F.col(sk).alias("_hk"), F.col("_chunk").alias("_hc")).agg(
+        F.percentile_approx("_at", [i / SPLITS for i in range(1, SPLITS)], 10_000).alias("_cuts"))
+    cuts = checkpoint(cuts.withColumn("_cuts", F.array_distinct("_cuts")))
+    below = F.size(F.filter("_cuts", lambda c: c < us))
+    d = d.join(cuts, on, "left").withColumn("_sub", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(below))
+    return d.drop("_cuts", "_hk", "_hc")
 
 
 # Widths of the refinement of a position in the global time order.
@@ -176,10 +199,10 @@ WindowExprs = Mapping[str, Callable[[WindowSpec], Column]]
 
 
 def rows_over(df: DataFrame, exprs: WindowExprs, preceding: int,
-              s: Series = DEFAULT_SERIES, layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
+              s: Series = DEFAULT_SERIES, layout: Layout = DEFAULT_LAYOUT, following: int = 0) -> DataFrame:
     """Evaluate window expressions whose frames reach at most ``preceding`` rows
-    back (``lag(n<=preceding)``, ``rowsBetween(-preceding, 0)``).  Each callable
-    receives a spec already partitioned by series and ordered by time."""
+    back (``lag(n<=preceding)``, ``rowsBetween(-preceding, 0)``) and ``following`` rows
+    ahead.  Each callable receives a spec already partitioned by series and ordered by time."""
     s = s.present(df)
     if layout.strategy == "series":
         w = plain_window(s)
@@ -190,7 +213,8 @@ def rows_over(df: DataFrame, exprs: WindowExprs, preceding: int,
     own = F.floor(F.col(POS) / b)
     # a row is also needed by every later block its position + frame reaches (halo)
     reach = F.floor((F.col(POS) + preceding) / b)
-    d = d.withColumn("_blk", F.explode(F.sequence(own, reach)))
+    first = F.floor(F.greatest(F.col(POS) - following, F.lit(0)) / b) if following else own
+    d = d.withColumn("_blk", F.explode(F.sequence(first, reach)))
     w = Window.partitionBy(SK, "_blk").orderBy(POS)
     d = d.withColumns({k: f(w) for k, f in exprs.items()})
     return d.where(F.col("_blk") == own).drop("_blk")
