@@ -99,6 +99,27 @@ def test_packing_plan_uses_every_piece_once():
     assert packing.plan({1500: 3, 548: 2, 300: 1, 248: 1}) == [((1500, 548), 2), ((1500, 300, 248), 1)]
 
 
+def test_packing_never_needs_more_than_best_fit():
+    import random
+    r = random.Random(1)
+    histograms = [
+        {n: r.randrange(1, 1000) for n in range(1, 2048)}, {n: r.randrange(1, 1000) for n in r.sample(range(1, 2048), 200)},
+        {n: r.randrange(1, 1_000_000) for n in range(640, 760)}, {n: r.randrange(1, 1000) for n in r.sample(range(300, 1201), 200)},
+        dict(Counter(min(2048, max(1, int(r.lognormvariate(6, 1)))) for _ in range(20_000))),
+        {n: r.randrange(1, 1000) for n in r.sample(range(1000, 2048), 300)} | {n: 5 for n in range(1, 200, 4)}, {}, {2048: 7}, {1: 3},
+    ]
+    for counts in histograms:
+        made = packing.plan(counts)
+        used = Counter()
+        for layout, times in made:
+            assert sum(layout) <= 2048 and times > 0
+            for n in layout:
+                used[n] += times
+        assert used == Counter(counts)
+        rest = {n: c for n, c in counts.items() if n < 2048}
+        assert sum(t for _, t in made) <= sum(t for _, t in packing._best_fit(rest, 2048)) + counts.get(2048, 0)
+
+
 def test_packing_word_cache_equals_the_tokenizer():
     import random
     ids = packing.word_ids(packing.tokenizer_path())

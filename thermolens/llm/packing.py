@@ -10,7 +10,9 @@ size):
    pair and triple sums of the lengths still available; a combination that fills the gap
    exactly is consumed as often as its counts allow;
 3. what remains is placed by best fit, longest first: into the open sequences with the
-   smallest gap that holds it, as many at a time as there are.
+   smallest gap that holds it, as many at a time as there are;
+4. the plan is made with complements of up to three, two, one and no lengths, and the one with
+   the fewest sequences is kept.
 
 The plan is a list of *layouts* (the lengths in one sequence) with counts.  Pieces get
 a gapless rank within their length (counted in chunks, so a length may hold any
@@ -157,7 +159,19 @@ def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH) -> Da
 
 
 def plan(counts: dict[int, int], length: int = LENGTH) -> list[tuple[tuple[int, ...], int]]:
-    """[(layout, sequences)]: how often each layout is used; uses up ``counts`` exactly."""
+    """[(layout, sequences)]: how often each layout is used; uses up ``counts`` exactly.
+
+    Pairs and triples that fill a gap exactly spend small lengths, which are then missing for the gaps of
+    others; where small lengths are scarce that costs more sequences than it saves.  So the histogram is packed with
+    complements of up to three, two, one and no lengths, and the plan with the fewest sequences is kept
+    (the deepest of equals): never more than best fit alone needs.
+    """
+    plans = [_plan_with(counts, length, depth) for depth in (3, 2, 1, 0)]
+    return min(plans, key=lambda p: sum(times for _, times in p))
+
+
+def _plan_with(counts: dict[int, int], length: int, depth: int) -> list[tuple[tuple[int, ...], int]]:
+    """The plan that fills gaps with exact complements of up to ``depth`` lengths, then packs the rest by best fit."""
     left = {n: c for n, c in counts.items() if c > 0}
     out: list[tuple[tuple[int, ...], int]] = []
     if left.get(length):
@@ -177,24 +191,25 @@ def plan(counts: dict[int, int], length: int = LENGTH) -> list[tuple[tuple[int,
         out.append((layout, times))
         return True
 
-    for n in sorted(left, reverse=True):
-        _fill(n, length, left, use)
+    if depth:
+        for n in sorted(left, reverse=True):
+            _fill(n, length, left, use, depth)
     out += _best_fit(left, length)
     return out
 
 
-def _fill(n: int, length: int, left: dict[int, int], use) -> None:
+def _fill(n: int, length: int, left: dict[int, int], use, depth: int = 3) -> None:
     """Consume exact complements of ``n``: one length, then two, then three."""
     gap = length - n
     if n in left:
         use((n, gap))
     live = sorted(x for x in left if x < gap)
-    for b in reversed(live):
+    for b in reversed(live if depth > 1 else []):
         if n not in left:
             return
         if b in left and gap - b in left and b >= gap - b:
             use((n, b, gap - b))
-    for b in reversed(live):
+    for b in reversed(live if depth > 2 else []):
         if n not in left:
             return
         rest = gap - b
