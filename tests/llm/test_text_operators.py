@@ -242,7 +242,8 @@ def brute_fingerprint(text):
     if run:
         sections.append(md5(run))
     short = lambda xs: ".".join(x[:8] for x in xs)
-    return ":".join([md5("".join(sections)), short(sections), short(paragraphs), short([x for xs in leaves for x in xs])])
+    counted = ".".join(f"{q[:8]}x{len(x)}" for q, x in zip(paragraphs, leaves))
+    return ":".join([md5("".join(sections)), short(sections), counted, short([x for xs in leaves for x in xs])])
 
 
 def brute_likeness(a, b):
@@ -295,13 +296,71 @@ def test_merkle_edges(spark, edge, empty):
     assert one["near_next"] == 1.0
 
 
-def test_merkle_locates_an_edited_paragraph(spark):
-    a = "\n".join(f"Paragraph {i} has a sentence. And one more, of {i * 7} words." for i in range(60))
-    b = a.replace("And one more, of 210 words", "And one more, of 999 words")
-    d = spark.createDataFrame([(a, b)], "a string, b string")
-    d = merkle.with_fingerprint(merkle.with_fingerprint(d, "a", "fa"), "b", "fb")
-    x = merkle.with_likeness(d, "fa", "fb", "near").select("near", merkle.located_edits("fa", "fb").alias("e")).first()
-    assert 0.95 < x["near"] < 1
-    assert len(x["e"]["paragraphs_gone"]) == len(x["e"]["paragraphs_new"]) == 1
-    assert len(x["e"]["leaves_gone"]) == 1 and len(x["e"]["sections_gone"]) <= 2
-    assert PLAIN
+def edits_of(spark, pairs):
+    """Located edits of (text, changed text) pairs, and the trees' lists."""
+    d = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+    d = merkle.with_edits(merkle.with_fingerprint(merkle.with_fingerprint(d, "a", "fa"), "b", "fb"), "fa", "fb")
+    return [r["edits"] and {k: tuple(v) for k, v in r["edits"].asDict().items()} for r in d.orderBy("i").collect()]
+
+
+def paragraphs_of(text):
+    return text.split("\n")
+
+
+TREE = [f"Paragraph {i} has a sentence. And one more, of {i * 7} words." for i in range(60)]
+
+
+def test_merkle_locates_edits(spark):
+    a = "\n".join(TREE)
+    swapped = TREE[:20] + [TREE[21], TREE[20]] + TREE[22:]
+    twice = TREE[:31] + [TREE[30]] + TREE[31:]
+    cases = [
+        (a, a), (a, a.replace("And one more, of 210 words", "And one more, of 999 words")), (a, "\n".join(swapped)),
+        ("\n".join(twice), a), (a, "\n".join(twice)), (a, a + "\nNew end."), (a, "New start.\n" + a), (a, ""), ("", a), ("", ""),
+        ("x. y. z.", "x. q. z."),
+    ]
+    got = edits_of(spark, cases)
+    assert got[0] is None and got[9] is None
+    assert got[1]["paragraphs"] == (30, 31, 30, 31)
+    before = sum(len(brute_leaves(p)) for p in TREE[:30])
+    assert got[1]["leaves"] == (before + 2, before + 3, before + 2, before + 3)
+    assert got[2]["paragraphs"] == (20, 22, 20, 22)
+    # a copy that is gone, or has come: a range that is empty on one side, at either copy's place
+    assert got[3]["paragraphs"] in ((30, 31, 30, 30), (31, 32, 31, 31)) and got[4]["paragraphs"] in ((30, 30, 30, 31), (31, 31, 31, 32))
+    assert got[5]["paragraphs"] == (60, 60, 60, 61) and got[6]["paragraphs"] == (0, 0, 0, 1)
+    assert got[7]["paragraphs"] == (0, 60, 0, 1) and got[8]["paragraphs"] == (0, 1, 0, 60)
+    assert got[10]["leaves"] == (1, 2, 1, 2) and got[10]["paragraphs"] == (0, 1, 0, 1)
+
+
+def test_merkle_edits_explain_the_change(spark):
+    """Outside the located ranges both texts are the same; the ranges are as short as they can be."""
+    import random
+    rnd = random.Random(8)
+    pairs = []
+    for _ in range(120):
+        a = [rnd.choice(TREE[:12]) for _ in range(rnd.randrange(0, 30))]
+        b = list(a)
+        for _ in range(rnd.randrange(0, 4)):
+            at = rnd.randrange(len(b) + 1)
+            b[at:at + rnd.randrange(3)] = [rnd.choice(TREE[:14]) for _ in range(rnd.randrange(3))]
+        pairs.append(("\n".join(a), "\n".join(b)))
+    for (a, b), e in zip(pairs, edits_of(spark, pairs)):
+        if a == b:
+            assert e is None
+            continue
+        pa, pb = paragraphs_of(a), paragraphs_of(b)
+        a0, a1, b0, b1 = e["paragraphs"]
+        assert pa[:a0] == pb[:b0] and pa[a1:] == pb[b1:]
+        assert not (a0 < a1 and b0 < b1 and pa[a0] == pb[b0]) and not (a0 < a1 and b0 < b1 and pa[a1 - 1] == pb[b1 - 1])
+        la, lb = ([x for p in q for x in brute_leaves(p)] for q in (pa, pb))
+        a0, a1, b0, b1 = e["leaves"]
+        assert la[:a0] == lb[:b0] and la[a1:] == lb[b1:]
+
+
+def test_merkle_ids_of_the_whole_range(spark):
+    ids = [-2 ** 63, -5, 0, 7, 2 ** 63 - 1, None]
+    d = spark.createDataFrame([(i, f"text of {i}.") for i in ids], "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["next_text"] for r in merkle.with_next(d, ["text"]).collect()}
+    order = [2 ** 63 - 1, 7, 0, -5, -2 ** 63, None]
+    assert got == {i: f"text of {j}." for i, j in zip(order, order[1:] + order[:1])}
+    assert merkle.fingerprinted(d).count() == len(ids)

@@ -8,10 +8,16 @@ MD5 of its children's; equal roots mean equal texts, and a branch whose digests
 need not be looked into.
 
 A fingerprint is ``root:sections:paragraphs:leaves``, where the lists hold the first 8
-digits of each digest, joined by dots.
+digits of each digest, joined by dots, and a paragraph's also its number of leaves after an x.  Which
+paragraphs form a section shows from their digests, so a fingerprint is the whole tree.
 
-Defined cases: null text = empty text (one empty paragraph without leaves); documents
-are ordered by descending id, null ids last, equal ids by the hash of the text; a single
+Edits (``with_edits``) are located by walking two trees from the root: where roots differ, sections that agree at
+either end are left out, and only the paragraphs of those between are looked at; of these again what agrees at
+either end is left out, and only the leaves of the rest are looked at.  What is left is a range of positions in each text, on every
+level.
+
+Defined cases: null text = empty text (one empty paragraph without leaves); ids are whole numbers, of the whole range of
+their type; documents are ordered by descending id, null ids last, equal ids by the hash of the text; a single
 document is its own next one; repeated rows are rows of their own; an empty table gives
 an empty result; other columns, whatever their names, are not touched.
 
@@ -28,7 +34,6 @@ from .common import text_of
 LEAF_CHARS = 48
 LEAF = rf"[^.!?;:|,]{{0,{LEAF_CHARS}}}+[.!?;:|,]+\s*|[^.!?;:|,]{{1,{LEAF_CHARS}}}"
 ROWS_PER_CHUNK = 5_000
-MAX_CHUNKS = 4096
 
 
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
@@ -46,7 +51,8 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     def listed(c: Column) -> Column:
         return F.array_join(F.transform(c, lambda x: F.substring(x, 1, 8)), ".")
 
-    fp = F.concat_ws(":", F.md5(F.array_join("_s", "")), listed(F.col("_s")), listed(F.col("_q")),
+    paragraphs = F.zip_with("_q", "_l", lambda q, x: F.concat(F.substring(q, 1, 8), F.lit("x"), F.size(x).cast("string")))
+    fp = F.concat_ws(":", F.md5(F.array_join("_s", "")), listed(F.col("_s")), F.array_join(paragraphs, "."),
                      listed(F.flatten("_l")))
     return d.select(*own, fp.alias(name))
 
@@ -66,17 +72,70 @@ def with_likeness(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
     return d.select(*own, F.when(same, F.lit(1.0)).otherwise(part).alias(name))
 
 
-def located_edits(a: str, b: str) -> Column:
-    """What ``b`` changed against ``a``: for sections, paragraphs and leaves, the digests only in a and only in b.
+def _equal_start(a: str, b: str) -> Column:
+    """How many elements two arrays have in common from their start."""
+    same = F.zip_with(a, b, lambda x, y: x.eqNullSafe(y))
+    at = F.array_position(same, False)
+    return F.when(at > 0, at - 1).otherwise(F.size(same)).cast("int")
 
-    Nothing below an agreeing root is looked at: all lists are empty then.
-    """
-    def only(i: int, x: str, y: str) -> Column:
-        return F.array_except(_level(F.col(x), i), _level(F.col(y), i))
 
-    names = ("sections", "paragraphs", "leaves")
-    return F.struct(*[only(i + 1, x, y).alias(f"{n}_{side}") for i, n in enumerate(names)
-                      for side, x, y in (("gone", a, b), ("new", b, a))])
+def _agreeing(d: DataFrame, a: str, b: str, name: str) -> DataFrame:
+    """Add ``<name>_p`` and ``<name>_q``: how many elements of arrays ``a`` and ``b`` agree at the start, and at the end
+    without those."""
+    d = d.withColumns({f"{name}_p": _equal_start(a, b), "_ra": F.reverse(a), "_rb": F.reverse(b)})
+    most = F.least(F.size(a), F.size(b)) - F.col(f"{name}_p")
+    return d.withColumn(f"{name}_q", F.least(_equal_start("_ra", "_rb"), most)).drop("_ra", "_rb")
+
+
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0), lambda s, x: s + x)
+
+
+def with_edits(df: DataFrame, a: str, b: str, name: str = "edits") -> DataFrame:
+    """Add ``name``: where the text of fingerprint ``b`` differs from that of ``a``, null if nowhere.
+
+    A struct of ``sections``, ``paragraphs`` and ``leaves``, each with ``a_from, a_to, b_from, b_to``: the positions (from 0, ends
+    exclusive) between which the two differ; an empty range on one side is an insertion or deletion there.
+    """
+    own = [F.col(f"`{c}`") for c in df.columns if c != name]
+    d = df
+    for x, fp in (("a", a), ("b", b)):
+        d = d.withColumns({f"_s{x}": _level(F.col(fp), 1), f"_e{x}": _level(F.col(fp), 2), f"_l{x}": _level(F.col(fp), 3)})
+        d = d.withColumns({
+            f"_q{x}": F.transform(f"_e{x}", lambda p: F.substring(p, 1, 8)),
+            f"_n{x}": F.transform(f"_e{x}", lambda p: F.substring_index(p, "x", -1).cast("int"))})
+        # paragraphs per section, cut by the digests as the sections were
+        marked = F.array_join(F.transform(f"_q{x}", lambda q: F.concat(q, F.when(q < F.lit("2"), F.lit("|")).otherwise(F.lit(",")))), "")
+        d = d.withColumn(f"_z{x}", F.transform(F.array_remove(F.split(marked, r"\|"), ""), lambda p: F.ceil(F.length(p) / 9).cast("int")))
+    d = _agreeing(d, "_sa", "_sb", "_1")
+    # paragraphs of the differing sections
+    for x in "ab":
+        n = F.size(f"_q{x}")
+        first = _total(F.slice(f"_z{x}", F.lit(1), F.col("_1_p")))
+        last = _total(F.slice(F.reverse(f"_z{x}"), F.lit(1), F.col("_1_q")))
+        d = d.withColumns({f"_f{x}": first, f"_g{x}": n - last})
+        d = d.withColumn(f"_m{x}", F.slice(f"_q{x}", F.col(f"_f{x}") + 1, F.greatest(F.col(f"_g{x}") - F.col(f"_f{x}"), F.lit(0))))
+    d = _agreeing(d, "_ma", "_mb", "_2")
+    # leaves of the differing paragraphs
+    for x in "ab":
+        d = d.withColumns({f"_f{x}": F.col(f"_f{x}") + F.col("_2_p"), f"_g{x}": F.col(f"_g{x}") - F.col("_2_q")})
+        d = d.withColumns({
+            f"_h{x}": _total(F.slice(f"_n{x}", F.lit(1), F.col(f"_f{x}"))),
+            f"_w{x}": _total(F.slice(f"_n{x}", F.col(f"_f{x}") + 1, F.greatest(F.col(f"_g{x}") - F.col(f"_f{x}"), F.lit(0))))})
+        d = d.withColumn(f"_k{x}", F.slice(f"_l{x}", F.col(f"_h{x}") + 1, F.col(f"_w{x}")))
+    d = _agreeing(d, "_ka", "_kb", "_3")
+
+    def place(first: dict[str, Column], last: dict[str, Column]) -> Column:
+        return F.struct(*[c[x].cast("int").alias(f"{x}_{end}") for x in "ab" for end, c in (("from", first), ("to", last))])
+
+    col = lambda c: {x: F.col(f"{c}{x}") for x in "ab"}
+    levels = F.struct(
+        place({x: F.col("_1_p") for x in "ab"}, {x: F.size(f"_s{x}") - F.col("_1_q") for x in "ab"}).alias("sections"),
+        place(col("_f"), col("_g")).alias("paragraphs"),
+        place({x: F.col(f"_h{x}") + F.col("_3_p") for x in "ab"},
+              {x: F.col(f"_h{x}") + F.col(f"_w{x}") - F.col("_3_q") for x in "ab"}).alias("leaves"))
+    same = F.substring_index(F.col(a), ":", 1) == F.substring_index(F.col(b), ":", 1)
+    return d.select(*own, F.when(~same, levels).alias(name))
 
 
 def with_next(df: DataFrame, columns: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -89,9 +148,10 @@ def with_next(df: DataFrame, columns: list[str], doc_id: str = "doc_id", text: s
     n = df.count()
     if n == 0:
         return df.withColumns({f"next_{c}": F.col(c) for c in columns})
-    k = min(MAX_CHUNKS, max(1, n // ROWS_PER_CHUNK))
+    k = max(1, n // ROWS_PER_CHUNK)  # as many as the rows need: 8 bytes each in the broadcast bounds
     probs = [i / k for i in range(1, k)] or [0.5]
-    bounds = df.agg(F.percentile_approx(F.col(doc_id), probs, 20 * k + 100).alias("_b"))
+    shares = F.split(F.lit(",".join(map(repr, probs))), ",").cast("array<double>")
+    bounds = df.agg(F.percentile_approx(F.col(doc_id), shares, F.lit(20 * k + 100)).alias("_b"))
     d = df.withColumn("_h", F.xxhash64(text_of(text))).crossJoin(F.broadcast(bounds))
     # binary search: how many bounds are at most the id
     step = 1 << len(probs).bit_length() >> 1
@@ -103,9 +163,9 @@ def with_next(df: DataFrame, columns: list[str], doc_id: str = "doc_id", text: s
     d = d.withColumn("_c", F.when(F.col(doc_id).isNull(), F.lit(-1)).otherwise(F.col("_c"))).drop("_b")
     order = [F.col(doc_id).desc_nulls_last(), F.col("_h")]
     # the first row of every chunk, one row per chunk
-    first = d.groupBy("_c").agg(F.min(F.struct((-F.col(doc_id)).alias("i"), "_h")).alias("f"))
+    first = d.groupBy("_c").agg(F.max(F.struct(F.col(doc_id).alias("i"), F.bitwise_not("_h").alias("h"))).alias("f"))
     asc = Window.orderBy("_c")
-    first = first.select(F.col("_c").alias("_fc"), (-F.col("f.i")).alias("_fi"), F.col("f._h").alias("_fh"),
+    first = first.select(F.col("_c").alias("_fc"), F.col("f.i").alias("_fi"), F.bitwise_not("f.h").alias("_fh"),
                          F.coalesce(F.lead("_c").over(asc), F.min("_c").over(Window.partitionBy())).alias("_to"))
     heads = d.join(F.broadcast(first), (F.col("_c") == F.col("_fc")) & F.col(doc_id).eqNullSafe(F.col("_fi"))
                    & (F.col("_h") == F.col("_fh")))

@@ -85,9 +85,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle fingerprint of every document and of its edited text, and their likeness."""
-    d = merkle.fingerprinted(table(spark, sf_dir, "documents"))
+    d = merkle.with_edits(merkle.fingerprinted(table(spark, sf_dir, "documents")), "fingerprint", "edited_fingerprint")
     return d.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-                    "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+                    "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+                    F.col("edits.paragraphs.a_from").alias("edit_paragraph"), F.col("edits.leaves.a_from").alias("edit_leaf"))
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
