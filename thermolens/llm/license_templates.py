@@ -47,7 +47,7 @@ NOTICES = [
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
     ("MIT", "Released under the MIT License."),
-    ("MIT", "The MIT License (MIT)"),
+    ("MIT", "The MIT License"),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
             "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
             "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "

@@ -10,7 +10,7 @@ licences.
 
 Header units.  Comment marks are taken off the lines.  A unit is a line, a sentence of a paragraph (lines up to
 a blank one, joined), or a whole paragraph, so a header may span lines, and a notice may stand beside
-other sentences.  A unit is compared only if it has one of a template's heaviest tokens, without which the rest of the
+other sentences.  A unit is compared only if it has one of a template's rarest tokens, without which the rest of the
 template is too light (prefix filtering of the cosine join), and if it could reach the threshold were its tokens outside the
 templates as light as a token can be.  The rest are compared with every template, exactly.  The best unit is a file's header.
 
@@ -20,7 +20,7 @@ file.  Licence files speak for their directory; a file without a license of its
 that has one, found by joining each directory's ancestor paths with the licensed directories.
 
 Defined cases: null text = empty text; a null path is a file without a name in the root directory; ties between templates go to the
-first by name of licence, between units to the one that comes first by its text; null or repeated ids are rows like others; an
+first by name of licence, between units to the first (lines, then sentences, then paragraphs); null or repeated ids are rows like others; an
 empty table gives an empty result; very long lines take time in proportion to their length (and its logarithm); other
 columns, whatever their names, are not touched.
 
@@ -75,6 +75,14 @@ def tokens_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
 
 
+def listed(spark, rows: list[tuple], schema: str) -> DataFrame:
+    """A short list of rows, whose strings have letters and digits only, as a table without Python workers."""
+    text = ";".join(",".join(map(str, r)) for r in rows)
+    parts = spark.range(1).select(F.explode(F.split(F.lit(text), ";")).alias("r")).select(F.split("r", ",").alias("r"))
+    fields = [f.strip().split(" ") for f in schema.split(",")]
+    return parts.select(*[F.get("r", F.lit(i)).cast(t).alias(c) for i, (c, t) in enumerate(fields)])
+
+
 def document_counts(files: DataFrame) -> DataFrame:
     """(t, n): in how many files each token stands; tokens of a single file are left out.  A task adds up its own
     files' counts before anything is shuffled."""
@@ -90,7 +98,7 @@ class Weights:
         self.counts = document_counts(files)
         tokens = [template_tokens(t.text) for t in templates]
         self.vocabulary = sorted({t for c in tokens for t in c})
-        own = files.sparkSession.createDataFrame([(t,) for t in self.vocabulary], "t string")
+        own = listed(files.sparkSession, [(t,) for t in self.vocabulary], "t string")
         df = {r["t"]: r["n"] for r in self.counts.join(F.broadcast(own), "t").collect()}
         self.idf = {t: math.log((1 + self.n) / (1 + df.get(t, 1))) + 1 for t in self.vocabulary}
         self.vectors, anchors = [], set()
@@ -99,33 +107,40 @@ class Weights:
             norm = math.sqrt(sum(x * x for x in w.values()))
             self.vectors.append({t: x / norm for t, x in w.items()})
             left = 1.0
-            for t, x in sorted(self.vectors[-1].items(), key=lambda p: (-p[1], p[0])):
+            # from the rarest token on: what is left in the end are words that most files have
+            for t, x in sorted(self.vectors[-1].items(), key=lambda p: (-self.idf[p[0]], p[0])):
                 if left < threshold * threshold:
                     break
                 anchors.add(t)
                 left -= x * x
         self.anchors = F.array(*[F.lit(t) for t in sorted(anchors)])
         self.words = F.array(*[F.lit(t) for t in self.vocabulary])
-        self.weights = F.map_from_arrays(self.words, F.array(*[F.lit(self.idf[t]) for t in self.vocabulary]))
+        most = {t: max(v.get(t, 0.0) for v in self.vectors) for t in self.vocabulary}
+        # weight of a token, and its part of a dot product at most
+        self.weights = F.map_from_arrays(self.words, F.array(*[F.struct(
+            F.lit(self.idf[t]).alias("w"), F.lit(self.idf[t] * most[t]).alias("d")) for t in self.vocabulary]))
 
     def may_match(self, toks: Column, threshold: float) -> Column:
-        """Whether a list of tokens can reach the threshold: the tokens that no template has must not, at ``LEAST``
-        each, make it too long a vector beside the squared length of the others (a fold over the sorted list)."""
+        """Whether a list of tokens can reach the threshold, going by a bound of its cosine with any template: each
+        token's part of the dot product at most, and the list's length if the tokens that no template has weigh
+        ``LEAST`` (a fold over the sorted list)."""
         known = F.array_sort(F.filter(toks, lambda x: F.array_contains(self.words, x)))
-        start = F.struct(F.lit("").alias("t"), F.lit(0.0).alias("run"), F.lit(0.0).alias("sum"))
+        start = F.struct(F.lit("").alias("t"), F.lit(0.0).alias("run"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("dot"))
 
         def step(s, x):
-            w = F.element_at(self.weights, x)
+            own = F.element_at(self.weights, x)
+            w = own["w"]
             run = F.when(s["t"] == x, s["run"]).otherwise(F.lit(0.0))
-            return F.struct(x.alias("t"), (run + w).alias("run"), (s["sum"] + (2 * run + w) * w).alias("sum"))
+            return F.struct(x.alias("t"), (run + w).alias("run"), (s["sum"] + (2 * run + w) * w).alias("sum"),
+                            (s["dot"] + own["d"]).alias("dot"))
 
-        squared = F.aggregate(known, start, step, lambda s: s["sum"])
-        return (F.size(toks) - F.size(known)) * F.lit((LEAST * threshold) ** 2) <= squared * F.lit(1 - threshold ** 2) + 1e-6
+        rest = (F.size(toks) - F.size(known)) * F.lit(LEAST ** 2)
+        return F.aggregate(known, start, step, lambda s: s["dot"] * s["dot"] * F.lit(1 + 1e-9) >=
+                           (s["sum"] + rest) * F.lit(threshold ** 2))
 
     def postings(self, spark) -> DataFrame:
         """(t, k, w): the token's share of template k."""
-        return spark.createDataFrame([(t, k, w) for k, v in enumerate(self.vectors) for t, w in v.items()],
-                                     "t string, k int, w double")
+        return listed(spark, [(t, k, w) for k, v in enumerate(self.vectors) for t, w in v.items()], "t string, k int, w double")
 
 
 def units_of(text: Column) -> Column:
@@ -138,7 +153,7 @@ def units_of(text: Column) -> Column:
 
 
 def scored(parts: DataFrame, w: Weights) -> DataFrame:
-    """(_row, unit, k, cosine) of (_row, unit, toks) rows and all templates they share a token with."""
+    """(_row, unit, k, cosine) of (_row, unit number, toks) rows and all templates they share a token with."""
     words = parts.select("_row", "unit", F.explode("toks").alias("t")).groupBy("_row", "unit", "t").agg(
         F.count(F.lit(1)).alias("m"))
     idf = F.log(F.lit(1.0 + w.n) / (F.coalesce("n", F.lit(1)) + 1)) + 1
@@ -159,28 +174,28 @@ def scanned(files: DataFrame, templates: list[Template] | None = None, threshold
     d = files.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_own"), F.regexp_like(name, F.lit(LICENCE_NAME)).alias("_named"),
                      text_of().alias("_text"), tokens_of(text_of()).alias("_toks"))
     some = F.arrays_overlap("_toks", w.anchors)
-    # only files that hold an anchor are cut into units; unit '' is the whole file
+    # only files that hold an anchor are cut into units; the first, without a text, is the whole file
     units = F.transform(units_of(F.col("_text")), lambda u: F.struct(u.alias("unit"), tokens_of(u).alias("toks")))
     units = F.filter(units, lambda u: F.arrays_overlap(u["toks"], w.anchors))
     units = F.filter(units, lambda u: w.may_match(u["toks"], threshold))
-    whole = F.when(w.may_match(F.col("_toks"), threshold), F.array(F.struct(F.lit("").alias("unit"), F.col("_toks").alias("toks"))))
+    whole = F.array(F.struct(F.lit("").alias("unit"), F.when(w.may_match(F.col("_toks"), threshold), F.col("_toks")).alias("toks")))
     d = d.select("_own", "_named", F.monotonically_increasing_id().alias("_row"),
-                 F.when(some, F.concat(units, F.coalesce(whole, F.array().cast("array<struct<unit:string,toks:array<string>>>"))))
-                 .alias("_parts"))
+                 F.when(some, F.concat(whole, units)).alias("_parts"))
     d = checkpointed(d)
-    near = scored(d.where("size(_parts) > 0").select("_row", F.inline("_parts")), w).where(F.col("cosine") >= threshold)
+    parts = d.where("_parts is not null").select("_row", F.posexplode("_parts").alias("unit", "p"))
+    near = scored(parts.select("_row", "unit", "p.toks"), w).where(F.col("cosine") >= threshold)
     names = F.array(*[F.lit(t.license) for t in templates])
     full = F.array(*[F.lit(t.whole) for t in templates])
     near = near.select("_row", "unit", "cosine", (-F.col("k")).alias("order"), F.get(names, F.col("k")).alias("license"),
                        F.get(full, F.col("k")).alias("full"))
     best = near.groupBy("_row").agg(
-        F.min(F.when((F.col("unit") != "") & ~F.col("full"), F.struct((-F.col("cosine")).alias("c"), (-F.col("order")).alias("o"),
+        F.min(F.when((F.col("unit") > 0) & ~F.col("full"), F.struct((-F.col("cosine")).alias("c"), (-F.col("order")).alias("o"),
                                                                       "unit", "license"))).alias("h"),
-        F.max(F.when((F.col("unit") == "") & F.col("full") & (F.col("cosine") >= WHOLE_THRESHOLD), F.struct("cosine", "order", "license"))).alias("t"),
+        F.max(F.when((F.col("unit") == 0) & F.col("full") & (F.col("cosine") >= WHOLE_THRESHOLD), F.struct("cosine", "order", "license"))).alias("t"),
         F.max(F.struct("cosine", "order", "license")).alias("any"))
     out = d.join(best, "_row", "left")
     header = F.when(F.col("h").isNotNull(), F.struct(
-        (-F.col("h.c")).alias("cosine"), F.col("h.license").alias("license"), F.col("h.unit").alias("text")))
+        (-F.col("h.c")).alias("cosine"), F.col("h.license").alias("license"), F.get("_parts", F.col("h.unit"))["unit"].alias("text")))
     file = F.coalesce("t", F.when(F.col("_named"), F.col("any")))
     file = F.when(file.isNotNull(), F.struct(file["cosine"].alias("cosine"), file["license"].alias("license")))
     return out.select(*[F.col(f"_own.`{c}`").alias(c) for c in own], header.alias("header"), file.alias("file"))
