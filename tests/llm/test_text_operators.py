@@ -173,6 +173,68 @@ def test_pii_finds_unseen_identifiers_by_context(spark):
     assert all(got[i][1].startswith("secret:") for i in range(20))
 
 
+def test_pii_spaced_entities_are_seeds(spark):
+    """Phones and cards in groups teach their contexts; unseen shapes are found there and nowhere else."""
+    rows = []
+    for i in range(12):
+        rows.append((i, f"Please ring us +1 (017) 555-77{i:02d} today or later."))
+        card = f"4111 1111 1111 {1000 + 10 * i}"
+        digits = card.replace(" ", "")
+        check = next(c for c in range(10) if pii._luhn(digits[:-1] + str(c)))
+        rows.append((100 + i, f"They paid by card {card[:-1]}{check} and left."))
+        rows.append((200 + i, f"You can write to someone{i}@host{i}.example.org about it."))
+        rows.append((300 + i, f"A list of numbers {i} 2024-01-{i + 10} and 33 44 55 66 {i} more."))
+    rows += [(900, "Please ring us (017) 555-9911 today."), (901, "They paid by card 4111-1111-1111-1112 yesterday."),
+             (902, "You can write to some.one1(at)host.example.org there."), (903, "Numbers of 017 555 9911 are not announced."),
+             (904, "Please ring us 12 today."), (905, "Please ring us 2024-01-15T10:11:12Z today.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    patterns = pii.learn_patterns(docs)
+    kinds = {r["context"]: r["kind"] for r in patterns.collect()}
+    assert kinds == {"ring us": "phone", "by card": "card", "write to": "email"}
+    got = {r["doc_id"]: (r["text"], r["spans"]) for r in pii.with_spans(docs, patterns).collect()}
+    for i, kind, want in ((900, "phone", "(017) 555-9911"), (901, "card", "4111-1111-1111-1112")):
+        text, spans = got[i]
+        k, s, e = spans.split(":")
+        assert (k, text[int(s):int(e)]) == (kind, want)
+    assert got[903][1] == got[904][1] == got[905][1] == ""
+    for i in range(12):
+        assert [got[k + i][1].split(":")[0] for k in (0, 100, 200)] == ["phone", "card", "email"] and got[300 + i][1] == ""
+
+
+def test_pii_added_spans_match_brute_force():
+    """Every instance, one by one, against quadratic overlap checks and contexts from whole splits."""
+    import random
+    rnd = random.Random(6)
+    parts = ["ring us", "token is", "+1 (017) 555-7713", "017 555 77 13", "4111 1111 1111 1111", "a1b2c3d4", "x@y.org", "10.0.0.1", "no",
+             '"', " ", "\n", "w" * 700, "12", "+", "("]
+    kinds = {"ring us": "phone", "token is": "secret", "us ring": "card"}
+    for _ in range(400):
+        text = "".join(rnd.choice(parts) + rnd.choice(["", " ", "  "]) for _ in range(rnd.randrange(1, 14)))
+        base = pii.base_spans(text)
+        every = sorted({(s, e) for s, e, _ in base})
+        for more in (pii._groups(text), pii._tokens(text)):
+            every = sorted(every + [x for x in more if not any(a < x[1] and x[0] < b for a, b in every)])
+        want = set(base)
+        for s, e in every:
+            left = text[:s]
+            words = (left[:-1] if left[-1:] in "\"'`" and left else left).split()[-2:]
+            c = " ".join(map(pii._plain, words))
+            if len(words) == 2 and c in kinds and pii.SHAPES[kinds[c]].fullmatch(text, s, e) and \
+                    not any(a < e and s < b for a, b, _ in base):
+                want.add((s, e, kinds[c]))
+        got_base, got = pii._text_spans(text, kinds, None)
+        assert got_base == ",".join(f"{k}:{s}:{e}" for s, e, k in base)
+        assert {(int(s), int(e), k) for k, s, e in (x.split(":") for x in got.split(",") if x)} == want, repr(text)
+
+
+def test_pii_many_contacts_stay_linear():
+    import time
+    text = " ".join(f"call us +1 (017) 555-{i % 10000:04d} or me{i}@host.org" for i in range(20_000))
+    start = time.time()
+    pii._text_spans(text, {"call us": "phone"}, None)
+    assert time.time() - start < 20
+
+
 def test_pii_edges_and_masking(edge, empty):
     patterns = pii.learn_patterns(edge)
     d = pii.with_spans(edge, patterns)

@@ -3,9 +3,10 @@
 Base kinds (email, ip, card, phone) are found leftmost and non-overlapping per kind.
 The method adds spans of identifiers that no stated pattern describes:
 
-1. Every identifier-like token (a run of identifier characters with a digit, at least
-   ``MIN_LENGTH`` long) is an *instance*; the two words before it, and an opening quote, are its
-   *lexical pattern*.  Instances that are base entities, or long hexadecimal keys, are
+1. Every base span, whatever its characters, is an *instance*; so is every group of numbers with
+   separators (``MIN_DIGITS`` digits or more) and every identifier-like token (a run of identifier characters with a digit, at
+   least ``MIN_LENGTH`` long) that overlaps none before it in this list.  The two words before an instance, apart from an opening
+   quote, are its *lexical pattern*.  Instances that are base entities, or long hexadecimal keys, are
    *seeds* of their kind.
 2. Spark scores the pattern-instance graph: a pattern's confidence in a kind is the mean score of its
    distinct instances (plus a prior), an instance's score is the best confidence of
@@ -14,7 +15,8 @@ The method adds spans of identifiers that no stated pattern describes:
    at least ``MIN_CONFIDENCE``, and if at least ``MIN_CUE`` of all occurrences of its two words
    in the corpus are followed by an instance: the words announce an identifier.
 4. Accepted patterns are applied to every text; the instances they announce become
-   spans of the pattern's kind unless they overlap a base span.
+   spans of the pattern's kind if they have that kind's shape (``SHAPES``), which is wider than its stated
+   pattern, and do not overlap a base span.
 
 Counts cover all documents.  Patterns reach the workers in blocks of at most
 ``PATTERN_BLOCK`` (a fixed size), however many there are.
@@ -40,6 +42,7 @@ from .common import checkpointed, texts_of, with_workers
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 MIN_LENGTH = 6
+MIN_DIGITS = 7
 MIN_SUPPORT = 5
 MIN_CONFIDENCE = 0.8
 MIN_CUE = 0.5
@@ -56,6 +59,17 @@ _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]")
 _HEX_KEY = re.compile(r"(?=[a-f0-9]*[a-f])[a-f0-9]{32,64}")
+# Numbers with separators between them.
+_GROUP = re.compile(r"[+(]?[0-9](?:[\x20().-]{0,3}[0-9])+")
+_GAP = re.compile(r"[\x20().-]")
+# What an announced instance of a kind may look like.
+SHAPES = {
+    "email": re.compile(r"\S*(?:@|[(\[]at[)\]])\S*"),
+    "ip": re.compile(r"[0-9A-Fa-f]*[.:][0-9A-Fa-f.:]*"),
+    "card": re.compile(r"[0-9](?:[\x20.-]?[0-9]){11,18}"),
+    "phone": re.compile(r"[+(]?[0-9](?:[\x20().-]{0,3}[0-9]){6,14}"),
+    "secret": re.compile(r"\S+"),
+}
 _LEFT = re.compile(r"[A-Za-z0-9_./+@-]*\Z")
 _TOKEN = re.compile(r"[A-Za-z0-9_./+@-]*")
 _NOISE = re.compile(r"[#$%&*!|]{2,}$")
@@ -105,8 +119,20 @@ def _plain(word: str) -> str:
     return _NOISE.sub("", word).lower()
 
 
-def instances(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, context) of the identifier-like tokens that two words precede."""
+def _context(text: str, at: int) -> str | None:
+    """The two words before a place, whole ones; a quote that opens there is not part of them."""
+    if text[at - 1:at] in _QUOTES and at:
+        at -= 1
+    size = _SPAN
+    while True:
+        words = text[max(0, at - size):at].split()
+        if len(words) > 2 or size >= at:  # the first word of three may be cut
+            return f"{_plain(words[-2])} {_plain(words[-1])}" if len(words) > 1 else None
+        size *= 4
+
+
+def _tokens(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the identifier-like tokens."""
     out, at = [], 0
     while m := _DIGITS.search(text, at):
         start, at = m.start(), m.end()
@@ -121,31 +147,53 @@ def instances(text: str) -> list[tuple[int, int, str]]:
         at = max(at, end)
         while end > lo and text[end - 1] in "./-":
             end -= 1
-        if end - lo < MIN_LENGTH:
-            continue
-        left = text[max(0, lo - _SPAN):lo]
-        quote = left[-1:] if left[-1:] in _QUOTES else ""
-        words = left[:len(left) - len(quote)].split()[-2:]
-        if len(words) == 2:
-            out.append((lo, end, f"{_plain(words[0])} {_plain(words[1])}"))
+        if end - lo >= MIN_LENGTH:
+            out.append((lo, end))
     return out
 
 
+def _groups(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the groups of numbers with separators that are not part of a longer word."""
+    return [m.span() for m in _GROUP.finditer(text) if _GAP.search(m[0]) and len(_DIGITS.findall(m[0])) >= MIN_DIGITS
+            and not text[m.end():m.end() + 1].isalnum()]
+
+
+def _apart(spans: list[tuple[int, int]], taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans that overlap none of ``taken`` (both sorted by start; one sweep)."""
+    out, i, reach = [], 0, -1
+    for s, e in spans:
+        while i < len(taken) and taken[i][0] < e:
+            reach = max(reach, taken[i][1])
+            i += 1
+        if reach <= s:
+            out.append((s, e))
+    return out
+
+
+def instances(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """(start, end, context) of the instances that two words precede, by start; base: the text's base spans."""
+    kept = sorted({(s, e) for s, e, _ in base})
+    if _DIGITS.search(text):
+        for more in (_groups(text), _tokens(text)):
+            kept = sorted(kept + _apart(more, kept))
+    found = ((s, e, _context(text, s)) for s, e in kept)
+    return [x for x in found if x[2] is not None]
+
+
 def _occurrences(docs: DataFrame) -> DataFrame:
     """(context, value, kind): every instance in every text; kind is null unless a seed."""
     def run(batches):
         for b in batches:
             ctx, val, kind = [], [], []
             for text in texts_of(b.column(0)):
-                if not text or not _DIGITS.search(text):
+                if not text:
                     continue
-                known = {}
-                for s, e, k in base_spans(text):
-                    known.setdefault(s, k)
-                for s, e, c in instances(text):
+                base = base_spans(text)
+                known = {(s, e): k for s, e, k in reversed(base)}
+                for s, e, c in instances(text, base):
                     ctx.append(c)
                     val.append(xxhash.xxh64_intdigest(text[s:e]) - (1 << 63))
-                    kind.append(known.get(s) or ("secret" if _HEX_KEY.fullmatch(text, s, e) else None))
+                    kind.append(known.get((s, e)) or ("secret" if _HEX_KEY.fullmatch(text, s, e) else None))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ctx, pa.string()), pa.array(val, pa.int64()), pa.array(kind, pa.string())],
                 ["context", "value", "kind"])
@@ -240,11 +288,11 @@ def _text_spans(text: str, kinds: dict[str, str], before: str | None) -> tuple[s
     spans = list(base)
     if before is not None:
         spans = [(int(s), int(e), k) for k, s, e in (x.split(":") for x in before.split(",") if x)]
-    if kinds and _DIGITS.search(text):
-        taken = sorted((s, e) for s, e, _ in spans)
-        for s, e, c in instances(text):
-            if c in kinds and not any(a < e and s < b for a, b in taken):
-                spans.append((s, e, kinds[c]))
+    if kinds:
+        named = [(s, e, kinds[c]) for s, e, c in instances(text, base)
+                 if c in kinds and SHAPES[kinds[c]].fullmatch(text, s, e)]
+        free = set(_apart([x[:2] for x in named], sorted(x[:2] for x in spans)))
+        spans += [x for x in named if x[:2] in free]
     spans.sort(key=lambda x: (x[0], KINDS.index(x[2])))
     join = lambda xs: ",".join(f"{k}:{s}:{e}" for s, e, k in xs)
     return join(base), join(spans)
