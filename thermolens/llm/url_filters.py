@@ -2,9 +2,11 @@
 
 A URL becomes a set of tokens: the host's suffixes and labels, path segments with their place,
 the file extension, query keys and whether it has a fragment (digits become ``#``, so page numbers do not
-make tokens of their own).  FP-growth runs on the labelled URLs with the label as one
-more item; rules whose consequent is the label, pruned by support and confidence, decide
-about URLs: the most confident rule that fits wins.
+make tokens of their own).  Tokens that stand in exactly the same labelled URLs (all segments of a path that many share, a
+host and its labels) are one item: FP-growth would go through all of their subsets.  Whether two tokens do is decided by
+counts and sums of two hashes of their URLs.  FP-growth runs on the labelled URLs with the label as one
+more item; rules whose consequent is the label, with at least ``MIN_COUNT`` URLs (of any table size) and
+``MIN_CONFIDENCE``, decide about URLs: the most confident rule that fits wins.  A rule asks for all tokens of its items.
 
 Matching.  Each rule is filed under its rarest token; a URL meets only rules filed under one of its
 tokens and is then checked for the rest.  URLs with equal token sets are matched once,
@@ -31,9 +33,8 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed
 
-MIN_SUPPORT = 0.01
+MIN_COUNT = 20
 MIN_CONFIDENCE = 0.8
-MAX_TOKENS = 4
 LABEL = "label="
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _REST = r"(?s)^.*?://[^/?#]*[^?#]*(.*)$"
@@ -59,8 +60,11 @@ def url_tokens(url: str = "url", host: str = "host", path: str = "path") -> Colu
     rest = F.regexp_extract(F.coalesce(F.col(url), F.lit("")), _REST, 1)
     keys = F.transform(F.regexp_extract_all(rest, F.lit(r"[?&]([^=&#]+)"), F.lit(1)),
                        lambda x: F.concat(F.lit("key:"), x))
+    # what follows the last dot of the last segment, if it is short and plain
+    extension = F.lower(F.regexp_extract(path, r"\.([A-Za-z][A-Za-z0-9]{0,7})$", 1))
+    extension = F.when(extension != "", F.array(F.concat(F.lit("ext:"), extension))).otherwise(F.array().cast("array<string>"))
     fragment = F.when(rest.contains("#"), F.array(F.lit("fragment"))).otherwise(F.array().cast("array<string>"))
-    every = F.concat(F.when(n > 0, suffixes).otherwise(F.array().cast("array<string>")), parts, places, keys, fragment)
+    every = F.concat(F.when(n > 0, suffixes).otherwise(F.array().cast("array<string>")), parts, places, extension, keys, fragment)
     return F.sort_array(F.array_distinct(every))
 
 
@@ -75,31 +79,52 @@ def stated_rule(rules: list[tuple[str, str]], host: str = "host", path: str = "p
     return best
 
 
-def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-               max_tokens: int = MAX_TOKENS) -> DataFrame:
-    """(antecedent, verdict, confidence, support) from (tokens, verdict) rows.
+def items_of(rows: DataFrame, min_count: int) -> tuple[DataFrame, DataFrame]:
+    """((_id, items), (item, tokens)) of (_id, tokens) rows: tokens in at least ``min_count`` rows, those of the same
+    rows as one item, which has the name of the first."""
+    words = rows.select("_id", F.explode("tokens").alias("t"))
+    total = lambda seed: F.sum(F.xxhash64("_id", F.lit(seed)).cast("decimal(38,0)"))
+    seen = words.groupBy("t").agg(F.count(F.lit(1)).alias("n"), total(1).alias("a"), total(2).alias("b")).where(F.col("n") >= min_count)
+    # as many tokens at most as one URL has
+    items = checkpointed(seen.groupBy("n", "a", "b").agg(F.sort_array(F.collect_list("t")).alias("tokens")).select(
+        F.get("tokens", F.lit(0)).alias("item"), "tokens"))
+    named = words.join(items.select(F.col("item").alias("t")), "t", "left_semi")
+    return named.groupBy("_id").agg(F.collect_set("t").alias("items")), items
 
-    A rule with more tokens than another of the same verdict and no more confidence adds
+
+def mine_rules(labelled: DataFrame, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """(antecedent, verdict, confidence, support) from (tokens, verdict) rows; support: labelled URLs that have the
+    antecedent and the verdict.
+
+    A rule with more items than another of the same verdict and no more confidence adds
     nothing and is pruned with those below the limits.
     """
-    rows = labelled.where("verdict is not null and size(tokens) > 0").select(
-        F.concat("tokens", F.array(F.concat(F.lit(LABEL), "verdict"))).alias("items"))
-    rows = checkpointed(rows)
-    empty = "antecedent array<string>, verdict string, confidence double, support double"
-    if rows.isEmpty():
+    rows = labelled.where("verdict is not null and size(tokens) > 0")
+    rows = checkpointed(rows.select(F.monotonically_increasing_id().alias("_id"), "tokens", "verdict"))
+    items, tokens = items_of(rows, min_count)
+    baskets = items.join(rows.select("_id", "verdict"), "_id").select(
+        F.concat("items", F.array(F.concat(F.lit(LABEL), "verdict"))).alias("items"))
+    baskets = checkpointed(baskets)
+    n = baskets.count()
+    empty = "antecedent array<string>, verdict string, confidence double, support long"
+    if not n:
         return rows.sparkSession.createDataFrame([], empty)
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(rows)
-    found = model.associationRules.where(F.element_at("consequent", 1).startswith(LABEL))
-    found = found.where(F.size("antecedent") <= max_tokens).select(
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, (min_count - 0.5) / n), minConfidence=min_confidence).fit(baskets)
+    found = model.associationRules.where(F.element_at("consequent", 1).startswith(LABEL)).select(
         F.sort_array("antecedent").alias("antecedent"),
-        F.substring_index(F.element_at("consequent", 1), "=", -1).alias("verdict"), "confidence", "support")
+        F.substring_index(F.element_at("consequent", 1), "=", -1).alias("verdict"), "confidence",
+        F.round(F.col("support") * n).cast("long").alias("support"))
     found = checkpointed(found)
-    # subsets of an antecedent: dropping one token at a time reaches every shorter rule that was kept
+    # subsets of an antecedent: dropping one item at a time reaches every shorter rule that was kept
     parent = found.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("antecedent")), lambda i: F.filter(
         F.col("antecedent"), lambda x, j: j != i - 1))).alias("short"), "antecedent", "verdict", "confidence")
     worse = parent.join(found.select(F.col("antecedent").alias("short"), "verdict", F.col("confidence").alias("c")),
                         ["short", "verdict"]).where("c >= confidence").select("antecedent", "verdict").distinct()
-    return checkpointed(found.join(worse, ["antecedent", "verdict"], "left_anti"))
+    best = found.join(worse, ["antecedent", "verdict"], "left_anti").withColumn("_r", F.monotonically_increasing_id())
+    best = checkpointed(best)
+    whole = best.select("_r", F.explode("antecedent").alias("item")).join(tokens, "item").groupBy("_r").agg(
+        F.sort_array(F.flatten(F.collect_list("tokens"))).alias("antecedent"))
+    return checkpointed(best.drop("antecedent").join(whole, "_r").select("antecedent", "verdict", "confidence", "support"))
 
 
 def match_rules(sets: DataFrame, rules: DataFrame) -> DataFrame:
@@ -115,7 +140,7 @@ def match_rules(sets: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def filtered(pages: DataFrame, labels: DataFrame, stated: list[tuple[str, str]], default: str = "allow",
-             min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+             min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """(page_id, url, host, path, rule, verdict, mined_rule, confidence) of every page.
 
     labels: (page_id, verdict) for some pages; pages that a stated rule judges are labelled by it.
@@ -127,7 +152,7 @@ def filtered(pages: DataFrame, labels: DataFrame, stated: list[tuple[str, str]],
     known = known.groupBy("_pid").agg(F.max("_v").alias("_v"))
     labelled = d.join(known, F.col("page_id") == F.col("_pid"), "left").select(
         "tokens", F.coalesce("_s.verdict", "_v").alias("verdict"))
-    rules = mine_rules(labelled, min_support, min_confidence)
+    rules = mine_rules(labelled, min_count, min_confidence)
     mined = match_rules(d.select("tokens").where("size(tokens) > 0").distinct(), rules)
     out = d.join(mined, "tokens", "left")
     return out.select("page_id", "url", "host", "path", F.col("_s.rule").alias("rule"),
