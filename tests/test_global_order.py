@@ -51,3 +51,22 @@ def test_faults_hit_an_exact_number_of_rows(spark, rate):
 
 def test_faults_on_an_empty_table(spark):
     assert inject_faults(hot(spark).limit(0)).count() == 0
+
+
+def test_a_boundary_among_rows_without_a_time(spark):
+    rows = [(None, float(i), 0.0, 1.0, "d", f"s{i % 3}") for i in range(90)] + [(dt.datetime(2024, 1, 1, i), 1.0, 0.0, 1.0, "d", "x") for i in range(10)]
+    d = frame(spark, rows).repartition(4)
+    for k in (5, 10, 25, 55, 100):
+        got = slice_rows(d, 0, k).collect()
+        assert len(got) == k and sum(r["timestamp"] is not None for r in got) == min(k, 10)
+        ids = sorted(r["ID"] for r in got if r["timestamp"] is None)
+        assert ids == sorted(["s0"] * 30 + ["s1"] * 30 + ["s2"] * 30)[:max(0, k - 10)]
+    assert slice_rows(d, 20, 70).count() == 50
+
+
+def test_one_hot_of_too_many_categories(spark):
+    from thermolens.functions.calendar import one_hot
+    d = spark.range(30).select(F.col("id").cast("string").alias("type"))
+    assert len(one_hot(d, "type").columns) == 32
+    with pytest.raises(ValueError):
+        one_hot(d, "type", max_categories=29)

@@ -84,14 +84,18 @@ def nighttime(ts="timestamp", preset: str | tuple[int, int] = "eda") -> Column:
 
 
 def one_hot(df: DataFrame, col: str = "type", categories: Sequence[str] | None = None,
-            dummy_na: bool = True, prefix: str | None = None) -> DataFrame:
+            dummy_na: bool = True, prefix: str | None = None, max_categories: int = 1000) -> DataFrame:
     """F8: ``get_dummies(dummy_na=True)`` with a fixed category list (no extra job).
-    When ``categories`` is None they are taken from the data (one small distinct job)."""
+    When ``categories`` is None they are taken from the data (one distinct job); more than
+    ``max_categories`` raise an error, because each becomes a column."""
     prefix = prefix or col
     if col not in df.columns:
         return df
     if categories is None:
-        categories = sorted(r[0] for r in df.select(col).distinct().where(F.col(col).isNotNull()).collect())
+        found = df.select(col).distinct().where(F.col(col).isNotNull()).limit(max_categories + 1).collect()
+        if len(found) > max_categories:
+            raise ValueError(f"{col} has more than {max_categories} categories")
+        categories = sorted(r[0] for r in found)
     out = {f"{prefix}_{v}": (F.col(col) == F.lit(v)) & F.col(col).isNotNull() for v in categories}
     out = {k: F.coalesce(v, F.lit(False)) for k, v in out.items()}
     if dummy_na:

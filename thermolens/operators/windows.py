@@ -190,8 +190,23 @@ def first_rows(df: DataFrame, s: Series, k: int, out: str) -> DataFrame:
     before = F.lit(True) if at is None else F.coalesce(F.col("_us") < F.lit(at[0]), F.lit(False))
     if rest <= 0:
         return d.withColumn(out, before & ~tie).drop("_us")
-    rank = F.row_number().over(Window.partitionBy("_us").orderBy(*s.order))
-    ties = d.where(tie).withColumn(out, rank <= rest)
+    ties = d.where(tie)
+    by = [c for c in s.order if c != s.ts]
+    if by:
+        # many rows may share the boundary time (or have none): count them per value of the other order
+        # columns, and rank only those of the boundary value
+        total = Window.orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
+        counts = ties.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).withColumn("_to", F.sum("_n").over(total))
+        counts = checkpoint(counts.select(F.struct(*by).alias("_at"), "_n", "_to"))
+        ties = ties.withColumn("_at", F.struct(*by)).join(counts, "_at")
+        inside = ties.where((F.col("_to") > rest) & (F.col("_to") - F.col("_n") < rest))
+        rank = F.row_number().over(Window.partitionBy("_at").orderBy(*by))
+        inside = inside.withColumn(out, rank <= F.lit(rest) - (F.col("_to") - F.col("_n")))
+        ties = ties.where((F.col("_to") <= rest) | (F.col("_to") - F.col("_n") >= rest)).withColumn(out, F.col("_to") <= rest)
+        ties = ties.unionByName(inside).drop("_at", "_n", "_to")
+    else:
+        rank = F.row_number().over(Window.partitionBy("_us").orderBy(*s.order))
+        ties = ties.withColumn(out, rank <= rest)
     return d.where(~tie).withColumn(out, before).unionByName(ties).drop("_us")
 
 
