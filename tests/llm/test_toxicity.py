@@ -4,7 +4,6 @@ import zlib
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from thermolens.llm import toxicity as T
 from thermolens.llm.queries import op12_toxicity

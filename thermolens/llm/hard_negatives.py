@@ -103,9 +103,8 @@ class Best:
         if not len(cell):
             return
         cells = np.unique(cell)
-        old = np.repeat(cells, self.k)[(np.arange(self.k) < self.n[cells][:, None]).ravel()]
         kept = np.arange(self.k) < self.n[cells][:, None]
-        cell = np.concatenate([old, cell])
+        cell = np.concatenate([np.repeat(cells, self.n[cells]), cell])
         score = np.concatenate([self.score[cells][kept], score])
         ids = np.concatenate([self.id[cells][kept], ids])
         order = np.lexsort((ids, ~score, cell))  # ~score: descending, without overflow
