@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import DEFAULT_SERIES, Series
-from .joins import join_null_safe
 from .windows import (DEFAULT_LAYOUT, Layout, checkpoint, epoch_micros, parse_span, pos_col, range_over, rows_over,
                       running, series_key, sk_col, with_position)
 
