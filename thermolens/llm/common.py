@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -51,6 +54,15 @@ def texts_of(column, rows: int = 256):
         yield from column.slice(a, rows).to_pylist()
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: a worker outlives its task, and the next one may be another's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not on every platform
+        pass
+
+
 def with_workers(spark: SparkSession) -> None:
     """Make this package importable in Python workers."""
     ship_package(spark)

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, gapless_positions, texts_of, with_workers
+from .common import checkpointed, gapless_positions, give_back, texts_of, with_workers
 
 LENGTH = 2048
 END_ID = 0
@@ -152,6 +152,7 @@ def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH) -> Da
         finally:
             # a worker outlives its task; the next one may need the memory for something else
             ids.forget()
+            give_back()
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(

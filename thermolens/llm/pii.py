@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, texts_of, with_workers
+from .common import checkpointed, give_back, texts_of, with_workers
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 MIN_LENGTH = 6
@@ -197,6 +197,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ctx, pa.string()), pa.array(val, pa.int64()), pa.array(kind, pa.string())],
                 ["context", "value", "kind"])
+        give_back()
 
     return docs.select("text").mapInArrow(run, "context string, value long, kind string")
 
@@ -247,7 +248,7 @@ def _context_counts(docs: DataFrame, contexts: list[str]) -> DataFrame:
                     continue
                 words = text.split()
                 for w in set(words).difference(plain):
-                    if len(plain) > 500_000:
+                    if len(plain) > 60_000:
                         plain.clear()
                     plain[w] = _plain(w.lstrip(_QUOTES))
                 for i, w in enumerate(words):
@@ -255,6 +256,8 @@ def _context_counts(docs: DataFrame, contexts: list[str]) -> DataFrame:
                         c = f"{_plain(words[i - 1])} {_plain(w)}"
                         if c in wanted:
                             seen[c] += 1
+        plain.clear()
+        give_back()
         if seen:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["context", "n"])

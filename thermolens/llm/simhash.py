@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, texts_of, with_workers
+from .common import checkpointed, give_back, texts_of, with_workers
 
 SEED = 42
 _CHUNK = 1 << 16
@@ -70,6 +70,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
         for b in batches:
             fps = np.array([fingerprint(t, shingle) for t in texts_of(b.column(1))], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+        give_back()
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, fp long")
