@@ -27,6 +27,28 @@ def test_drops_and_counts(spark):
     assert counts["domestic", 2] == (3, 1, 0, 2, 1) and counts[None, 1] == (1, 1, 0, 0, 0)
 
 
+def test_every_pair_is_listed(spark):
+    drops = prose.circuit_drops(frame(spark, ROWS).repartition(4), 10.0)
+    got = {(r["type"], r["a_ID"], r["b_ID"], r["bucket"].hour): (r["a_mean"], r["a_drop"], r["b_mean"], r["b_drop"], r["diagnosis"])
+           for r in prose.cross_circuit_pairs(drops).collect()}
+    assert got["domestic", "a", "b", 1] == (20.0, True, 20.0, True, "both")
+    assert got["domestic", "a", "c", 2] == (20.0, True, 50.0, False, "only_a")
+    at = {(r["type"], r["bucket"].hour): r for r in prose.cross_circuit_counts(drops).collect()}
+    assert len(got) == sum(r["n_measured"] * (r["n_measured"] - 1) // 2 for r in at.values()) == 13
+    nulls = spark.createDataFrame([("t", i, dt.datetime(2024, 1, 1), 1.0, False) for i in (None, "a", "b")],
+                                  "type string, ID string, bucket timestamp_ntz, mean double, drop boolean")
+    assert {(r["a_ID"], r["b_ID"]) for r in prose.cross_circuit_pairs(nulls).collect()} == {(None, "a"), (None, "b"), ("a", "b")}
+
+
+def test_the_pairs_query_lists_what_it_counts(spark):
+    import __spark_entry__ as E
+    rows = E.queries()["n4_cross_circuit_pairs"](spark, "/root/testdata/sf0.001").collect()
+    pairs = [r["diagnosis"] for r in rows if r["record"] == "pair"]
+    total = lambda c: sum(r[c] for r in rows)
+    assert len(pairs) > 0 and pairs.count("both") == total("pairs_both") and pairs.count("none") == total("pairs_none")
+    assert pairs.count("only_a") + pairs.count("only_b") == total("pairs_one")
+
+
 def test_a_bucket_with_most_drops_stays_linear(spark):
     rows = [(dt.datetime(2024, 1, 1, h), 50.0 if h else 10.0, 0.0, 0.0, "domestic", str(i)) for i in range(300) for h in range(3)]
     d = prose.cross_circuit_check(prose.circuit_drops(frame(spark, rows), 10.0))

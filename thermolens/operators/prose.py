@@ -55,6 +55,20 @@ def cross_circuit_counts(drops: DataFrame, within: str = "type") -> DataFrame:
                           "pairs_none": pairs(left)})
 
 
+def cross_circuit_pairs(drops: DataFrame, within: str = "type", circuit: str = "ID") -> DataFrame:
+    """N4 for every pair of circuits that share a ``within`` and were measured in the same bucket, each pair once (smaller
+    ``circuit`` first, null before all): both means, both drops, and whether both, one or none dropped.  An
+    equi-join of the drops table with itself on (within, bucket): as many rows as there are pairs."""
+    a, b = (drops.select(F.col(within).alias(f"_{x}"), F.col("bucket").alias(f"_{x}_bucket"), F.col(circuit).alias(f"{x}_{circuit}"),
+                         F.col("mean").alias(f"{x}_mean"), F.col("drop").alias(f"{x}_drop")) for x in ("a", "b"))
+    j = a.join(b, F.col("_a").eqNullSafe(F.col("_b")) & (F.col("_a_bucket") == F.col("_b_bucket"))
+               & (F.struct(F.col(f"a_{circuit}").alias("c")) < F.struct(F.col(f"b_{circuit}").alias("c"))))
+    return j.select(
+        F.col("_a").alias(within), f"a_{circuit}", f"b_{circuit}", F.col("_a_bucket").alias("bucket"), "a_mean", "a_drop",
+        "b_mean", "b_drop", F.when(F.col("a_drop") & F.col("b_drop"), "both").when(F.col("a_drop"), "only_a")
+        .when(F.col("b_drop"), "only_b").otherwise("none").alias("diagnosis"))
+
+
 def cross_circuit_check(drops: DataFrame, within: str = "type", circuit: str = "ID") -> DataFrame:
     """N4 per drop: did other circuits of the same ``within`` drop in the same bucket?  'shared'
     points at a common cause (heat source), 'own' at that circuit (pump, valve), 'single' has no other

@@ -743,8 +743,14 @@ def p7_w1_tagged_all(spark, sf):
 
 
 def n4_cross_circuit_pairs(spark, sf):
-    """N4 over all pairs of circuits within a type, counted per hour."""
-    return prose.cross_circuit_counts(prose.circuit_drops(readings(spark, sf), 10.0))
+    """N4 for all pairs of circuits within a type: every pair of every hour (record 'pair'), and per hour the circuits
+    measured and dropped and its pairs by outcome (record 'hour').  Counts are 0 in pair rows, so they add up over the table."""
+    drops = prose.circuit_drops(readings(spark, sf), 10.0)
+    pairs = rnd(prose.cross_circuit_pairs(drops), ["a_mean", "b_mean"])
+    counts = prose.cross_circuit_counts(drops)
+    n = [c for c in counts.columns if c not in ("type", "bucket")]
+    pairs = pairs.select(F.lit("pair").alias("record"), "*", *[F.lit(0).cast("long").alias(c) for c in n])
+    return pairs.unionByName(counts.withColumn("record", F.lit("hour")), allowMissingColumns=True)
 
 
 def v10_analysis_tables(spark, sf):

@@ -728,13 +728,19 @@ T8 = with_(SCORED) + f"SELECT count(*) AS batch_size, {_CONF} FROM pred"
 P7_W1_ALL = _rewrite_round(q('SELECT "timestamp", round("avg", 6) AS "avg", "type", "ID" FROM hourly', HOURLY))
 P7_W1 = P7_W1_ALL
 
-N4_PAIRS = q('''
-SELECT n."type", n.bucket, n_measured, n_dropped, coalesce(p.both_, 0)::BIGINT AS pairs_both, coalesce(p.one, 0)::BIGINT AS pairs_one,
-  coalesce(p.none, 0)::BIGINT AS pairs_none
+N4_PAIRS = _rewrite_round(q('''
+SELECT 'pair' AS record, a."type", a."ID" AS "a_ID", b."ID" AS "b_ID", a.bucket, round(a.m, 6) AS a_mean, a.low AS a_drop,
+  round(b.m, 6) AS b_mean, b.low AS b_drop,
+  CASE WHEN a.low AND b.low THEN 'both' WHEN a.low THEN 'only_a' WHEN b.low THEN 'only_b' ELSE 'none' END AS diagnosis,
+  0::BIGINT AS n_measured, 0::BIGINT AS n_dropped, 0::BIGINT AS pairs_both, 0::BIGINT AS pairs_one, 0::BIGINT AS pairs_none
+FROM per a JOIN per b ON a."type" = b."type" AND a.bucket = b.bucket AND a."ID" < b."ID"
+UNION ALL
+SELECT 'hour', n."type", NULL, NULL, n.bucket, NULL, NULL, NULL, NULL, NULL,
+  n_measured, n_dropped, coalesce(p.both_, 0)::BIGINT, coalesce(p.one, 0)::BIGINT, coalesce(p.none, 0)::BIGINT
 FROM (SELECT "type", bucket, count(*) AS n_measured, count_if(low) AS n_dropped FROM per GROUP BY ALL) n
 LEFT JOIN (SELECT a."type", a.bucket, count_if(a.low AND b.low) AS both_, count_if(a.low <> b.low) AS one, count_if(NOT a.low AND NOT b.low) AS none
            FROM per a JOIN per b ON a."type" = b."type" AND a.bucket = b.bucket AND a."ID" < b."ID" GROUP BY ALL) p
-  ON n."type" = p."type" AND n.bucket = p.bucket''', READINGS, _N4_DROPS)
+  ON n."type" = p."type" AND n.bucket = p.bucket''', READINGS, _N4_DROPS))
 
 # ---------------------------------------------------------------- D10 with the forest, D16, V10 in full
 D10_FOREST = "WITH " + _forest_ctes(LABELED, "readings") + """
