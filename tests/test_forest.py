@@ -124,3 +124,17 @@ def test_a_large_table_puts_a_row_into_one_pool(spark):
         n = {r["tree"]: r["count"] for r in d.groupBy("tree").count().collect()}
         assert n == {t: psi for t in range(trees)}
         assert d.select("_us").distinct().count() == trees * psi     # no row in two trees
+
+
+def test_without_pools_every_tree_draws_from_the_whole_table(spark):
+    import hashlib
+    n, trees, psi, seed = 6_000, 10, 64, 42
+    rows = spark.range(n).select(F.lit("k").alias("_k"), F.col("id").alias("_us"))
+    got = {}
+    for r in IF.complete_samples(rows, trees, psi, seed, pools=False).collect():
+        got.setdefault(r["tree"], set()).add(r["_us"])
+    b = [int(hashlib.md5(f"{seed}:k:{i}".encode()).hexdigest()[:8], 16) for i in range(n)]
+    for t in range(trees):
+        a = ((t + 1) * 1103515245 + seed * 12345) % 2 ** 31
+        rank = sorted(range(n), key=lambda i: ((b[i] * (a - a % 2 + 1) + t * 69069) % 2 ** 32, i))
+        assert got[t] == set(rank[:psi])

@@ -2,8 +2,8 @@
 
 1-D forest (D8), all in the DataFrame API:
 
-* **sample**: each tree keeps the ``psi`` rows of its pool with the smallest rank hash of (seed,
-  row key, tree).  A row is in the pools of as few trees as give each about ``4 * psi`` rows (one in a
+* **sample**: each tree keeps the ``psi`` rows with the smallest rank hash of (seed, row key, tree), of the whole
+  table (``pools=False``) or of its pool.  A row is in the pools of as few trees as give each about ``4 * psi`` rows (one in a
   large table).  Rows too large in the rank to be kept are left out before the ranking.
 * **build**: level-wise.  For each of ``ceil(log2 psi)`` levels, min / max / count
   per (tree, node) is a window over the sample (at most ``trees * psi`` rows); a
@@ -85,9 +85,12 @@ def hash_long(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
-def tree_samples(rows: DataFrame, trees: int, psi: int, seed: int, slack: float = 4.0) -> DataFrame:
-    """``rows`` (with ``_k``, ``_us``) plus ``tree``: per tree the ``psi`` rows of its pool with the smallest
-    rank hash.
+def tree_samples(rows: DataFrame, trees: int, psi: int, seed: int, slack: float = 4.0, pools: bool = True) -> DataFrame:
+    """``rows`` (with ``_k``, ``_us``) plus ``tree``: per tree the ``psi`` rows of its pool, or without ``pools`` of the
+    whole table, with the smallest rank hash.
+
+    Whole table: one MD5 per row, then one integer mix per tree.  Ranks above ``slack * psi / n`` are left out in the same
+    generated loop, so about ``trees * psi * slack`` rows leave the scan, however large the table is.
 
     Pools: a row's hash names its first tree, and it takes part in as many consecutive trees as
     are needed for pools of ``slack * psi`` rows: all trees in a small table, one in a large one.  So a row is
@@ -96,6 +99,15 @@ def tree_samples(rows: DataFrame, trees: int, psi: int, seed: int, slack: float
     ``trees * psi * slack`` rows leave the scan.  ``complete_samples`` checks that enough remained.
     """
     n = rows.agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy("tree").orderBy("_h", "_k", "_us")
+    if not pools:
+        base = (hash_uniform(F.lit(seed), F.col("_k"), F.col("_us")) * F.lit(4294967296.0)).cast("long")
+        d = rows.crossJoin(F.broadcast(n)).withColumns({"_b": base, "_top": F.lit(slack * psi * 4294967296.0) / F.col("_n")})
+        d = d.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+        a = F.pmod((F.col("tree").cast("long") + 1) * F.lit(1103515245) + F.lit(seed * 12345), F.lit(2147483648))
+        d = d.withColumn("_h", F.pmod(F.col("_b") * (a - a % 2 + 1) + F.col("tree") * F.lit(69069), F.lit(4294967296)))
+        d = d.where(F.col("_h") < F.col("_top"))
+        return d.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= psi).drop("_r", "_h", "_b", "_top", "_n")
     d = rows.crossJoin(F.broadcast(n)).withColumn("_m", F.md5(F.concat_ws(
         ":", F.lit(str(seed)), F.col("_k"), F.col("_us").cast("string"))))
     each = F.least(F.lit(trees), F.greatest(F.lit(1), F.ceil(F.lit(slack * trees * psi) / F.col("_n")))).cast("int")
@@ -104,16 +116,15 @@ def tree_samples(rows: DataFrame, trees: int, psi: int, seed: int, slack: float
     d = d.withColumn("tree", ((first + F.col("_j")) % trees).cast("int"))
     d = d.withColumn("_h", hash_long(F.concat_ws(":", "_m", F.col("tree").cast("string"))))
     d = d.where(F.col("_h") < F.lit(slack * psi * trees * float(1 << 60)) / (F.col("_n") * F.col("_each")))
-    w = Window.partitionBy("tree").orderBy("_h", "_k", "_us")
     return d.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= psi).drop("_r", "_h", "_m", "_j", "_each", "_n")
 
 
-def complete_samples(rows: DataFrame, trees: int, psi: int, seed: int) -> DataFrame:
+def complete_samples(rows: DataFrame, trees: int, psi: int, seed: int, pools: bool = True) -> DataFrame:
     """``tree_samples``, written to the checkpoint folder and with min(psi, n) rows in
     every tree; should a tree have kept fewer, the limit is raised until none does."""
     slack = 4.0
     while True:
-        d = _checkpoint(tree_samples(rows, trees, psi, seed, slack))
+        d = _checkpoint(tree_samples(rows, trees, psi, seed, slack, pools))
         got = d.groupBy("tree").agg(F.count(F.lit(1)).alias("m")).agg(F.count(F.lit(1)), F.min("m")).first()
         n = rows.count() if got[0] < trees or got[1] < psi else psi
         if n == 0 or (got[0] == trees and got[1] >= min(psi, n)):
@@ -122,9 +133,9 @@ def complete_samples(rows: DataFrame, trees: int, psi: int, seed: int) -> DataFr
 
 
 def sample_trees(df: DataFrame, col: str = "avg", trees: int = 100, psi: int = 256, seed: int = 42,
-                 s: Series = DEFAULT_SERIES) -> DataFrame:
+                 s: Series = DEFAULT_SERIES, pools: bool = True) -> DataFrame:
     """Per-tree samples: (tree, _k, _us, _x) with at most ``psi`` rows per tree."""
-    return complete_samples(_keyed(df, col, s), trees, psi, seed).select("_k", "_us", "_x", "tree")
+    return complete_samples(_keyed(df, col, s), trees, psi, seed, pools).select("_k", "_us", "_x", "tree")
 
 
 def grow_1d(sample: DataFrame, psi: int, seed: int = 42, checkpoint_every: int = 4) -> DataFrame:
@@ -211,9 +222,9 @@ def forest_score(df: DataFrame, model: Forest1D, col: str | None = None, out: st
 
 def isolation_forest_fit(df: DataFrame, col: str = "avg", trees: int = 100, psi: int = 256,
                          contamination: float = 0.1, seed: int = 42, s: Series = DEFAULT_SERIES,
-                         grid_cells: int = 4096, approx_cut: bool = False) -> Forest1D:
-    """D8 fit on the training rows of ``df``."""
-    sample = sample_trees(df, col, trees, psi, seed, s)
+                         grid_cells: int = 4096, approx_cut: bool = False, pools: bool = True) -> Forest1D:
+    """D8 fit on the training rows of ``df``; without ``pools`` every tree draws from all of them."""
+    sample = sample_trees(df, col, trees, psi, seed, s, pools)
     # psi actually used = min(psi, n) (the sklearn rule for small tables)
     psi_eff = sample.groupBy("tree").agg(F.count(F.lit(1)).alias("m")).agg(F.max("m").alias("psi"))
     leaves = _checkpoint(grow_1d(sample, psi, seed))

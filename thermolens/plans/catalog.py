@@ -483,11 +483,11 @@ ORACLE: dict[str, str] = {
 
 
 # ---------------------------------------------------------------- forest-based (no SQL oracle: rows check + unit tests)
-def d8_isolation_forest(spark, sf, source=readings_hourly):
+def d8_isolation_forest(spark, sf, source=readings_hourly, pools=True):
     """1-D forest on the hourly mean, 100 trees, contamination 0.1."""
     from ..operators.detect.iforest import isolation_forest_fit, isolation_forest_predict
     r = readings(spark, sf, source)
-    model = isolation_forest_fit(r, "avg", 100, 256, 0.1, 42)
+    model = isolation_forest_fit(r, "avg", 100, 256, 0.1, 42, pools=pools)
     d = isolation_forest_predict(r, model)
     return rnd(d.select(*KEY, "avg", "if_score", "Isolation_Forest", "Isolation_Forest_score"),
                ["if_score", "Isolation_Forest_score"])
@@ -771,9 +771,9 @@ def d16_ensemble_info(spark, sf):
     return ens.info(spark).join(n, "detector")
 
 
-def _per_event(query: Query) -> Query:
+def _per_event(query: Query, **options) -> Query:
     def run(spark, sf):
-        return query(spark, sf, readings_per_event)
+        return query(spark, sf, readings_per_event, **options)
     run.__doc__ = f"{query.__name__} over one reading per event, one series per user."
     return run
 
@@ -781,6 +781,8 @@ def _per_event(query: Query) -> Query:
 PER_EVENT = {f"{q.__name__}_per_event": _per_event(q) for q in (
     x2_feature_matrix, a1_describe, d3_zscore_any, d8_isolation_forest, d12_ensemble, v9_validation_report,
     d14_chronological_split)}
+# every tree draws from the whole table
+PER_EVENT["d8_isolation_forest_per_event"] = _per_event(d8_isolation_forest, pools=False)
 
 ORACLE.update({
     "s5_save_reload": sql.S5, "s1_s3_round_trip": sql.S1_S3, "s6_t8_monitor_report": sql.T8, "p7_w1_tagged": sql.P7_W1,
@@ -788,7 +790,7 @@ ORACLE.update({
     "r2_expected_residual": sql.R2, "d10_union_with_forest": sql.D10_FOREST, "d11_label_readings": sql.D11, "d16_ensemble_info": sql.D16, "v10_analysis_tables": sql.V10_TABLES,
     "d13_ensemble_forest": sql.D13, "v10_detailed_analysis": sql.V10,
     "x2_feature_matrix_per_event": sql.per_event(sql.X2), "a1_describe_per_event": sql.per_event(sql.A1),
-    "d3_zscore_any_per_event": sql.per_event(sql.D3), "d8_isolation_forest_per_event": sql.per_event(sql.D8),
+    "d3_zscore_any_per_event": sql.per_event(sql.D3), "d8_isolation_forest_per_event": sql.per_event(sql.D8_WHOLE),
     "d12_ensemble_per_event": sql.per_event(sql.D12), "v9_validation_report_per_event": sql.per_event(sql.V9),
     "d14_chronological_split_per_event": sql.per_event(sql.D14),
 })

@@ -611,12 +611,22 @@ def _sample_ctes(rows, trees, psi, seed, *cols):
             f"""smp AS (SELECT tree, {own}, row_number() OVER (PARTITION BY tree ORDER BY h, k, us) AS r FROM ranked)"""]
 
 
-def _forest_ctes(base, table, trees=100, psi=256, seed=42, q=0.1, levels=8):
+def _whole_sample_ctes(rows, trees, psi, seed, *cols):
+    """``_sample_ctes`` with every tree ranking all of ``rows``."""
+    own = ", ".join(cols)
+    return [f"""hashed AS (SELECT *, CAST({_hu(f"'{seed}'", 'k', 'CAST(us AS VARCHAR)')} * 4294967296 AS BIGINT) AS b FROM {rows})""",
+            f"""trees_ AS (SELECT CAST(tree AS INTEGER) AS tree, CAST(((tree + 1) * 1103515245 + {seed} * 12345) % 2147483648 AS BIGINT) AS a
+              FROM range({trees}) t(tree))""",
+            """rep AS (SELECT p.*, t.tree, (b * (a - a % 2 + 1) + t.tree * 69069) % 4294967296 AS h FROM hashed p, trees_ t)""",
+            f"""smp AS (SELECT tree, {own}, row_number() OVER (PARTITION BY tree ORDER BY h, k, us) AS r FROM rep)"""]
+
+
+def _forest_ctes(base, table, trees=100, psi=256, seed=42, q=0.1, levels=8, sample=_sample_ctes):
     """CTEs that end in ``steps``, ``cpsi``, ``sc`` and ``cut`` of a forest fitted on ``table``."""
     ctes = [base.strip(),
             f"""rows_ AS (SELECT "type", "ID", "timestamp", "avg", "type" || '|' || "ID" AS k, epoch_us("timestamp") AS us, "avg" AS x
               FROM {table} WHERE "avg" IS NOT NULL)""",
-            *_sample_ctes("rows_", trees, psi, seed, "x"),
+            *sample("rows_", trees, psi, seed, "x"),
             """l0 AS (SELECT tree, x, CAST(1 AS BIGINT) AS node, 0 AS depth, CAST('-inf' AS DOUBLE) AS lo, CAST('inf' AS DOUBLE) AS hi, false AS done
               FROM smp WHERE r <= %d)""" % psi]
     for i in range(levels):
@@ -643,13 +653,14 @@ def _forest_ctes(base, table, trees=100, psi=256, seed=42, q=0.1, levels=8):
     return ",\n".join(ctes)
 
 
-def _forest_sql():
-    return _rewrite_round("WITH " + _forest_ctes(READINGS, "readings") + """
+def _forest_sql(sample=_sample_ctes):
+    return _rewrite_round("WITH " + _forest_ctes(READINGS, "readings", sample=sample) + """
 SELECT "type", "ID", "timestamp", "avg", round(s, 6) AS if_score, CAST(coalesce(s > cut.cut, false) AS INTEGER) AS "Isolation_Forest",
   round(s - cut.cut, 6) AS "Isolation_Forest_score" FROM sc, cut""")
 
 
 D8 = _forest_sql()
+D8_WHOLE = _forest_sql(_whole_sample_ctes)
 
 # ---------------------------------------------------------------- P2, P4, P9, P10, W15, D2 per event
 P2 = with_(FAULTED) + '''SELECT "timestamp", round("avg", 6) AS "avg", round(min_v, 6) AS min_v, round(max_v, 6) AS max_v,
