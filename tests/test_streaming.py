@@ -200,3 +200,82 @@ def test_series_state_is_appended_and_typed(spark, tmp_dir):
     assert held.count() == 40 and held.select("key.ID").distinct().count() == 2
     out = run_series_state(src, "appended_whole").where("record = 'reading'").collect()
     assert len(out) == 40 and sum(r["time_diff_min"] is None for r in out) == 2
+
+
+class FakeState:
+    """List and value state, and a handle that notes timers, of one series."""
+
+    def __init__(self):
+        self.rows, self.value, self.timers = [], None, []
+
+    def appendList(self, rows):
+        self.rows += rows
+
+    def put(self, rows):
+        self.rows = list(rows)
+
+    def clear(self):
+        self.rows = []
+
+    def get(self):
+        return self
+
+    def __iter__(self):
+        return iter(self.rows)
+
+    def registerTimer(self, ms):
+        self.timers.append(ms)
+
+
+class FakeValue(FakeState):
+    def get(self):
+        return self.value
+
+    def exists(self):
+        return self.value is not None
+
+    def update(self, value):
+        self.value = value
+
+
+def test_one_timer_per_series_and_micro_batch(spark):
+    """t7, t5t6: not one timer per hour that has readings; what is put back has a timer of its own."""
+    from types import SimpleNamespace
+
+    from thermolens.streaming import series_state as S
+    hour = 3_600_000
+    p = S.SeriesProcessor(24, 2.0, hour)
+    p.buffer, p.series, p.handle = FakeState(), FakeValue(), FakeState()
+    times = [h * hour * 1000 + 5 for h in range(50)]
+    rows = pd.DataFrame({"timestamp": pd.to_datetime(times[::-1], unit="us"), "avg": [None if t == times[3] else 1.0 for t in times[::-1]]})
+    assert list(p.handleInputRows(("d", "1"), iter([rows[:20], rows[20:]]), None)) == []
+    assert p.handle.timers == [hour]
+    now = SimpleNamespace(getCurrentWatermarkInMs=lambda: 48 * hour + 7)
+    out = list(p.handleExpiredTimer(("d", "1"), now, SimpleNamespace(getExpiryTimeInMs=lambda: hour)))
+    assert [len(d) for d in out] == [1] and len(p.buffer.rows) == 2 and p.handle.timers == [hour, 49 * hour]
+    assert list(p.handleExpiredTimer(("d", "1"), now, SimpleNamespace(getExpiryTimeInMs=lambda: 48 * hour))) == []
+    got = S.unpacked(spark.createDataFrame([tuple(None if v is None else v.tolist() if hasattr(v, "tolist") else v for v in r)
+                                            for r in out[0].itertuples(index=False)], S.PACKED)).orderBy("timestamp").collect()
+    assert len(got) == 48 and [r["avg"] for r in got].index(None) == 3
+
+
+def test_packed_readings_equal_their_records(spark, monkeypatch):
+    """t7, t5t6: rows made of arrays equal the data frame of ``measured``, also where a part is cut."""
+    import numpy as np
+
+    from thermolens.streaming import series_state as S
+    rnd = random.Random(4)
+    us = np.array([i * 7_000_000_000 // 3 for i in range(120)], dtype=np.int64)
+    avg = np.array([np.nan if rnd.random() < 0.1 else rnd.choice([20.0, 21.0, 90.0]) for _ in us])
+    part, _ = S.measured_part(us, avg, S.NEW_SERIES, 24, 1.0, close=True)
+    assert len(part[1]) > 1
+    want = spark.createDataFrame(S.records([(("d", None), part)]).astype({"anomaly": object}).replace({np.nan: None}), S.SERIES_OUT)
+    for size in (S.ROLL_ROWS, 50):
+        monkeypatch.setattr(S, "ROLL_ROWS", size)
+        rows = [tuple(v.tolist() if hasattr(v, "tolist") else v for v in r)
+                for d in S.packed(("d", None), part) for r in d.itertuples(index=False)]
+        assert len(rows) == -(-120 // size)
+        assert sorted(map(repr, S.unpacked(spark.createDataFrame(rows, S.PACKED)).collect())) == sorted(map(repr, want.collect()))
+    monkeypatch.setattr(S, "ROLL_ROWS", 7)
+    for got, whole in zip(S.rolled(avg, 60, 24), part[0][4:6]):
+        assert np.allclose(got, whole[-60:], equal_nan=True)
