@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-__all__ = ["EPS", "safe_div", "t_diff", "temperature_ratios", "round_to"]
+__all__ = ["EPS", "safe_div", "t_diff", "temperature_ratios", "round_to", "round_columns"]
 
 # Fixed value: the reference's guard added to every denominator.
 EPS = 1e-8
@@ -43,4 +45,24 @@ def round_to(c, digits: int = 3, half_even: bool = False) -> Column:
     m = float(10 ** digits)
     r9 = F.round(c, 9)
     r = F.bround(r9 * F.lit(m), 0) if half_even else F.round(r9 * F.lit(m), 0)
-    return r / F.lit(m)
+    exact = r / F.lit(m)
+    # Spark rounds a double by way of its decimal text.  Away from a tie the first rounding (at most 5e-10) and the last bits of
+    # c * m (below 2.5e-4 under 1e12) cannot change the nearest whole number, so plain arithmetic gives the same double.
+    y = c * F.lit(m)
+    k = F.rint(y)
+    clear = (F.abs(y) < F.lit(1e12)) & (F.abs(F.abs(y - k) - F.lit(0.5)) > F.lit(max(2e-9 * m, 1e-3)))
+    return F.when(clear, (k + F.lit(0.0)) / F.lit(m)).otherwise(exact)
+
+
+# Columns from which round_columns goes by an array.
+WIDE = 10
+
+
+def round_columns(df: DataFrame, cols: Sequence[str], digits: int = 3) -> DataFrame:
+    """``round_to`` on several columns.  Many of them are rounded as elements of one array: written out per column, the
+    generated code of a wide table is one method too long for the JVM's compiler, which then runs it uncompiled."""
+    cols = list(cols)
+    if len(cols) <= WIDE:
+        return df.withColumns({c: round_to(c, digits) for c in cols})
+    d = df.withColumn("_rounded", F.transform(F.array(*cols), lambda x: round_to(x, digits)))
+    return d.withColumns({c: F.col("_rounded")[i] for i, c in enumerate(cols)}).drop("_rounded")

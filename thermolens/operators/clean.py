@@ -14,7 +14,7 @@ from ..functions.numeric import t_diff as t_diff_expr
 from ..schema import DEFAULT_SERIES, PRODUCTION_COLS, VALUE_COLS, Series, clean_doubles
 from .joins import join_null_safe
 from .timeseries import time_diff_min
-from .windows import DEFAULT_LAYOUT, Layout
+from .windows import DEFAULT_LAYOUT, Layout, by_length
 
 
 def drop_stddev(df: DataFrame) -> DataFrame:
@@ -104,11 +104,12 @@ def true_anomalies(df: DataFrame, label: str = "is_anomaly") -> DataFrame:
 def prepare_readings(df: DataFrame, system_type: str | None = None, sensor_id: str | None = None,
                      night="eda", s: Series = DEFAULT_SERIES, layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
     """Raw readings -> ``readings``: drop std, night flag, minute gap with mode
-    fill, T_diff, tags.  One position pass by series; the rest is row-local."""
+    fill, T_diff, tags.  One window by series (``by_length``); the rest is row-local."""
     d = clean_doubles(drop_stddev(df), [c for c in VALUE_COLS if c in df.columns])
     d = tag_series(d, system_type, sensor_id)
     d = with_nighttime(d, night, s.ts)
-    d = time_diff_min(d, s, layout)
+    names = list(dict.fromkeys([*d.columns, "time_diff_min"]))
+    d = by_length(d, lambda rows, lay: time_diff_min(rows, s, lay).select(*names), s, layout, once=True)
     d = with_t_diff(d)
     cols = ["timestamp", "avg", "min_v", "max_v", "nighttime", "time_diff_min", "T_diff", "type", "ID"]
     return d.select(*[c for c in cols if c in d.columns])

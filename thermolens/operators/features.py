@@ -11,7 +11,7 @@ from ..functions.numeric import temperature_ratios
 from ..schema import DEFAULT_SERIES, FEATURE_VALUE_COLS, Series, has
 from .scaling import time_gap_features
 from .timeseries import ffill_then_zero, rate_exprs, rolling_time_exprs
-from .windows import DEFAULT_LAYOUT, Layout, checkpoint, range_over, rows_over, with_position
+from .windows import DEFAULT_LAYOUT, Layout, by_length, checkpoint, range_over, rows_over, with_position
 
 ID_COLS = ("timestamp", "type", "ID")
 
@@ -24,38 +24,43 @@ def feature_matrix(df: DataFrame, type_categories=("domestic",), hours=(1, 6, 24
     and zero.  Keeps ``timestamp, type, ID`` and the columns in ``keep`` for row identity; ``feature_columns``
     lists the model inputs.
 
-    Physical shape: positions once on the input, which is then checkpointed
-    (reliable storage, the session's checkpoint folder) because gap statistics
-    (exact median: a few aggregate passes) and the windows all read it; one
-    range-window stage (all rolling columns share one partition/order spec) and one
-    row-window stage (all lag-based columns).  That windowed table is checkpointed
-    too, because the forward fill reads it twice (in-block fill and per-block
-    carries); without the two materialisations every earlier stage would re-run.
+    Physical shape: the input is checkpointed (reliable storage, the session's checkpoint
+    folder), because series lengths, gap statistics (exact median: a few aggregate passes) and the
+    windows all read it.  Series of up to ``layout.block_rows`` rows (``by_length``) run all windows in
+    one task each: one shuffle by series for rolling, lag-based and filled columns, no halo copies.
+    Longer ones take the blocked layout: positions, one range-window stage, one row-window
+    stage, whose table is checkpointed too, because the forward fill reads it twice (in-block
+    fill and per-block carries).
     """
     vals = [c for c in FEATURE_VALUE_COLS if c in df.columns]
-    d = df.withColumns({"hour": hour(), "day_of_week": day_of_week(), "month": month(),
-                        "is_weekend": is_weekend()})
-    d = one_hot(d, "type", list(type_categories), dummy_na=True)
-    if layout.strategy != "series":
-        d = with_position(d, s, layout)
+    gap = "time_diff_min" if "time_diff_min" in df.columns else None
+    # rows without a time have no place in a series (see by_length); they count in no statistic either
+    whole = df if layout.strategy == "series" else df.where(F.col(s.ts).isNotNull())
     if materialize:
-        # read three times below (gap statistics, range windows, row windows)
-        d = checkpoint(d)
-    d = time_gap_features(d, "time_diff_min", gap_stats_by)
-    d = range_over(d, rolling_time_exprs(vals, hours), max(hours) * 3_600_000_000, s, layout)
-    gap = "time_diff_min" if "time_diff_min" in d.columns else None
-    lag_exprs = rate_exprs(vals, gap, "weighted_change")
-    if gap:
-        lag_exprs.update(rate_exprs(vals, gap, "rate_per_min"))
-    d = rows_over(d, lag_exprs, 1, s, layout)
-    if has(d, "avg", "min_v", "max_v"):
-        d = d.withColumns(temperature_ratios())
-    cols = feature_columns(d, vals, hours)
-    if materialize:
-        d = checkpoint(d.select(*[c for c in ID_COLS if c in d.columns], *cols, *keep,
-                                *[c for c in d.columns if c.startswith(("_sk_", "_pos_"))]))
-    d = ffill_then_zero(d, cols, s, layout)
-    return d.select(*[c for c in ID_COLS if c in d.columns], *cols, *keep)
+        whole = checkpoint(whole)
+
+    def build(d: DataFrame, lay: Layout) -> DataFrame:
+        d = d.withColumns({"hour": hour(), "day_of_week": day_of_week(), "month": month(),
+                           "is_weekend": is_weekend()})
+        d = one_hot(d, "type", list(type_categories), dummy_na=True)
+        blocked = lay.strategy != "series"
+        if blocked:
+            d = with_position(d, s, lay)
+        d = time_gap_features(d, "time_diff_min", gap_stats_by, reference=whole)
+        d = range_over(d, rolling_time_exprs(vals, hours), max(hours) * 3_600_000_000, s, lay)
+        lag_exprs = rate_exprs(vals, gap, "weighted_change")
+        if gap:
+            lag_exprs.update(rate_exprs(vals, gap, "rate_per_min"))
+        d = rows_over(d, lag_exprs, 1, s, lay)
+        if has(d, "avg", "min_v", "max_v"):
+            d = d.withColumns(temperature_ratios())
+        cols = feature_columns(d, vals, hours)
+        ids = [c for c in ID_COLS if c in d.columns]
+        if blocked and materialize:
+            d = checkpoint(d.select(*ids, *cols, *keep, *[c for c in d.columns if c.startswith(("_sk_", "_pos_"))]))
+        return ffill_then_zero(d, cols, s, lay).select(*ids, *cols, *keep)
+
+    return by_length(whole, build, s, layout)
 
 
 def feature_columns(d: DataFrame, vals=None, hours=(1, 6, 24)) -> list[str]:

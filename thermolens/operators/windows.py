@@ -19,6 +19,9 @@ Two layouts compute the same, exact results:
   4. *unbounded scans* (``running``): in-block running aggregate, plus a carry from
      per-block totals (a small table) joined back.
 
+``by_length`` joins them: whole series of up to ``block_rows`` rows, which any task can hold, take the plain windows (no halo copies,
+no positions, one shuffle for windows of one key), only longer ones the blocks.
+
 The hidden series key ``_sk`` is ``struct(key...)``: never NULL itself, and struct
 equality matches NULL key parts, so joins and partitioning on it are null-safe.
 """
@@ -104,6 +107,28 @@ def plain_window(s: Series) -> WindowSpec:
     return Window.partitionBy(*s.key).orderBy(*s.order)
 
 
+def by_length(df: DataFrame, build: Callable[[DataFrame, Layout], DataFrame], s: Series = DEFAULT_SERIES,
+              layout: Layout = DEFAULT_LAYOUT, once: bool = False) -> DataFrame:
+    """The union of ``build(rows, layout)`` over short and long series: a series of up to ``block_rows`` rows, the bound of a
+    positional block, is laid out as ``series``, a longer one as ``layout`` says.  ``build`` returns named columns only (no hidden ones).
+    Rows without a time are left out, as the blocked layout does.
+
+    The lengths are one aggregate over key and time.  Where there are long series, ``df`` is read for each part;
+    with ``once`` it is written to the checkpoint folder before (for a ``df`` that is dear to compute)."""
+    if layout.strategy == "series":
+        return build(df, layout)
+    s = s.present(df)
+    SK = sk_col(s)
+    d = df.where(F.col(s.ts).isNotNull())
+    lengths = series_key(d, s).groupBy(SK).agg(F.count(F.lit(1)).alias("_n"))
+    long = checkpoint(lengths.where(F.col("_n") > layout.block_rows).select(F.col(SK).alias("_long")))
+    if long.isEmpty():
+        return build(d, SERIES_LAYOUT)
+    d = series_key(checkpoint(d) if once else d, s)
+    short_rows, long_rows = (d.join(F.broadcast(long), F.col(SK) == F.col("_long"), how) for how in ("left_anti", "left_semi"))
+    return build(short_rows, SERIES_LAYOUT).unionByName(build(long_rows, layout))
+
+
 def with_position(df: DataFrame, s: Series = DEFAULT_SERIES,
                   layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
     """Add ``pos_col(s)``: exact 0-based position of the row in its series' time

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
-from ..functions.numeric import round_to
+from ..functions.numeric import round_columns
 from ..operators import joins, prose, scaling, stats, timeseries as ts, validate
 from ..operators.clean import combine, except_rows, filter_type, intersect_rows, prepare_readings
 from ..operators.detect.baseline import baseline_fit, baseline_predict
@@ -33,7 +33,7 @@ VALS = ["avg", "min_v", "max_v", "T_diff"]
 
 def rnd(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     """Round result columns the same way the oracle does (see ``round_to``)."""
-    return df.withColumns({c: round_to(c, digits) for c in cols})
+    return round_columns(df, cols, digits)
 
 
 # ---------------------------------------------------------------- canonical tables
@@ -186,7 +186,8 @@ def f14_minmax(spark, sf):
 
 
 def x2_feature_matrix(spark, sf, source=readings_hourly):
-    d = feature_matrix(filter_type(readings(spark, sf, source), "domestic"), type_categories=("domestic",))
+    # feature_matrix writes its input to the checkpoint folder itself
+    d = feature_matrix(filter_type(prepare_readings(source(spark, sf)), "domestic"), type_categories=("domestic",))
     dbl = [c for c, t in d.dtypes if t == "double"]
     return rnd(d, dbl)
 

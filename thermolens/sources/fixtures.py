@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.windows import DEFAULT_LAYOUT, Layout, range_over
+from ..operators.windows import DEFAULT_LAYOUT, Layout, by_length, range_over
 from ..schema import Series, clean_doubles
 from .readers import rollup_readings
 
@@ -45,8 +45,9 @@ def readings_per_event(spark: SparkSession, sf_dir: str, layout: Layout = DEFAUL
         F.lit("domestic").alias("type"), F.col("user_id").cast("string").alias("ID"))
     ev = clean_doubles(ev, ["avg"])
     hour = 3_600_000_000
-    out = range_over(ev, {
+    exprs = {
         "min_v": lambda w: F.min("avg").over(w.rangeBetween(-hour, 0)),
         "max_v": lambda w: F.max("avg").over(w.rangeBetween(-hour, 0)),
-    }, hour, Series(), layout)
-    return out.select("timestamp", "avg", "min_v", "max_v", "type", "ID")
+    }
+    return by_length(ev, lambda rows, lay: range_over(rows, exprs, hour, Series(), lay).select(
+        "timestamp", "avg", "min_v", "max_v", "type", "ID"), Series(), layout)
