@@ -34,7 +34,8 @@ from .iforest import c_factor, c_factor_col, complete_samples, hash_uniform
 
 def feature_array(features: Sequence[str]) -> Column:
     """The features as an array of doubles; missing ones count as 0."""
-    return F.array(*[round_to(F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)), 6) for c in features])
+    values = F.array(*[F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)) for c in features])
+    return F.transform(values, lambda x: round_to(x, 6))
 
 
 def depth_limit(rows: Column) -> Column:
